@@ -123,3 +123,136 @@ FROM positions"""
 
 SQL["sample_draw"] = f"""WITH {PLANS_CTE}
 SELECT {UNIT_COLS}, population_rank, CAST(sample_order AS BIGINT) AS sample_order, list_type FROM labelled"""
+
+
+# ------------------------------------------------------------- request and rates
+LINE_CASE = """CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Commercial' WHEN 'BUILDING' THEN 'Medicaid'
+        WHEN 'FURNITURE' THEN 'Medicare' WHEN 'HOUSEHOLD' THEN 'Exchange' WHEN 'MACHINERY' THEN 'Commercial' END"""
+
+FLAT_CTE = f"""
+flat AS (
+    SELECT 'REQ-' || CAST(c_custkey AS VARCHAR) || '-' || CAST(year(o_orderdate) AS VARCHAR) AS correlation_id,
+        {LINE_CASE} AS product_line,
+        {MEASURE_CASE} AS measure_code,
+        CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE {MEASURE_CASE} || CAST(o_orderkey % 2 + 1 AS VARCHAR) END AS clinical_measure_id,
+        CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE CAST(c_custkey % 26 AS DECIMAL(5,2)) END AS oversampling_rate,
+        CAST(year(o_orderdate) AS INTEGER) AS measurement_year,
+        c_custkey AS submission_id,
+        CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderkey % 101 AS DECIMAL(5,2)) END AS cyar,
+        CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST(c_custkey % 101 AS DECIMAL(5,2)) END AS pyr,
+        CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS exclude_emp,
+        CAST(c_nationkey AS BIGINT) AS organization_id,
+        CAST(c_nationkey AS BIGINT) AS run_config_id
+    FROM orders JOIN customer ON c_custkey = o_custkey
+)"""
+
+META_CTE = """
+lines AS (SELECT * FROM (VALUES ('Commercial'), ('Medicaid'), ('Medicare')) AS l(product_line)),
+years AS (SELECT CAST(range AS INTEGER) AS measurement_year FROM range(1990, 2006)),
+info AS (
+    SELECT m.measure_code, l.product_line, y.measurement_year, m.sample_size,
+        CAST(m.os AS DECIMAL(5,2)) AS oversampling_rate,
+        CASE WHEN m.measure_code = 'COL' AND l.product_line = 'Medicare' THEN NULL ELSE 'CYAR' END AS cyar_flag,
+        CASE WHEN m.measure_code = 'CBP' AND l.product_line = 'Medicaid' THEN NULL ELSE 'PYR' END AS pyr_flag
+    FROM (VALUES ('CBP', 411, '10.00'), ('COL', 230, '10.00'), ('GSD', 134, '10.00'), ('TRC', 106, '15.00'), ('EED', 134, '10.00'))
+         AS m(measure_code, sample_size, os)
+    CROSS JOIN lines l CROSS JOIN years y
+    WHERE NOT (m.measure_code = 'EED' AND l.product_line = 'Medicare')
+),
+bands AS (
+    SELECT y.measurement_year, l.product_line, CAST(b.f AS DECIMAL(5,2)) AS rate_floor, b.sample_size
+    FROM (VALUES ('95.00', 106), ('90.00', 134), ('0.00', 296)) AS b(f, sample_size)
+    CROSS JOIN lines l CROSS JOIN years y
+)"""
+
+RATES_CTE = FLAT_CTE + "," + META_CTE + f""",
+kept AS (
+    SELECT * FROM flat
+    WHERE clinical_measure_id IS NOT NULL AND clinical_measure_id NOT IN ('HBD1', 'GSD1', 'BPD') AND product_line <> 'Exchange'
+),
+inv AS (
+    SELECT * REPLACE (
+        CASE WHEN clinical_measure_id IN ('HBD2', 'GSD2') AND cyar IS NOT NULL THEN CAST(100 - cyar AS DECIMAL(5,2)) ELSE cyar END AS cyar,
+        CASE WHEN clinical_measure_id IN ('HBD2', 'GSD2') AND pyr IS NOT NULL THEN CAST(100 - pyr AS DECIMAL(5,2)) ELSE pyr END AS pyr)
+    FROM kept
+),
+cat AS (SELECT DISTINCT o_custkey AS submission_id, CAST(year(o_orderdate) AS INTEGER) AS measurement_year FROM orders),
+gated AS (
+    SELECT i.*, info.sample_size AS info_sample_size, info.oversampling_rate AS info_os_pct,
+        CASE WHEN info.cyar_flag = 'CYAR' AND i.measure_code <> 'TRC' THEN i.cyar END AS cyar_used,
+        CASE WHEN info.pyr_flag = 'PYR' THEN i.pyr END AS pyr_used
+    FROM inv i
+    LEFT JOIN info ON info.measure_code = i.measure_code AND info.product_line = i.product_line
+                  AND info.measurement_year = i.measurement_year
+    WHERE EXISTS (SELECT 1 FROM cat WHERE cat.submission_id = i.submission_id AND cat.measurement_year = i.measurement_year)
+),
+agg AS (
+    SELECT correlation_id, product_line, measure_code, oversampling_rate, measurement_year, submission_id,
+        organization_id, run_config_id, exclude_emp,
+        min(cyar_used) AS min_cyar, min(pyr_used) AS min_pyr,
+        max(info_sample_size) AS info_sample_size, max(info_os_pct) AS info_os_pct
+    FROM gated
+    GROUP BY correlation_id, product_line, measure_code, oversampling_rate, measurement_year, submission_id,
+        organization_id, run_config_id, exclude_emp
+),
+rates AS (SELECT *, CAST(least(min_cyar, min_pyr) AS DECIMAL(5,2)) AS rate FROM agg),
+banded AS (
+    SELECT r.*,
+        (SELECT arg_max(b.sample_size, b.rate_floor) FROM bands b
+         WHERE b.measurement_year = r.measurement_year AND b.product_line = r.product_line AND b.rate_floor <= r.rate) AS mrss_band
+    FROM rates r
+),
+appr AS (
+    SELECT DISTINCT o_custkey AS submission_id, {MEASURE_CASE} AS measure_code
+    FROM orders JOIN customer ON c_custkey = o_custkey
+    WHERE o_orderstatus = 'F' AND c_acctbal > 5000
+),
+osr AS (
+    SELECT b.*, CAST(coalesce(b.oversampling_rate, b.info_os_pct, 10.00) AS DECIMAL(5,2)) AS os_requested,
+        EXISTS (SELECT 1 FROM appr a WHERE a.submission_id = b.submission_id AND a.measure_code = b.measure_code) AS approved,
+        CAST(coalesce(b.mrss_band, b.info_sample_size, 411) AS BIGINT) AS mrss
+    FROM banded b
+),
+capped AS (
+    SELECT *, (os_requested > 20 AND NOT approved) AS os_capped,
+        CAST(CASE WHEN os_requested > 20 AND NOT approved THEN 20 ELSE os_requested END AS DECIMAL(5,2)) AS os_pct
+    FROM osr
+)"""
+
+FACTOR_COLS = ("correlation_id, product_line, measure_code, oversampling_rate, measurement_year, submission_id, "
+               "organization_id, run_config_id, exclude_emp")
+
+SQL["request_flatten"] = f"""WITH {FLAT_CTE}
+SELECT * FROM flat"""
+
+SQL["rates_invert_gate"] = f"""WITH {RATES_CTE}
+SELECT correlation_id, measure_code, clinical_measure_id, product_line, measurement_year, submission_id, cyar, pyr,
+       info_sample_size, info_os_pct, cyar_used, pyr_used
+FROM gated"""
+
+SQL["rates_lowest"] = f"""WITH {RATES_CTE}
+SELECT {FACTOR_COLS}, min_cyar, min_pyr, rate FROM rates"""
+
+SQL["rates_coalesce"] = f"""WITH {RATES_CTE}
+SELECT {FACTOR_COLS}, min_cyar, min_pyr, CAST(coalesce(min_cyar, min_pyr) AS DECIMAL(5,2)) AS rate FROM agg"""
+
+SQL["rates_shared"] = f"""WITH {RATES_CTE}
+SELECT r.correlation_id, r.measure_code, g.shared_group, r.rate,
+       CASE WHEN g.shared_group IS NULL THEN r.rate
+            ELSE min(r.rate) OVER (PARTITION BY r.correlation_id, g.shared_group) END AS shared_rate
+FROM rates r LEFT JOIN (VALUES ('GSD', 'GSD-EED'), ('EED', 'GSD-EED')) AS g(measure_code, shared_group)
+     ON g.measure_code = r.measure_code"""
+
+SQL["mrss_band"] = f"""WITH {RATES_CTE}
+SELECT correlation_id, measure_code, product_line, measurement_year, rate, mrss_band FROM banded"""
+
+SQL["mrss_default"] = f"""WITH {RATES_CTE}
+SELECT correlation_id, measure_code, rate, mrss_band, info_sample_size, mrss FROM osr"""
+
+SQL["os_cap"] = f"""WITH {RATES_CTE}
+SELECT correlation_id, measure_code, oversampling_rate, info_os_pct, os_requested, os_capped, os_pct FROM capped"""
+
+SQL["fss_ceiling"] = f"""WITH {RATES_CTE}
+SELECT correlation_id, measure_code, mrss, os_pct,
+       CAST((mrss * (10000 + CAST(os_pct * 100 AS BIGINT)) + 9999) // 10000 AS BIGINT) AS fss
+FROM capped"""

@@ -155,3 +155,135 @@ def sampling_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
         "grain",
         "shared_group",
     )
+
+
+# ------------------------------------------------------------ request proxies
+# fixed values: request document rules
+#   one request per customer and order year; submission = customer, organization
+#   and run configuration = nation; sub-measure id = measure || (orderkey mod 2 + 1),
+#   null when orderkey mod 97 = 0; cyar = orderkey mod 101 (null when orderkey mod 7 = 0);
+#   pyr = custkey mod 101 (null when custkey mod 5 = 0); oversampling percent =
+#   custkey mod 26 (null when custkey mod 13 = 0); excludeEmp when custkey is even;
+#   requests before 1997 are already processed; MACHINERY requests in even years are audits
+PROCESSED_BEFORE_YEAR = 1997
+YEARS = range(1990, 2006)
+SIZE_LINES = ("Commercial", "Medicaid", "Medicare")
+# rate bands (floor percent -> sample size), the same for every year and line
+BANDS = (("95.00", 106), ("90.00", 134), ("0.00", 296))
+
+
+def _year():
+    return F.year("o_orderdate").cast("int")
+
+
+def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat sub-measure rows, the content the request documents are built from."""
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer")
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    measure = _map("o_orderpriority", MEASURE_OF_PRIORITY)
+    sub_id = F.when(F.col("o_orderkey") % 97 == 0, F.lit(None).cast("string")).otherwise(
+        F.concat(measure, (F.col("o_orderkey") % 2 + 1).cast("string"))
+    )
+    return j.select(
+        F.concat(F.lit("REQ-"), F.col("c_custkey").cast("string"), F.lit("-"), _year().cast("string")).alias("correlation_id"),
+        _map("c_mktsegment", PRODUCT_LINE_OF_SEGMENT).alias("product_line"),
+        measure.alias("measure_code"),
+        sub_id.alias("clinical_measure_id"),
+        F.when(F.col("c_custkey") % 13 == 0, F.lit(None)).otherwise(F.col("c_custkey") % 26).cast("decimal(5,2)").alias("oversampling_rate"),
+        _year().alias("measurement_year"),
+        F.col("c_custkey").alias("submission_id"),
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit(None)).otherwise(F.col("o_orderkey") % 101).cast("decimal(5,2)").alias("cyar"),
+        F.when(F.col("c_custkey") % 5 == 0, F.lit(None)).otherwise(F.col("c_custkey") % 101).cast("decimal(5,2)").alias("pyr"),
+        (F.col("c_custkey") % 2 == 0).alias("exclude_emp"),
+        F.col("c_nationkey").cast("bigint").alias("organization_id"),
+        F.col("c_nationkey").cast("bigint").alias("run_config_id"),
+        F.col("c_mktsegment").alias("_segment"),
+    )
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling request table with the JSON document as text (``json_object``).
+
+    Documents are built by two partial-aggregated groupings (measure group,
+    then request); a request is one submission-year, so a document stays small.
+    """
+    r = request_rows(spark, sf_dir)
+    head = ["correlation_id", "product_line", "measurement_year", "submission_id", "organization_id", "run_config_id", "exclude_emp", "_segment"]
+    groups = r.groupBy(*head, "measure_code").agg(
+        F.max("oversampling_rate").alias("oversamplingRate"),
+        F.collect_list(F.struct(F.col("clinical_measure_id").alias("clinicalSubMeasureId"), "cyar", "pyr")).alias("subMeasures"),
+    )
+    docs = groups.groupBy(*head).agg(
+        F.collect_list(F.struct(F.col("measure_code").alias("measureGroup"), "oversamplingRate", "subMeasures")).alias("data")
+    )
+    doc = F.struct(
+        F.col("product_line").alias("productCategory"),
+        F.col("measurement_year").alias("measurementYear"),
+        F.col("submission_id").alias("submissionId"),
+        F.col("organization_id").alias("organizationId"),
+        F.col("run_config_id").alias("runConfigId"),
+        F.col("exclude_emp").alias("excludeEmp"),
+        "data",
+    )
+    processed = F.col("measurement_year") < PROCESSED_BEFORE_YEAR
+    return docs.select(
+        "correlation_id",
+        F.when((F.col("_segment") == "MACHINERY") & (F.col("measurement_year") % 2 == 0), "AUDIT").otherwise("SAMPLING").alias("request_type"),
+        F.when(processed, "PROCESSED").otherwise("received").alias("campaign_status"),
+        F.when(processed, 1).otherwise(0).alias("is_sampling_processed"),
+        F.to_json(doc).alias("json_object"),
+    )
+
+
+def product_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plan product-category view: one row per order (duplicates on purpose)."""
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer")
+    return o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("o_custkey").alias("submission_id"), _year().alias("measurement_year"), _map("c_mktsegment", PRODUCT_LINE_OF_SEGMENT).alias("product_category")
+    )
+
+
+def size_info_rows():
+    """Size metadata by rule: every measure, line and year, except EED/Medicare;
+    COL/Medicare has no CYAR flag and CBP/Medicaid no PYR flag."""
+    rows = []
+    for y in YEARS:
+        for m, (mrss, os_pct, _, _, _) in MEASURE_META.items():
+            for pl in SIZE_LINES:
+                if (m, pl) == ("EED", "Medicare"):
+                    continue
+                cy = None if (m, pl) == ("COL", "Medicare") else "CYAR"
+                py = None if (m, pl) == ("CBP", "Medicaid") else "PYR"
+                rows.append((m, pl, y, mrss, os_pct, cy, py))
+    return rows
+
+
+def size_info(spark: SparkSession) -> DataFrame:
+    df = spark.createDataFrame(size_info_rows(), "measure_code string, product_line string, measurement_year int, sample_size int, os string, cyar string, pyr string")
+    return df.select("measure_code", "product_line", "measurement_year", "sample_size", F.col("os").cast("decimal(5,2)").alias("oversampling_rate"), "cyar", "pyr")
+
+
+def size_band_rows():
+    return [(y, pl, floor, size) for y in YEARS for pl in SIZE_LINES for floor, size in BANDS]
+
+
+def size_bands(spark: SparkSession) -> DataFrame:
+    df = spark.createDataFrame(size_band_rows(), "measurement_year int, product_line string, f string, sample_size int")
+    return df.select("measurement_year", "product_line", F.col("f").cast("decimal(5,2)").alias("rate_floor"), "sample_size")
+
+
+def rand_values(spark: SparkSession) -> DataFrame:
+    rows = [(m, y, r) for y in YEARS for m, (_, _, r, _, _) in MEASURE_META.items()]
+    df = spark.createDataFrame(rows, "measure_code string, measurement_year int, r string")
+    return df.select("measure_code", "measurement_year", F.col("r").cast("decimal(9,6)").alias("rand"))
+
+
+def os_approvals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approved oversampling above the cap: (submission, measure) of fulfilled
+    orders of customers with a balance above 5000."""
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer")
+    j = o.join(c, o.o_custkey == c.c_custkey).filter((F.col("o_orderstatus") == "F") & (F.col("c_acctbal") > 5000))
+    return j.select(F.col("o_custkey").alias("submission_id"), _map("o_orderpriority", MEASURE_OF_PRIORITY).alias("measure_code")).distinct()

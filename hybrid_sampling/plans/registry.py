@@ -70,3 +70,89 @@ def q_sample_positions(spark, sf_dir):
 @register("sample_draw")
 def q_sample_draw(spark, sf_dir):
     return S.drawn(spark, sf_dir).select(*UNIT, "population_rank", "sample_order", "list_type")
+
+
+# ------------------------------------------------------------- request and rates
+from hybrid_sampling.operators import factors as FA  # noqa: E402
+from hybrid_sampling.operators import request as RQ  # noqa: E402
+from hybrid_sampling.operators import sizes as SZ  # noqa: E402
+from hybrid_sampling.plans import proxy as P  # noqa: E402
+
+FLAT_COLS = [
+    "correlation_id", "product_line", "measure_code", "clinical_measure_id", "oversampling_rate", "measurement_year",
+    "submission_id", "cyar", "pyr", "exclude_emp", "organization_id", "run_config_id",
+]
+KEY = ["correlation_id", "measure_code"]
+
+
+def flat_requests(spark, sf_dir):
+    return RQ.flatten_request(RQ.parse_requests(P.requests(spark, sf_dir)))
+
+
+def gated(spark, sf_dir):
+    r = FA.drop_product_lines(FA.drop_submeasures(FA.invert_rates(flat_requests(spark, sf_dir))))
+    r = FA.attach_product_category(FA.attach_size_info(r, P.size_info(spark)), P.product_categories(spark, sf_dir))
+    return FA.gate_rates(r)
+
+
+def resolved(spark, sf_dir, mode="least"):
+    return FA.resolve_factors(gated(spark, sf_dir), mode)
+
+
+def sized(spark, sf_dir):
+    f = SZ.size_for_rate(resolved(spark, sf_dir), P.size_bands(spark))
+    f = SZ.default_mrss(f)
+    f = SZ.check_oversampling(f, P.os_approvals(spark, sf_dir))
+    return SZ.final_sizes(f)
+
+
+@register("request_flatten")
+def q_request_flatten(spark, sf_dir):
+    return flat_requests(spark, sf_dir).select(*FLAT_COLS)
+
+
+@register("rates_invert_gate")
+def q_rates_invert_gate(spark, sf_dir):
+    return gated(spark, sf_dir).select(
+        *KEY, "clinical_measure_id", "product_line", "measurement_year", "submission_id", "cyar", "pyr",
+        "info_sample_size", "info_os_pct", "cyar_used", "pyr_used",
+    )
+
+
+@register("rates_lowest")
+def q_rates_lowest(spark, sf_dir):
+    return resolved(spark, sf_dir, "least").select(*FA.FACTOR_KEYS, "min_cyar", "min_pyr", "rate")
+
+
+@register("rates_coalesce")
+def q_rates_coalesce(spark, sf_dir):
+    return resolved(spark, sf_dir, "coalesce").select(*FA.FACTOR_KEYS, "min_cyar", "min_pyr", "rate")
+
+
+@register("rates_shared")
+def q_rates_shared(spark, sf_dir):
+    f = FA.shared_rate(resolved(spark, sf_dir), P.measure_meta(spark))
+    return f.select(*KEY, "shared_group", "rate", "shared_rate")
+
+
+@register("mrss_band")
+def q_mrss_band(spark, sf_dir):
+    f = SZ.size_for_rate(resolved(spark, sf_dir), P.size_bands(spark))
+    return f.select(*KEY, "product_line", "measurement_year", "rate", "mrss_band")
+
+
+@register("mrss_default")
+def q_mrss_default(spark, sf_dir):
+    f = SZ.default_mrss(SZ.size_for_rate(resolved(spark, sf_dir), P.size_bands(spark)))
+    return f.select(*KEY, "rate", "mrss_band", "info_sample_size", "mrss")
+
+
+@register("os_cap")
+def q_os_cap(spark, sf_dir):
+    f = SZ.check_oversampling(resolved(spark, sf_dir), P.os_approvals(spark, sf_dir))
+    return f.select(*KEY, "oversampling_rate", "info_os_pct", "os_requested", "os_capped", "os_pct")
+
+
+@register("fss_ceiling")
+def q_fss_ceiling(spark, sf_dir):
+    return sized(spark, sf_dir).select(*KEY, "mrss", "os_pct", "fss")
