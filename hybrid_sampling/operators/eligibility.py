@@ -225,3 +225,17 @@ def exclude(df: DataFrame, invalid: DataFrame, keys: list[str], keep_flagged: bo
     if keep_flagged:
         return df.join(reasons, keys, "left").withColumn("is_excluded", F.col("exclusion_reason").isNotNull())
     return df.join(reasons, keys, "left_anti")
+
+
+def exclusion_reasons(units: DataFrame, invalid: DataFrame, unit_keys: list[str]) -> DataFrame:
+    """First exclusion reason per unit (unit_keys + exclusion_reason).
+
+    ``invalid`` rows with a null measure apply to every measure of the member,
+    the others to their own measure only. Grouping tolerates a null visit id
+    (member grain); joining the result back needs ``join_on(null_safe=True)``.
+    """
+    u = units.select(*unit_keys)
+    all_m = invalid.filter(F.col("measure_code").isNull()).select("patient_id", "reason")
+    per_m = invalid.filter(F.col("measure_code").isNotNull()).select("patient_id", "measure_code", "reason")
+    matched = u.join(all_m, "patient_id").unionByName(u.join(per_m, ["patient_id", "measure_code"]))
+    return first_reason(matched, unit_keys)

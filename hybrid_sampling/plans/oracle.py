@@ -256,3 +256,81 @@ SQL["fss_ceiling"] = f"""WITH {RATES_CTE}
 SELECT correlation_id, measure_code, mrss, os_pct,
        CAST((mrss * (10000 + CAST(os_pct * 100 AS BIGINT)) + 9999) // 10000 AS BIGINT) AS fss
 FROM capped"""
+
+
+# ------------------------------------------------------------------ eligibility
+INVALID_CTE = f"""
+inv AS (
+    SELECT c_custkey AS patient_id, CAST(NULL AS VARCHAR) AS measure_code, 'deceased' AS reason FROM customer WHERE c_acctbal < 0
+    UNION ALL
+    SELECT c_custkey, NULL, 'hospice' FROM customer WHERE c_custkey % 37 = 0
+    UNION ALL
+    SELECT o_custkey, {MEASURE_CASE}, 'data error' FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 50 = 0
+),
+reasons AS (
+    SELECT {UNIT_COLS}, reason AS exclusion_reason FROM (
+        SELECT p.*, i.reason, row_number() OVER (
+            PARTITION BY p.submission_id, p.product_line, p.measure_code, p.measurement_year, p.patient_id, p.visit_id
+            ORDER BY CASE i.reason WHEN 'deceased' THEN 0 WHEN 'hospice' THEN 1 WHEN 'employee' THEN 2
+                                   WHEN 'duplicate' THEN 3 WHEN 'data error' THEN 4 ELSE 5 END) AS rn
+        FROM pop p JOIN inv i ON i.patient_id = p.patient_id AND (i.measure_code IS NULL OR i.measure_code = p.measure_code)
+    ) WHERE rn = 1
+)"""
+
+SQL["eligible_visit"] = f"""WITH {POP_CTE}
+SELECT {UNIT_COLS}, event_date FROM pop WHERE measure_code = 'TRC'"""
+
+SQL["eligible_counts"] = f"""WITH {POP_CTE}
+SELECT {GROUP_SQL}, CAST(count(*) AS BIGINT) AS em FROM pop GROUP BY 1, 2, 3, 4"""
+
+SQL["valid_line"] = f"""SELECT c_custkey AS patient_id, {LINE_CASE} AS product_line
+FROM customer WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'MACHINERY')"""
+
+SQL["age_gender"] = f"""WITH {POP_CTE},
+g AS (SELECT p.*, CASE WHEN c.c_nationkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
+             CAST(p.measurement_year - year(p.date_of_birth) AS INTEGER) AS age
+      FROM pop p JOIN customer c ON c.c_custkey = p.patient_id)
+SELECT {UNIT_COLS}, gender, age FROM g
+WHERE (measure_code = 'CBP' AND age BETWEEN 18 AND 85)
+   OR (measure_code = 'COL' AND age BETWEEN 45 AND 75)
+   OR (measure_code = 'GSD' AND age BETWEEN 18 AND 75)
+   OR (measure_code = 'TRC' AND age BETWEEN 18 AND 64 AND gender = 'F')
+   OR (measure_code = 'EED' AND age BETWEEN 18 AND 75)"""
+
+# brute force: expand every enrollment span to its days
+SQL["enrolled_months"] = """WITH
+days AS (
+    SELECT DISTINCT patient_id, d, CAST(year(d) AS INTEGER) AS measurement_year FROM (
+        SELECT patient_id, CAST(base + CAST(k AS INTEGER) AS DATE) AS d FROM (
+            SELECT o_custkey AS patient_id, CAST(o_orderdate AS DATE) AS base, unnest(range(0, 121)) AS k FROM orders))
+),
+per_month AS (
+    SELECT patient_id, measurement_year, month(d) AS m, count(*) AS n, day(max(last_day(d))) AS month_days
+    FROM days GROUP BY 1, 2, 3
+),
+starts AS (
+    SELECT a.patient_id, a.measurement_year, count(*) AS island_count
+    FROM days a LEFT JOIN days b ON b.patient_id = a.patient_id AND b.d = a.d - 1
+    WHERE b.d IS NULL OR b.measurement_year <> a.measurement_year
+    GROUP BY 1, 2
+),
+cov AS (
+    SELECT patient_id, measurement_year, sum(n) AS covered_days, sum(CASE WHEN n = month_days THEN 1 ELSE 0 END) AS covered_months
+    FROM per_month GROUP BY 1, 2
+)
+SELECT c.patient_id, c.measurement_year, CAST(s.island_count AS BIGINT) AS island_count,
+       CAST(c.covered_days AS BIGINT) AS covered_days, CAST(c.covered_months AS BIGINT) AS covered_months,
+       c.covered_months >= 11 AS is_enrolled
+FROM cov c JOIN starts s USING (patient_id, measurement_year)"""
+
+SQL["with_event"] = f"""WITH {POP_CTE}
+SELECT {UNIT_COLS} FROM pop p
+WHERE EXISTS (SELECT 1 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+              WHERE l.l_returnflag = 'R' AND o.o_custkey = p.patient_id AND year(o.o_orderdate) = p.measurement_year)"""
+
+SQL["with_association"] = f"""WITH {POP_CTE}
+SELECT {UNIT_COLS} FROM pop p JOIN customer c ON c.c_custkey = p.patient_id
+WHERE c.c_nationkey IN (SELECT s_nationkey FROM supplier)"""
+
+SQL["exclusions"] = f"""WITH {POP_CTE}, {INVALID_CTE}
+SELECT * FROM reasons"""

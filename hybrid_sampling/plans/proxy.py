@@ -287,3 +287,48 @@ def os_approvals(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     j = o.join(c, o.o_custkey == c.c_custkey).filter((F.col("o_orderstatus") == "F") & (F.col("c_acctbal") > 5000))
     return j.select(F.col("o_custkey").alias("submission_id"), _map("o_orderpriority", MEASURE_OF_PRIORITY).alias("measure_code")).distinct()
+
+
+# ------------------------------------------------------------ eligibility proxies
+# fixed values: age / gender rules per measure (TRC stands in for a women-only measure)
+AGE_GENDER_RULES = (
+    ("CBP", 18, 85, None),
+    ("COL", 45, 75, None),
+    ("GSD", 18, 75, None),
+    ("TRC", 18, 64, "F"),
+    ("EED", 18, 75, None),
+)
+# fixed values: invalid members
+#   deceased: negative account balance; hospice: custkey mod 37 = 0 (all measures)
+#   data error: pending order with orderkey mod 50 = 0 (that order's measure only)
+HOSPICE_MOD, DATA_ERROR_MOD = 37, 50
+
+
+def age_gender_rules(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(AGE_GENDER_RULES), "measure_code string, min_age int, max_age int, rule_gender string")
+
+
+def qualifying_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Qualifying events: orders with a returned line item (patient, year)."""
+    li = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R").select("l_orderkey")
+    o = table(spark, sf_dir, "orders")
+    return o.join(li, o.o_orderkey == li.l_orderkey, "left_semi").select(
+        F.col("o_custkey").alias("patient_id"), _year().alias("measurement_year"), F.lit("return").alias("event_type")
+    )
+
+
+def provider_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provider associations: organizations (nations) with at least one supplier."""
+    return table(spark, sf_dir, "supplier").select(F.col("s_nationkey").cast("bigint").alias("organization_id"))
+
+
+def invalid_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    o = table(spark, sf_dir, "orders")
+    none = F.lit(None).cast("string")
+    deceased = c.filter(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("patient_id"), none.alias("measure_code"), F.lit("deceased").alias("reason"))
+    hospice = c.filter(F.col("c_custkey") % HOSPICE_MOD == 0).select(F.col("c_custkey").alias("patient_id"), none.alias("measure_code"), F.lit("hospice").alias("reason"))
+    err = o.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % DATA_ERROR_MOD == 0)).select(
+        F.col("o_custkey").alias("patient_id"), _map("o_orderpriority", MEASURE_OF_PRIORITY).alias("measure_code"), F.lit("data error").alias("reason")
+    )
+    return deceased.unionByName(hospice).unionByName(err)

@@ -156,3 +156,50 @@ def q_os_cap(spark, sf_dir):
 @register("fss_ceiling")
 def q_fss_ceiling(spark, sf_dir):
     return sized(spark, sf_dir).select(*KEY, "mrss", "os_pct", "fss")
+
+
+# ------------------------------------------------------------------ eligibility
+@register("eligible_visit")
+def q_eligible_visit(spark, sf_dir):
+    pop = S.population(spark, sf_dir)
+    return pop.filter(F.col("grain") == "visit").select(*UNIT, "event_date")
+
+
+@register("eligible_counts")
+def q_eligible_counts(spark, sf_dir):
+    return E.eligible_counts(S.population(spark, sf_dir), GROUP)
+
+
+@register("valid_line")
+def q_valid_line(spark, sf_dir):
+    return E.valid_product_line(P.patients(spark, sf_dir)).select("patient_id", "product_line")
+
+
+@register("age_gender")
+def q_age_gender(spark, sf_dir):
+    pop = S.population(spark, sf_dir).join(P.patients(spark, sf_dir).select("patient_id", "gender"), "patient_id")
+    return E.age_gender(pop, P.age_gender_rules(spark)).select(*UNIT, "gender", "age")
+
+
+@register("enrolled_months")
+def q_enrolled_months(spark, sf_dir):
+    return E.enrolled_months(P.enrollment(spark, sf_dir))
+
+
+@register("with_event")
+def q_with_event(spark, sf_dir):
+    pop = S.population(spark, sf_dir)
+    ev = P.qualifying_events(spark, sf_dir)
+    return pop.join(ev.select("patient_id", "measurement_year").distinct(), ["patient_id", "measurement_year"], "left_semi").select(*UNIT)
+
+
+@register("with_association")
+def q_with_association(spark, sf_dir):
+    pop = S.population(spark, sf_dir).join(P.patients(spark, sf_dir).select("patient_id", F.col("organization_id").alias("member_org")), "patient_id")
+    prov = P.provider_nations(spark, sf_dir).select(F.col("organization_id").alias("member_org"))
+    return E.with_association(pop, prov, "member_org").select(*UNIT)
+
+
+@register("exclusions")
+def q_exclusions(spark, sf_dir):
+    return E.exclusion_reasons(S.population(spark, sf_dir), P.invalid_members(spark, sf_dir), UNIT)
