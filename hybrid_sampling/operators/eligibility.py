@@ -95,11 +95,12 @@ def filter_employee(df: DataFrame, enrollment: DataFrame, flag_col: str = "exclu
     return j.filter(keep).drop("is_employee")
 
 
-def to_grain(df: DataFrame, group_cols: list[str], grain_col: str = "grain") -> DataFrame:
+def to_grain(df: DataFrame, group_cols: list[str], grain_col: str = "grain", carry=()) -> DataFrame:
     """One row per member (member grain) or per visit (visit grain),
-    with the earliest event date. Partial aggregation before the shuffle."""
+    with the earliest event date. Partial aggregation before the shuffle.
+    ``carry`` are columns fixed per group (from the factors) kept alongside."""
     unit_visit = F.when(F.col(grain_col) == "visit", F.col("visit_id"))
-    return df.groupBy(*group_cols, grain_col, "patient_id", unit_visit.alias("visit_id")).agg(F.min("event_date").alias("event_date"))
+    return df.groupBy(*group_cols, *carry, grain_col, "patient_id", unit_visit.alias("visit_id")).agg(F.min("event_date").alias("event_date"))
 
 
 def attach_patient(df: DataFrame, patients: DataFrame, cols=("last_name", "first_name", "date_of_birth")) -> DataFrame:
@@ -123,6 +124,7 @@ def eligible_population(
     group_cols: list[str],
     status_codes=ELIGIBLE_STATUS,
     period_mode: str = "exact",
+    carry=("run_config_id", "organization_id", "shared_group"),
 ) -> DataFrame:
     """G7 + G8: eligible units (member or visit grain by measure) with their sort attributes."""
     b = non_empty_measure(filter_live(filter_status(base, status_codes)))
@@ -130,7 +132,7 @@ def eligible_population(
     b = scope(b, factors)
     b = filter_period(b, periods, period_mode)
     b = filter_employee(b, enrollment)
-    g = to_grain(b, group_cols)
+    g = to_grain(b, group_cols, carry=[c for c in carry if c not in group_cols])
     return attach_patient(g, patients)
 
 

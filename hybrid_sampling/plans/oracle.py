@@ -42,54 +42,65 @@ pop AS (
     FROM unit u JOIN customer c ON c.c_custkey = u.patient_id
 )"""
 
-RANK_EXPR = f"""CAST(CASE WHEN measurement_year % 2 = 0 THEN
-        row_number() OVER (PARTITION BY {GROUP_SQL} ORDER BY last_name ASC NULLS FIRST, first_name ASC NULLS FIRST,
+def rank_expr(part: str) -> str:
+    return f"""CAST(CASE WHEN measurement_year % 2 = 0 THEN
+        row_number() OVER (PARTITION BY {part} ORDER BY last_name ASC NULLS FIRST, first_name ASC NULLS FIRST,
             date_of_birth ASC NULLS FIRST, event_date ASC NULLS FIRST, patient_id ASC NULLS FIRST, visit_id ASC NULLS FIRST)
     ELSE
-        row_number() OVER (PARTITION BY {GROUP_SQL} ORDER BY last_name DESC NULLS LAST, first_name DESC NULLS LAST,
+        row_number() OVER (PARTITION BY {part} ORDER BY last_name DESC NULLS LAST, first_name DESC NULLS LAST,
             date_of_birth DESC NULLS LAST, event_date DESC NULLS LAST, patient_id ASC NULLS FIRST, visit_id ASC NULLS FIRST)
     END AS BIGINT)"""
 
-RANKED_CTE = POP_CTE + f""",
-ranked AS (SELECT *, {RANK_EXPR} AS population_rank FROM pop)"""
 
-PLANS_CTE = RANKED_CTE + f""",
-counts AS (SELECT {GROUP_SQL}, CAST(count(*) AS BIGINT) AS em FROM pop GROUP BY 1, 2, 3, 4),
-sized AS (
+def draw_ctes(p: str, part: str, ranked: str, sized_from: str) -> str:
+    """Counts, scenario, start, enumerated positions and the labelled draw for
+    groups ``part`` of the ranked table ``ranked``. ``sized_from`` is a FROM
+    clause giving, per group, em and the columns mrss_i, os_bp, rand6."""
+    return f"""
+{p}counts AS (SELECT {part}, CAST(count(*) AS BIGINT) AS em FROM {ranked} GROUP BY ALL),
+{p}sized AS (
     SELECT c.*, CAST(s.mrss_i AS BIGINT) AS mrss, s.os_bp, s.rand6,
            CAST((s.mrss_i * (10000 + s.os_bp) + 9999) // 10000 AS BIGINT) AS fss
-    FROM counts c JOIN {SIZES_VALUES} USING (measure_code)
+    FROM {sized_from}
 ),
-scen AS (
-    SELECT *, CASE WHEN em <= mrss THEN 'A' WHEN em <= fss THEN 'B' ELSE 'C' END AS scenario FROM sized
+{p}scen AS (
+    SELECT *, CASE WHEN em <= mrss THEN 'A' WHEN em <= fss THEN 'B' ELSE 'C' END AS scenario FROM {p}sized
 ),
-plans AS (
+{p}plans AS (
     SELECT *,
         CASE WHEN scenario = 'C' THEN em // fss END AS n_interval,
         CASE WHEN scenario = 'C' THEN greatest(1, (2 * rand6 * (em // fss) + 1000000) // 2000000) END AS start_pos,
         least(mrss, em) AS mrss_actual,
         CASE scenario WHEN 'A' THEN 0 WHEN 'B' THEN em - mrss ELSE fss - mrss END AS os_actual,
         CASE WHEN scenario = 'C' THEN fss ELSE em END AS sample_total
-    FROM scen
+    FROM {p}scen
 ),
-positions AS (
-    SELECT {GROUP_SQL}, pick_index, start_pos + (2 * pick_index * em + fss) // (2 * fss) AS position
-    FROM (SELECT *, unnest(range(0, fss)) AS pick_index FROM plans WHERE scenario = 'C')
+{p}positions AS (
+    SELECT {part}, pick_index, start_pos + (2 * pick_index * em + fss) // (2 * fss) AS position
+    FROM (SELECT *, unnest(range(0, fss)) AS pick_index FROM {p}plans WHERE scenario = 'C')
 ),
-drawn AS (
+{p}drawn AS (
     SELECT r.*, p.pick_index + 1 AS sample_order, pl.mrss_actual
-    FROM ranked r JOIN positions p USING ({GROUP_SQL})
-    JOIN plans pl USING ({GROUP_SQL})
+    FROM {ranked} r JOIN {p}positions p USING ({part})
+    JOIN {p}plans pl USING ({part})
     WHERE r.population_rank = p.position
     UNION ALL
     SELECT r.*, r.population_rank AS sample_order, pl.mrss_actual
-    FROM ranked r JOIN plans pl USING ({GROUP_SQL})
+    FROM {ranked} r JOIN {p}plans pl USING ({part})
     WHERE pl.scenario IN ('A', 'B')
 ),
-labelled AS (
-    SELECT *, CASE WHEN sample_order <= mrss_actual THEN 'Primary' ELSE 'Auxiliary' END AS list_type FROM drawn
+{p}labelled AS (
+    SELECT *, CASE WHEN sample_order <= mrss_actual THEN 'Primary' ELSE 'Auxiliary' END AS list_type FROM {p}drawn
 )"""
 
+
+RANK_EXPR = rank_expr(GROUP_SQL)
+
+RANKED_CTE = POP_CTE + f""",
+ranked AS (SELECT *, {RANK_EXPR} AS population_rank FROM pop)"""
+
+PLANS_CTE = RANKED_CTE + "," + draw_ctes("", GROUP_SQL, "ranked", f"counts c JOIN {SIZES_VALUES} USING (measure_code)")
+
 UNIT_COLS = f"{GROUP_SQL}, patient_id, visit_id"
 
 SQL: dict[str, str] = {}
@@ -334,3 +345,81 @@ WHERE c.c_nationkey IN (SELECT s_nationkey FROM supplier)"""
 
 SQL["exclusions"] = f"""WITH {POP_CTE}, {INVALID_CTE}
 SELECT * FROM reasons"""
+
+
+# ------------------------------------------------------------ replacement, sharing
+GJ = " AND ".join(f"{{a}}.{c} = {{b}}.{c}" for c in ("submission_id", "product_line", "measure_code", "measurement_year"))
+
+FINAL_CTE = PLANS_CTE + "," + INVALID_CTE + f""",
+flagged AS (
+    SELECT l.*, r.exclusion_reason, r.exclusion_reason IS NOT NULL AS is_excluded
+    FROM labelled l LEFT JOIN reasons r
+      ON {GJ.format(a='r', b='l')} AND r.patient_id = l.patient_id AND r.visit_id IS NOT DISTINCT FROM l.visit_id
+),
+k AS (
+    SELECT *,
+        CASE WHEN list_type = 'Primary' AND is_excluded THEN row_number() OVER (
+            PARTITION BY {GROUP_SQL}, (list_type = 'Primary' AND is_excluded) ORDER BY sample_order) END AS hole_k,
+        CASE WHEN list_type = 'Auxiliary' AND NOT is_excluded THEN row_number() OVER (
+            PARTITION BY {GROUP_SQL}, (list_type = 'Auxiliary' AND NOT is_excluded) ORDER BY sample_order) END AS fill_k
+    FROM flagged
+),
+rep AS (
+    SELECT a.*, h.sample_order AS replaces_order
+    FROM k a LEFT JOIN k h ON {GJ.format(a='h', b='a')} AND h.hole_k = a.fill_k
+),
+final AS (
+    SELECT *,
+        CASE WHEN is_excluded THEN 'Excluded' WHEN list_type = 'Primary' THEN 'Primary'
+             WHEN replaces_order IS NOT NULL THEN 'Primary' ELSE 'Auxiliary' END AS final_list,
+        CAST(greatest(
+            sum(CASE WHEN list_type = 'Primary' AND is_excluded THEN 1 ELSE 0 END) OVER (PARTITION BY {GROUP_SQL})
+          - sum(CASE WHEN list_type = 'Auxiliary' AND NOT is_excluded THEN 1 ELSE 0 END) OVER (PARTITION BY {GROUP_SQL}), 0) AS BIGINT) AS shortfall
+    FROM rep
+)"""
+
+SQL["replace_excluded"] = f"""WITH {FINAL_CTE}
+SELECT {UNIT_COLS}, CAST(sample_order AS BIGINT) AS sample_order, list_type, is_excluded, exclusion_reason, final_list,
+       CAST(replaces_order AS BIGINT) AS replaces_order, shortfall
+FROM final"""
+
+SQL["sample_output"] = f"""WITH {FINAL_CTE}
+SELECT f.submission_id, 'CMP-' || CAST(f.submission_id AS VARCHAR) || '-' || CAST(f.measurement_year AS VARCHAR) AS campaign_id,
+       CAST(1 AS BIGINT) AS run_config_id, 'HEDIS' AS domain_id, f.product_line, f.measure_code, f.patient_id AS member_id,
+       f.visit_id, f.measurement_year, f.population_rank, CAST(f.sample_order AS BIGINT) AS sample_order,
+       CAST(pl.rand6 / 1000000 AS DECIMAL(9,6)) AS rand, f.list_type, f.final_list = 'Primary' AS is_primary,
+       f.is_excluded, f.exclusion_reason, CAST(f.mrss_actual AS BIGINT) AS mrss_actual
+FROM final f JOIN plans pl USING ({GROUP_SQL})"""
+
+SQL["sample_summary"] = f"""WITH {FINAL_CTE}
+SELECT f.submission_id, f.product_line, f.measure_code, f.measurement_year,
+       max(pl.em) AS em, CAST(max(pl.mrss_actual) AS BIGINT) AS mrss_actual, CAST(max(pl.os_actual) AS BIGINT) AS os_actual,
+       CAST(count(*) AS BIGINT) AS drawn,
+       CAST(sum(CASE WHEN f.list_type = 'Primary' THEN 1 ELSE 0 END) AS BIGINT) AS primary_drawn,
+       CAST(sum(CASE WHEN f.list_type = 'Auxiliary' THEN 1 ELSE 0 END) AS BIGINT) AS auxiliary_drawn,
+       CAST(sum(CASE WHEN f.is_excluded THEN 1 ELSE 0 END) AS BIGINT) AS excluded,
+       CAST(sum(CASE WHEN f.replaces_order IS NOT NULL AND NOT f.is_excluded AND f.list_type = 'Auxiliary' THEN 1 ELSE 0 END) AS BIGINT) AS replaced,
+       CAST(sum(CASE WHEN f.final_list = 'Primary' THEN 1 ELSE 0 END) AS BIGINT) AS final_primary,
+       max(f.shortfall) AS shortfall
+FROM final f JOIN plans pl USING ({GROUP_SQL})
+GROUP BY 1, 2, 3, 4"""
+
+SHARED_SQL = "submission_id, product_line, shared_group, measurement_year"
+
+SQL["shared_sample"] = f"""WITH {POP_CTE},
+spop AS (
+    SELECT submission_id, product_line, 'GSD-EED' AS shared_group, measurement_year, patient_id,
+           CAST(NULL AS BIGINT) AS visit_id, last_name, first_name, date_of_birth, min(event_date) AS event_date
+    FROM pop WHERE measure_code IN ('GSD', 'EED')
+    GROUP BY submission_id, product_line, measurement_year, patient_id, last_name, first_name, date_of_birth
+),
+sranked AS (SELECT *, {rank_expr(SHARED_SQL)} AS population_rank FROM spop),
+{draw_ctes("s_", SHARED_SQL, "sranked", "s_counts c JOIN (SELECT 'GSD-EED' AS shared_group, 134 AS mrss_i, 1000 AS os_bp, 500000 AS rand6) s USING (shared_group)")}
+SELECT s.submission_id, s.product_line, s.shared_group, s.measurement_year, m.measure_code, s.patient_id,
+       s.population_rank, CAST(s.sample_order AS BIGINT) AS sample_order, s.list_type
+FROM s_labelled s JOIN (VALUES ('GSD'), ('EED')) AS m(measure_code) ON TRUE"""
+
+SQL["spread_exclusions"] = f"""WITH {INVALID_CTE.split("reasons AS")[0].rstrip().rstrip(",")},
+grp AS (SELECT * FROM (VALUES ('GSD', 'GSD-EED'), ('EED', 'GSD-EED')) AS g(measure_code, shared_group))
+SELECT DISTINCT i.patient_id, coalesce(g2.measure_code, i.measure_code) AS measure_code, i.reason
+FROM inv i LEFT JOIN grp g1 ON g1.measure_code = i.measure_code LEFT JOIN grp g2 ON g2.shared_group = g1.shared_group"""

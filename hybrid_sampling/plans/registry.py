@@ -203,3 +203,34 @@ def q_with_association(spark, sf_dir):
 @register("exclusions")
 def q_exclusions(spark, sf_dir):
     return E.exclusion_reasons(S.population(spark, sf_dir), P.invalid_members(spark, sf_dir), UNIT)
+
+
+# ------------------------------------------------------------ replacement, sharing
+from hybrid_sampling.operators import replacement as R  # noqa: E402
+
+
+@register("replace_excluded")
+def q_replace_excluded(spark, sf_dir):
+    return S.final(spark, sf_dir).select(
+        *UNIT, "sample_order", "list_type", "is_excluded", "exclusion_reason", "final_list", "replaces_order", "shortfall"
+    )
+
+
+@register("shared_sample")
+def q_shared_sample(spark, sf_dir):
+    return S.shared_drawn(spark, sf_dir).select(*S.SHARED, "measure_code", "patient_id", "population_rank", "sample_order", "list_type")
+
+
+@register("spread_exclusions")
+def q_spread_exclusions(spark, sf_dir):
+    return R.spread_exclusions(P.invalid_members(spark, sf_dir), P.measure_meta(spark))
+
+
+@register("sample_output")
+def q_sample_output(spark, sf_dir):
+    return R.to_output(S.final(spark, sf_dir))
+
+
+@register("sample_summary")
+def q_sample_summary(spark, sf_dir):
+    return R.sample_summary(S.final(spark, sf_dir), GROUP)

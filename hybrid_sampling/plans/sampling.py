@@ -54,3 +54,26 @@ def drawn(spark: SparkSession, sf_dir: str, num_partitions: int | None = None) -
     population is needed."""
     planned = D.plan_samples(ranked(spark, sf_dir, num_partitions), factors(spark, sf_dir), GROUP)
     return D.select_sample(planned)
+
+
+# ------------------------------------------------------------------ after the draw
+from hybrid_sampling.operators import replacement as R  # noqa: E402
+
+SHARED = ["submission_id", "product_line", "shared_group", "measurement_year"]
+
+
+def final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drawn sample -> exclusions flagged -> replacements."""
+    d = drawn(spark, sf_dir)
+    reasons = E.exclusion_reasons(d.select(*GROUP, *UNIT), P.invalid_members(spark, sf_dir), GROUP + UNIT)
+    return R.replace_excluded(R.flag_exclusions(d, reasons, GROUP + UNIT), GROUP)
+
+
+def shared_drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One draw per shared group over the union of its measures' members,
+    emitted for every measure of the group."""
+    pop = R.shared_population(population(spark, sf_dir), SHARED)
+    sizes = R.shared_sizes(factors(spark, sf_dir), SHARED)
+    ranked_df = rank_population(pop, SHARED, groups_bound=groups_bound(spark, sf_dir), size_col="em")
+    d = D.select_sample(D.plan_samples(ranked_df, sizes, SHARED))
+    return R.emit_for_measures(d, P.measure_meta(spark))
