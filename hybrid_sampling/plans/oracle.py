@@ -423,3 +423,80 @@ SQL["spread_exclusions"] = f"""WITH {INVALID_CTE.split("reasons AS")[0].rstrip()
 grp AS (SELECT * FROM (VALUES ('GSD', 'GSD-EED'), ('EED', 'GSD-EED')) AS g(measure_code, shared_group))
 SELECT DISTINCT i.patient_id, coalesce(g2.measure_code, i.measure_code) AS measure_code, i.reason
 FROM inv i LEFT JOIN grp g1 ON g1.measure_code = i.measure_code LEFT JOIN grp g2 ON g2.shared_group = g1.shared_group"""
+
+
+# ------------------------------------------------------------------ control
+REQ_CTE = """
+req AS (
+    SELECT DISTINCT 'REQ-' || CAST(c_custkey AS VARCHAR) || '-' || CAST(year(o_orderdate) AS VARCHAR) AS correlation_id,
+        CASE WHEN c_mktsegment = 'MACHINERY' AND year(o_orderdate) % 2 = 0 THEN 'AUDIT' ELSE 'SAMPLING' END AS request_type,
+        CASE WHEN year(o_orderdate) < 1997 THEN 'PROCESSED' ELSE 'received' END AS campaign_status,
+        CASE WHEN year(o_orderdate) < 1997 THEN 1 ELSE 0 END AS is_sampling_processed,
+        c_custkey AS submission_id, CAST(year(o_orderdate) AS INTEGER) AS measurement_year,
+        CAST(c_nationkey AS BIGINT) AS run_config_id
+    FROM orders JOIN customer ON c_custkey = o_custkey
+),
+open_req AS (
+    SELECT * FROM req WHERE request_type = 'SAMPLING' AND campaign_status = 'received' AND is_sampling_processed = 0
+)"""
+
+OUTCOME_CTE = RATES_CTE + "," + REQ_CTE + """,
+outcome AS (
+    SELECT correlation_id, correlation_id IN (SELECT correlation_id FROM agg) AS succeeded FROM open_req
+)"""
+
+SQL["open_requests"] = f"""WITH {REQ_CTE}
+SELECT correlation_id, request_type, campaign_status, is_sampling_processed FROM open_req"""
+
+SQL["not_yet_sampled"] = f"""WITH {REQ_CTE}
+SELECT correlation_id, submission_id, measurement_year FROM open_req r
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderpriority = '1-URGENT' AND o.o_orderstatus = 'F'
+                  AND o.o_custkey = r.submission_id AND year(o.o_orderdate) = r.measurement_year)"""
+
+SQL["close_requests"] = f"""WITH {OUTCOME_CTE}
+SELECT r.correlation_id, r.request_type,
+       CASE WHEN o.succeeded THEN 'PROCESSED' WHEN NOT o.succeeded THEN 'FAILED' ELSE r.campaign_status END AS campaign_status,
+       CASE WHEN o.succeeded THEN 1 WHEN NOT o.succeeded THEN 0 ELSE r.is_sampling_processed END AS is_sampling_processed
+FROM req r LEFT JOIN outcome o USING (correlation_id)"""
+
+SQL["failure_rows"] = f"""WITH {OUTCOME_CTE}
+SELECT correlation_id, 'hybrid-sampling' AS process_name, 'no sampling factors resolved' AS error_message
+FROM outcome WHERE NOT succeeded"""
+
+SQL["resolve_sources"] = f"""WITH {REQ_CTE}
+SELECT r.correlation_id, r.run_config_id, CAST(n.n_regionkey AS BIGINT) AS source_detail_id,
+       'base_data_lck_' || lower(replace(g.r_name, ' ', '_')) AS table_name
+FROM open_req r JOIN nation n ON n.n_nationkey = r.run_config_id JOIN region g ON g.r_regionkey = n.n_regionkey"""
+
+SQL["prerequisites"] = """WITH
+o AS (SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders),
+st AS (
+    SELECT 'MP' AS check_name, y AS measurement_year, count(*) > 0 AS passed FROM o GROUP BY y
+    UNION ALL
+    SELECT 'PP', y, y IN (SELECT year(l_shipdate) FROM lineitem) FROM (SELECT DISTINCT y FROM o)
+    UNION ALL
+    SELECT 'FQR', y, bool_and(o_orderkey IN (SELECT l_orderkey FROM lineitem)) FROM o GROUP BY y
+),
+tb AS (
+    SELECT 'table:sampling_request' AS check_name, CAST(NULL AS INTEGER) AS measurement_year,
+           (SELECT count(*) > 0 FROM orders JOIN customer ON c_custkey = o_custkey) AS passed
+    UNION ALL SELECT 'table:size_info', NULL, true
+    UNION ALL SELECT 'table:size_bands', NULL, true
+    UNION ALL SELECT 'table:rand_values', NULL, true
+),
+ready AS (
+    SELECT 'ready' AS check_name, measurement_year,
+           bool_and(passed) AND count(DISTINCT check_name) = 3 AND (SELECT bool_and(passed) FROM tb) AS passed
+    FROM st GROUP BY measurement_year
+)
+SELECT * FROM st UNION ALL SELECT * FROM tb UNION ALL SELECT * FROM ready"""
+
+# ------------------------------------------------------------------ sinks
+SQL["freeze_roundtrip"] = f"""SELECT o_custkey AS patient_id, o_orderkey AS visit_id, {MEASURE_CASE} AS measure_code,
+       CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 6 ELSE 2 END AS clinical_status_code,
+       CASE WHEN o_orderkey % 20 = 0 THEN 1 ELSE 0 END AS is_deleted,
+       CAST(year(o_orderdate) AS INTEGER) AS measurement_year, CAST(o_orderdate AS DATE) AS event_date
+FROM orders"""
+
+SQL["write_sample_roundtrip"] = SQL["sample_output"]
+SQL["csv_roundtrip"] = SQL["sample_summary"]

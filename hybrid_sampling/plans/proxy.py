@@ -332,3 +332,47 @@ def invalid_members(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("patient_id"), _map("o_orderpriority", MEASURE_OF_PRIORITY).alias("measure_code"), F.lit("data error").alias("reason")
     )
     return deceased.unionByName(hospice).unionByName(err)
+
+
+# ------------------------------------------------------------------ control proxies
+def sample_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submissions and years already sampled by an earlier run: urgent
+    fulfilled orders (customer, year)."""
+    o = table(spark, sf_dir, "orders").filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"))
+    return o.select(F.col("o_custkey").alias("submission_id"), _year().alias("measurement_year")).distinct()
+
+
+def run_configuration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run configuration per nation -> source detail per region."""
+    n = table(spark, sf_dir, "nation")
+    return n.select(F.col("n_nationkey").cast("bigint").alias("run_config_id"), F.col("n_regionkey").cast("bigint").alias("source_detail_id"))
+
+
+def source_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = table(spark, sf_dir, "region")
+    return r.select(
+        F.col("r_regionkey").cast("bigint").alias("source_detail_id"),
+        F.concat(F.lit("base_data_lck_"), F.lower(F.regexp_replace("r_name", " ", "_"))).alias("table_name"),
+    )
+
+
+def stage_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upstream stage status per year: MP done when the year has orders, PP
+    when line items shipped in the year, FQR when every order of the year has
+    a line item."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", _year().alias("y"))
+    li = table(spark, sf_dir, "lineitem")
+    shipped = li.select(F.year("l_shipdate").cast("int").alias("y")).distinct().withColumn("_pp", F.lit(True))
+    has_li = li.select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("_li", F.lit(True))
+    per_year = o.join(has_li, "o_orderkey", "left").groupBy("y").agg(
+        (F.count(F.lit(1)) > 0).alias("mp"), F.bool_and(F.coalesce(F.col("_li"), F.lit(False))).alias("fqr")
+    )
+    per_year = per_year.join(shipped, "y", "left").withColumn("pp", F.coalesce(F.col("_pp"), F.lit(False)))
+    return per_year.select(
+        F.col("y").alias("measurement_year"),
+        F.explode(F.array(
+            F.struct(F.lit("MP").alias("stage"), F.col("mp").alias("is_complete")),
+            F.struct(F.lit("PP").alias("stage"), F.col("pp").alias("is_complete")),
+            F.struct(F.lit("FQR").alias("stage"), F.col("fqr").alias("is_complete")),
+        )).alias("s"),
+    ).select("s.stage", "measurement_year", "s.is_complete")

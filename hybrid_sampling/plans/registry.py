@@ -234,3 +234,91 @@ def q_sample_output(spark, sf_dir):
 @register("sample_summary")
 def q_sample_summary(spark, sf_dir):
     return R.sample_summary(S.final(spark, sf_dir), GROUP)
+
+
+# ------------------------------------------------------------------ control
+from hybrid_sampling import schemas as SC  # noqa: E402
+from hybrid_sampling.session import scratch_path  # noqa: E402
+from hybrid_sampling.sources import control as CT  # noqa: E402
+from hybrid_sampling.sources import sinks as SK  # noqa: E402
+
+REQ_COLS = ["correlation_id", "request_type", "campaign_status", "is_sampling_processed"]
+
+
+def parsed_open(spark, sf_dir):
+    req = CT.open_requests(P.requests(spark, sf_dir))
+    doc = RQ.parse_requests(req)
+    return doc.select(
+        "correlation_id",
+        F.col("doc.submissionId").alias("submission_id"),
+        F.col("doc.measurementYear").alias("measurement_year"),
+        F.col("doc.runConfigId").alias("run_config_id"),
+    )
+
+
+def outcomes(spark, sf_dir):
+    """A request succeeds when its document resolves to at least one factor."""
+    ok = resolved(spark, sf_dir).select("correlation_id").distinct().withColumn("_ok", F.lit(True))
+    o = CT.open_requests(P.requests(spark, sf_dir)).select("correlation_id").join(ok, "correlation_id", "left")
+    ok_col = F.coalesce(F.col("_ok"), F.lit(False))
+    return o.select("correlation_id", ok_col.alias("succeeded"), F.when(~ok_col, F.lit("no sampling factors resolved")).alias("message"))
+
+
+@register("open_requests")
+def q_open_requests(spark, sf_dir):
+    return CT.open_requests(P.requests(spark, sf_dir)).select(*REQ_COLS)
+
+
+@register("not_yet_sampled")
+def q_not_yet_sampled(spark, sf_dir):
+    return CT.not_yet_sampled(parsed_open(spark, sf_dir), P.sample_history(spark, sf_dir)).select("correlation_id", "submission_id", "measurement_year")
+
+
+@register("close_requests")
+def q_close_requests(spark, sf_dir):
+    return CT.close_requests(P.requests(spark, sf_dir), outcomes(spark, sf_dir)).select(*REQ_COLS)
+
+
+@register("failure_rows")
+def q_failure_rows(spark, sf_dir):
+    return CT.failure_rows(outcomes(spark, sf_dir))
+
+
+@register("resolve_sources")
+def q_resolve_sources(spark, sf_dir):
+    s = CT.resolve_sources(parsed_open(spark, sf_dir), P.run_configuration(spark, sf_dir), P.source_detail(spark, sf_dir))
+    return s.select("correlation_id", "run_config_id", "source_detail_id", "table_name")
+
+
+@register("prerequisites")
+def q_prerequisites(spark, sf_dir):
+    tables = {
+        "sampling_request": P.requests(spark, sf_dir),
+        "size_info": P.size_info(spark),
+        "size_bands": P.size_bands(spark),
+        "rand_values": P.rand_values(spark),
+    }
+    return CT.check_prerequisites(P.stage_status(spark, sf_dir), tables)
+
+
+# ------------------------------------------------------------------ sinks
+FACT_COLS = ["patient_id", "visit_id", "measure_code", "clinical_status_code", "is_deleted", "measurement_year", "event_date"]
+
+
+@register("freeze_roundtrip")
+def q_freeze_roundtrip(spark, sf_dir):
+    return SK.freeze(P.facts(spark, sf_dir).select(*FACT_COLS), scratch_path(spark, "frozen-base"))
+
+
+@register("write_sample_roundtrip")
+def q_write_sample_roundtrip(spark, sf_dir):
+    root = scratch_path(spark, "sample")
+    SK.write_sample(R.to_output(S.final(spark, sf_dir)), root)
+    return SK.read_sample(spark, root, SC.SAMPLE_OUTPUT)
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "summary-csv")
+    SK.write_csv(R.sample_summary(S.final(spark, sf_dir), GROUP), path)
+    return SK.read_csv(spark, path, SC.SAMPLE_SUMMARY)

@@ -86,3 +86,9 @@ SAMPLE_OUTPUT = T.StructType(
         T.StructField("mrss_actual", T.LongType()),
     ]
 )
+SAMPLE_SUMMARY = T.StructType(
+    [T.StructField("submission_id", T.LongType()), T.StructField("product_line", T.StringType()),
+     T.StructField("measure_code", T.StringType()), T.StructField("measurement_year", T.IntegerType())]
+    + [T.StructField(c, T.LongType()) for c in (
+        "em", "mrss_actual", "os_actual", "drawn", "primary_drawn", "auxiliary_drawn", "excluded", "replaced", "final_primary", "shortfall")]
+)
