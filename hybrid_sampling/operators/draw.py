@@ -18,7 +18,9 @@ from hybrid_sampling.operators.joins import bounded_broadcast
 PRIMARY, AUXILIARY = "Primary", "Auxiliary"
 
 
-def plan_samples(counts: DataFrame, sizes: DataFrame, group_cols: list[str], size_keys: list[str] | None = None) -> DataFrame:
+def plan_samples(
+    counts: DataFrame, sizes: DataFrame, group_cols: list[str], size_keys: list[str] | None = None, sizes_bound: int | None = None
+) -> DataFrame:
     """One row per group: em, mrss, os_pct, fss, scenario, n_interval, start_pos,
     rand, mrss_actual, os_actual, sample_total, plan_error.
 
@@ -27,7 +29,7 @@ def plan_samples(counts: DataFrame, sizes: DataFrame, group_cols: list[str], siz
     """
     size_keys = size_keys or group_cols
     sz = sizes.select(*size_keys, "mrss", "os_pct", "rand")
-    p = counts.join(bounded_broadcast(sz), size_keys, "left")
+    p = counts.join(bounded_broadcast(sz, sizes_bound), size_keys, "left")
     em, mrss = F.col("em").cast("bigint"), F.col("mrss").cast("bigint")
     fss = final_size(mrss, F.col("os_pct"))
     p = p.withColumn("fss", fss)

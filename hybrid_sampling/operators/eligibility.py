@@ -38,12 +38,12 @@ def non_empty_measure(df: DataFrame, col: str = "measure_code") -> DataFrame:
     return df.filter(F.col(col).isNotNull() & (F.col(col) != ""))
 
 
-def scope(base: DataFrame, factors: DataFrame, keys: list[str] = SCOPE_KEYS, carry: list[str] | None = None) -> DataFrame:
+def scope(base: DataFrame, factors: DataFrame, keys: list[str] = SCOPE_KEYS, carry: list[str] | None = None, factors_bound: int | None = None) -> DataFrame:
     """Keep fact rows of the requested run, organization, submission,
     measure and year, for all measures at once; carries factor columns along."""
     carry = carry if carry is not None else [c for c in factors.columns if c not in keys and c not in base.columns]
     f = factors.select(*keys, *carry).dropDuplicates(keys)
-    return base.join(bounded_broadcast(f), keys, "inner")
+    return base.join(bounded_broadcast(f, factors_bound), keys, "inner")
 
 
 def requested_only(base: DataFrame, requested: DataFrame, key: str = "measure_code") -> DataFrame:
@@ -125,11 +125,12 @@ def eligible_population(
     status_codes=ELIGIBLE_STATUS,
     period_mode: str = "exact",
     carry=("run_config_id", "organization_id", "shared_group"),
+    factors_bound: int | None = None,
 ) -> DataFrame:
     """G7 + G8: eligible units (member or visit grain by measure) with their sort attributes."""
     b = non_empty_measure(filter_live(filter_status(base, status_codes)))
     b = hybrid_only(b, classification)
-    b = scope(b, factors)
+    b = scope(b, factors, factors_bound=factors_bound)
     b = filter_period(b, periods, period_mode)
     b = filter_employee(b, enrollment)
     g = to_grain(b, group_cols, carry=[c for c in carry if c not in group_cols])
@@ -211,33 +212,36 @@ def with_association(df: DataFrame, associations: DataFrame, key: str) -> DataFr
     return df.join(associations.select(key).distinct(), key, "left_semi")
 
 
-def first_reason(invalid: DataFrame, keys: list[str], priority=EXCLUSION_PRIORITY) -> DataFrame:
-    """One reason per key: the first in priority order (min over a rank, no window)."""
+def reason_priority(col: str = "reason", priority=EXCLUSION_PRIORITY):
+    """Position of a reason in the priority list (unknown reasons last)."""
     rank = None
     for i, r in enumerate(priority):
-        rank = F.when(F.col("reason") == r, i) if rank is None else rank.when(F.col("reason") == r, i)
-    rank = rank.otherwise(len(priority))
-    return invalid.groupBy(*keys).agg(F.min(F.struct(rank.alias("_r"), F.col("reason").alias("reason"))).alias("_m")).select(*keys, F.col("_m.reason").alias("exclusion_reason"))
+        rank = F.when(F.col(col) == r, i) if rank is None else rank.when(F.col(col) == r, i)
+    return rank.otherwise(len(priority))
 
 
-def exclude(df: DataFrame, invalid: DataFrame, keys: list[str], keep_flagged: bool = False) -> DataFrame:
-    """Drop invalid members (anti join), or flag them with their first
-    reason when ``keep_flagged``."""
-    reasons = first_reason(invalid, keys)
-    if keep_flagged:
-        return df.join(reasons, keys, "left").withColumn("is_excluded", F.col("exclusion_reason").isNotNull())
-    return df.join(reasons, keys, "left_anti")
+def first_reason(invalid: DataFrame, keys: list[str], priority=EXCLUSION_PRIORITY) -> DataFrame:
+    """One reason per key: the first in priority order (a min over a struct,
+    partial aggregation, no window)."""
+    best = F.min(F.struct(reason_priority("reason", priority).alias("_r"), F.col("reason").alias("reason")))
+    return invalid.groupBy(*keys).agg(best.alias("_m")).select(*keys, F.col("_m.reason").alias("exclusion_reason"))
 
 
-def exclusion_reasons(units: DataFrame, invalid: DataFrame, unit_keys: list[str]) -> DataFrame:
-    """First exclusion reason per unit (unit_keys + exclusion_reason).
+def flag_exclusions(units: DataFrame, invalid: DataFrame) -> DataFrame:
+    """First exclusion reason per unit, and ``is_excluded``.
 
     ``invalid`` rows with a null measure apply to every measure of the member,
-    the others to their own measure only. Grouping tolerates a null visit id
-    (member grain); joining the result back needs ``join_on(null_safe=True)``.
+    the others to their own measure only. Both parts are first reduced to one
+    row per key, so the two left joins never fan the units out.
     """
-    u = units.select(*unit_keys)
-    all_m = invalid.filter(F.col("measure_code").isNull()).select("patient_id", "reason")
-    per_m = invalid.filter(F.col("measure_code").isNotNull()).select("patient_id", "measure_code", "reason")
-    matched = u.join(all_m, "patient_id").unionByName(u.join(per_m, ["patient_id", "measure_code"]))
-    return first_reason(matched, unit_keys)
+    all_m = first_reason(invalid.filter(F.col("measure_code").isNull()), ["patient_id"]).withColumnRenamed("exclusion_reason", "_r_all")
+    per_m = first_reason(invalid.filter(F.col("measure_code").isNotNull()), ["patient_id", "measure_code"]).withColumnRenamed("exclusion_reason", "_r_m")
+    j = units.join(all_m, "patient_id", "left").join(per_m, ["patient_id", "measure_code"], "left")
+    pick_m = F.col("_r_all").isNull() | (F.col("_r_m").isNotNull() & (reason_priority("_r_m") < reason_priority("_r_all")))
+    j = j.withColumn("exclusion_reason", F.when(pick_m, F.col("_r_m")).otherwise(F.col("_r_all")))
+    return j.withColumn("is_excluded", F.col("exclusion_reason").isNotNull()).drop("_r_all", "_r_m")
+
+
+def exclude(df: DataFrame, invalid: DataFrame) -> DataFrame:
+    """Drop invalid units (the anti-join form)."""
+    return flag_exclusions(df, invalid).filter(~F.col("is_excluded")).drop("exclusion_reason", "is_excluded")

@@ -11,29 +11,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hybrid_sampling.operators.draw import AUXILIARY, PRIMARY
-from hybrid_sampling.operators.joins import bounded_broadcast, join_on
+from hybrid_sampling.operators.joins import bounded_broadcast
 
 EXCLUDED = "Excluded"
 
 
-def flag_exclusions(sample: DataFrame, reasons: DataFrame, unit_keys: list[str]) -> DataFrame:
-    """Left join the first exclusion reason per unit; adds is_excluded."""
-    r = reasons.select(*unit_keys, "exclusion_reason")
-    out = join_on(sample, r, unit_keys, "left", null_safe=True)
-    return out.withColumn("is_excluded", F.col("exclusion_reason").isNotNull())
-
-
 def replace_excluded(flagged: DataFrame, group_cols: list[str], order_col: str = "sample_order") -> DataFrame:
     """R2: the k-th excluded Primary (in sample order) is replaced by the k-th
     valid Auxiliary. Adds final_list (Primary / Auxiliary / Excluded),
     replaces_order (sample order of the replaced primary) and, per group,
-    shortfall = excluded primaries that found no valid auxiliary."""
-    w = Window.partitionBy(*group_cols).orderBy(order_col)
+    shortfall = excluded primaries that found no valid auxiliary.
+
+    One shuffle: every window below is partitioned by the group. The list of
+    holes per group holds at most MRSS values (the drawn primaries).
+    """
+    g = Window.partitionBy(*group_cols)
+    running = g.orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     excl_p = (F.col("list_type") == PRIMARY) & F.col("is_excluded")
     valid_a = (F.col("list_type") == AUXILIARY) & ~F.col("is_excluded")
-    f = flagged.withColumn("_k", F.when(excl_p | valid_a, F.row_number().over(Window.partitionBy(*group_cols, excl_p, valid_a).orderBy(order_col))))
-    holes = f.filter(excl_p).select(*group_cols, "_k", F.col(order_col).alias("replaces_order"))
-    f = f.join(holes, group_cols + ["_k"], "left").withColumn("replaces_order", F.when(valid_a, F.col("replaces_order")))
+    f = flagged.withColumn("_holes", F.array_sort(F.collect_list(F.when(excl_p, F.col(order_col))).over(g)))
+    f = f.withColumn("_k", F.sum(F.when(valid_a, 1).otherwise(0)).over(running))
+    f = f.withColumn("_n_aux", F.sum(F.when(valid_a, 1).otherwise(0)).over(g))
+    n_holes = F.size("_holes")
+    f = f.withColumn("replaces_order", F.when(valid_a & (F.col("_k") <= n_holes), F.element_at("_holes", F.col("_k").cast("int"))).cast("bigint"))
     final = (
         F.when(F.col("is_excluded"), EXCLUDED)
         .when(F.col("list_type") == PRIMARY, PRIMARY)
@@ -41,10 +41,8 @@ def replace_excluded(flagged: DataFrame, group_cols: list[str], order_col: str =
         .otherwise(AUXILIARY)
     )
     f = f.withColumn("final_list", final)
-    g = Window.partitionBy(*group_cols)
-    n_holes = F.sum(F.when(excl_p, 1).otherwise(0)).over(g)
-    n_aux = F.sum(F.when(valid_a, 1).otherwise(0)).over(g)
-    return f.withColumn("shortfall", F.greatest(n_holes - n_aux, F.lit(0)).cast("bigint")).drop("_k")
+    f = f.withColumn("shortfall", F.greatest(n_holes - F.col("_n_aux"), F.lit(0)).cast("bigint"))
+    return f.drop("_holes", "_k", "_n_aux")
 
 
 def spread_exclusions(invalid: DataFrame, groups: DataFrame) -> DataFrame:

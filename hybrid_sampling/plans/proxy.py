@@ -130,17 +130,19 @@ def measure_classification(spark: SparkSession) -> DataFrame:
 
 
 def measure_sizes(spark: SparkSession) -> DataFrame:
-    rows = [(m, mrss, os, r) for m, (mrss, os, r, _, _) in MEASURE_META.items()]
-    df = spark.createDataFrame(rows, "measure_code string, mrss int, os_pct string, rand string")
-    return df.select("measure_code", "mrss", F.col("os_pct").cast("decimal(5,2)").alias("os_pct"), F.col("rand").cast("decimal(9,6)").alias("rand"))
+    """Per measure: mrss, os_pct, rand, grain and shared group (one local table)."""
+    rows = [(m, mrss, os, r, g, sg) for m, (mrss, os, r, g, sg) in MEASURE_META.items()]
+    df = spark.createDataFrame(rows, "measure_code string, mrss int, os_pct string, rand string, grain string, shared_group string")
+    return df.select(
+        "measure_code", "mrss", F.col("os_pct").cast("decimal(5,2)").alias("os_pct"), F.col("rand").cast("decimal(9,6)").alias("rand"), "grain", "shared_group"
+    )
 
 
 def sampling_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling factors of the proxy submission: one row per measure and year
     present in the facts, with the measure's sizes, RAND, grain and group."""
     f = facts(spark, sf_dir).select("measure_code", "measurement_year").distinct()
-    meta = measure_sizes(spark).join(measure_meta(spark), "measure_code")
-    out = f.join(F.broadcast(meta), "measure_code")
+    out = f.join(F.broadcast(measure_sizes(spark)), "measure_code")
     return out.select(
         F.lit(SUBMISSION_ID).cast("bigint").alias("submission_id"),
         F.lit(PRODUCT_LINE).alias("product_line"),

@@ -32,18 +32,18 @@ def register(name: str):
 
 @register("eligible_member")
 def q_eligible_member(spark, sf_dir):
-    return S.population(spark, sf_dir).select(*UNIT, "event_date", "last_name", "first_name", "date_of_birth")
+    return S.population(S.Run(spark, sf_dir)).select(*UNIT, "event_date", "last_name", "first_name", "date_of_birth")
 
 
 @register("rank_even")
 def q_rank_even(spark, sf_dir):
-    r = S.ranked(spark, sf_dir).filter(F.col("measurement_year") % 2 == 0)
+    r = S.ranked(S.Run(spark, sf_dir)).filter(F.col("measurement_year") % 2 == 0)
     return r.select(*UNIT, "population_rank")
 
 
 @register("rank_odd")
 def q_rank_odd(spark, sf_dir):
-    r = S.ranked(spark, sf_dir).filter(F.col("measurement_year") % 2 == 1)
+    r = S.ranked(S.Run(spark, sf_dir)).filter(F.col("measurement_year") % 2 == 1)
     return r.select(*UNIT, "population_rank")
 
 
@@ -52,24 +52,24 @@ def q_rank_large(spark, sf_dir):
     # many more range partitions than groups' worth of rows per task: every
     # group is cut into several pieces, which is the large-group path
     n = int(spark.conf.get("spark.sql.shuffle.partitions")) * 8
-    return S.ranked(spark, sf_dir, num_partitions=n).select(*UNIT, "population_rank", "em")
+    return S.ranked(S.Run(spark, sf_dir), num_partitions=n).select(*UNIT, "population_rank", "em")
 
 
 @register("plan_scenarios")
 def q_plan_scenarios(spark, sf_dir):
-    return S.plans(spark, sf_dir).select(
+    return S.plans(S.Run(spark, sf_dir)).select(
         *GROUP, "em", "mrss", "os_pct", "fss", "scenario", "n_interval", "start_pos", "rand", "mrss_actual", "os_actual", "sample_total"
     )
 
 
 @register("sample_positions")
 def q_sample_positions(spark, sf_dir):
-    return D.sample_positions(S.plans(spark, sf_dir), GROUP)
+    return D.sample_positions(S.plans(S.Run(spark, sf_dir)), GROUP)
 
 
 @register("sample_draw")
 def q_sample_draw(spark, sf_dir):
-    return S.drawn(spark, sf_dir).select(*UNIT, "population_rank", "sample_order", "list_type")
+    return S.drawn(S.Run(spark, sf_dir)).select(*UNIT, "population_rank", "sample_order", "list_type")
 
 
 # ------------------------------------------------------------- request and rates
@@ -161,13 +161,13 @@ def q_fss_ceiling(spark, sf_dir):
 # ------------------------------------------------------------------ eligibility
 @register("eligible_visit")
 def q_eligible_visit(spark, sf_dir):
-    pop = S.population(spark, sf_dir)
+    pop = S.population(S.Run(spark, sf_dir))
     return pop.filter(F.col("grain") == "visit").select(*UNIT, "event_date")
 
 
 @register("eligible_counts")
 def q_eligible_counts(spark, sf_dir):
-    return E.eligible_counts(S.population(spark, sf_dir), GROUP)
+    return E.eligible_counts(S.population(S.Run(spark, sf_dir)), GROUP)
 
 
 @register("valid_line")
@@ -177,7 +177,7 @@ def q_valid_line(spark, sf_dir):
 
 @register("age_gender")
 def q_age_gender(spark, sf_dir):
-    pop = S.population(spark, sf_dir).join(P.patients(spark, sf_dir).select("patient_id", "gender"), "patient_id")
+    pop = S.population(S.Run(spark, sf_dir)).join(P.patients(spark, sf_dir).select("patient_id", "gender"), "patient_id")
     return E.age_gender(pop, P.age_gender_rules(spark)).select(*UNIT, "gender", "age")
 
 
@@ -188,21 +188,22 @@ def q_enrolled_months(spark, sf_dir):
 
 @register("with_event")
 def q_with_event(spark, sf_dir):
-    pop = S.population(spark, sf_dir)
+    pop = S.population(S.Run(spark, sf_dir))
     ev = P.qualifying_events(spark, sf_dir)
     return pop.join(ev.select("patient_id", "measurement_year").distinct(), ["patient_id", "measurement_year"], "left_semi").select(*UNIT)
 
 
 @register("with_association")
 def q_with_association(spark, sf_dir):
-    pop = S.population(spark, sf_dir).join(P.patients(spark, sf_dir).select("patient_id", F.col("organization_id").alias("member_org")), "patient_id")
+    pop = S.population(S.Run(spark, sf_dir)).join(P.patients(spark, sf_dir).select("patient_id", F.col("organization_id").alias("member_org")), "patient_id")
     prov = P.provider_nations(spark, sf_dir).select(F.col("organization_id").alias("member_org"))
     return E.with_association(pop, prov, "member_org").select(*UNIT)
 
 
 @register("exclusions")
 def q_exclusions(spark, sf_dir):
-    return E.exclusion_reasons(S.population(spark, sf_dir), P.invalid_members(spark, sf_dir), UNIT)
+    f = E.flag_exclusions(S.population(S.Run(spark, sf_dir)), P.invalid_members(spark, sf_dir))
+    return f.filter(F.col("is_excluded")).select(*UNIT, "exclusion_reason")
 
 
 # ------------------------------------------------------------ replacement, sharing
@@ -211,14 +212,14 @@ from hybrid_sampling.operators import replacement as R  # noqa: E402
 
 @register("replace_excluded")
 def q_replace_excluded(spark, sf_dir):
-    return S.final(spark, sf_dir).select(
+    return S.final(S.Run(spark, sf_dir)).select(
         *UNIT, "sample_order", "list_type", "is_excluded", "exclusion_reason", "final_list", "replaces_order", "shortfall"
     )
 
 
 @register("shared_sample")
 def q_shared_sample(spark, sf_dir):
-    return S.shared_drawn(spark, sf_dir).select(*S.SHARED, "measure_code", "patient_id", "population_rank", "sample_order", "list_type")
+    return S.shared_drawn(S.Run(spark, sf_dir)).select(*S.SHARED, "measure_code", "patient_id", "population_rank", "sample_order", "list_type")
 
 
 @register("spread_exclusions")
@@ -228,12 +229,12 @@ def q_spread_exclusions(spark, sf_dir):
 
 @register("sample_output")
 def q_sample_output(spark, sf_dir):
-    return R.to_output(S.final(spark, sf_dir))
+    return R.to_output(S.final(S.Run(spark, sf_dir)))
 
 
 @register("sample_summary")
 def q_sample_summary(spark, sf_dir):
-    return R.sample_summary(S.final(spark, sf_dir), GROUP)
+    return R.sample_summary(S.final(S.Run(spark, sf_dir)), GROUP)
 
 
 # ------------------------------------------------------------------ control
@@ -313,12 +314,12 @@ def q_freeze_roundtrip(spark, sf_dir):
 @register("write_sample_roundtrip")
 def q_write_sample_roundtrip(spark, sf_dir):
     root = scratch_path(spark, "sample")
-    SK.write_sample(R.to_output(S.final(spark, sf_dir)), root)
+    SK.write_sample(R.to_output(S.final(S.Run(spark, sf_dir))), root)
     return SK.read_sample(spark, root, SC.SAMPLE_OUTPUT)
 
 
 @register("csv_roundtrip")
 def q_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "summary-csv")
-    SK.write_csv(R.sample_summary(S.final(spark, sf_dir), GROUP), path)
+    SK.write_csv(R.sample_summary(S.final(S.Run(spark, sf_dir)), GROUP), path)
     return SK.read_csv(spark, path, SC.SAMPLE_SUMMARY)

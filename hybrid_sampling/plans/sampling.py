@@ -1,79 +1,84 @@
-"""The sampling chain over the proxy submission: population -> rank -> plan -> draw.
+"""The sampling chain over the proxy submission: population -> rank -> plan ->
+draw -> exclusions -> replacement, and the shared-group draw.
 
-Each step is a lazy DataFrame; queries in the registry pick the step they check.
+A ``Run`` holds one query's inputs: the factor table (one row per sampling
+group, small by construction) is computed once, cached and counted, and that
+count is the proven bound for every broadcast keyed by group.
 """
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 
 from hybrid_sampling.operators import draw as D
 from hybrid_sampling.operators import eligibility as E
+from hybrid_sampling.operators import replacement as R
 from hybrid_sampling.operators.ranking import rank_population
 from hybrid_sampling.plans import proxy as P
 
 GROUP = P.GROUP
 UNIT = ["patient_id", "visit_id"]
+SHARED = ["submission_id", "product_line", "shared_group", "measurement_year"]
+
 
+class Run:
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
 
-def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.sampling_factors(spark, sf_dir)
+    @cached_property
+    def factors(self) -> DataFrame:
+        return P.sampling_factors(self.spark, self.sf_dir).cache()
 
+    @cached_property
+    def groups_bound(self) -> int:
+        return self.factors.count()
 
-def population(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def population(run: Run) -> DataFrame:
     """Eligible units of every measure and year of the proxy submission."""
+    s, d = run.spark, run.sf_dir
     return E.eligible_population(
-        P.facts(spark, sf_dir),
-        factors(spark, sf_dir),
-        P.reporting_periods(spark, sf_dir),
-        P.measure_classification(spark),
-        P.enrollment(spark, sf_dir),
-        P.patients(spark, sf_dir),
+        P.facts(s, d),
+        run.factors,
+        P.reporting_periods(s, d),
+        P.measure_classification(s),
+        P.enrollment(s, d),
+        P.patients(s, d),
         GROUP,
+        factors_bound=run.groups_bound,
     )
 
 
-def groups_bound(spark: SparkSession, sf_dir: str) -> int:
-    """Upper bound on sampling groups: the factor rows (a small aggregate)."""
-    return factors(spark, sf_dir).count()
-
+def ranked(run: Run, num_partitions: int | None = None) -> DataFrame:
+    return rank_population(population(run), GROUP, num_partitions=num_partitions, groups_bound=run.groups_bound, size_col="em")
 
-def ranked(spark: SparkSession, sf_dir: str, num_partitions: int | None = None) -> DataFrame:
-    pop = population(spark, sf_dir)
-    return rank_population(pop, GROUP, num_partitions=num_partitions, groups_bound=groups_bound(spark, sf_dir), size_col="em")
 
+def plans(run: Run) -> DataFrame:
+    counts = E.eligible_counts(population(run), GROUP)
+    return D.plan_samples(counts, run.factors, GROUP, sizes_bound=run.groups_bound)
 
-def plans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = E.eligible_counts(population(spark, sf_dir), GROUP)
-    return D.plan_samples(counts, factors(spark, sf_dir), GROUP)
 
-
-def drawn(spark: SparkSession, sf_dir: str, num_partitions: int | None = None) -> DataFrame:
+def drawn(run: Run, num_partitions: int | None = None) -> DataFrame:
     """The drawn sample: the rank carries each group's size, so the plan is
     computed per row against the broadcast factors and no second pass over the
     population is needed."""
-    planned = D.plan_samples(ranked(spark, sf_dir, num_partitions), factors(spark, sf_dir), GROUP)
+    planned = D.plan_samples(ranked(run, num_partitions), run.factors, GROUP, sizes_bound=run.groups_bound)
     return D.select_sample(planned)
 
 
-# ------------------------------------------------------------------ after the draw
-from hybrid_sampling.operators import replacement as R  # noqa: E402
-
-SHARED = ["submission_id", "product_line", "shared_group", "measurement_year"]
-
-
-def final(spark: SparkSession, sf_dir: str) -> DataFrame:
+def final(run: Run) -> DataFrame:
     """Drawn sample -> exclusions flagged -> replacements."""
-    d = drawn(spark, sf_dir)
-    reasons = E.exclusion_reasons(d.select(*GROUP, *UNIT), P.invalid_members(spark, sf_dir), GROUP + UNIT)
-    return R.replace_excluded(R.flag_exclusions(d, reasons, GROUP + UNIT), GROUP)
+    flagged = E.flag_exclusions(drawn(run), P.invalid_members(run.spark, run.sf_dir))
+    return R.replace_excluded(flagged, GROUP)
 
 
-def shared_drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shared_drawn(run: Run) -> DataFrame:
     """One draw per shared group over the union of its measures' members,
     emitted for every measure of the group."""
-    pop = R.shared_population(population(spark, sf_dir), SHARED)
-    sizes = R.shared_sizes(factors(spark, sf_dir), SHARED)
-    ranked_df = rank_population(pop, SHARED, groups_bound=groups_bound(spark, sf_dir), size_col="em")
-    d = D.select_sample(D.plan_samples(ranked_df, sizes, SHARED))
-    return R.emit_for_measures(d, P.measure_meta(spark))
+    pop = R.shared_population(population(run), SHARED)
+    sizes = R.shared_sizes(run.factors, SHARED)
+    ranked_df = rank_population(pop, SHARED, groups_bound=run.groups_bound, size_col="em")
+    d = D.select_sample(D.plan_samples(ranked_df, sizes, SHARED, sizes_bound=run.groups_bound))
+    return R.emit_for_measures(d, P.measure_meta(run.spark))
