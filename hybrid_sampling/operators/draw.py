@@ -28,7 +28,8 @@ def plan_samples(
     A group with no size row keeps nulls and gets ``plan_error``.
     """
     size_keys = size_keys or group_cols
-    sz = sizes.select(*size_keys, "mrss", "os_pct", "rand")
+    # one size row per group (a request per submission and year, S8); never fan out
+    sz = sizes.select(*size_keys, "mrss", "os_pct", "rand").dropDuplicates(size_keys)
     p = counts.join(bounded_broadcast(sz, sizes_bound), size_keys, "left")
     em, mrss = F.col("em").cast("bigint"), F.col("mrss").cast("bigint")
     fss = final_size(mrss, F.col("os_pct"))

@@ -350,19 +350,17 @@ SELECT * FROM reasons"""
 # ------------------------------------------------------------ replacement, sharing
 GJ = " AND ".join(f"{{a}}.{c} = {{b}}.{c}" for c in ("submission_id", "product_line", "measure_code", "measurement_year"))
 
-FINAL_CTE = PLANS_CTE + "," + INVALID_CTE + f""",
-flagged AS (
-    SELECT l.*, r.exclusion_reason, r.exclusion_reason IS NOT NULL AS is_excluded
-    FROM labelled l LEFT JOIN reasons r
-      ON {GJ.format(a='r', b='l')} AND r.patient_id = l.patient_id AND r.visit_id IS NOT DISTINCT FROM l.visit_id
-),
+def replace_ctes(src: str) -> str:
+    """Ordered replacement over ``src`` (drawn rows with is_excluded): the k-th
+    excluded primary pairs with the k-th valid auxiliary by sample order."""
+    return f"""
 k AS (
     SELECT *,
         CASE WHEN list_type = 'Primary' AND is_excluded THEN row_number() OVER (
             PARTITION BY {GROUP_SQL}, (list_type = 'Primary' AND is_excluded) ORDER BY sample_order) END AS hole_k,
         CASE WHEN list_type = 'Auxiliary' AND NOT is_excluded THEN row_number() OVER (
             PARTITION BY {GROUP_SQL}, (list_type = 'Auxiliary' AND NOT is_excluded) ORDER BY sample_order) END AS fill_k
-    FROM flagged
+    FROM {src}
 ),
 rep AS (
     SELECT a.*, h.sample_order AS replaces_order
@@ -378,6 +376,14 @@ final AS (
     FROM rep
 )"""
 
+
+FINAL_CTE = PLANS_CTE + "," + INVALID_CTE + f""",
+flagged AS (
+    SELECT l.*, r.exclusion_reason, r.exclusion_reason IS NOT NULL AS is_excluded
+    FROM labelled l LEFT JOIN reasons r
+      ON {GJ.format(a='r', b='l')} AND r.patient_id = l.patient_id AND r.visit_id IS NOT DISTINCT FROM l.visit_id
+),""" + replace_ctes("flagged")
+
 SQL["replace_excluded"] = f"""WITH {FINAL_CTE}
 SELECT {UNIT_COLS}, CAST(sample_order AS BIGINT) AS sample_order, list_type, is_excluded, exclusion_reason, final_list,
        CAST(replaces_order AS BIGINT) AS replaces_order, shortfall
@@ -406,7 +412,7 @@ GROUP BY 1, 2, 3, 4"""
 
 SHARED_SQL = "submission_id, product_line, shared_group, measurement_year"
 
-SQL["shared_sample"] = f"""WITH {POP_CTE},
+SHARED_POP_CTE = f"""
 spop AS (
     SELECT submission_id, product_line, 'GSD-EED' AS shared_group, measurement_year, patient_id,
            CAST(NULL AS BIGINT) AS visit_id, last_name, first_name, date_of_birth, min(event_date) AS event_date
@@ -414,7 +420,9 @@ spop AS (
     GROUP BY submission_id, product_line, measurement_year, patient_id, last_name, first_name, date_of_birth
 ),
 sranked AS (SELECT *, {rank_expr(SHARED_SQL)} AS population_rank FROM spop),
-{draw_ctes("s_", SHARED_SQL, "sranked", "s_counts c JOIN (SELECT 'GSD-EED' AS shared_group, 134 AS mrss_i, 1000 AS os_bp, 500000 AS rand6) s USING (shared_group)")}
+{draw_ctes("s_", SHARED_SQL, "sranked", "s_counts c JOIN (SELECT 'GSD-EED' AS shared_group, 134 AS mrss_i, 1000 AS os_bp, 500000 AS rand6) s USING (shared_group)")}"""
+
+SQL["shared_sample"] = f"""WITH {POP_CTE}, {SHARED_POP_CTE}
 SELECT s.submission_id, s.product_line, s.shared_group, s.measurement_year, m.measure_code, s.patient_id,
        s.population_rank, CAST(s.sample_order AS BIGINT) AS sample_order, s.list_type
 FROM s_labelled s JOIN (VALUES ('GSD'), ('EED')) AS m(measure_code) ON TRUE"""
@@ -500,3 +508,34 @@ FROM orders"""
 
 SQL["write_sample_roundtrip"] = SQL["sample_output"]
 SQL["csv_roundtrip"] = SQL["sample_summary"]
+
+
+# ------------------------------------------------------------------ whole job
+SQL["sample_all"] = f"""WITH {PLANS_CTE}, {INVALID_CTE}, {SHARED_POP_CTE},
+drawn_all AS (
+    SELECT submission_id, product_line, measure_code, measurement_year, patient_id, visit_id, measure_code AS sampled_as,
+           population_rank, sample_order, list_type
+    FROM labelled WHERE measure_code NOT IN ('GSD', 'EED')
+    UNION ALL
+    SELECT s.submission_id, s.product_line, m.measure_code, s.measurement_year, s.patient_id, s.visit_id, s.shared_group,
+           s.population_rank, s.sample_order, s.list_type
+    FROM s_labelled s JOIN (VALUES ('GSD'), ('EED')) AS m(measure_code) ON TRUE
+),
+rsn AS (
+    SELECT d.submission_id, d.product_line, d.measure_code, d.measurement_year, d.patient_id, d.visit_id, i.reason,
+        row_number() OVER (
+            PARTITION BY d.submission_id, d.product_line, d.measure_code, d.measurement_year, d.patient_id, d.visit_id
+            ORDER BY CASE i.reason WHEN 'deceased' THEN 0 WHEN 'hospice' THEN 1 WHEN 'employee' THEN 2
+                                   WHEN 'duplicate' THEN 3 WHEN 'data error' THEN 4 ELSE 5 END) AS rn
+    FROM drawn_all d JOIN inv i ON i.patient_id = d.patient_id AND (
+        i.measure_code IS NULL OR i.measure_code = d.measure_code
+        OR (i.measure_code IN ('GSD', 'EED') AND d.measure_code IN ('GSD', 'EED')))
+),
+flagged_all AS (
+    SELECT d.*, r.reason AS exclusion_reason, r.reason IS NOT NULL AS is_excluded
+    FROM drawn_all d LEFT JOIN (SELECT * FROM rsn WHERE rn = 1) r
+      ON {GJ.format(a='r', b='d')} AND r.patient_id = d.patient_id AND r.visit_id IS NOT DISTINCT FROM d.visit_id
+),{replace_ctes("flagged_all")}
+SELECT {UNIT_COLS}, sampled_as, population_rank, CAST(sample_order AS BIGINT) AS sample_order, list_type,
+       is_excluded, exclusion_reason, final_list, CAST(replaces_order AS BIGINT) AS replaces_order, shortfall
+FROM final"""

@@ -1,0 +1,142 @@
+"""The end-to-end sampling job, for every open request in one lazy plan.
+
+  requests -> open, not yet sampled -> parse -> flatten -> rates -> sizes
+  (small side, broadcast behind bounds)
+  frozen facts -> eligibility -> grain -> rank (range-partitioned) -> draw
+  (per measure, and once per shared group for its measures)
+  -> exclusions (spread through shared groups) -> replacement -> output
+  -> one write of every list -> request table version with statuses
+
+No collect and no per-request or per-measure driver loop: requests, measures
+and groups are rows, so the job is the same for one request or thousands.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from hybrid_sampling.operators import draw as D
+from hybrid_sampling.operators import eligibility as E
+from hybrid_sampling.operators import factors as FA
+from hybrid_sampling.operators import replacement as R
+from hybrid_sampling.operators import request as RQ
+from hybrid_sampling.operators import sizes as SZ
+from hybrid_sampling.operators.joins import bounded_broadcast
+from hybrid_sampling.operators.ranking import rank_population
+from hybrid_sampling.sources import control as CT
+from hybrid_sampling.sources import sinks as SK
+from hybrid_sampling.sources.staging import stage
+
+GROUP = ["submission_id", "product_line", "measure_code", "measurement_year"]
+SHARED = ["submission_id", "product_line", "shared_group", "measurement_year"]
+UNIT = ["patient_id", "visit_id"]
+
+
+@dataclass
+class Inputs:
+    """Tables of one run. ``facts`` should be the frozen snapshot."""
+
+    requests: DataFrame
+    size_info: DataFrame
+    size_bands: DataFrame
+    rand_values: DataFrame
+    product_categories: DataFrame
+    classification: DataFrame
+    periods: DataFrame
+    facts: DataFrame
+    enrollment: DataFrame
+    patients: DataFrame
+    invalid: DataFrame
+    measure_meta: DataFrame
+    approvals: DataFrame | None = None
+    sample_history: DataFrame | None = None
+
+
+def requests_to_run(inp: Inputs) -> DataFrame:
+    """S7 + S8 + S3 + J1-J5: open requests not sampled before, flattened."""
+    req = CT.open_requests(inp.requests)
+    flat = RQ.flatten_request(RQ.parse_requests(req))
+    if inp.sample_history is not None:
+        flat = CT.not_yet_sampled(flat, inp.sample_history)
+    return flat
+
+
+def resolve_factors(inp: Inputs, rate_mode: str = "least") -> DataFrame:
+    """One factor row per request and measure with
+    mrss, os_pct, fss, rand, grain and shared group."""
+    f = FA.sampling_factors(requests_to_run(inp), inp.size_info, inp.product_categories, rate_mode)
+    f = FA.shared_rate(f, inp.measure_meta)
+    f = SZ.size_for_rate(f, inp.size_bands, rate_col="shared_rate")
+    f = SZ.default_mrss(f)
+    f = SZ.check_oversampling(f, inp.approvals)
+    f = SZ.final_sizes(f)
+    f = SZ.attach_rand(f, inp.rand_values)
+    meta = inp.measure_meta.select("measure_code", "grain")
+    f = f.join(bounded_broadcast(meta), "measure_code", "left").withColumn("grain", F.coalesce(F.col("grain"), F.lit("member")))
+    return f.withColumn("exclude_emp", F.col("exclude_emp") == 1)
+
+
+def sample_all(
+    inp: Inputs,
+    factors: DataFrame,
+    groups_bound: int | None = None,
+    num_partitions: int | None = None,
+    period_mode: str = "exact",
+) -> DataFrame:
+    """L8 + R1-R4: every group of every request drawn in one plan.
+
+    Measures of a shared group are drawn once on the group's member union with
+    the group's sizes and emitted for each measure; exclusions of one measure
+    spread to its group; then excluded primaries are replaced in order.
+    Output: group keys, units, sampled_as (measure or shared group), ranks,
+    plan columns, list_type, exclusion and replacement columns.
+    """
+    pop = E.eligible_population(
+        inp.facts, factors, inp.periods, inp.classification, inp.enrollment, inp.patients, GROUP,
+        period_mode=period_mode, factors_bound=groups_bound,
+    )
+    # both ranks below read the eligible population: write it once (also the
+    # audit snapshot of who was eligible)
+    pop = stage(pop, "eligible-population")
+    own = pop.filter(F.col("shared_group").isNull())
+    ranked = rank_population(own, GROUP, num_partitions=num_partitions, groups_bound=groups_bound, size_col="em")
+    per_measure = D.select_sample(D.plan_samples(ranked, factors, GROUP, sizes_bound=groups_bound))
+    per_measure = per_measure.withColumn("sampled_as", F.col("measure_code"))
+
+    shared_pop = R.shared_population(pop, SHARED)
+    shared_ranked = rank_population(shared_pop, SHARED, num_partitions=num_partitions, groups_bound=groups_bound, size_col="em")
+    shared = D.select_sample(D.plan_samples(shared_ranked, R.shared_sizes(factors, SHARED), SHARED, sizes_bound=groups_bound))
+    shared = R.emit_for_measures(shared, inp.measure_meta).withColumn("sampled_as", F.col("shared_group"))
+
+    cols = GROUP + UNIT + ["sampled_as", "population_rank", "sample_order", "list_type", "em", "mrss_actual", "os_actual", "rand"]
+    drawn = per_measure.select(*cols).unionByName(shared.select(*cols))
+    flagged = E.flag_exclusions(drawn, R.spread_exclusions(inp.invalid, inp.measure_meta))
+    return R.replace_excluded(flagged, GROUP)
+
+
+def run(inp: Inputs, sample_root: str, requests_out: str, failures_out: str | None = None, rate_mode: str = "least") -> DataFrame:
+    """Whole job: one write of all lists, then the request table's new version.
+
+    A request succeeds when it resolved at least one sampling factor; the
+    status step runs only after the sample write has committed.
+    Returns the new request table (read back).
+    """
+    factors = resolve_factors(inp, rate_mode).cache()
+    bound = factors.count()
+    final = sample_all(inp, factors, groups_bound=bound)
+    carry = factors.select(*GROUP, "run_config_id").dropDuplicates(GROUP)
+    out = R.to_output(final.join(bounded_broadcast(carry, bound), GROUP, "left"))
+    SK.write_sample(out, sample_root)
+    ok = factors.select("correlation_id").distinct().withColumn("_ok", F.lit(True))
+    opened = CT.open_requests(inp.requests).select("correlation_id").join(ok, "correlation_id", "left")
+    succeeded = F.coalesce(F.col("_ok"), F.lit(False))
+    outcomes = opened.select("correlation_id", succeeded.alias("succeeded"), F.when(~succeeded, F.lit("no sampling factors resolved")).alias("message"))
+    new_requests = CT.close_requests(inp.requests, outcomes)
+    new_requests.write.mode("errorifexists").parquet(requests_out)
+    if failures_out:
+        CT.failure_rows(outcomes).write.mode("errorifexists").parquet(failures_out)
+    factors.unpersist()
+    return new_requests.sparkSession.read.parquet(requests_out)

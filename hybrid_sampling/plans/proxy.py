@@ -378,3 +378,25 @@ def stage_status(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.lit("FQR").alias("stage"), F.col("fqr").alias("is_complete")),
         )).alias("s"),
     ).select("s.stage", "measurement_year", "s.is_complete")
+
+
+def inputs(spark: SparkSession, sf_dir: str):
+    """All proxy tables as pipeline inputs."""
+    from hybrid_sampling.plans.pipeline import Inputs
+
+    return Inputs(
+        requests=requests(spark, sf_dir),
+        size_info=size_info(spark),
+        size_bands=size_bands(spark),
+        rand_values=rand_values(spark),
+        product_categories=product_categories(spark, sf_dir),
+        classification=measure_classification(spark),
+        periods=reporting_periods(spark, sf_dir),
+        facts=facts(spark, sf_dir),
+        enrollment=enrollment(spark, sf_dir),
+        patients=patients(spark, sf_dir),
+        invalid=invalid_members(spark, sf_dir),
+        measure_meta=measure_meta(spark),
+        approvals=os_approvals(spark, sf_dir),
+        sample_history=sample_history(spark, sf_dir),
+    )

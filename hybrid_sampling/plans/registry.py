@@ -323,3 +323,17 @@ def q_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "summary-csv")
     SK.write_csv(R.sample_summary(S.final(S.Run(spark, sf_dir)), GROUP), path)
     return SK.read_csv(spark, path, SC.SAMPLE_SUMMARY)
+
+
+# ------------------------------------------------------------------ whole job
+from hybrid_sampling.plans import pipeline as PL  # noqa: E402
+
+
+@register("sample_all")
+def q_sample_all(spark, sf_dir):
+    run = S.Run(spark, sf_dir)
+    f = PL.sample_all(P.inputs(spark, sf_dir), run.factors, groups_bound=run.groups_bound)
+    return f.select(
+        *UNIT, "sampled_as", "population_rank", "sample_order", "list_type", "is_excluded", "exclusion_reason",
+        "final_list", "replaces_order", "shortfall",
+    )

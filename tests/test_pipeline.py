@@ -1,0 +1,65 @@
+"""End-to-end job: requests in, one sample write, request statuses out."""
+
+import json
+
+from pyspark.sql import functions as F
+
+from hybrid_sampling import schemas as SC
+from hybrid_sampling.plans import pipeline as PL
+from hybrid_sampling.plans import proxy as P
+from hybrid_sampling.session import scratch_path
+from hybrid_sampling.sources import sinks as SK
+
+SF = "/root/testdata/sf0.001"
+
+
+def _doc(year, product="Commercial"):
+    groups = []
+    for m, rate in (("CBP", 50), ("COL", 96), ("GSD", 91), ("EED", 60), ("TRC", 70)):
+        groups.append({"measureGroup": m, "oversamplingRate": 10, "subMeasures": [{"clinicalSubMeasureId": m + "2", "cyar": rate, "pyr": rate}]})
+    return json.dumps({"productCategory": product, "measurementYear": year, "submissionId": 1, "organizationId": 1,
+                       "runConfigId": 1, "excludeEmp": True, "data": groups})
+
+
+def _inputs(spark):
+    inp = P.inputs(spark, SF)
+    rows = [
+        ("R1996", "SAMPLING", "received", 0, _doc(1996)),
+        ("R1997", "SAMPLING", "received", 0, _doc(1997)),
+        ("RX", "SAMPLING", "received", 0, _doc(1998, "Exchange")),
+        ("OLD", "SAMPLING", "PROCESSED", 1, _doc(1995)),
+    ]
+    inp.requests = spark.createDataFrame(rows, SC.SAMPLING_REQUEST)
+    inp.product_categories = spark.createDataFrame([(1, y, "Commercial") for y in (1995, 1996, 1997, 1998)], "submission_id long, measurement_year int, product_category string")
+    inp.sample_history = None
+    return inp
+
+
+def test_run_writes_once_and_closes_requests(spark):
+    inp = _inputs(spark)
+    root, req_out, fail_out = (scratch_path(spark, n) for n in ("pipe-sample", "pipe-requests", "pipe-failures"))
+    new_req = PL.run(inp, root, req_out, fail_out)
+    status = {r.correlation_id: (r.campaign_status, r.is_sampling_processed) for r in new_req.collect()}
+    assert status == {"R1996": ("PROCESSED", 1), "R1997": ("PROCESSED", 1), "RX": ("FAILED", 0), "OLD": ("PROCESSED", 1)}
+    assert [r.correlation_id for r in spark.read.parquet(fail_out).collect()] == ["RX"]
+
+    sample = SK.read_sample(spark, root, SC.SAMPLE_OUTPUT)
+    years = {r.measurement_year for r in sample.select("measurement_year").distinct().collect()}
+    assert years == {1996, 1997}
+    # final primaries never include an excluded member
+    assert sample.filter(F.col("is_primary") & F.col("is_excluded")).count() == 0
+    # shared measures carry identical lists
+    gsd = {(r.measurement_year, r.member_id, r.sample_order, r.list_type) for r in sample.filter(F.col("measure_code") == "GSD").collect()}
+    eed = {(r.measurement_year, r.member_id, r.sample_order, r.list_type) for r in sample.filter(F.col("measure_code") == "EED").collect()}
+    assert gsd == eed and gsd
+
+
+def test_factors_take_group_lowest_rate(spark):
+    f = PL.resolve_factors(_inputs(spark))
+    got = {(r.correlation_id, r.measure_code): (r.shared_rate, r.mrss, r.fss) for r in f.collect()}
+    # GSD2 is inverse: 100 - 91 = 9; EED 60; shared group rate = 9 -> band 0 -> 296
+    assert float(got[("R1996", "GSD")][0]) == 9.0 and float(got[("R1996", "EED")][0]) == 9.0
+    assert got[("R1996", "GSD")][1] == got[("R1996", "EED")][1] == 296
+    # COL 96 -> 106 at 10% -> 117
+    assert got[("R1996", "COL")][1:] == (106, 117)
+    assert ("RX", "CBP") not in got
