@@ -117,7 +117,14 @@ def sample_all(
     return R.replace_excluded(flagged, GROUP)
 
 
-def run(inp: Inputs, sample_root: str, requests_out: str, failures_out: str | None = None, rate_mode: str = "least") -> DataFrame:
+def run(
+    inp: Inputs,
+    sample_root: str,
+    requests_out: str,
+    failures_out: str | None = None,
+    rate_mode: str = "least",
+    status_mode: str = "errorifexists",
+) -> DataFrame:
     """Whole job: one write of all lists, then the request table's new version.
 
     A request succeeds when it resolved at least one sampling factor; the
@@ -135,8 +142,8 @@ def run(inp: Inputs, sample_root: str, requests_out: str, failures_out: str | No
     succeeded = F.coalesce(F.col("_ok"), F.lit(False))
     outcomes = opened.select("correlation_id", succeeded.alias("succeeded"), F.when(~succeeded, F.lit("no sampling factors resolved")).alias("message"))
     new_requests = CT.close_requests(inp.requests, outcomes)
-    new_requests.write.mode("errorifexists").parquet(requests_out)
+    new_requests.write.mode(status_mode).parquet(requests_out)
     if failures_out:
-        CT.failure_rows(outcomes).write.mode("errorifexists").parquet(failures_out)
+        CT.failure_rows(outcomes).write.mode(status_mode).parquet(failures_out)
     factors.unpersist()
     return new_requests.sparkSession.read.parquet(requests_out)
