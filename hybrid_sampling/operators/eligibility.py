@@ -202,9 +202,9 @@ def enrolled_months(spans: DataFrame, key_cols=("patient_id",), min_months: int
     return out.withColumn("is_enrolled", F.col("covered_months") >= min_months)
 
 
-def with_event(df: DataFrame, events: DataFrame, key: str = "patient_id") -> DataFrame:
-    """A qualifying event exists."""
-    return df.join(events.select(key).distinct(), key, "left_semi")
+def with_event(df: DataFrame, events: DataFrame, keys=("patient_id",)) -> DataFrame:
+    """A qualifying event exists (semi join; e.g. keys patient + year)."""
+    return df.join(events.select(*keys), list(keys), "left_semi")
 
 
 def with_association(df: DataFrame, associations: DataFrame, key: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +20,3 @@ def bounded_broadcast(small: DataFrame, row_bound: int | None = None, max_rows:
     """
     n = row_bound if row_bound is not None else small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small
-
-
-def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", null_safe: bool = False) -> DataFrame:
-    """Equi-join on same-named keys; ``null_safe`` uses <=> and keeps one copy of each key."""
-    if not null_safe:
-        return left.join(right, keys, how)
-    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys])
-    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])

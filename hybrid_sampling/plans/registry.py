@@ -190,7 +190,7 @@ def q_enrolled_months(spark, sf_dir):
 def q_with_event(spark, sf_dir):
     pop = S.population(S.Run(spark, sf_dir))
     ev = P.qualifying_events(spark, sf_dir)
-    return pop.join(ev.select("patient_id", "measurement_year").distinct(), ["patient_id", "measurement_year"], "left_semi").select(*UNIT)
+    return E.with_event(pop, ev, ("patient_id", "measurement_year")).select(*UNIT)
 
 
 @register("with_association")
