@@ -73,15 +73,12 @@ def check_prerequisites(stage_status: DataFrame, tables: dict[str, DataFrame], s
         F.col("stage").alias("check_name"), "measurement_year", F.col("is_complete").alias("passed")
     )
     tb = table_exists_checks(tables)
-    # a global aggregate has exactly one row: broadcast it on a constant key
-    all_tables = tb.agg(F.bool_and("passed").alias("_tables_ok")).withColumn("_one", F.lit(1))
-    per_year = st.groupBy("measurement_year").agg(
-        F.bool_and("passed").alias("_stages_ok"), F.count_distinct("check_name").alias("_n")
-    ).withColumn("_one", F.lit(1))
-    ready = per_year.join(F.broadcast(all_tables), "_one", "inner")
-    ready = ready.select(
+    # the table verdict is one value: a scalar subquery, evaluated once (no join)
+    tables_ok = tb.agg(F.bool_and("passed")).scalar()
+    per_year = st.groupBy("measurement_year").agg(F.bool_and("passed").alias("_stages_ok"), F.count_distinct("check_name").alias("_n"))
+    ready = per_year.select(
         F.lit("ready").alias("check_name"),
         "measurement_year",
-        (F.col("_stages_ok") & (F.col("_n") == len(stages)) & F.col("_tables_ok")).alias("passed"),
+        (F.col("_stages_ok") & (F.col("_n") == len(stages)) & tables_ok).alias("passed"),
     )
     return st.unionByName(tb).unionByName(ready)
