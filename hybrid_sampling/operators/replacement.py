@@ -78,10 +78,10 @@ def emit_for_measures(shared_sample: DataFrame, groups: DataFrame) -> DataFrame:
     return shared_sample.join(bounded_broadcast(g), "shared_group", "inner")
 
 
-def lists_union(primary: DataFrame, auxiliary: DataFrame) -> DataFrame:
-    """Union by name of the two lists (the draw labels both in one pass;
-    this exists for callers that hold them apart)."""
-    return primary.unionByName(auxiliary, allowMissingColumns=True)
+def lists_union(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Union by name of two drawn lists (the draw labels Primary and
+    Auxiliary in one pass; the job unions per-measure and shared-group lists)."""
+    return first.unionByName(second, allowMissingColumns=True)
 
 
 def to_output(final: DataFrame, domain: str = "HEDIS") -> DataFrame:

@@ -539,3 +539,7 @@ flagged_all AS (
 SELECT {UNIT_COLS}, sampled_as, population_rank, CAST(sample_order AS BIGINT) AS sample_order, list_type,
        is_excluded, exclusion_reason, final_list, CAST(replaces_order AS BIGINT) AS replaces_order, shortfall
 FROM final"""
+
+SQL["event_dates"] = f"""SELECT o.o_custkey AS patient_id, o.o_orderkey AS visit_id, {MEASURE_CASE} AS measure_code,
+       (SELECT min(CAST(l.l_shipdate AS DATE)) FROM lineitem l WHERE l.l_orderkey = o.o_orderkey) AS event_date
+FROM orders o"""

@@ -112,7 +112,7 @@ def sample_all(
     shared = R.emit_for_measures(shared, inp.measure_meta).withColumn("sampled_as", F.col("shared_group"))
 
     cols = GROUP + UNIT + ["sampled_as", "population_rank", "sample_order", "list_type", "em", "mrss_actual", "os_actual", "rand"]
-    drawn = per_measure.select(*cols).unionByName(shared.select(*cols))
+    drawn = R.lists_union(per_measure.select(*cols), shared.select(*cols))
     flagged = E.flag_exclusions(drawn, R.spread_exclusions(inp.invalid, inp.measure_meta))
     return R.replace_excluded(flagged, GROUP)
 

@@ -400,3 +400,9 @@ def inputs(spark: SparkSession, sf_dir: str):
         approvals=os_approvals(spark, sf_dir),
         sample_history=sample_history(spark, sf_dir),
     )
+
+
+def discharge_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visit / discharge dates: one row per line item (ship date), many per visit."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_orderkey").alias("visit_id"), F.col("l_shipdate").cast("date").alias("event_date"))

@@ -337,3 +337,10 @@ def q_sample_all(spark, sf_dir):
         *UNIT, "sampled_as", "population_rank", "sample_order", "list_type", "is_excluded", "exclusion_reason",
         "final_list", "replaces_order", "shortfall",
     )
+
+
+@register("event_dates")
+def q_event_dates(spark, sf_dir):
+    """Visits get the earliest discharge date (left join; visits without one keep null)."""
+    visits = P.facts(spark, sf_dir).select("patient_id", "visit_id", "measure_code")
+    return E.attach_event_date(visits, P.discharge_dates(spark, sf_dir)).select("patient_id", "visit_id", "measure_code", "event_date")
