@@ -32,12 +32,15 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared file system. Only when it is unset
-    (local tests) a fresh local folder is created and registered.
+    On a cluster the setting names a shared file system and must be set: a
+    machine-local folder would differ between executors. Only in local mode,
+    when it is unset (tests), a fresh local folder is created and registered.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder (cluster mode)")
         current = tempfile.mkdtemp(prefix="hs-ckpt-")
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():
