@@ -142,19 +142,25 @@ LINE_CASE = """CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Commercial' WHEN 'BUILD
 
 FLAT_CTE = f"""
 flat AS (
-    SELECT 'REQ-' || CAST(c_custkey AS VARCHAR) || '-' || CAST(year(o_orderdate) AS VARCHAR) AS correlation_id,
-        {LINE_CASE} AS product_line,
-        {MEASURE_CASE} AS measure_code,
-        CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE {MEASURE_CASE} || CAST(o_orderkey % 2 + 1 AS VARCHAR) END AS clinical_measure_id,
-        CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE CAST(c_custkey % 26 AS DECIMAL(5,2)) END AS oversampling_rate,
-        CAST(year(o_orderdate) AS INTEGER) AS measurement_year,
-        c_custkey AS submission_id,
-        CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderkey % 101 AS DECIMAL(5,2)) END AS cyar,
-        CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST(c_custkey % 101 AS DECIMAL(5,2)) END AS pyr,
-        CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS exclude_emp,
-        CAST(c_nationkey AS BIGINT) AS organization_id,
-        CAST(c_nationkey AS BIGINT) AS run_config_id
-    FROM orders JOIN customer ON c_custkey = o_custkey
+    SELECT correlation_id, product_line, measure_code, clinical_measure_id, oversampling_rate, measurement_year,
+           submission_id, min(cyar) AS cyar, min(pyr) AS pyr, exclude_emp, organization_id, run_config_id
+    FROM (
+        SELECT 'REQ-' || CAST(c_custkey AS VARCHAR) || '-' || CAST(year(o_orderdate) AS VARCHAR) AS correlation_id,
+            {LINE_CASE} AS product_line,
+            {MEASURE_CASE} AS measure_code,
+            CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE {MEASURE_CASE} || CAST(o_orderkey % 2 + 1 AS VARCHAR) END AS clinical_measure_id,
+            CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE CAST(c_custkey % 26 AS DECIMAL(5,2)) END AS oversampling_rate,
+            CAST(year(o_orderdate) AS INTEGER) AS measurement_year,
+            c_custkey AS submission_id,
+            CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderkey % 101 AS DECIMAL(5,2)) END AS cyar,
+            CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST(c_custkey % 101 AS DECIMAL(5,2)) END AS pyr,
+            CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS exclude_emp,
+            CAST(c_nationkey AS BIGINT) AS organization_id,
+            CAST(c_nationkey AS BIGINT) AS run_config_id
+        FROM orders JOIN customer ON c_custkey = o_custkey
+    )
+    GROUP BY correlation_id, product_line, measure_code, clinical_measure_id, oversampling_rate, measurement_year,
+             submission_id, exclude_emp, organization_id, run_config_id
 )"""
 
 META_CTE = """

@@ -164,7 +164,8 @@ def sampling_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 #   one request per customer and order year; submission = customer, organization
 #   and run configuration = nation; sub-measure id = measure || (orderkey mod 2 + 1),
 #   null when orderkey mod 97 = 0; cyar = orderkey mod 101 (null when orderkey mod 7 = 0);
-#   pyr = custkey mod 101 (null when custkey mod 5 = 0); oversampling percent =
+#   pyr = custkey mod 101 (null when custkey mod 5 = 0), each the lowest over the
+#   sub-measure's orders; oversampling percent =
 #   custkey mod 26 (null when custkey mod 13 = 0); excludeEmp when custkey is even;
 #   requests before 1997 are already processed; MACHINERY requests in even years are audits
 PROCESSED_BEFORE_YEAR = 1997
@@ -179,7 +180,10 @@ def _year():
 
 
 def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat sub-measure rows, the content the request documents are built from."""
+    """Flat sub-measure rows, the content the request documents are built from:
+    one row per request, measure group and sub-measure id, with the lowest
+    CYAR and PYR of its orders (partial aggregation, so a document holds at
+    most five groups of three sub-measures however many orders a customer has)."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     j = o.join(c, o.o_custkey == c.c_custkey)
@@ -187,7 +191,7 @@ def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     sub_id = F.when(F.col("o_orderkey") % 97 == 0, F.lit(None).cast("string")).otherwise(
         F.concat(measure, (F.col("o_orderkey") % 2 + 1).cast("string"))
     )
-    return j.select(
+    rows = j.select(
         F.concat(F.lit("REQ-"), F.col("c_custkey").cast("string"), F.lit("-"), _year().cast("string")).alias("correlation_id"),
         _map("c_mktsegment", PRODUCT_LINE_OF_SEGMENT).alias("product_line"),
         measure.alias("measure_code"),
@@ -202,13 +206,16 @@ def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_nationkey").cast("bigint").alias("run_config_id"),
         F.col("c_mktsegment").alias("_segment"),
     )
+    keys = [c for c in rows.columns if c not in ("cyar", "pyr")]
+    return rows.groupBy(*keys).agg(F.min("cyar").alias("cyar"), F.min("pyr").alias("pyr"))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling request table with the JSON document as text (``json_object``).
 
-    Documents are built by two partial-aggregated groupings (measure group,
-    then request); a request is one submission-year, so a document stays small.
+    Documents are built by two grouping steps (measure group, then request)
+    over the pre-aggregated sub-measure rows, so each collected list is
+    bounded by the code set (sub-measure ids per measure, measures per request).
     """
     r = request_rows(spark, sf_dir)
     head = ["correlation_id", "product_line", "measurement_year", "submission_id", "organization_id", "run_config_id", "exclude_emp", "_segment"]
