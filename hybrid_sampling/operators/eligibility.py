@@ -132,8 +132,11 @@ def eligible_population(
     b = hybrid_only(b, classification)
     b = scope(b, factors, factors_bound=factors_bound)
     b = filter_period(b, periods, period_mode)
-    b = filter_employee(b, enrollment)
-    g = to_grain(b, group_cols, carry=[c for c in carry if c not in group_cols])
+    # reduce to the grain first: the employee rule and the patient dimension
+    # then join units, not every fact row
+    keep = [c for c in list(carry) + ["exclude_emp"] if c not in group_cols and c in b.columns]
+    g = to_grain(b, group_cols, carry=keep)
+    g = filter_employee(g, enrollment)
     return attach_patient(g, patients)
 
 
