@@ -1,4 +1,4 @@
-"""Joins to small tables, broadcast only behind a size bound."""
+"""Joins to small tables: broadcast hinted only behind a proven size bound."""
 
 from __future__ import annotations
 
@@ -10,13 +10,22 @@ MAX_BROADCAST_ROWS = 1_000_000
 
 
 def bounded_broadcast(small: DataFrame, row_bound: int | None = None, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``small`` when its row count is proven below ``max_rows``.
+    """Hint a broadcast of ``small`` only when ``row_bound`` proves it small.
 
-    ``row_bound`` is an upper bound known without running the data (for
-    example groups <= factor rows). Without it the table is counted, which is
-    only done for tables that are small by construction (metadata, per-group
-    plans). Beyond the bound the plain table is returned and Spark picks a
-    shuffle join (AQE may still broadcast at run time if it turns out small).
+    ``row_bound`` is an upper bound known from the job itself (for example
+    sampling groups <= factor rows, range pieces <= partitions + groups).
+    Without one, no hint is given: Spark's planner broadcasts only what its
+    statistics show to be under ``spark.sql.autoBroadcastJoinThreshold``
+    (exact for local metadata tables, file sizes for scans) and AQE re-checks
+    with run-time sizes; otherwise it plans a shuffle join. No table is
+    counted just to decide.
     """
-    n = row_bound if row_bound is not None else small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    if row_bound is not None and row_bound <= max_rows:
+        return F.broadcast(small)
+    return small
+
+
+def count_bound(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> int:
+    """Row count capped at ``max_rows + 1`` (for tables small by construction,
+    counted once by the caller and reused as a bound)."""
+    return df.limit(max_rows + 1).count()

@@ -52,12 +52,11 @@ def rank_population(
     order = order if order is not None else population_order()
     n = _partitions(df, num_partitions)
     spec = [F.col(c).asc_nulls_first() for c in group_cols] + list(order)
-    # without an explicit count AQE may merge adjacent range partitions (still
-    # contiguous key ranges, so still sorted); ids are assigned once, in the
-    # staging job, so the merge cannot make two reads disagree
-    parted = df.repartitionByRange(n, *spec) if num_partitions else df.repartitionByRange(*spec)
+    # an explicit count (default: spark.sql.shuffle.partitions, the configured
+    # parallelism) keeps every core busy; AQE's coalescing would merge small
+    # range partitions into a few tasks
     tagged = (
-        parted
+        df.repartitionByRange(n, *spec)
         .sortWithinPartitions(*spec)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())

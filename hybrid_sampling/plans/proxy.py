@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hybrid_sampling.sources.readers import local_table
+
 # ---------------------------------------------------------------- fixed values
 # order priority -> measure code
 MEASURE_OF_PRIORITY = {
@@ -109,11 +111,12 @@ def enrollment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def reporting_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One reporting period per calendar year present in the facts."""
-    years = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y")).distinct()
-    return years.select(
-        F.col("y").cast("bigint").alias("reporting_period_id"),
+def reporting_periods(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
+    """Reporting periods (metadata): one calendar-year period per year of the
+    rule's year range, id = year."""
+    df = spark.range(YEARS.start, YEARS.stop).select(F.col("id").alias("reporting_period_id"), F.col("id").cast("int").alias("y"))
+    return df.select(
+        "reporting_period_id",
         F.make_date(F.col("y"), F.lit(1), F.lit(1)).alias("period_start"),
         F.make_date(F.col("y"), F.lit(12), F.lit(31)).alias("period_end"),
     )
@@ -121,21 +124,19 @@ def reporting_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def measure_meta(spark: SparkSession) -> DataFrame:
     rows = [(m, g, s) for m, (_, _, _, g, s) in MEASURE_META.items()]
-    return spark.createDataFrame(rows, "measure_code string, grain string, shared_group string")
+    return local_table(spark, rows, [("measure_code", "string"), ("grain", "string"), ("shared_group", "string")])
 
 
 def measure_classification(spark: SparkSession) -> DataFrame:
     rows = [(m, "Hybrid") for m in MEASURE_META] + [("ABA", "Admin"), ("BCS", "Admin")]
-    return spark.createDataFrame(rows, "clinical_measure_id string, classification_value string")
+    return local_table(spark, rows, [("clinical_measure_id", "string"), ("classification_value", "string")])
 
 
 def measure_sizes(spark: SparkSession) -> DataFrame:
     """Per measure: mrss, os_pct, rand, grain and shared group (one local table)."""
     rows = [(m, mrss, os, r, g, sg) for m, (mrss, os, r, g, sg) in MEASURE_META.items()]
-    df = spark.createDataFrame(rows, "measure_code string, mrss int, os_pct string, rand string, grain string, shared_group string")
-    return df.select(
-        "measure_code", "mrss", F.col("os_pct").cast("decimal(5,2)").alias("os_pct"), F.col("rand").cast("decimal(9,6)").alias("rand"), "grain", "shared_group"
-    )
+    cols = [("measure_code", "string"), ("mrss", "int"), ("os_pct", "decimal(5,2)"), ("rand", "decimal(9,6)"), ("grain", "string"), ("shared_group", "string")]
+    return local_table(spark, rows, cols)
 
 
 def sampling_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,39 +255,45 @@ def product_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _years():
+    return F.explode(F.sequence(F.lit(YEARS.start), F.lit(YEARS.stop - 1))).alias("measurement_year")
+
+
 def size_info_rows():
-    """Size metadata by rule: every measure, line and year, except EED/Medicare;
-    COL/Medicare has no CYAR flag and CBP/Medicaid no PYR flag."""
+    """Size metadata by rule, per measure and line (every year of the range):
+    all but EED/Medicare; COL/Medicare has no CYAR flag and CBP/Medicaid no PYR flag."""
     rows = []
-    for y in YEARS:
-        for m, (mrss, os_pct, _, _, _) in MEASURE_META.items():
-            for pl in SIZE_LINES:
-                if (m, pl) == ("EED", "Medicare"):
-                    continue
-                cy = None if (m, pl) == ("COL", "Medicare") else "CYAR"
-                py = None if (m, pl) == ("CBP", "Medicaid") else "PYR"
-                rows.append((m, pl, y, mrss, os_pct, cy, py))
+    for m, (mrss, os_pct, _, _, _) in MEASURE_META.items():
+        for pl in SIZE_LINES:
+            if (m, pl) == ("EED", "Medicare"):
+                continue
+            cy = None if (m, pl) == ("COL", "Medicare") else "CYAR"
+            py = None if (m, pl) == ("CBP", "Medicaid") else "PYR"
+            rows.append((m, pl, mrss, os_pct, cy, py))
     return rows
 
 
 def size_info(spark: SparkSession) -> DataFrame:
-    df = spark.createDataFrame(size_info_rows(), "measure_code string, product_line string, measurement_year int, sample_size int, os string, cyar string, pyr string")
-    return df.select("measure_code", "product_line", "measurement_year", "sample_size", F.col("os").cast("decimal(5,2)").alias("oversampling_rate"), "cyar", "pyr")
+    cols = [("measure_code", "string"), ("product_line", "string"), ("sample_size", "int"),
+            ("oversampling_rate", "decimal(5,2)"), ("cyar", "string"), ("pyr", "string")]
+    t = local_table(spark, size_info_rows(), cols)
+    return t.select("measure_code", "product_line", _years(), "sample_size", "oversampling_rate", "cyar", "pyr")
 
 
 def size_band_rows():
-    return [(y, pl, floor, size) for y in YEARS for pl in SIZE_LINES for floor, size in BANDS]
+    return [(pl, floor, size) for pl in SIZE_LINES for floor, size in BANDS]
 
 
 def size_bands(spark: SparkSession) -> DataFrame:
-    df = spark.createDataFrame(size_band_rows(), "measurement_year int, product_line string, f string, sample_size int")
-    return df.select("measurement_year", "product_line", F.col("f").cast("decimal(5,2)").alias("rate_floor"), "sample_size")
+    cols = [("product_line", "string"), ("rate_floor", "decimal(5,2)"), ("sample_size", "int")]
+    t = local_table(spark, size_band_rows(), cols)
+    return t.select(_years(), "product_line", "rate_floor", "sample_size")
 
 
 def rand_values(spark: SparkSession) -> DataFrame:
-    rows = [(m, y, r) for y in YEARS for m, (_, _, r, _, _) in MEASURE_META.items()]
-    df = spark.createDataFrame(rows, "measure_code string, measurement_year int, r string")
-    return df.select("measure_code", "measurement_year", F.col("r").cast("decimal(9,6)").alias("rand"))
+    rows = [(m, r) for m, (_, _, r, _, _) in MEASURE_META.items()]
+    t = local_table(spark, rows, [("measure_code", "string"), ("rand", "decimal(9,6)")])
+    return t.select("measure_code", _years(), "rand")
 
 
 def os_approvals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,7 +321,7 @@ HOSPICE_MOD, DATA_ERROR_MOD = 37, 50
 
 
 def age_gender_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(AGE_GENDER_RULES), "measure_code string, min_age int, max_age int, rule_gender string")
+    return local_table(spark, list(AGE_GENDER_RULES), [("measure_code", "string"), ("min_age", "int"), ("max_age", "int"), ("rule_gender", "string")])
 
 
 def qualifying_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,3 +32,17 @@ def read_jdbc(
         col, lo, hi, n = partition
         reader = reader.option("partitionColumn", col).option("lowerBound", str(lo)).option("upperBound", str(hi)).option("numPartitions", str(n))
     return reader.load()
+
+
+def local_table(spark: SparkSession, rows, columns: list[tuple[str, str]]) -> DataFrame:
+    """A small metadata table from literal rows, planned as an inline table.
+
+    Unlike a DataFrame built from a driver-side list (an RDD scan of unknown
+    size), Spark sees this table's true size, so its planner broadcasts it in
+    joins on its own and never shuffles the large side for it.
+    ``columns``: (name, Spark SQL type) pairs.
+    """
+    from pyspark.sql import functions as F
+
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, columns)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
