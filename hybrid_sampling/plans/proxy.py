@@ -395,8 +395,8 @@ def stage_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inputs(spark: SparkSession, sf_dir: str):
-    """All proxy tables as pipeline inputs."""
-    from hybrid_sampling.plans.pipeline import Inputs
+    """All proxy tables as inputs of the whole job."""
+    from hybrid_sampling.plans.job import Inputs
 
     return Inputs(
         requests=requests(spark, sf_dir),

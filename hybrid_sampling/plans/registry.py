@@ -326,7 +326,7 @@ def q_csv_roundtrip(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ whole job
-from hybrid_sampling.plans import pipeline as PL  # noqa: E402
+from hybrid_sampling.plans import job as PL  # noqa: E402
 
 
 @register("sample_all")

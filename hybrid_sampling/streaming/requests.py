@@ -2,7 +2,7 @@
 
 The request table is read as a file stream; each micro-batch (the requests
 that arrived since the last one) runs the whole batch job of
-``plans.pipeline.run`` through ``foreachBatch``. The stream checkpoint records
+``plans.job.run`` through ``foreachBatch``. The stream checkpoint records
 which files were consumed, so a request file is sampled once even across
 restarts; a replayed batch rewrites the same sample partitions (dynamic
 overwrite) and the same status folder (``overwrite``), so it is idempotent.
@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from hybrid_sampling.plans import pipeline as PL
+from hybrid_sampling.plans import job as PL
 from hybrid_sampling.schemas import SAMPLING_REQUEST
 from hybrid_sampling.session import shared_dir
 
