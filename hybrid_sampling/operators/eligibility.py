@@ -130,7 +130,9 @@ def eligible_population(
     """G7 + G8: eligible units (member or visit grain by measure) with their sort attributes."""
     b = non_empty_measure(filter_live(filter_status(base, status_codes)))
     b = hybrid_only(b, classification)
-    b = scope(b, factors, factors_bound=factors_bound)
+    # only the factor columns the population needs travel with the broadcast
+    needed = [c for c in ("product_line", "exclude_emp", "grain", *carry) if c in factors.columns and c not in SCOPE_KEYS and c not in b.columns]
+    b = scope(b, factors, carry=list(dict.fromkeys(needed)), factors_bound=factors_bound)
     b = filter_period(b, periods, period_mode)
     # reduce to the grain first: the employee rule and the patient dimension
     # then join units, not every fact row

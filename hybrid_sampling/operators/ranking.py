@@ -73,7 +73,11 @@ def rank_population(
         F.sum("_n").over(by_group).cast("bigint").alias("_size"),
     )
     bound = None if groups_bound is None else n + int(groups_bound)
-    joined = tagged.join(bounded_broadcast(pieces, bound), ["_pid", *group_cols], "inner")
+    # null-safe on the group keys: a null key is a group like any other
+    renamed = pieces.select("_pid", *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], "_first", "_offset", "_size")
+    cond = [tagged["_pid"] == renamed["_pid"]] + [tagged[c].eqNullSafe(renamed[f"_g{i}"]) for i, c in enumerate(group_cols)]
+    joined = tagged.join(bounded_broadcast(renamed, bound), cond, "inner").drop(renamed["_pid"])
+    joined = joined.drop(*[f"_g{i}" for i in range(len(group_cols))])
     out = joined.withColumn(rank_col, (F.col("_offset") + F.col("_mid") - F.col("_first") + 1).cast("bigint"))
     if size_col:
         out = out.withColumn(size_col, F.col("_size"))

@@ -24,7 +24,7 @@ from hybrid_sampling.operators import factors as FA
 from hybrid_sampling.operators import replacement as R
 from hybrid_sampling.operators import request as RQ
 from hybrid_sampling.operators import sizes as SZ
-from hybrid_sampling.operators.joins import bounded_broadcast
+from hybrid_sampling.operators.joins import bounded_broadcast, count_bound
 from hybrid_sampling.operators.ranking import rank_population
 from hybrid_sampling.sources import control as CT
 from hybrid_sampling.sources import sinks as SK
@@ -132,7 +132,7 @@ def run(
     Returns the new request table (read back).
     """
     factors = resolve_factors(inp, rate_mode).cache()
-    bound = factors.count()
+    bound = count_bound(factors)
     final = sample_all(inp, factors, groups_bound=bound)
     carry = factors.select(*GROUP, "run_config_id").dropDuplicates(GROUP)
     out = R.to_output(final.join(bounded_broadcast(carry, bound), GROUP, "left"))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hybrid_sampling.operators import draw as D
 from hybrid_sampling.operators import eligibility as E
 from hybrid_sampling.operators import replacement as R
+from hybrid_sampling.operators.joins import count_bound
 from hybrid_sampling.operators.ranking import rank_population
 from hybrid_sampling.plans import proxy as P
 
@@ -33,7 +34,7 @@ class Run:
 
     @cached_property
     def groups_bound(self) -> int:
-        return self.factors.count()
+        return count_bound(self.factors)
 
 
 def population(run: Run) -> DataFrame:
