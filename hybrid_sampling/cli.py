@@ -5,13 +5,16 @@
 ``--tables`` holds one folder per input table (names below). The facts are
 frozen first (``out/frozen/<run id>``, never overwritten) and sampled only from
 that snapshot; the sample is written partitioned under ``out/sample``, the
-new request table version under ``out/requests/<run id>`` and failures under
-``out/failures/<run id>``.
+new request table version under ``out/requests/version=<run id>`` (read the
+newest with ``sources.control.read_current``) and failures under
+``out/failures/version=<run id>``. Submission-years already present in
+``out/sample`` are not sampled again.
 """
 
 from __future__ import annotations
 
 import argparse
+import time
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -20,6 +23,7 @@ from pyspark.sql import SparkSession
 from hybrid_sampling.plans.job import Inputs, run
 from hybrid_sampling.session import build_session
 from hybrid_sampling.sources.readers import read_parquet
+from hybrid_sampling.sources.control import sampled_keys
 from hybrid_sampling.sources.sinks import freeze
 
 # fixed values: input table folder names
@@ -65,9 +69,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     spark = spark or build_session(a.master)
-    run_id = a.run_id or uuid.uuid4().hex[:12]
+    # run ids sort in time order, so the newest request version is the max
+    run_id = a.run_id or time.strftime("%Y%m%d%H%M%S", time.gmtime()) + "-" + uuid.uuid4().hex[:6]
     out = a.out.rstrip("/")
     inp = load_inputs(spark, a.tables)
+    # once per year across runs: submission-years already in the stored sample
+    stored = _optional(spark, out, "sample")
+    if stored is not None:
+        done = sampled_keys(stored)
+        inp.sample_history = done if inp.sample_history is None else inp.sample_history.select(*done.columns).unionByName(done)
     inp.facts = freeze(inp.facts, f"{out}/frozen/{run_id}")
-    run(inp, f"{out}/sample", f"{out}/requests/{run_id}", f"{out}/failures/{run_id}", a.rate_mode)
+    run(inp, f"{out}/sample", f"{out}/requests/version={run_id}", f"{out}/failures/version={run_id}", a.rate_mode)
     return run_id

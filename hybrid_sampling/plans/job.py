@@ -117,6 +117,25 @@ def sample_all(
     return R.replace_excluded(flagged, GROUP)
 
 
+def request_outcomes(inp: Inputs, factors: DataFrame) -> DataFrame:
+    """Per open request: succeeded when it resolved a factor, or when its
+    submission-year was sampled before (sampling runs once per year, S8);
+    otherwise failed with a message."""
+    ok = factors.select("correlation_id").distinct().withColumn("_ok", F.lit(True))
+    opened = RQ.parse_requests(CT.open_requests(inp.requests)).select(
+        "correlation_id", F.col("doc.submissionId").alias("submission_id"), F.col("doc.measurementYear").alias("measurement_year")
+    )
+    if inp.sample_history is not None:
+        done = inp.sample_history.select("submission_id", "measurement_year").distinct().withColumn("_done", F.lit(True))
+        opened = opened.join(done, ["submission_id", "measurement_year"], "left")
+    else:
+        opened = opened.withColumn("_done", F.lit(False))
+    j = opened.join(ok, "correlation_id", "left")
+    ok_col = F.coalesce(F.col("_ok"), F.lit(False)) | F.coalesce(F.col("_done"), F.lit(False))
+    message = F.when(F.coalesce(F.col("_done"), F.lit(False)), F.lit("already sampled")).when(~ok_col, F.lit("no sampling factors resolved"))
+    return j.select("correlation_id", ok_col.alias("succeeded"), message.alias("message"))
+
+
 def run(
     inp: Inputs,
     sample_root: str,
@@ -137,10 +156,7 @@ def run(
     carry = factors.select(*GROUP, "run_config_id").dropDuplicates(GROUP)
     out = R.to_output(final.join(bounded_broadcast(carry, bound), GROUP, "left"))
     SK.write_sample(out, sample_root)
-    ok = factors.select("correlation_id").distinct().withColumn("_ok", F.lit(True))
-    opened = CT.open_requests(inp.requests).select("correlation_id").join(ok, "correlation_id", "left")
-    succeeded = F.coalesce(F.col("_ok"), F.lit(False))
-    outcomes = opened.select("correlation_id", succeeded.alias("succeeded"), F.when(~succeeded, F.lit("no sampling factors resolved")).alias("message"))
+    outcomes = request_outcomes(inp, factors)
     new_requests = CT.close_requests(inp.requests, outcomes)
     new_requests.write.mode(status_mode).parquet(requests_out)
     if failures_out:

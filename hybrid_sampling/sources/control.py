@@ -82,3 +82,23 @@ def check_prerequisites(stage_status: DataFrame, tables: dict[str, DataFrame], s
         (F.col("_stages_ok") & (F.col("_n") == len(stages)) & tables_ok).alias("passed"),
     )
     return st.unionByName(tb).unionByName(ready)
+
+
+def sampled_keys(sample: DataFrame, keys=("submission_id", "measurement_year")) -> DataFrame:
+    """Submission-years that already have a stored sample."""
+    return sample.select(*keys).distinct()
+
+
+def write_version(df: DataFrame, root: str, version: str) -> None:
+    """Publish a new version of a table as its own partition folder.
+    Readers switch to it only through ``read_current``, and a version folder
+    appears complete (job commit), so the swap is all or nothing. Version
+    names must sort in time order (e.g. a timestamp prefix)."""
+    df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/version={version}")
+
+
+def read_current(spark, root: str) -> DataFrame:
+    """The newest published version (the max version, a scalar subquery)."""
+    t = spark.read.parquet(root)
+    newest = t.agg(F.max("version")).scalar()
+    return t.filter(F.col("version") == newest).drop("version")
