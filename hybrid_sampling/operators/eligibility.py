@@ -126,14 +126,22 @@ def eligible_population(
     period_mode: str = "exact",
     carry=("run_config_id", "organization_id", "shared_group"),
     factors_bound: int | None = None,
+    derive: dict | None = None,
 ) -> DataFrame:
-    """G7 + G8: eligible units (member or visit grain by measure) with their sort attributes."""
+    """G7 + G8: eligible units (member or visit grain by measure) with their sort attributes.
+
+    ``derive`` adds columns (name -> Column over fact and factor columns)
+    before the grain reduction, so a derived key in ``group_cols`` (e.g. a
+    shared sampling unit replacing the measure) is reduced in the same pass.
+    """
     b = non_empty_measure(filter_live(filter_status(base, status_codes)))
     b = hybrid_only(b, classification)
     # only the factor columns the population needs travel with the broadcast
     needed = [c for c in ("product_line", "exclude_emp", "grain", *carry) if c in factors.columns and c not in SCOPE_KEYS and c not in b.columns]
     b = scope(b, factors, carry=list(dict.fromkeys(needed)), factors_bound=factors_bound)
     b = filter_period(b, periods, period_mode)
+    for name, col in (derive or {}).items():
+        b = b.withColumn(name, col)
     # reduce to the grain first: the employee rule and the patient dimension
     # then join units, not every fact row
     keep = [c for c in list(carry) + ["exclude_emp"] if c not in group_cols and c in b.columns]

@@ -28,10 +28,10 @@ from hybrid_sampling.operators.joins import bounded_broadcast, count_bound
 from hybrid_sampling.operators.ranking import rank_population
 from hybrid_sampling.sources import control as CT
 from hybrid_sampling.sources import sinks as SK
-from hybrid_sampling.sources.staging import stage
 
 GROUP = ["submission_id", "product_line", "measure_code", "measurement_year"]
 SHARED = ["submission_id", "product_line", "shared_group", "measurement_year"]
+UNIT_GROUP = ["submission_id", "product_line", "sampling_unit", "measurement_year"]
 UNIT = ["patient_id", "visit_id"]
 
 
@@ -88,32 +88,37 @@ def sample_all(
 ) -> DataFrame:
     """L8 + R1-R4: every group of every request drawn in one plan.
 
-    Measures of a shared group are drawn once on the group's member union with
-    the group's sizes and emitted for each measure; exclusions of one measure
-    spread to its group; then excluded primaries are replaced in order.
-    Output: group keys, units, sampled_as (measure or shared group), ranks,
-    plan columns, list_type, exclusion and replacement columns.
+    Each measure is sampled on its own unless it belongs to a shared group; a
+    shared group is sampled once on its measures' member union with the
+    group's sizes. Both kinds are ranked in one pass, keyed by
+    ``sampling_unit`` (the measure code or the shared group name), then each
+    list is emitted for the measures it serves; exclusions of one measure
+    spread to its group; excluded primaries are replaced in order.
+    Output: group keys, units, sampled_as, ranks, plan columns, list_type,
+    exclusion and replacement columns.
     """
-    pop = E.eligible_population(
-        inp.facts, factors, inp.periods, inp.classification, inp.enrollment, inp.patients, GROUP,
-        period_mode=period_mode, factors_bound=groups_bound,
+    # one unit per member of a shared group (member union), else per measure
+    # and grain: derived before the grain reduction, so one pass builds both
+    unit = F.coalesce(F.col("shared_group"), F.col("measure_code"))
+    grain = F.when(F.col("shared_group").isNotNull(), F.lit("member")).otherwise(F.col("grain"))
+    units = E.eligible_population(
+        inp.facts, factors, inp.periods, inp.classification, inp.enrollment, inp.patients, UNIT_GROUP,
+        period_mode=period_mode, factors_bound=groups_bound, derive={"sampling_unit": unit, "grain": grain},
     )
-    # both ranks below read the eligible population: write it once (also the
-    # audit snapshot of who was eligible)
-    pop = stage(pop, "eligible-population")
-    own = pop.filter(F.col("shared_group").isNull())
-    ranked = rank_population(own, GROUP, num_partitions=num_partitions, groups_bound=groups_bound, size_col="em")
-    per_measure = D.select_sample(D.plan_samples(ranked, factors, GROUP, sizes_bound=groups_bound))
-    per_measure = per_measure.withColumn("sampled_as", F.col("measure_code"))
-
-    shared_pop = R.shared_population(pop, SHARED)
-    shared_ranked = rank_population(shared_pop, SHARED, num_partitions=num_partitions, groups_bound=groups_bound, size_col="em")
-    shared = D.select_sample(D.plan_samples(shared_ranked, R.shared_sizes(factors, SHARED), SHARED, sizes_bound=groups_bound))
-    shared = R.emit_for_measures(shared, inp.measure_meta).withColumn("sampled_as", F.col("shared_group"))
+    ranked = rank_population(units, UNIT_GROUP, num_partitions=num_partitions, groups_bound=groups_bound, size_col="em")
 
+    own_sizes = factors.filter(F.col("shared_group").isNull()).withColumn("sampling_unit", F.col("measure_code"))
+    shared_sizes = R.shared_sizes(factors, SHARED).withColumnRenamed("shared_group", "sampling_unit")
+    sizes = own_sizes.select(*UNIT_GROUP, "mrss", "os_pct", "rand").unionByName(shared_sizes.select(*UNIT_GROUP, "mrss", "os_pct", "rand"))
+    drawn = D.select_sample(D.plan_samples(ranked, sizes, UNIT_GROUP, sizes_bound=groups_bound))
+
+    # which measures each sampling unit serves (metadata: one row per measure)
+    serves = inp.measure_meta.select(
+        F.coalesce(F.col("shared_group"), F.col("measure_code")).alias("sampling_unit"), "measure_code"
+    )
+    drawn = drawn.join(bounded_broadcast(serves), "sampling_unit", "inner").withColumnRenamed("sampling_unit", "sampled_as")
     cols = GROUP + UNIT + ["sampled_as", "population_rank", "sample_order", "list_type", "em", "mrss_actual", "os_actual", "rand"]
-    drawn = R.lists_union(per_measure.select(*cols), shared.select(*cols))
-    flagged = E.flag_exclusions(drawn, R.spread_exclusions(inp.invalid, inp.measure_meta))
+    flagged = E.flag_exclusions(drawn.select(*cols), R.spread_exclusions(inp.invalid, inp.measure_meta))
     return R.replace_excluded(flagged, GROUP)
 
 
