@@ -59,7 +59,8 @@ def spread_exclusions(invalid: DataFrame, groups: DataFrame) -> DataFrame:
 def shared_sizes(factors: DataFrame, group_cols: list[str]) -> DataFrame:
     """One size row per shared group: the member measure with the largest
     MRSS (the lowest rate), then the larger oversampling, then the first code."""
-    f = factors.filter(F.col("shared_group").isNotNull())
+    # a measure without a size cannot set the group's size (nulls would sort first)
+    f = factors.filter(F.col("shared_group").isNotNull() & F.col("mrss").isNotNull())
     pick = F.min(F.struct(-F.col("mrss"), -F.col("os_pct"), F.col("measure_code"), F.col("mrss").alias("m"), F.col("os_pct").alias("o"), F.col("rand").alias("r")))
     agg = f.groupBy(*group_cols).agg(pick.alias("_p"))
     return agg.select(*group_cols, F.col("_p.m").alias("mrss"), F.col("_p.o").alias("os_pct"), F.col("_p.r").alias("rand"))
