@@ -122,11 +122,22 @@ def sample_all(
     return R.replace_excluded(flagged, GROUP)
 
 
-def request_outcomes(inp: Inputs, factors: DataFrame) -> DataFrame:
-    """Per open request: succeeded when it resolved a factor, or when its
-    submission-year was sampled before (sampling runs once per year, S8);
-    otherwise failed with a message."""
+def factor_errors(factors: DataFrame) -> DataFrame:
+    """Requests with a measure that has no RAND value: one row per
+    request with the measures named (an error, never a silent default)."""
+    missing = factors.filter(F.col("rand").isNull())
+    return missing.groupBy("correlation_id").agg(
+        F.concat(F.lit("missing RAND for "), F.array_join(F.array_sort(F.collect_set("measure_code")), ",")).alias("error")
+    )
+
+
+def request_outcomes(inp: Inputs, factors: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+    """Per open request: succeeded when it resolved a factor and has no factor
+    error, or when its submission-year was sampled before (sampling runs once
+    per year, S8); otherwise failed with a message."""
     ok = factors.select("correlation_id").distinct().withColumn("_ok", F.lit(True))
+    if errors is not None:
+        ok = ok.join(errors, "correlation_id", "left_anti")
     opened = RQ.parse_requests(CT.open_requests(inp.requests)).select(
         "correlation_id", F.col("doc.submissionId").alias("submission_id"), F.col("doc.measurementYear").alias("measurement_year")
     )
@@ -136,8 +147,16 @@ def request_outcomes(inp: Inputs, factors: DataFrame) -> DataFrame:
     else:
         opened = opened.withColumn("_done", F.lit(False))
     j = opened.join(ok, "correlation_id", "left")
+    if errors is not None:
+        j = j.join(errors, "correlation_id", "left")
+    else:
+        j = j.withColumn("error", F.lit(None).cast("string"))
     ok_col = F.coalesce(F.col("_ok"), F.lit(False)) | F.coalesce(F.col("_done"), F.lit(False))
-    message = F.when(F.coalesce(F.col("_done"), F.lit(False)), F.lit("already sampled")).when(~ok_col, F.lit("no sampling factors resolved"))
+    message = (
+        F.when(F.coalesce(F.col("_done"), F.lit(False)), F.lit("already sampled"))
+        .when(F.col("error").isNotNull(), F.col("error"))
+        .when(~ok_col, F.lit("no sampling factors resolved"))
+    )
     return j.select("correlation_id", ok_col.alias("succeeded"), message.alias("message"))
 
 
@@ -155,16 +174,20 @@ def run(
     status step runs only after the sample write has committed.
     Returns the new request table (read back).
     """
-    factors = resolve_factors(inp, rate_mode).cache()
+    resolved = resolve_factors(inp, rate_mode)
+    errors = factor_errors(resolved).cache()
+    # requests with a factor error are not sampled at all
+    factors = resolved.join(errors.select("correlation_id"), "correlation_id", "left_anti").cache()
     bound = count_bound(factors)
     final = sample_all(inp, factors, groups_bound=bound)
     carry = factors.select(*GROUP, "run_config_id").dropDuplicates(GROUP)
     out = R.to_output(final.join(bounded_broadcast(carry, bound), GROUP, "left"))
     SK.write_sample(out, sample_root)
-    outcomes = request_outcomes(inp, factors)
+    outcomes = request_outcomes(inp, factors, errors)
     new_requests = CT.close_requests(inp.requests, outcomes)
     new_requests.write.mode(status_mode).parquet(requests_out)
     if failures_out:
         CT.failure_rows(outcomes).write.mode(status_mode).parquet(failures_out)
     factors.unpersist()
+    errors.unpersist()
     return new_requests.sparkSession.read.parquet(requests_out)
