@@ -10,6 +10,9 @@ decimals, are scaled to integers exactly, and every division is an integer
   rand6  = RAND * 1_000_000                              (RAND in [0, 1])
   START  = max(1, half_up(rand6 * N / 1_000_000))
   pos(i) = START + half_up(i * EM / FSS)                 i = 0 .. FSS-1
+
+The largest intermediate is about 2 * EM * FSS (and 2 * RAND6 * N), so 64-bit
+integers hold populations up to 10^9 units per group with samples up to 10^6.
 """
 
 from __future__ import annotations

@@ -1,7 +1,8 @@
 """Eligible population: filters, dimension joins and the documented criteria.
 
-Everything is a DataFrame -> DataFrame step; metadata sides (factors, periods,
-classification, rules) are broadcast behind a size bound, dimension and fact
+Everything is a DataFrame -> DataFrame step; small sides (factors, periods,
+classification, rules) go through ``bounded_broadcast`` (a hint only with a
+proven bound, otherwise Spark's size statistics decide), dimension and fact
 sides join by shuffle. Facts are reduced to the sampling grain (member or
 visit) before they meet the patient dimension.
 """
