@@ -40,9 +40,15 @@ def sample_new_requests(
     stream = reader.parquet(requests_dir)
 
     def one_batch(batch: DataFrame, epoch_id: int) -> None:
-        inp = inputs_for(batch)
-        out = f"{status_root.rstrip('/')}/epoch={epoch_id}"
-        PL.run(inp, sample_root, f"{out}/requests", f"{out}/failures", status_mode="overwrite")
+        # the job reads the batch's requests several times (filter, parse,
+        # outcomes, status version): keep them for the batch's duration
+        batch = batch.persist()
+        try:
+            inp = inputs_for(batch)
+            out = f"{status_root.rstrip('/')}/epoch={epoch_id}"
+            PL.run(inp, sample_root, f"{out}/requests", f"{out}/failures", status_mode="overwrite")
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(one_batch).option(
         "checkpointLocation", checkpoint or f"{shared_dir(spark)}/stream-requests-checkpoint"
