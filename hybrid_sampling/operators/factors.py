@@ -6,7 +6,7 @@ make ``min`` compare text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hybrid_sampling.operators.joins import bounded_broadcast
@@ -102,9 +102,9 @@ def shared_rate(factors: DataFrame, groups: DataFrame, key: str = "correlation_i
     """A5: a measure in a shared-sample group takes the lowest rate of its group
     (within the same request); other measures keep their own rate."""
     f = factors.join(bounded_broadcast(groups.select("measure_code", "shared_group")), "measure_code", "left")
-    low = f.filter(F.col("shared_group").isNotNull()).groupBy(key, "shared_group").agg(F.min("rate").alias("group_rate"))
-    j = f.join(low, [key, "shared_group"], "left")
-    return j.withColumn("shared_rate", F.when(F.col("shared_group").isNull(), F.col("rate")).otherwise(F.col("group_rate"))).drop("group_rate")
+    # one shuffle; a window partition holds one request's measures of one group
+    group_low = F.min("rate").over(Window.partitionBy(key, "shared_group"))
+    return f.withColumn("shared_rate", F.when(F.col("shared_group").isNull(), F.col("rate")).otherwise(group_low))
 
 
 def sampling_factors(
