@@ -497,6 +497,7 @@ tb AS (
     UNION ALL SELECT 'table:size_info', NULL, true
     UNION ALL SELECT 'table:size_bands', NULL, true
     UNION ALL SELECT 'table:rand_values', NULL, true
+    UNION ALL SELECT 'table:base_data', NULL, (SELECT count(*) > 0 FROM orders)
 ),
 ready AS (
     SELECT 'ready' AS check_name, measurement_year,

@@ -299,6 +299,7 @@ def q_prerequisites(spark, sf_dir):
         "size_info": P.size_info(spark),
         "size_bands": P.size_bands(spark),
         "rand_values": P.rand_values(spark),
+        "base_data": P.facts(spark, sf_dir),
     }
     return CT.check_prerequisites(P.stage_status(spark, sf_dir), tables)
 
