@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hybrid_sampling import schemas as SC
 from hybrid_sampling.operators import draw as D
@@ -32,9 +33,21 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def _decimals_as_double(df: DataFrame) -> DataFrame:
+    """Checked outputs show exact decimals as doubles (the same nearest double
+    in Spark and DuckDB), so value hashes do not depend on how a client maps
+    decimal types. Computation inside stays decimal."""
+    cols = [F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name) for f in df.schema.fields]
+    return df.select(*cols)
+
+
 def register(name: str):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return _decimals_as_double(fn(spark, sf_dir))
+
+        query.__name__, query.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = query
         return fn
 
     return deco
