@@ -552,8 +552,8 @@ SQL["event_dates"] = f"""SELECT o.o_custkey AS patient_id, o.o_orderkey AS visit
 FROM orders o"""
 
 
-# ------------------------------------------------------- decimals shown as doubles
-# the checked outputs present exact decimals as doubles (see registry)
+# ------------------------------------------- decimals and dates at the boundary
+# the checked outputs present exact decimals as doubles and dates as ISO text (see registry)
 DECIMAL_COLUMNS = {
     "request_flatten": ("oversampling_rate", "cyar", "pyr"),
     "rates_invert_gate": ("cyar", "pyr", "info_os_pct", "cyar_used", "pyr_used"),
@@ -577,3 +577,14 @@ def _as_double(sql: str, cols) -> str:
 
 for _k, _cols in DECIMAL_COLUMNS.items():
     SQL[_k] = _as_double(SQL[_k], _cols)
+
+# dates are shown as ISO text (yyyy-MM-dd)
+DATE_COLUMNS = {
+    "eligible_member": ("event_date", "date_of_birth"),
+    "eligible_visit": ("event_date",),
+    "event_dates": ("event_date",),
+    "freeze_roundtrip": ("event_date",),
+}
+for _k, _cols in DATE_COLUMNS.items():
+    _repl = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _cols)
+    SQL[_k] = f"SELECT * REPLACE ({_repl}) FROM (\n{SQL[_k]}\n)"

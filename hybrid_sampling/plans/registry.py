@@ -33,18 +33,25 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def _decimals_as_double(df: DataFrame) -> DataFrame:
+def _checked_types(df: DataFrame) -> DataFrame:
     """Checked outputs show exact decimals as doubles (the same nearest double
-    in Spark and DuckDB), so value hashes do not depend on how a client maps
-    decimal types. Computation inside stays decimal."""
-    cols = [F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name) for f in df.schema.fields]
-    return df.select(*cols)
+    in Spark and DuckDB) and dates as ISO text (yyyy-MM-dd in both), so value
+    hashes do not depend on how a client maps those types. Computation inside
+    stays decimal and date."""
+    def show(f):
+        if isinstance(f.dataType, T.DecimalType):
+            return F.col(f.name).cast("double").alias(f.name)
+        if isinstance(f.dataType, T.DateType):
+            return F.col(f.name).cast("string").alias(f.name)
+        return F.col(f.name)
+
+    return df.select(*[show(f) for f in df.schema.fields])
 
 
 def register(name: str):
     def deco(fn: Query) -> Query:
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return _decimals_as_double(fn(spark, sf_dir))
+            return _checked_types(fn(spark, sf_dir))
 
         query.__name__, query.__doc__ = fn.__name__, fn.__doc__
         QUERIES[name] = query
