@@ -70,7 +70,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="shuffle and rank range partitions (size so a partition is ~100-200 MB)")
     a = ap.parse_args(argv)
-    spark = spark or build_session(a.master, shuffle_partitions=a.shuffle_partitions or 200)
+    spark = spark or build_session(a.master, shuffle_partitions=a.shuffle_partitions)
     # run ids sort in time order, so the newest request version is the max
     run_id = a.run_id or time.strftime("%Y%m%d%H%M%S", time.gmtime()) + "-" + uuid.uuid4().hex[:6]
     out = a.out.rstrip("/")

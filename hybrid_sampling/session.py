@@ -8,14 +8,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "hybrid-sampling") -> SparkSession:
-    """Session with the settings the library assumes (ANSI, UTC, AQE, UI off)."""
+def build_session(master: str | None = None, shuffle_partitions: int | None = 8, app: str = "hybrid-sampling") -> SparkSession:
+    """Session with the settings the library assumes (ANSI, UTC, AQE, UI off).
+    ``shuffle_partitions=None`` keeps the cluster's configured value."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = (
-        builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
+        builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.ansi.enabled", "true")
