@@ -55,6 +55,40 @@ class Inputs:
     sample_history: DataFrame | None = None
 
 
+# fixed values: columns each input must provide
+REQUIRED_COLUMNS = {
+    "requests": ("correlation_id", "request_type", "campaign_status", "is_sampling_processed", "json_object"),
+    "size_info": ("measure_code", "product_line", "measurement_year", "sample_size", "oversampling_rate", "cyar", "pyr"),
+    "size_bands": ("measurement_year", "product_line", "rate_floor", "sample_size"),
+    "rand_values": ("measure_code", "measurement_year", "rand"),
+    "product_categories": ("submission_id", "measurement_year"),
+    "classification": ("clinical_measure_id", "classification_value"),
+    "periods": ("reporting_period_id", "period_start", "period_end"),
+    "facts": ("patient_id", "visit_id", "measure_code", "clinical_measure_id", "clinical_status_code", "is_deleted",
+              "run_config_id", "organization_id", "submission_id", "reporting_period_id", "measurement_year", "event_date"),
+    "enrollment": ("patient_id", "submission_id", "is_employee"),
+    "patients": ("patient_id", "last_name", "first_name", "date_of_birth"),
+    "invalid": ("patient_id", "measure_code", "reason"),
+    "measure_meta": ("measure_code", "grain", "shared_group"),
+    "approvals": ("submission_id", "measure_code"),
+    "sample_history": ("submission_id", "measurement_year"),
+}
+
+
+def check_inputs(inp: Inputs) -> None:
+    """Fail before planning when an input lacks a column the job reads."""
+    missing = {}
+    for name, cols in REQUIRED_COLUMNS.items():
+        df = getattr(inp, name)
+        if df is None:
+            continue
+        lack = [c for c in cols if c not in df.columns]
+        if lack:
+            missing[name] = lack
+    if missing:
+        raise ValueError(f"input tables lack columns: {missing}")
+
+
 def requests_to_run(inp: Inputs) -> DataFrame:
     """S7 + S8 + S3 + J1-J5: open requests not sampled before, flattened."""
     req = CT.open_requests(inp.requests)
@@ -174,6 +208,7 @@ def run(
     status step runs only after the sample write has committed.
     Returns the new request table (read back).
     """
+    check_inputs(inp)
     resolved = resolve_factors(inp, rate_mode)
     errors = factor_errors(resolved).cache()
     # requests with a factor error are not sampled at all
