@@ -5,7 +5,8 @@ group to one task; one measure can hold a large share of all members, so the
 rank is computed instead as:
 
 1. range-partition all rows on (group keys, sort order) into P partitions and
-   sort each partition: a large group is spread over many consecutive tasks;
+   sort each partition: a large group is spread over many consecutive tasks
+   (the input is kept while the partitioner samples it, so it is computed once);
 2. tag each row with ``monotonically_increasing_id`` (increasing in sort order
    inside a partition) and its partition id, and write the tagged rows once as
    a staged Parquet table in the shared folder, so that both reads below see
@@ -21,6 +22,7 @@ The order is total (ids break ties), so ranks never depend on input order.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +45,7 @@ def rank_population(
     groups_bound: int | None = None,
     rank_col: str = "population_rank",
     size_col: str | None = "group_size",
+    persist_input: bool = True,
 ) -> DataFrame:
     """Add ``rank_col`` (1..size, bigint) and optionally ``size_col`` per group.
 
@@ -52,16 +55,22 @@ def rank_population(
     order = order if order is not None else population_order()
     n = _partitions(df, num_partitions)
     spec = [F.col(c).asc_nulls_first() for c in group_cols] + list(order)
+    # the range partitioner first samples its input in a separate pass; keep the
+    # input (memory, spilling to disk) so that pass does not recompute the
+    # population's last stage. Released once the tagged rows are staged.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK) if persist_input else df
     # an explicit count (default: spark.sql.shuffle.partitions, the configured
     # parallelism) keeps every core busy; AQE's coalescing would merge small
     # range partitions into a few tasks
     tagged = (
-        df.repartitionByRange(n, *spec)
+        src.repartitionByRange(n, *spec)
         .sortWithinPartitions(*spec)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
     tagged = stage(tagged, "ranked")
+    if persist_input:
+        src.unpersist()
     pieces = tagged.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     by_group = Window.partitionBy(*group_cols)
     earlier = by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
