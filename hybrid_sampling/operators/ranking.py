@@ -5,8 +5,7 @@ group to one task; one measure can hold a large share of all members, so the
 rank is computed instead as:
 
 1. range-partition all rows on (group keys, sort order) into P partitions and
-   sort each partition: a large group is spread over many consecutive tasks
-   (the input is kept while the partitioner samples it, so it is computed once);
+   sort each partition: a large group is spread over many consecutive tasks;
 2. tag each row with ``monotonically_increasing_id`` (increasing in sort order
    inside a partition) and its partition id, and write the tagged rows once as
    a staged Parquet table in the shared folder, so that both reads below see
@@ -45,7 +44,7 @@ def rank_population(
     groups_bound: int | None = None,
     rank_col: str = "population_rank",
     size_col: str | None = "group_size",
-    persist_input: bool = True,
+    persist_input: bool = False,
 ) -> DataFrame:
     """Add ``rank_col`` (1..size, bigint) and optionally ``size_col`` per group.
 
@@ -55,9 +54,11 @@ def rank_population(
     order = order if order is not None else population_order()
     n = _partitions(df, num_partitions)
     spec = [F.col(c).asc_nulls_first() for c in group_cols] + list(order)
-    # the range partitioner first samples its input in a separate pass; keep the
-    # input (memory, spilling to disk) so that pass does not recompute the
-    # population's last stage. Released once the tagged rows are staged.
+    # the range partitioner first samples its input in a separate pass, which
+    # recomputes the input's last stage. ``persist_input`` keeps the input
+    # (memory, spilling to disk) for that pass instead; measured slower on
+    # small inputs (cache build > recompute), so it is opt-in for inputs whose
+    # last stage is an expensive join. Released once the tagged rows are staged.
     src = df.persist(StorageLevel.MEMORY_AND_DISK) if persist_input else df
     # an explicit count (default: spark.sql.shuffle.partitions, the configured
     # parallelism) keeps every core busy; AQE's coalescing would merge small
