@@ -41,7 +41,7 @@ TABLES = {
     "invalid": "invalid_member",
     "measure_meta": "measure_meta",
 }
-OPTIONAL = {"approvals": "os_approval", "sample_history": "sample_history"}
+OPTIONAL = {"approvals": "os_approval", "sample_history": "sample_history", "visit_dates": "visit_date"}
 
 
 def _optional(spark: SparkSession, root: str, name: str):

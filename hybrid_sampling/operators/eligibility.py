@@ -128,12 +128,15 @@ def eligible_population(
     carry=("run_config_id", "organization_id", "shared_group"),
     factors_bound: int | None = None,
     derive: dict | None = None,
+    visit_dates: DataFrame | None = None,
 ) -> DataFrame:
     """G7 + G8: eligible units (member or visit grain by measure) with their sort attributes.
 
     ``derive`` adds columns (name -> Column over fact and factor columns)
     before the grain reduction, so a derived key in ``group_cols`` (e.g. a
     shared sampling unit replacing the measure) is reduced in the same pass.
+    ``visit_dates`` (visit_id, event_date; e.g. discharge dates) gives the
+    event date used in the sort: the earliest per visit, else the fact's own.
     """
     b = non_empty_measure(filter_live(filter_status(base, status_codes)))
     b = hybrid_only(b, classification)
@@ -141,6 +144,10 @@ def eligible_population(
     needed = [c for c in ("product_line", "exclude_emp", "grain", *carry) if c in factors.columns and c not in SCOPE_KEYS and c not in b.columns]
     b = scope(b, factors, carry=list(dict.fromkeys(needed)), factors_bound=factors_bound)
     b = filter_period(b, periods, period_mode)
+    if visit_dates is not None:
+        first = visit_dates.groupBy("visit_id").agg(F.min("event_date").alias("_visit_date"))
+        b = b.join(first, "visit_id", "left")
+        b = b.withColumn("event_date", F.coalesce(F.col("_visit_date"), F.col("event_date"))).drop("_visit_date")
     for name, col in (derive or {}).items():
         b = b.withColumn(name, col)
     # reduce to the grain first: the employee rule and the patient dimension

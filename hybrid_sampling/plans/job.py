@@ -53,6 +53,7 @@ class Inputs:
     measure_meta: DataFrame
     approvals: DataFrame | None = None
     sample_history: DataFrame | None = None
+    visit_dates: DataFrame | None = None
 
 
 # fixed values: columns each input must provide
@@ -72,6 +73,7 @@ REQUIRED_COLUMNS = {
     "measure_meta": ("measure_code", "grain", "shared_group"),
     "approvals": ("submission_id", "measure_code"),
     "sample_history": ("submission_id", "measurement_year"),
+    "visit_dates": ("visit_id", "event_date"),
 }
 
 
@@ -138,6 +140,7 @@ def sample_all(
     units = E.eligible_population(
         inp.facts, factors, inp.periods, inp.classification, inp.enrollment, inp.patients, UNIT_GROUP,
         period_mode=period_mode, factors_bound=groups_bound, derive={"sampling_unit": unit, "grain": grain},
+        visit_dates=inp.visit_dates,
     )
     ranked = rank_population(units, UNIT_GROUP, num_partitions=num_partitions, groups_bound=groups_bound, size_col="em")
 
