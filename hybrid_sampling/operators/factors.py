@@ -94,6 +94,7 @@ def resolve_factors(gated: DataFrame, mode: str = "least", keys: list[str] = FAC
         F.min("pyr_used").alias("min_pyr"),
         F.max("info_sample_size").alias("info_sample_size"),
         F.max("info_os_pct").alias("info_os_pct"),
+        *[F.max(c).alias(c) for c in ("domain_id", "campaign_id") if c in gated.columns],
     )
     return agg.withColumn("rate", combine_rates(F.col("min_cyar"), F.col("min_pyr"), mode).cast("decimal(5,2)"))
 

@@ -86,12 +86,17 @@ def lists_union(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def to_output(final: DataFrame, domain: str = "HEDIS") -> DataFrame:
-    """Output columns with their audit fields."""
+    """Output columns with their audit fields. Campaign and domain come
+    from the request when it names them, else CMP-<submission>-<year> and
+    ``domain``."""
+    default_campaign = F.concat(F.lit("CMP-"), F.col("submission_id").cast("string"), F.lit("-"), F.col("measurement_year").cast("string"))
+    campaign = F.coalesce(F.col("campaign_id"), default_campaign) if "campaign_id" in final.columns else default_campaign
+    dom = F.coalesce(F.col("domain_id"), F.lit(domain)) if "domain_id" in final.columns else F.lit(domain)
     return final.select(
         "submission_id",
-        F.concat(F.lit("CMP-"), F.col("submission_id").cast("string"), F.lit("-"), F.col("measurement_year").cast("string")).alias("campaign_id"),
+        campaign.alias("campaign_id"),
         "run_config_id",
-        F.lit(domain).alias("domain_id"),
+        dom.alias("domain_id"),
         "product_line",
         "measure_code",
         F.col("patient_id").alias("member_id"),

@@ -39,6 +39,8 @@ def flatten_request(parsed: DataFrame, outer: bool = False) -> DataFrame:
         F.col("doc.excludeEmp").cast("int").alias("exclude_emp"),
         F.col("doc.organizationId").alias("organization_id"),
         F.col("doc.runConfigId").alias("run_config_id"),
+        F.col("doc.domainId").alias("domain_id"),
+        F.col("doc.campaignId").alias("campaign_id"),
     )
 
 

@@ -218,7 +218,7 @@ def run(
     factors = resolved.join(errors.select("correlation_id"), "correlation_id", "left_anti").cache()
     bound = count_bound(factors)
     final = sample_all(inp, factors, groups_bound=bound)
-    carry = factors.select(*GROUP, "run_config_id").dropDuplicates(GROUP)
+    carry = factors.select(*GROUP, "run_config_id", "domain_id", "campaign_id").dropDuplicates(GROUP)
     out = R.to_output(final.join(bounded_broadcast(carry, bound), GROUP, "left"))
     SK.write_sample(out, sample_root)
     outcomes = request_outcomes(inp, factors, errors)

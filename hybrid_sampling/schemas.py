@@ -28,6 +28,9 @@ REQUEST_DOCUMENT = T.StructType(
         T.StructField("runConfigId", T.LongType()),
         T.StructField("excludeEmp", T.BooleanType()),
         T.StructField("data", T.ArrayType(MEASURE_GROUP)),
+        # optional: name the output (absent in a document -> null -> defaults)
+        T.StructField("domainId", T.StringType()),
+        T.StructField("campaignId", T.StringType()),
     ]
 )
 SAMPLING_REQUEST = T.StructType(
