@@ -83,7 +83,8 @@ def final_sizes(df: DataFrame, mrss_col: str = "mrss", os_col: str = "os_pct") -
 def attach_rand(df: DataFrame, rand_values: DataFrame, default: str | None = None) -> DataFrame:
     """RAND by measure and year; missing stays null (an error downstream)
     unless a default is opted in."""
-    r = rand_values.select("measure_code", "measurement_year", F.col("rand").cast("decimal(9,6)").alias("rand"))
+    # one value per key even if the table repeats a key (never fan factors out)
+    r = rand_values.groupBy("measure_code", "measurement_year").agg(F.min(F.col("rand").cast("decimal(9,6)")).alias("rand"))
     out = df.join(bounded_broadcast(r), ["measure_code", "measurement_year"], "left")
     if default is not None:
         out = out.withColumn("rand", F.coalesce(F.col("rand"), F.lit(default).cast("decimal(9,6)")))
