@@ -22,27 +22,29 @@ def replace_excluded(flagged: DataFrame, group_cols: list[str], order_col: str =
     replaces_order (sample order of the replaced primary) and, per group,
     shortfall = excluded primaries that found no valid auxiliary.
 
-    One shuffle: every window below is partitioned by the group. The list of
-    holes per group holds at most MRSS values (the drawn primaries).
+    Running counts number holes and valid auxiliaries in one window pass over
+    the drawn sample (partitioned by group, at most FSS rows each); an equi-join
+    on (group, k) pairs them, so the work stays linear in the sample.
     """
     g = Window.partitionBy(*group_cols)
     running = g.orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    excl_p = (F.col("list_type") == PRIMARY) & F.col("is_excluded")
-    valid_a = (F.col("list_type") == AUXILIARY) & ~F.col("is_excluded")
-    f = flagged.withColumn("_holes", F.array_sort(F.collect_list(F.when(excl_p, F.col(order_col))).over(g)))
-    f = f.withColumn("_k", F.sum(F.when(valid_a, 1).otherwise(0)).over(running))
-    f = f.withColumn("_n_aux", F.sum(F.when(valid_a, 1).otherwise(0)).over(g))
-    n_holes = F.size("_holes")
-    f = f.withColumn("replaces_order", F.when(valid_a & (F.col("_k") <= n_holes), F.element_at("_holes", F.col("_k").cast("int"))).cast("bigint"))
+    excl_p = ((F.col("list_type") == PRIMARY) & F.col("is_excluded")).cast("int")
+    valid_a = ((F.col("list_type") == AUXILIARY) & ~F.col("is_excluded")).cast("int")
+    f = flagged.withColumn("_hole", excl_p).withColumn("_fill", valid_a)
+    f = f.withColumn("_k", F.when(F.col("_hole") == 1, F.sum("_hole").over(running)).when(F.col("_fill") == 1, F.sum("_fill").over(running)))
+    f = f.withColumn("_n_holes", F.sum("_hole").over(g)).withColumn("_n_aux", F.sum("_fill").over(g))
+    holes = f.filter(F.col("_hole") == 1).select(*group_cols, "_k", F.col(order_col).alias("replaces_order"))
+    fills = f.withColumn("_k", F.when(F.col("_fill") == 1, F.col("_k")))
+    out = fills.join(holes, group_cols + ["_k"], "left")
     final = (
         F.when(F.col("is_excluded"), EXCLUDED)
         .when(F.col("list_type") == PRIMARY, PRIMARY)
         .when(F.col("replaces_order").isNotNull(), PRIMARY)
         .otherwise(AUXILIARY)
     )
-    f = f.withColumn("final_list", final)
-    f = f.withColumn("shortfall", F.greatest(n_holes - F.col("_n_aux"), F.lit(0)).cast("bigint"))
-    return f.drop("_holes", "_k", "_n_aux")
+    out = out.withColumn("final_list", final)
+    out = out.withColumn("shortfall", F.greatest(F.col("_n_holes") - F.col("_n_aux"), F.lit(0)).cast("bigint"))
+    return out.drop("_hole", "_fill", "_k", "_n_holes", "_n_aux")
 
 
 def spread_exclusions(invalid: DataFrame, groups: DataFrame) -> DataFrame:
