@@ -7,7 +7,8 @@ frozen first (``out/frozen/<run id>``, never overwritten) and sampled only from
 that snapshot; the sample is written partitioned under ``out/sample``, the
 new request table version under ``out/requests/version=<run id>`` (read the
 newest with ``sources.control.read_current``) and failures under
-``out/failures/version=<run id>``. Submission-years already present in
+``out/failures/version=<run id>``, per-group counts under
+``out/summary/version=<run id>``. Submission-years already present in
 ``out/sample`` are not sampled again.
 """
 
@@ -81,5 +82,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
         done = sampled_keys(stored)
         inp.sample_history = done if inp.sample_history is None else inp.sample_history.select(*done.columns).unionByName(done)
     inp.facts = freeze(inp.facts, f"{out}/frozen/{run_id}")
-    run(inp, f"{out}/sample", f"{out}/requests/version={run_id}", f"{out}/failures/version={run_id}", a.rate_mode)
+    run(inp, f"{out}/sample", f"{out}/requests/version={run_id}", f"{out}/failures/version={run_id}", a.rate_mode,
+        summary_out=f"{out}/summary/version={run_id}")
     return run_id

@@ -26,6 +26,7 @@ from hybrid_sampling.operators import request as RQ
 from hybrid_sampling.operators import sizes as SZ
 from hybrid_sampling.operators.joins import bounded_broadcast, count_bound
 from hybrid_sampling.operators.ranking import rank_population
+from hybrid_sampling.schemas import SAMPLE_OUTPUT
 from hybrid_sampling.sources import control as CT
 from hybrid_sampling.sources import sinks as SK
 
@@ -168,6 +169,23 @@ def factor_errors(factors: DataFrame) -> DataFrame:
     )
 
 
+def output_summary(sample: DataFrame) -> DataFrame:
+    """A6 over stored output rows: per group, drawn, primary and auxiliary
+    drawn, excluded, replaced, final primaries and the shortfall against the
+    stored MRSS."""
+    n = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
+    agg = sample.groupBy("domain_id", "campaign_id", *GROUP).agg(
+        F.max("mrss_actual").alias("mrss_actual"),
+        F.count(F.lit(1)).cast("bigint").alias("drawn"),
+        n(F.col("list_type") == D.PRIMARY).alias("primary_drawn"),
+        n(F.col("list_type") == D.AUXILIARY).alias("auxiliary_drawn"),
+        n(F.col("is_excluded")).alias("excluded"),
+        n((F.col("list_type") == D.AUXILIARY) & F.col("is_primary")).alias("replaced"),
+        n(F.col("is_primary")).alias("final_primary"),
+    )
+    return agg.withColumn("shortfall", (F.col("mrss_actual") - F.col("final_primary")).cast("bigint"))
+
+
 def request_outcomes(inp: Inputs, factors: DataFrame, errors: DataFrame | None = None) -> DataFrame:
     """Per open request: succeeded when it resolved a factor and has no factor
     error, or when its submission-year was sampled before (sampling runs once
@@ -204,6 +222,7 @@ def run(
     failures_out: str | None = None,
     rate_mode: str = "least",
     status_mode: str = "errorifexists",
+    summary_out: str | None = None,
 ) -> DataFrame:
     """Whole job: one write of all lists, then the request table's new version.
 
@@ -221,6 +240,13 @@ def run(
     carry = factors.select(*GROUP, "run_config_id", "domain_id", "campaign_id").dropDuplicates(GROUP)
     out = R.to_output(final.join(bounded_broadcast(carry, bound), GROUP, "left"))
     SK.write_sample(out, sample_root)
+    if summary_out:
+        # A6 from the committed sample (read back, this run's groups only):
+        # no second evaluation of the draw
+        written = SK.read_sample(out.sparkSession, sample_root, SAMPLE_OUTPUT)
+        groups = factors.select(*GROUP).distinct()
+        run_rows = written.join(bounded_broadcast(groups, bound), GROUP, "left_semi")
+        output_summary(run_rows).write.mode(status_mode).parquet(summary_out)
     outcomes = request_outcomes(inp, factors, errors)
     new_requests = CT.close_requests(inp.requests, outcomes)
     new_requests.write.mode(status_mode).parquet(requests_out)
