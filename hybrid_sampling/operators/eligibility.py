@@ -248,16 +248,28 @@ def first_reason(invalid: DataFrame, keys: list[str], priority=EXCLUSION_PRIORIT
     return invalid.groupBy(*keys).agg(best.alias("_m")).select(*keys, F.col("_m.reason").alias("exclusion_reason"))
 
 
-def flag_exclusions(units: DataFrame, invalid: DataFrame) -> DataFrame:
+def flag_exclusions(units: DataFrame, invalid: DataFrame, measures_col: str | None = None) -> DataFrame:
     """First exclusion reason per unit, and ``is_excluded``.
 
     ``invalid`` rows with a null measure apply to every measure of the member,
-    the others to their own measure only. Both parts are first reduced to one
-    row per key, so the two left joins never fan the units out.
+    the others to their own measure only, or, with ``measures_col`` (a
+    comma-joined list of the measures a shared sample serves), to every unit
+    whose list holds that measure (R4). Both parts are first reduced to one
+    row per key, so the left joins never fan the units out.
     """
     all_m = first_reason(invalid.filter(F.col("measure_code").isNull()), ["patient_id"]).withColumnRenamed("exclusion_reason", "_r_all")
-    per_m = first_reason(invalid.filter(F.col("measure_code").isNotNull()), ["patient_id", "measure_code"]).withColumnRenamed("exclusion_reason", "_r_m")
-    j = units.join(all_m, "patient_id", "left").join(per_m, ["patient_id", "measure_code"], "left")
+    specific = invalid.filter(F.col("measure_code").isNotNull())
+    j = units.join(all_m, "patient_id", "left")
+    if measures_col is None:
+        per_m = first_reason(specific, ["patient_id", "measure_code"]).withColumnRenamed("exclusion_reason", "_r_m")
+        j = j.join(per_m, ["patient_id", "measure_code"], "left")
+    else:
+        # reasons per (member, measure list): each list has a few measures
+        lists = units.select("patient_id", measures_col).distinct()
+        pairs = lists.withColumn("measure_code", F.explode(F.split(F.col(measures_col), ",")))
+        hits = pairs.join(specific, ["patient_id", "measure_code"], "inner").select("patient_id", measures_col, "reason")
+        per_list = first_reason(hits, ["patient_id", measures_col]).withColumnRenamed("exclusion_reason", "_r_m")
+        j = j.join(per_list, ["patient_id", measures_col], "left")
     pick_m = F.col("_r_all").isNull() | (F.col("_r_m").isNotNull() & (reason_priority("_r_m") < reason_priority("_r_all")))
     j = j.withColumn("exclusion_reason", F.when(pick_m, F.col("_r_m")).otherwise(F.col("_r_all")))
     return j.withColumn("is_excluded", F.col("exclusion_reason").isNotNull()).drop("_r_all", "_r_m")

@@ -94,15 +94,22 @@ def resolve_factors(gated: DataFrame, mode: str = "least", keys: list[str] = FAC
         F.min("pyr_used").alias("min_pyr"),
         F.max("info_sample_size").alias("info_sample_size"),
         F.max("info_os_pct").alias("info_os_pct"),
-        *[F.max(c).alias(c) for c in ("domain_id", "campaign_id") if c in gated.columns],
+        *[F.max(c).alias(c) for c in ("domain_id", "campaign_id", "shared_sample_group") if c in gated.columns],
     )
     return agg.withColumn("rate", combine_rates(F.col("min_cyar"), F.col("min_pyr"), mode).cast("decimal(5,2)"))
 
 
 def shared_rate(factors: DataFrame, groups: DataFrame, key: str = "correlation_id") -> DataFrame:
     """A5: a measure in a shared-sample group takes the lowest rate of its group
-    (within the same request); other measures keep their own rate."""
+    (within the same request); other measures keep their own rate. Groups come
+    from ``groups`` (metadata) unless the request lists its own
+    (``shared_sample_group``), named by its sorted codes joined with '+'."""
     f = factors.join(bounded_broadcast(groups.select("measure_code", "shared_group")), "measure_code", "left")
+    if "shared_sample_group" in f.columns:
+        # a request that names its shared group overrides the metadata groups
+        req = F.col("shared_sample_group")
+        chosen = F.when(F.array_contains(req, F.col("measure_code")), F.array_join(F.array_sort(req), "+"))
+        f = f.withColumn("shared_group", F.when(req.isNotNull(), chosen).otherwise(F.col("shared_group")))
     # one shuffle; a window partition holds one request's measures of one group
     group_low = F.min("rate").over(Window.partitionBy(key, "shared_group"))
     return f.withColumn("shared_rate", F.when(F.col("shared_group").isNull(), F.col("rate")).otherwise(group_low))

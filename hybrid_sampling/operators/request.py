@@ -41,6 +41,7 @@ def flatten_request(parsed: DataFrame, outer: bool = False) -> DataFrame:
         F.col("doc.runConfigId").alias("run_config_id"),
         F.col("doc.domainId").alias("domain_id"),
         F.col("doc.campaignId").alias("campaign_id"),
+        F.col("doc.sharedSampleGroup").alias("shared_sample_group"),
     )
 
 

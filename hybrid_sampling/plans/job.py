@@ -150,13 +150,16 @@ def sample_all(
     sizes = own_sizes.select(*UNIT_GROUP, "mrss", "os_pct", "rand").unionByName(shared_sizes.select(*UNIT_GROUP, "mrss", "os_pct", "rand"))
     drawn = D.select_sample(D.plan_samples(ranked, sizes, UNIT_GROUP, sizes_bound=groups_bound))
 
-    # which measures each sampling unit serves (metadata: one row per measure)
-    serves = inp.measure_meta.select(
-        F.coalesce(F.col("shared_group"), F.col("measure_code")).alias("sampling_unit"), "measure_code"
-    )
-    drawn = drawn.join(bounded_broadcast(serves), "sampling_unit", "inner").withColumnRenamed("sampling_unit", "sampled_as")
-    cols = GROUP + UNIT + ["sampled_as", "population_rank", "sample_order", "list_type", "em", "mrss_actual", "os_actual", "rand"]
-    flagged = E.flag_exclusions(drawn.select(*cols), R.spread_exclusions(inp.invalid, inp.measure_meta))
+    # which measures each sampling unit serves, per request (factor rows; the
+    # groups may come from metadata or from the request itself)
+    keys = ["submission_id", "product_line", "measurement_year", "sampling_unit"]
+    serves = factors.select(*keys[:3], unit.alias("sampling_unit"), "measure_code").distinct()
+    lists = serves.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set("measure_code")), ",").alias("_unit_measures"))
+    serves = serves.join(lists, keys, "inner")
+    drawn = drawn.join(bounded_broadcast(serves, groups_bound), keys, "inner").withColumnRenamed("sampling_unit", "sampled_as")
+    cols = GROUP + UNIT + ["sampled_as", "_unit_measures", "population_rank", "sample_order", "list_type", "em", "mrss_actual", "os_actual", "rand"]
+    # an exclusion in one measure applies to every measure the unit serves
+    flagged = E.flag_exclusions(drawn.select(*cols), inp.invalid, measures_col="_unit_measures").drop("_unit_measures")
     return R.replace_excluded(flagged, GROUP)
 
 

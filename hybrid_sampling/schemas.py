@@ -31,6 +31,8 @@ REQUEST_DOCUMENT = T.StructType(
         # optional: name the output (absent in a document -> null -> defaults)
         T.StructField("domainId", T.StringType()),
         T.StructField("campaignId", T.StringType()),
+        # optional: measures the client wants sampled together (overrides metadata groups)
+        T.StructField("sharedSampleGroup", T.ArrayType(T.StringType())),
     ]
 )
 SAMPLING_REQUEST = T.StructType(
