@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hybrid_sampling.operators import draw as D
@@ -154,12 +154,15 @@ def sample_all(
     # groups may come from metadata or from the request itself)
     keys = ["submission_id", "product_line", "measurement_year", "sampling_unit"]
     serves = factors.select(*keys[:3], unit.alias("sampling_unit"), "measure_code").distinct()
-    lists = serves.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set("measure_code")), ",").alias("_unit_measures"))
-    serves = serves.join(lists, keys, "inner")
     drawn = drawn.join(bounded_broadcast(serves, groups_bound), keys, "inner").withColumnRenamed("sampling_unit", "sampled_as")
-    cols = GROUP + UNIT + ["sampled_as", "_unit_measures", "population_rank", "sample_order", "list_type", "em", "mrss_actual", "os_actual", "rand"]
-    # an exclusion in one measure applies to every measure the unit serves
-    flagged = E.flag_exclusions(drawn.select(*cols), inp.invalid, measures_col="_unit_measures").drop("_unit_measures")
+    cols = GROUP + UNIT + ["sampled_as", "population_rank", "sample_order", "list_type", "em", "mrss_actual", "os_actual", "rand"]
+    flagged = E.flag_exclusions(drawn.select(*cols), inp.invalid)
+    # An exclusion in one measure applies to every measure the unit serves:
+    # the unit's rows (one per measure served) share their first reason
+    same_unit = Window.partitionBy("submission_id", "product_line", "measurement_year", "sampled_as", "patient_id", "visit_id")
+    reason = F.col("exclusion_reason")
+    best = F.min(F.when(reason.isNotNull(), F.struct(E.reason_priority("exclusion_reason").alias("_p"), reason.alias("_r")))).over(same_unit)
+    flagged = flagged.withColumn("exclusion_reason", best["_r"]).withColumn("is_excluded", F.col("exclusion_reason").isNotNull())
     return R.replace_excluded(flagged, GROUP)
 
 
