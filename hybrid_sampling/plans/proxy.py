@@ -45,6 +45,8 @@ MEASURE_META = {
 SUBMISSION_ID, ORGANIZATION_ID, RUN_CONFIG_ID, PRODUCT_LINE = 1, 1, 1, "Commercial"
 # birth date rule: 1940-01-01 + (custkey * 7919) mod 25000 days
 DOB_ORIGIN, DOB_MULT, DOB_MOD = "1940-01-01", 7919, 25000
+# metadata years (sizes, bands, RAND, periods, the proxy submission's factors)
+YEARS = range(1990, 2006)
 # deleted when orderkey mod 20 = 0; employee when custkey mod 50 = 0
 DELETED_MOD, EMPLOYEE_MOD = 20, 50
 # enrollment span per order: order date .. + 120 days
@@ -139,16 +141,17 @@ def measure_sizes(spark: SparkSession) -> DataFrame:
     return local_table(spark, rows, cols)
 
 
-def sampling_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sampling factors of the proxy submission: one row per measure and year
-    present in the facts, with the measure's sizes, RAND, grain and group."""
-    f = facts(spark, sf_dir).select("measure_code", "measurement_year").distinct()
-    out = f.join(F.broadcast(measure_sizes(spark)), "measure_code")
+def sampling_factors(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
+    """Sampling factors of the proxy submission (request metadata): one row per
+    measure and year of the rule's year range, with the measure's sizes, RAND,
+    grain and group. Years without eligible members simply draw nothing.
+    At most ``len(MEASURE_META) * len(YEARS)`` rows."""
+    out = measure_sizes(spark).select("*", F.explode(F.sequence(F.lit(YEARS.start), F.lit(YEARS.stop - 1))).alias("measurement_year"))
     return out.select(
         F.lit(SUBMISSION_ID).cast("bigint").alias("submission_id"),
         F.lit(PRODUCT_LINE).alias("product_line"),
         "measure_code",
-        "measurement_year",
+        F.col("measurement_year").cast("int").alias("measurement_year"),
         F.lit(RUN_CONFIG_ID).cast("bigint").alias("run_config_id"),
         F.lit(ORGANIZATION_ID).cast("bigint").alias("organization_id"),
         "mrss",
@@ -170,7 +173,6 @@ def sampling_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 #   custkey mod 26 (null when custkey mod 13 = 0); excludeEmp when custkey is even;
 #   requests before 1997 are already processed; MACHINERY requests in even years are audits
 PROCESSED_BEFORE_YEAR = 1997
-YEARS = range(1990, 2006)
 SIZE_LINES = ("Commercial", "Medicaid", "Medicare")
 # rate bands (floor percent -> sample size), the same for every year and line
 BANDS = (("95.00", 106), ("90.00", 134), ("0.00", 296))

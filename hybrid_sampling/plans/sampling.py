@@ -2,8 +2,8 @@
 draw -> exclusions -> replacement, and the shared-group draw.
 
 A ``Run`` holds one query's inputs: the factor table (one row per sampling
-group, small by construction) is computed once, cached and counted, and that
-count is the proven bound for every broadcast keyed by group.
+group, request metadata of known size) and that size as the proven bound for
+every broadcast keyed by group.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from hybrid_sampling.operators import draw as D
 from hybrid_sampling.operators import eligibility as E
 from hybrid_sampling.operators import replacement as R
-from hybrid_sampling.operators.joins import count_bound
 from hybrid_sampling.operators.ranking import rank_population
 from hybrid_sampling.plans import proxy as P
 
@@ -30,11 +29,12 @@ class Run:
 
     @cached_property
     def factors(self) -> DataFrame:
-        return P.sampling_factors(self.spark, self.sf_dir).cache()
+        return P.sampling_factors(self.spark, self.sf_dir)
 
-    @cached_property
+    @property
     def groups_bound(self) -> int:
-        return count_bound(self.factors)
+        # request metadata of known size: measures x metadata years
+        return len(P.MEASURE_META) * len(P.YEARS)
 
 
 def population(run: Run) -> DataFrame:
