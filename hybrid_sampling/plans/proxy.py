@@ -344,12 +344,14 @@ def invalid_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     o = table(spark, sf_dir, "orders")
     none = F.lit(None).cast("string")
-    deceased = c.filter(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("patient_id"), none.alias("measure_code"), F.lit("deceased").alias("reason"))
-    hospice = c.filter(F.col("c_custkey") % HOSPICE_MOD == 0).select(F.col("c_custkey").alias("patient_id"), none.alias("measure_code"), F.lit("hospice").alias("reason"))
+    # one customer scan: each member's member-wide reasons as an array, exploded
+    reasons = F.array(F.when(F.col("c_acctbal") < 0, F.lit("deceased")), F.when(F.col("c_custkey") % HOSPICE_MOD == 0, F.lit("hospice")))
+    member_wide = c.select(F.col("c_custkey").alias("patient_id"), F.explode(F.filter(reasons, lambda r: r.isNotNull())).alias("reason"))
+    member_wide = member_wide.select("patient_id", none.alias("measure_code"), "reason")
     err = o.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % DATA_ERROR_MOD == 0)).select(
         F.col("o_custkey").alias("patient_id"), _map("o_orderpriority", MEASURE_OF_PRIORITY).alias("measure_code"), F.lit("data error").alias("reason")
     )
-    return deceased.unionByName(hospice).unionByName(err)
+    return member_wide.unionByName(err)
 
 
 # ------------------------------------------------------------------ control proxies
