@@ -122,6 +122,7 @@ def sample_all(
     groups_bound: int | None = None,
     num_partitions: int | None = None,
     period_mode: str = "exact",
+    status_codes=E.ELIGIBLE_STATUS,
 ) -> DataFrame:
     """L8 + R1-R4: every group of every request drawn in one plan.
 
@@ -140,7 +141,8 @@ def sample_all(
     grain = F.when(F.col("shared_group").isNotNull(), F.lit("member")).otherwise(F.col("grain"))
     units = E.eligible_population(
         inp.facts, factors, inp.periods, inp.classification, inp.enrollment, inp.patients, UNIT_GROUP,
-        period_mode=period_mode, factors_bound=groups_bound, derive={"sampling_unit": unit, "grain": grain},
+        status_codes=status_codes, period_mode=period_mode, factors_bound=groups_bound,
+        derive={"sampling_unit": unit, "grain": grain},
         visit_dates=inp.visit_dates,
     )
     ranked = rank_population(units, UNIT_GROUP, num_partitions=num_partitions, groups_bound=groups_bound, size_col="em")
@@ -229,6 +231,8 @@ def run(
     rate_mode: str = "least",
     status_mode: str = "errorifexists",
     summary_out: str | None = None,
+    period_mode: str = "exact",
+    status_codes=E.ELIGIBLE_STATUS,
 ) -> DataFrame:
     """Whole job: one write of all lists, then the request table's new version.
 
@@ -242,7 +246,7 @@ def run(
     # requests with a factor error are not sampled at all
     factors = resolved.join(errors.select("correlation_id"), "correlation_id", "left_anti").cache()
     bound = count_bound(factors)
-    final = sample_all(inp, factors, groups_bound=bound)
+    final = sample_all(inp, factors, groups_bound=bound, period_mode=period_mode, status_codes=status_codes)
     carry = factors.select(*GROUP, "run_config_id", "domain_id", "campaign_id").dropDuplicates(GROUP)
     out = R.to_output(final.join(bounded_broadcast(carry, bound), GROUP, "left"))
     SK.write_sample(out, sample_root)
