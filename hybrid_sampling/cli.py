@@ -70,6 +70,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
     ap.add_argument("--period-mode", default="exact", choices=["exact", "contains", "start_year"],
                     help="how a reporting period matches the measurement year")
     ap.add_argument("--status-codes", default="1,6,15", help="eligible clinical status codes, comma separated")
+    ap.add_argument("--rand-default", default=None, help="RAND for measures without one (opt-in; else the request fails)")
     ap.add_argument("--master", default=None)
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="shuffle and rank range partitions (size so a partition is ~100-200 MB)")
@@ -87,5 +88,5 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
     inp.facts = freeze(inp.facts, f"{out}/frozen/{run_id}")
     run(inp, f"{out}/sample", f"{out}/requests/version={run_id}", f"{out}/failures/version={run_id}", a.rate_mode,
         summary_out=f"{out}/summary/version={run_id}", period_mode=a.period_mode,
-        status_codes=tuple(int(x) for x in a.status_codes.split(",") if x.strip()))
+        status_codes=tuple(int(x) for x in a.status_codes.split(",") if x.strip()), rand_default=a.rand_default)
     return run_id

@@ -101,7 +101,7 @@ def requests_to_run(inp: Inputs) -> DataFrame:
     return flat
 
 
-def resolve_factors(inp: Inputs, rate_mode: str = "least") -> DataFrame:
+def resolve_factors(inp: Inputs, rate_mode: str = "least", rand_default: str | None = None) -> DataFrame:
     """One factor row per request and measure with
     mrss, os_pct, fss, rand, grain and shared group."""
     f = FA.sampling_factors(requests_to_run(inp), inp.size_info, inp.product_categories, rate_mode)
@@ -110,7 +110,7 @@ def resolve_factors(inp: Inputs, rate_mode: str = "least") -> DataFrame:
     f = SZ.default_mrss(f)
     f = SZ.check_oversampling(f, inp.approvals)
     f = SZ.final_sizes(f)
-    f = SZ.attach_rand(f, inp.rand_values)
+    f = SZ.attach_rand(f, inp.rand_values, default=rand_default)
     meta = inp.measure_meta.select("measure_code", "grain")
     f = f.join(bounded_broadcast(meta), "measure_code", "left").withColumn("grain", F.coalesce(F.col("grain"), F.lit("member")))
     return f.withColumn("exclude_emp", F.col("exclude_emp") == 1)
@@ -233,6 +233,7 @@ def run(
     summary_out: str | None = None,
     period_mode: str = "exact",
     status_codes=E.ELIGIBLE_STATUS,
+    rand_default: str | None = None,
 ) -> DataFrame:
     """Whole job: one write of all lists, then the request table's new version.
 
@@ -241,7 +242,7 @@ def run(
     Returns the new request table (read back).
     """
     check_inputs(inp)
-    resolved = resolve_factors(inp, rate_mode)
+    resolved = resolve_factors(inp, rate_mode, rand_default)
     errors = factor_errors(resolved).cache()
     # requests with a factor error are not sampled at all
     factors = resolved.join(errors.select("correlation_id"), "correlation_id", "left_anti").cache()
