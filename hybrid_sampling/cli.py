@@ -21,6 +21,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
+from hybrid_sampling.operators import factors as FA
 from hybrid_sampling.plans.job import Inputs, run
 from hybrid_sampling.session import build_session
 from hybrid_sampling.sources.readers import read_parquet
@@ -61,6 +62,10 @@ def load_inputs(spark: SparkSession, root: str) -> Inputs:
     return Inputs(**tables)
 
 
+def _codes(text: str) -> tuple[str, ...]:
+    return tuple(x.strip() for x in text.split(",") if x.strip())
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> str:
     ap = argparse.ArgumentParser(prog="hybrid_sampling")
     ap.add_argument("--tables", required=True)
@@ -71,6 +76,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
                     help="how a reporting period matches the measurement year")
     ap.add_argument("--status-codes", default="1,6,15", help="eligible clinical status codes, comma separated")
     ap.add_argument("--rand-default", default=None, help="RAND for measures without one (opt-in; else the request fails)")
+    ap.add_argument("--inverse-submeasures", default=",".join(FA.INVERSE_SUBMEASURES), help="sub-measures rated as 100 - rate")
+    ap.add_argument("--dropped-submeasures", default=",".join(FA.DROPPED_SUBMEASURES), help="sub-measures left out of rates")
     ap.add_argument("--master", default=None)
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="shuffle and rank range partitions (size so a partition is ~100-200 MB)")
@@ -88,5 +95,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
     inp.facts = freeze(inp.facts, f"{out}/frozen/{run_id}")
     run(inp, f"{out}/sample", f"{out}/requests/version={run_id}", f"{out}/failures/version={run_id}", a.rate_mode,
         summary_out=f"{out}/summary/version={run_id}", period_mode=a.period_mode,
-        status_codes=tuple(int(x) for x in a.status_codes.split(",") if x.strip()), rand_default=a.rand_default)
+        status_codes=tuple(int(x) for x in a.status_codes.split(",") if x.strip()), rand_default=a.rand_default,
+        inverse=_codes(a.inverse_submeasures), dropped=_codes(a.dropped_submeasures))
     return run_id

@@ -116,9 +116,15 @@ def shared_rate(factors: DataFrame, groups: DataFrame, key: str = "correlation_i
 
 
 def sampling_factors(
-    requests_flat: DataFrame, info: DataFrame, categories: DataFrame, mode: str = "least"
+    requests_flat: DataFrame,
+    info: DataFrame,
+    categories: DataFrame,
+    mode: str = "least",
+    inverse=INVERSE_SUBMEASURES,
+    dropped=DROPPED_SUBMEASURES,
 ) -> DataFrame:
-    """request rows -> resolved factors, one row per request and measure."""
-    r = drop_product_lines(drop_submeasures(invert_rates(requests_flat)))
+    """request rows -> resolved factors, one row per request and measure.
+    ``inverse`` / ``dropped`` are the sub-measure sets (D12, D13)."""
+    r = drop_product_lines(drop_submeasures(invert_rates(requests_flat, inverse), dropped))
     r = attach_product_category(attach_size_info(r, info), categories)
     return resolve_factors(gate_rates(r), mode)

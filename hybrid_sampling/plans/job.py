@@ -101,10 +101,16 @@ def requests_to_run(inp: Inputs) -> DataFrame:
     return flat
 
 
-def resolve_factors(inp: Inputs, rate_mode: str = "least", rand_default: str | None = None) -> DataFrame:
+def resolve_factors(
+    inp: Inputs,
+    rate_mode: str = "least",
+    rand_default: str | None = None,
+    inverse=FA.INVERSE_SUBMEASURES,
+    dropped=FA.DROPPED_SUBMEASURES,
+) -> DataFrame:
     """One factor row per request and measure with
     mrss, os_pct, fss, rand, grain and shared group."""
-    f = FA.sampling_factors(requests_to_run(inp), inp.size_info, inp.product_categories, rate_mode)
+    f = FA.sampling_factors(requests_to_run(inp), inp.size_info, inp.product_categories, rate_mode, inverse, dropped)
     f = FA.shared_rate(f, inp.measure_meta)
     f = SZ.size_for_rate(f, inp.size_bands, rate_col="shared_rate")
     f = SZ.default_mrss(f)
@@ -234,6 +240,8 @@ def run(
     period_mode: str = "exact",
     status_codes=E.ELIGIBLE_STATUS,
     rand_default: str | None = None,
+    inverse=FA.INVERSE_SUBMEASURES,
+    dropped=FA.DROPPED_SUBMEASURES,
 ) -> DataFrame:
     """Whole job: one write of all lists, then the request table's new version.
 
@@ -242,7 +250,7 @@ def run(
     Returns the new request table (read back).
     """
     check_inputs(inp)
-    resolved = resolve_factors(inp, rate_mode, rand_default)
+    resolved = resolve_factors(inp, rate_mode, rand_default, inverse, dropped)
     errors = factor_errors(resolved).cache()
     # requests with a factor error are not sampled at all
     factors = resolved.join(errors.select("correlation_id"), "correlation_id", "left_anti").cache()
