@@ -23,7 +23,9 @@ file and gives no rows.
 
 from __future__ import annotations
 
+import re
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -122,15 +124,24 @@ class DacFile:
 
 # --- the tokenizer ----------------------------------------------------------------------------------------------
 
-#: Pieces of text whose ids a worker keeps.
-CACHE = 200_000
+#: Tokens of the pre-tokenizer whose ids a worker keeps.
+CACHE = 300_000
+
+# The pre-tokenizer's pattern, its classes spelt out below U+0250, where they are settled.
+_LOW = [chr(c) for c in range(0x250)]
+_L = "".join(c for c in _LOW if unicodedata.category(c)[0] == "L")
+_N = "".join(c for c in _LOW if unicodedata.category(c)[0] == "N")
+_S = "\t\n\v\f\r \x85\xa0"
+_HIGH = re.compile("[^\0-\u024f]")
+_TOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 
 
 class Encoder:
-    """Ids of whole texts from the tokenizers library, which is asked once for each piece that recurs.
+    """Ids of whole texts from the tokenizers library, which is asked once for what recurs.
 
-    The byte-level pre-tokenizer always begins a new token at a single space between two other characters, so
-    a text's ids are those of its pieces between such spaces. Texts with other white space at a space go whole.
+    A text's ids are those of its tokens under the pre-tokenizer's pattern; texts with characters from U+0250
+    on are first cut at single spaces between two other characters, where a token always begins, and their
+    pieces with such characters (or all of a text that has other white space at a space) go to the library.
     """
 
     def __init__(self, path: str):
@@ -139,42 +150,45 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.bytes_of[list(vocabulary.values())] = [len(t) for t in vocabulary]  # a byte a letter
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces, each with the space before it, from one text of all of them."""
-        out, at = {}, 0
-        for at in range(0, len(pieces), 4096):
-            some = pieces[at : at + 4096]
-            got = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
-            ends = np.cumsum([len(p) + 1 for p in some])
-            ids, begins = np.array(got.ids, "<u4"), np.array([a for a, _ in got.offsets])
-            cuts = np.searchsorted(begins, ends)
-            out.update(zip(some, (x.tobytes() for x in np.split(ids, cuts[:-1])), strict=True))
+    def _cut(self, text: str) -> list[str]:
+        """The tokens and pieces of a text."""
+        if not _HIGH.search(text):
+            return _TOKEN.findall(text)
+        own = text.split(" ")
+        if any(not p or p[0].isspace() or p[-1].isspace() for p in own):
+            return [text]
+        own[1:] = [" " + p for p in own[1:]]
+        return [t for p in own for t in ([p] if _HIGH.search(p) else _TOKEN.findall(p))]
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words, each one token that begins with a space, from one text of all of them, cut by bytes."""
+        out = {}
+        for at in range(0, len(words), 4096):
+            some = words[at : at + 4096]
+            ids = np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.cumsum([len(w.encode()) for w in some])
+            cuts = [0, *(4 * np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, "right")).tolist()]
+            raw = ids.tobytes()
+            out.update((w, raw[a:b]) for w, a, b in zip(some, cuts[:-1], cuts[1:], strict=True))
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The little-endian 32-bit ids of each text."""
-        known, parts, odd, new = self.known, [], set(), set()
-        for k, text in enumerate(texts):
-            own = text.split(" ")
-            parts.append(own)
-            missing = set(own).difference(known)
-            if any(not p or p[0].isspace() or p[-1].isspace() for p in missing):
-                odd.add(k)
-            else:
-                new |= missing
-        fresh = self._learn(sorted(new))
-        for p in sorted(new)[: max(CACHE - len(known), 0)]:
-            known[p] = fresh.pop(p)
-        out = []
-        for k, (text, own) in enumerate(zip(texts, parts, strict=True)):
-            if k in odd:
-                out.append(self._whole(text))
-            else:
-                out.append(self._whole(own[0]) + b"".join([known.get(p) or fresh[p] for p in own[1:]]))
+        known, parts = self.known, [self._cut(t) for t in texts]
+        new = set().union(*parts).difference(known)
+        words = sorted(t for t in new if len(t) > 1 and t[0] == " " and t[1] in _L and not _HIGH.search(t))
+        known.update(self._words(words))
+        known.update((t, self._whole(t)) for t in new.difference(words))
+        out = [b"".join(map(known.__getitem__, own)) for own in parts]
+        for t in sorted(new)[: max(len(known) - CACHE, 0)]:
+            del known[t]
         return out
 
 
@@ -217,8 +231,8 @@ def write_dac(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_i
         schema = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("path", pa.string()), ("documents", pa.int64()), ("ids", pa.int64()), ("bytes", pa.int64())])
         coder = encoder(tokenizer)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 1024):
+                some = batch.slice(at, 1024)
                 for i, code in zip(some.column(0).to_pylist(), coder.encode(some.column(1).to_pylist()), strict=True):
                     ids.append(i), codes.append(code + end)
                     held += len(code) // 4 + 1
