@@ -22,8 +22,10 @@ table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -126,18 +128,55 @@ def _unpack(blob: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(np.frombuffer(zlib.decompress(blob), np.uint8).reshape(4, -1).T).view("<u4").ravel(), dtype=np.int64)
 
 
-def repeated_bitmaps(docs: DataFrame, window: int, depth: int, width: int, chunk_words: int) -> list[np.ndarray]:
-    """Pass 1. For each row of the merged sketch a bitmap of the counters that are two or more."""
+@dataclass
+class Sketch:
+    """The merged sketch as far as it is asked: which counters of each row are two or more, in packed slices."""
+
+    name: str
+    depth: int
+    width: int
+    slices: list[tuple[int, int, bytes]]
+
+    def bitmaps(self) -> list[np.ndarray]:
+        """A bitmap for each row; a worker keeps the last one."""
+        if self.name not in _BITMAPS:
+            maps = [np.zeros(self.width // 8, np.uint8) for _ in range(self.depth)]
+            for j, s, blob in self.slices:
+                bits = np.frombuffer(zlib.decompress(blob), np.uint8)
+                maps[j][s * len(bits) : (s + 1) * len(bits)] = bits
+            _BITMAPS.clear()
+            _BITMAPS[self.name] = maps
+        return _BITMAPS[self.name]
+
+
+_BITMAPS: dict[str, list[np.ndarray]] = {}
+
+
+def count_windows(docs: DataFrame, window: int, depth: int, width: int, chunk_words: int) -> Sketch:
+    """Pass 1."""
     part = min(width, _SLICE)
 
-    def count(batches):
-        for c in _chunks(batches, window, chunk_words):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [[] for _ in range(depth)], 0
+
+        def send() -> pa.RecordBatch:
             out = []
-            for j in range(depth):
-                at = np.sort(_counter(c.h1[c.firsts], c.h2[c.firsts], j, width))
+            for j, own in enumerate(held):
+                at = np.sort(np.concatenate(own))
                 cuts = np.searchsorted(at, np.arange(0, width + 1, part, dtype=np.uint64))
                 out += [(j, s, _pack(at[a:b] - np.uint64(s * part))) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*out, strict=True)) or [[], [], []], (pa.int32(), pa.int32(), pa.binary()), strict=True)], ["depth", "slice", "counters"])
+                own.clear()
+            return _batch(out, [("depth", pa.int32()), ("slice", pa.int32()), ("counters", pa.binary())])
+
+        for c in _chunks(batches, window, chunk_words):
+            for j in range(depth):
+                held[j].append(_counter(c.h1[c.firsts], c.h2[c.firsts], j, width))
+            size += len(c.firsts)
+            if size >= 4 * chunk_words:
+                yield send()
+                size = 0
+        if held[0]:
+            yield send()
 
     def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(part, np.uint8)
@@ -145,28 +184,30 @@ def repeated_bitmaps(docs: DataFrame, window: int, depth: int, width: int, chunk
             for blob in batch.column("counters"):
                 at, n = np.unique(_unpack(blob.as_py()), return_counts=True)
                 counts[at] = np.minimum(counts[at] + np.minimum(n, 2), 2)  # two or more is all that is asked
-        bits = np.packbits(counts >= 2, bitorder="little").tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()), pa.array([bits], pa.binary())], ["depth", "slice", "bits"])
+        bits = zlib.compress(np.packbits(counts >= 2, bitorder="little").tobytes(), 1)
+        yield _batch([(key[0].as_py(), key[1].as_py(), bits)], [("depth", pa.int32()), ("slice", pa.int32()), ("bits", pa.binary())])
+
+    sent = docs.mapInArrow(count, "depth int, slice int, counters binary")
+    merged = sent.groupBy("depth", "slice").applyInArrow(merge, "depth int, slice int, bits binary")
+    return Sketch(uuid.uuid4().hex, depth, width, [(r.depth, r.slice, bytes(r.bits)) for r in merged.collect()])  # depth * width bits at most
+
 
-    sketches = docs.mapInArrow(count, "depth int, slice int, counters binary")
-    merged = sketches.groupBy("depth", "slice").applyInArrow(merge, "depth int, slice int, bits binary")
-    maps = [np.zeros(max(width // 8, 1), np.uint8) for _ in range(depth)]
-    for r in merged.collect():  # depth * width bits in all
-        bits = np.frombuffer(r.bits, np.uint8)
-        maps[r.depth][r.slice * (part // 8) : r.slice * (part // 8) + len(bits)] = bits
-    return maps
+def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[] for _ in fields]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields])
 
 
-_CANDIDATES = "bucket long, chunk long, ids binary, windows binary, starts binary"
+_SENT = [("bucket", pa.int64()), ("chunk", pa.int64()), ("ids", pa.binary()), ("windows", pa.binary()), ("starts", pa.binary())]
+_PIECES = [("chunk", pa.int64()), ("ids", pa.binary()), ("starts", pa.binary())]
+_RUNS = [("id", pa.int64()), ("row", pa.int64()), ("runs", pa.binary())]
 
 
-def repeated_windows(docs: DataFrame, window: int, maps: list[np.ndarray], width: int, buckets: int, chunk_words: int) -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int, sketch: Sketch, buckets: int, chunk_words: int) -> DataFrame:
     """Pass 2. (chunk, ids, starts): documents of a chunk and the starts of their repeated windows, in pieces."""
-    shared = docs.sparkSession.sparkContext.broadcast([m.tobytes() for m in maps])
-    depth = len(maps)
+    shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
-    def send(batches):
-        bits = [np.frombuffer(m, np.uint8) for m in shared.value]
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, depth, width = shared.value.bitmaps(), shared.value.depth, shared.value.width
         for c in _chunks(batches, window, chunk_words):
             keep = c.firsts
             for j in range(depth):
@@ -182,7 +223,7 @@ def repeated_windows(docs: DataFrame, window: int, maps: list[np.ndarray], width
                 at = keep[order[cuts[b] : cuts[b + 1]]]
                 docs_in, own = np.unique(c.doc[at], return_inverse=True)
                 out.append((int(b), chunk, c.ids[docs_in].tobytes() + c.rows[docs_in].tobytes(), np.stack((c.h1[at], c.h2[at])).tobytes(), _pair(own, c.start[at])))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["bucket", "chunk", "ids", "windows", "starts"])
+            yield _batch(out, _SENT)
 
     def group(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = [r for b in batches for r in zip(b.column("chunk").to_pylist(), b.column("ids").to_pylist(), b.column("windows").to_pylist(), b.column("starts").to_pylist(), strict=True)]
@@ -203,9 +244,9 @@ def repeated_windows(docs: DataFrame, window: int, maps: list[np.ndarray], width
                 if mine.any():
                     docs_in, new = np.unique(d[0][mine], return_inverse=True)
                     out.append((pieces[k][0], heads[k][:, docs_in].tobytes(), _pair(new, d[1][mine])))
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*out, strict=True)) or [[], [], []], (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["chunk", "ids", "starts"])
+        yield _batch(out, _PIECES)
 
-    sent = docs.mapInArrow(send, _CANDIDATES)
+    sent = docs.mapInArrow(send, "bucket long, chunk long, ids binary, windows binary, starts binary")
     return sent.groupBy("bucket").applyInArrow(group, "chunk long, ids binary, starts binary")
 
 
@@ -234,7 +275,7 @@ def _per_document(pieces: DataFrame, window: int) -> DataFrame:
         ids, starts = ids[:, order], starts[order]
         cuts = np.flatnonzero(np.concatenate((np.ones(min(len(starts), 1), bool), (ids[:, 1:] != ids[:, :-1]).any(axis=0))))
         runs = [covered_runs(np.unique(x), window).astype("<i4").tobytes() for x in np.split(starts, cuts[1:])] if len(starts) else []
-        yield pa.RecordBatch.from_arrays([pa.array(ids[0][cuts], pa.int64()), pa.array(ids[1][cuts], pa.int64()), pa.array(runs, pa.binary())], ["id", "row", "runs"])
+        yield _batch(list(zip(ids[0][cuts].tolist(), ids[1][cuts].tolist(), runs, strict=True)), _RUNS)
 
     return pieces.groupBy("chunk").applyInArrow(gather, "id long, row long, runs binary")
 
@@ -258,8 +299,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # rows of one id are told apart by the hash of their text; ids that are distinct need none
     row = F.lit(0).cast("long") if size.d + size.z == size.n and size.z <= 1 else F.xxhash64("text")
     keyed = rows.select(F.coalesce("id", F.lit(_NULL)).alias("id"), row.alias("row"), "text")
-    maps = repeated_bitmaps(keyed, window, depth, width, chunk_words)
-    pieces = repeated_windows(keyed, window, maps, width, -(-windows // bucket_windows), chunk_words)
+    sketch = count_windows(keyed, window, depth, width, chunk_words)
+    pieces = repeated_windows(keyed, window, sketch, -(-windows // bucket_windows), chunk_words)
     # a chunk and its row are the same text, so repeated rows may report twice: the ranges are merged as a set
     runs = _per_document(pieces, window).groupBy("id", "row").agg(F.collect_set("runs").alias("runs"))
     runs = runs.select(F.col("id").alias("rid"), F.col("row").alias("rrow"), F.col("runs")[0].alias("runs"))
