@@ -2,10 +2,12 @@
 
 Rows with equal texts are one item, weighed by their bytes. A partial partition
 is a list of part sums; the two of largest spread are combined in opposite order
-(largest part to smallest) until one is left. That runs in buckets of at most
-about ``bucket_items`` items; the buckets' results are partial partitions again
-and are combined in the same way, level by level, until one is left. No task and
-no driver holds more than a bucket.
+(largest part to smallest) until one is left. What is differenced are units: an
+item with more than 1 / ``units`` of all bytes stands for itself (so fewer than
+``units`` do), the others are dealt by hash into ``units`` bundles, each as
+indivisible as an item. So there are at most twice ``units`` numbers to difference
+at any size of the input, and they are fine enough to fill the gaps beside the
+largest item.
 
 Defined cases: a null text has no bytes and stands with the empty texts; repeated
 rows are a group; a group larger than a shard's share stays whole; an empty table
@@ -55,46 +57,28 @@ def differencing(sums: list[list[int]], parts: int) -> tuple[list[list[int]], li
     return [[final[k][j] for j in nodes[k]] for k in range(n)], (heap[0][2] if heap else [])
 
 
-def _level(nodes: DataFrame, parts: int, key_type: str) -> DataFrame:
-    """nodes (node, bucket, sums) -> (node, bucket, place): the part of the bucket for each of a node's sums."""
+def kk_partition(items: DataFrame, parts: int, units: int = 8192) -> DataFrame:
+    """items (node, weight, ...; distinct nodes, staged) with the column part."""
+    total = items.agg(F.sum("weight")).first()[0] or 0
+    own, bundle = F.concat(F.lit("item "), F.col("node")), F.concat(F.lit("bundle "), F.pmod(F.xxhash64("node"), F.lit(units)).cast("string"))
+    dealt = items.withColumn("unit", F.when(F.col("weight") * units > total, own).otherwise(bundle))
 
     def combine(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("node", ignore_index=True)
-        places, _ = differencing([[int(x) for x in s] for s in pdf["sums"]], parts)
-        return pd.DataFrame({"node": pdf["node"], "bucket": pdf["bucket"], "place": [p[: len(s)] for p, s in zip(places, pdf["sums"], strict=True)]})
+        pdf = pdf.sort_values(["weight", "unit"], ignore_index=True)
+        places, _ = differencing([[int(w)] for w in pdf["weight"]], parts)
+        return pd.DataFrame({"unit": pdf["unit"], "part": [p[0] for p in places]})
 
-    return nodes.groupBy("bucket").applyInPandas(combine, f"node {key_type}, bucket long, place array<int>")
+    sums = dealt.groupBy("unit").agg(F.sum("weight").alias("weight")).withColumn("all", F.lit(0))  # 2 * units rows at most
+    placed = stage(sums.groupBy("all").applyInPandas(combine, "unit string, part int"), "kk-parts")
+    return dealt.join(F.broadcast(placed), "unit").drop("unit")
 
 
-def kk_partition(items: DataFrame, parts: int, bucket_items: int = 8192) -> DataFrame:
-    """items (node string, weight long; distinct nodes) -> (node, part)."""
-    nodes = items.select("node", F.array("weight").alias("sums"))
-    n, levels, key_type = items.count(), [], "string"
-    while True:
-        buckets = -(-n // bucket_items) or 1
-        nodes = nodes.withColumn("bucket", F.pmod(F.xxhash64("node", F.lit(len(levels))), F.lit(buckets)))
-        placed = stage(_level(nodes, parts, key_type), "kk-places")
-        levels.append(placed)
-        if buckets == 1:
-            break
-        sums = nodes.join(placed.drop("bucket"), "node").select("bucket", F.explode(F.arrays_zip("place", "sums")).alias("z"))
-        sums = sums.groupBy("bucket", F.col("z.place").alias("part")).agg(F.sum("z.sums").alias("sum"))
-        row = [F.coalesce(F.max(F.when(F.col("part") == i, F.col("sum"))), F.lit(0)) for i in range(parts)]
-        nodes = stage(sums.groupBy("bucket").agg(F.array(*row).alias("sums")).select(F.col("bucket").alias("node"), "sums"), "kk-nodes")
-        n, key_type = buckets, "long"
-    out = levels[0].select("node", "bucket", F.col("place")[0].alias("part"))
-    for placed in levels[1:]:
-        up = placed.select(F.col("node").alias("bucket"), F.col("bucket").alias("up"), "place")
-        out = out.join(up, "bucket").select("node", F.col("up").alias("bucket"), F.get("place", F.col("part")).alias("part"))
-    return out.select("node", "part")
-
-
-def kk_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", bucket_items: int = 8192, slot_rows: int = 65_536) -> DataFrame:
+def kk_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", units: int = 8192, slot_rows: int = 65_536) -> DataFrame:
     """One row per row of ``docs``: id, size, text_crc32, shard, slot (gapless from 0 in each shard)."""
     text = F.coalesce(docs[text_col], F.lit(""))
     rows = docs.select(docs[id_col].alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.sha2(text, 256).alias("node"))
     items = stage(rows.groupBy("node").agg(F.sum("size").alias("weight"), F.count(F.lit(1)).alias("n")), "kk-items")
-    placed = stage(items.join(kk_partition(items, shards, bucket_items), "node").select("node", "n", F.col("part").alias("shard")), "kk-shards")
+    placed = stage(kk_partition(items, shards, units).select("node", "n", F.col("part").alias("shard")), "kk-shards")
     dealt = attach(rows, placed, "node", "n", F.col("id"))
     # slots: numbered within pieces of a shard, each piece starting where those before it end
     pieces = max(1, -(-(items.agg(F.sum("n")).first()[0] or 0) // (slot_rows * shards)))
