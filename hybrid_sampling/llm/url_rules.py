@@ -67,7 +67,8 @@ def tokens_of(url: Column) -> Column:
 def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6, min_count: int = 20, max_items: int = 10) -> list[tuple[tuple[str, ...], float, float]]:
     """(tokens, confidence, support) of every rule kept. pages (id, url), labels (id, bad boolean)."""
     bad = labels.dropna().groupBy("id").agg(F.max("bad").alias("bad"))
-    known = stage(pages.select("id", tokens_of(F.col("url")).alias("items")).join(bad, "id").filter(F.size("items") > 0), "url-labelled")
+    tokens = pages.select("id", tokens_of(F.col("url")).alias("items")).join(bad, "id").filter(F.size("items") > 0)
+    known = stage(tokens.select("bad", "items", F.monotonically_increasing_id().alias("k")), "url-labelled")  # numbered as written
     total = known.agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad")).first()
     if not total.bad:
         return []
@@ -76,7 +77,7 @@ def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.002,
     # 1 / min_support * (tokens of a URL) frequent ones at most
     gap = F.abs(F.col("b") / total.bad - (F.col("n") - F.col("b")) / max(total.n - total.bad, 1))
     frequent = seen.filter(F.col("n") >= min_support * total.n).select("item", gap.alias("gap"))
-    ranked = known.select("bad", F.monotonically_increasing_id().alias("k"), F.explode("items").alias("item")).join(frequent, "item")
+    ranked = known.select("bad", "k", F.explode("items").alias("item")).join(frequent, "item")
     top = ranked.groupBy("k", "bad").agg(F.slice(F.sort_array(F.collect_list(F.struct("gap", "item")), asc=False), 1, max_items).alias("t"))
     baskets = stage(top.select(F.concat(F.col("t.item"), F.when(F.col("bad"), F.array(F.lit(_LABEL))).otherwise(F.array().cast("array<string>"))).alias("items")), "url-baskets")
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
