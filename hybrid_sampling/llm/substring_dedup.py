@@ -92,13 +92,13 @@ class Chunk:
         sizes = np.array([x.shape[1] for x in own])
         self.ids, self.rows = np.array(ids, np.int64), np.array(rows, np.int64)
         self.h1, self.h2 = np.concatenate(own, axis=1)
+        del own
         self.doc = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
         self.start = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
         _, rank = np.unique(self.ids, return_inverse=True)
-        self.place = (rank[self.doc].astype(np.int64) << 32) | self.start  # orders as (id, start)
-        order, runs = equal_runs(self.h1, self.h2)
-        self.later = self.place > first_of(order, runs, self.place)
-        self.firsts = np.flatnonzero(~self.later)
+        place = (rank[self.doc].astype(np.int64) << 32) | self.start  # orders as (id, start)
+        self.later = place > first_of(*equal_runs(self.h1, self.h2), place)
+        self.firsts = np.flatnonzero(~self.later).astype(np.int32)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], window: int, chunk_words: int) -> Iterator[Chunk]:
@@ -116,7 +116,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], window: int, chunk_words: int) ->
 
 def _counter(h1: np.ndarray, h2: np.ndarray, j: int, width: int) -> np.ndarray:
     """The counter of each window in row ``j`` of the sketch; ``width`` is a power of two."""
-    return (h1 + np.uint64(j) * h2) >> np.uint64(64 - (width.bit_length() - 1))
+    return ((h1 + np.uint64(j) * h2) >> np.uint64(64 - (width.bit_length() - 1))).astype(np.uint32)
 
 
 def _pack(sorted_numbers: np.ndarray) -> bytes:
@@ -157,15 +157,17 @@ def count_windows(docs: DataFrame, window: int, depth: int, width: int, chunk_wo
     part = min(width, _SLICE)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _BITMAPS.clear()  # a worker that has served another sketch
         held, size = [[] for _ in range(depth)], 0
 
         def send() -> pa.RecordBatch:
             out = []
             for j, own in enumerate(held):
-                at = np.sort(np.concatenate(own))
-                cuts = np.searchsorted(at, np.arange(0, width + 1, part, dtype=np.uint64))
-                out += [(j, s, _pack(at[a:b] - np.uint64(s * part))) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+                at = np.concatenate(own)
                 own.clear()
+                at.sort()
+                cuts = np.searchsorted(at, np.arange(0, width + 1, part, dtype=np.uint32))
+                out += [(j, s, _pack(at[a:b] - np.uint32(s * part))) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
             return _batch(out, [("depth", pa.int32()), ("slice", pa.int32()), ("counters", pa.binary())])
 
         for c in _chunks(batches, window, chunk_words):
@@ -212,7 +214,7 @@ def repeated_windows(docs: DataFrame, window: int, sketch: Sketch, buckets: int,
             keep = c.firsts
             for j in range(depth):
                 at = _counter(c.h1[keep], c.h2[keep], j, width)
-                keep = keep[(bits[j][(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+                keep = keep[(bits[j][at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8)) & 1 == 1]
             chunk = xxhash.xxh3_64_intdigest(c.ids.tobytes() + c.rows.tobytes()) >> 1
             at = np.flatnonzero(c.later)
             out = [(-1 - chunk % buckets, chunk, c.ids.tobytes() + c.rows.tobytes(), b"", _pair(c.doc[at], c.start[at]))]
@@ -226,6 +228,7 @@ def repeated_windows(docs: DataFrame, window: int, sketch: Sketch, buckets: int,
             yield _batch(out, _SENT)
 
     def group(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _BITMAPS.clear()
         pieces = [r for b in batches for r in zip(b.column("chunk").to_pylist(), b.column("ids").to_pylist(), b.column("windows").to_pylist(), b.column("starts").to_pylist(), strict=True)]
         if key[0].as_py() < 0:  # what its chunk has settled already
             out = [(k, ids, starts) for k, ids, _, starts in pieces]
