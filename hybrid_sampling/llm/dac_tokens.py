@@ -136,26 +136,49 @@ _HIGH = re.compile("[^\0-\u024f]")
 _TOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 
 
+# The letter that stands for each byte in a byte-level vocabulary (printable bytes for themselves, the others from U+0100 on).
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_LETTERS = {b: chr(b) for b in _PLAIN} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)).difference(_PLAIN)))}
+
+
+class _Ids(dict):
+    """Ids by token. A token missed is asked of the library; one missed again while still remembered is kept."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model, self.recent = tokenizer, tokenizer.model, {}
+
+    def __missing__(self, token: str) -> bytes:
+        ids = self.recent.get(token)
+        if ids is not None:
+            if len(self) < CACHE:
+                self[token] = ids
+            return ids
+        if _HIGH.search(token):  # a piece or a whole text
+            own = self.tokenizer.encode(token, add_special_tokens=False).ids
+        else:
+            own = [t.id for t in self.model.tokenize(token.encode().decode("latin-1").translate(_LETTERS))]
+        ids = struct.pack(f"<{len(own)}I", *own)
+        if len(token) <= 100:
+            if len(self.recent) >= CACHE // 4:
+                self.recent.clear()
+            self.recent[token] = ids
+        return ids
+
+
 class Encoder:
     """Ids of whole texts from the tokenizers library, which is asked once for what recurs.
 
-    A text's ids are those of its tokens under the pre-tokenizer's pattern; texts with characters from U+0250
-    on are first cut at single spaces between two other characters, where a token always begins, and their
-    pieces with such characters (or all of a text that has other white space at a space) go to the library.
+    A text's ids are those of its tokens under the pre-tokenizer's pattern, and the model gives those; texts
+    with characters from U+0250 on are first cut at single spaces between two other characters, where a token always begins, and their
+    pieces with such characters (or all of a text that has other white space at a space) go to the tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        self.bytes_of[list(vocabulary.values())] = [len(t) for t in vocabulary]  # a byte a letter
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.known = _Ids(tokenizer)
 
     def _cut(self, text: str) -> list[str]:
         """The tokens and pieces of a text."""
@@ -167,29 +190,10 @@ class Encoder:
         own[1:] = [" " + p for p in own[1:]]
         return [t for p in own for t in ([p] if _HIGH.search(p) else _TOKEN.findall(p))]
 
-    def _words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words, each one token that begins with a space, from one text of all of them, cut by bytes."""
-        out = {}
-        for at in range(0, len(words), 4096):
-            some = words[at : at + 4096]
-            ids = np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, "<u4")
-            ends = np.cumsum([len(w.encode()) for w in some])
-            cuts = [0, *(4 * np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, "right")).tolist()]
-            raw = ids.tobytes()
-            out.update((w, raw[a:b]) for w, a, b in zip(some, cuts[:-1], cuts[1:], strict=True))
-        return out
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """The little-endian 32-bit ids of each text."""
-        known, parts = self.known, [self._cut(t) for t in texts]
-        new = set().union(*parts).difference(known)
-        words = sorted(t for t in new if len(t) > 1 and t[0] == " " and t[1] in _L and not _HIGH.search(t))
-        known.update(self._words(words))
-        known.update((t, self._whole(t)) for t in new.difference(words))
-        out = [b"".join(map(known.__getitem__, own)) for own in parts]
-        for t in sorted(new)[: max(len(known) - CACHE, 0)]:
-            del known[t]
-        return out
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, self._cut(text))) for text in texts]
 
 
 @lru_cache(maxsize=2)
