@@ -3,9 +3,9 @@
 Grades 0..K-1 follow P(grade <= k) = sigmoid(theta_k - w.x) with one weight vector
 for all thresholds and theta ascending. Features are the words of a text and the
 first five letters of longer words, present or not, by 64-bit hash; those count
-that occur in ``min_docs`` sampled texts and whose presence goes with the grades (chi-square).
-The model is fitted on a sample of at most about ``sample`` labelled rows, chosen
-by hash of the id, and then scores every text. The score is the expected
+that occur in ``min_docs`` sampled texts and whose presence goes with the label (chi-square).
+The model is fitted on the texts of at most about ``sample`` labelled ids, chosen by
+hash of the id, and then scores every text. The score is the expected
 severity, the sum over k of P(grade > k); a text is toxic if P(grade > 0) >= 0.5.
 
 ``labels`` with a 0/1 column become three grades: 0, and the positive rows
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import packed, unpacked
+from .common import packed, stage, unpacked
 
 _WORD = re.compile(r"[^\W\d_]+")
 _PREFIX = 5
@@ -64,17 +64,14 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.theta[None, :] - score[:, None], -60, 60)))
 
 
-def choose_features(rows: list[np.ndarray], positive: np.ndarray, min_docs: int, chi2: float) -> tuple[np.ndarray, np.ndarray]:
-    """Features by support and chi-square against ``positive``, and whether each speaks for it."""
-    keys, at = np.unique(np.concatenate(rows) if rows else np.empty(0, np.int64), return_inverse=True)
-    y = np.repeat(positive, [len(r) for r in rows])
-    n, p = len(rows), int(positive.sum())
-    a = np.bincount(at, y, len(keys))  # with the feature and positive
-    d = np.bincount(at, minlength=len(keys))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        x = n * (a * (n - p) - (d - a) * p) ** 2 / (d * (n - d) * p * (n - p))
-    keep = (d >= min_docs) & (np.nan_to_num(x) >= chi2)
-    return keys[keep], (a * n > d * p)[keep]
+def choose_features(rows: DataFrame, n: int, positive: int, min_docs: int, chi2: float, most: int) -> DataFrame:
+    """rows (y boolean, f array of features) -> (feature, speaks): those with enough support and a chi-square against
+    ``y`` of at least ``chi2`` (the ``most`` with the largest), and whether each speaks for it. Counted where the rows are."""
+    seen = rows.select("y", F.explode("f").alias("feature")).groupBy("feature").agg(F.count(F.lit(1)).alias("d"), F.count_if("y").alias("a"))
+    a, d, n_, p = F.col("a").cast("double"), F.col("d").cast("double"), F.lit(float(n)), F.lit(float(positive))
+    x = F.when(d < n_, n_ * F.pow(a * (n_ - p) - (d - a) * p, F.lit(2.0)) / (d * (n_ - d) * p * (n_ - p)))
+    kept = seen.filter((d >= min_docs) & (x >= chi2)).select("feature", (a * n_ > d * p).alias("speaks"), x.alias("chi2"))
+    return kept.orderBy(F.col("chi2").desc(), "feature").limit(most).select("feature", "speaks")
 
 
 def grades_of(rows: list[np.ndarray], positive: np.ndarray, speaking: np.ndarray) -> np.ndarray:
@@ -123,19 +120,25 @@ def features_udf(texts: pd.Series) -> pd.Series:
     return pd.Series([text_features(t) for t in texts])
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", sample: int = 20_000, min_docs: int = 5, chi2: float = 10.83, seed: int = 5) -> Model:
-    """Fit on at most about ``sample`` labelled rows (``2 * sample`` where ids repeat), chosen by hash of the id."""
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", sample: int = 20_000, min_docs: int = 5, chi2: float = 10.83, max_features: int = 20_000, seed: int = 5) -> Model:
+    """Fit on the texts of at most about ``sample`` labelled ids, chosen by hash of the id."""
     known = labels.select(labels[id_col].alias("lid"), labels[label_col].cast("int").alias("y")).dropna().groupBy("lid").agg(F.max("y").alias("y"))
     share = min(1.0, sample / max(known.count(), 1))
-    chosen = known.filter(F.pmod(F.xxhash64("lid", F.lit(seed)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("lid"))
-    got = rows.limit(2 * sample).select("y", features_udf("text").alias("f")).toArrow()
-    y = got.column("y").to_numpy() > 0
-    own = [np.asarray(x.values, np.int64) for x in got.column("f")]
-    features, speak = choose_features(own, y, min_docs, chi2)
-    if not y.any() or y.all():
+    chosen = known.filter(F.pmod(F.xxhash64("lid", F.lit(seed)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))  # about ``sample`` rows
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("lid"))
+    texts = texts.dropDuplicates(["id", "text"])  # a repeated row is one example
+    rows = stage(texts.select((F.col("y") > 0).alias("y"), features_udf("text").alias("f"), F.monotonically_increasing_id().alias("k")), "toxicity-sample")
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("y").alias("p")).first()
+    if not total.p or total.p == total.n:
         return Model({}, np.full(2, 60.0))
-    return fit_ordinal(own, grades_of(own, y, features[speak]), features, 3)
+    kept = stage(choose_features(rows, total.n, total.p, min_docs, chi2, max_features), "toxicity-features")
+    features = kept.toPandas().sort_values("feature")
+    own = rows.select("k", F.explode("f").alias("feature")).join(F.broadcast(kept.select("feature")), "feature").groupBy("k").agg(F.collect_list("feature").alias("f"))
+    got = rows.select("k", "y").join(own, "k", "left").orderBy("k").toArrow()  # the kept features of the sample
+    y = got.column("y").to_numpy()
+    lists = [np.sort(np.asarray(x.values, np.int64)) if x.is_valid else np.empty(0, np.int64) for x in got.column("f")]
+    keys, speak = features["feature"].to_numpy(np.int64), features["speaks"].to_numpy(bool)
+    return fit_ordinal(lists, grades_of(lists, y, keys[speak]), keys, 3)
 
 
 def score_udf(docs: DataFrame, model: Model):
