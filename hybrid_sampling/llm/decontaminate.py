@@ -102,13 +102,26 @@ class Index:
             slot = lambda c: ((item * 0x9E3779B1 + c * 0x85EBCA77) >> 7) & _SLOTS  # noqa: B023, E731
             held = np.bincount(slot(cell), minlength=_SLOTS + 1)
             enough = held[slot(cell)] + np.maximum(held[slot(cell - 1)], held[slot(cell + 1)]) >= self.least[item]
-            item, diagonal = item[enough], diagonal[enough]
+            at, item, diagonal = at[enough], item[enough], diagonal[enough]
+        order = np.lexsort((diagonal, item))
+        item, diagonal, offset = item[order], diagonal[order], (at[order] - diagonal[order] + self.longest)
+        hits = (item << 40) | diagonal
         band = diagonal // self.width[item]
         key, n = np.unique(np.concatenate(((item << 40) | band, (item << 40) | np.maximum(band - 1, 0))), return_counts=True)
-        item, band = key >> 40, key & ((1 << 40) - 1)
-        for i, b in zip(item[n >= self.least[item]].tolist(), band[n >= self.least[item]].tolist(), strict=True):
-            w = int(self.width[i])
-            yield i, b * w - self.longest, (b + 2) * w - 1 - self.longest
+        key = key[n >= self.least[key >> 40]]
+        for i, b in zip((key >> 40).tolist(), (key & ((1 << 40) - 1)).tolist(), strict=True):
+            w, k = int(self.width[i]), int(self.budget[i])
+            own = slice(*np.searchsorted(hits, ((i << 40) | b * w, (i << 40) | (b + 2) * w)))
+            if self._bound_met(diagonal[own], offset[own], k, int(self.least[i])):
+                yield i, b * w - self.longest, (b + 2) * w - 1 - self.longest
+
+    @staticmethod
+    def _bound_met(diagonal: np.ndarray, offset: np.ndarray, k: int, least: int) -> bool:
+        """The lemma asks for so many q-grams of the item, each counted once, on diagonals at most k apart."""
+        last = np.searchsorted(diagonal, diagonal + k, "right")
+        begins = np.flatnonzero(last - np.arange(len(diagonal)) >= least)
+        begins = begins[np.diff(last[begins], prepend=-1) > 0]  # of those with one end the first holds the others
+        return any(len(np.unique(offset[a : last[a]])) >= least for a in begins)
 
 
 def banded_distance(item: np.ndarray, text: np.ndarray, low: int, high: int, limit: int) -> tuple[int, int, int] | None:
@@ -171,7 +184,8 @@ def matches(index: Index, texts: list[bytes]) -> list[list[tuple[int, int, int,
             for (k, base, data), start in zip(span[first : last + 1], starts[first : last + 1].tolist(), strict=True):
                 if found[k].get(i, (1,))[0] == 0:
                     continue
-                exact = data.find(item, max(low - start, 0), max(high - start + len(item), 0))
+                wide = high - low  # a neighbouring band may hold it whole
+                exact = data.find(item, max(low - wide - start, 0), max(high + wide - start + len(item), 0))
                 if exact >= 0:
                     got = (0, base + exact, len(item))
                 elif d := banded_distance(np.frombuffer(item, np.uint8), np.frombuffer(data, np.uint8), low - start, high - start, int(index.budget[i])):
