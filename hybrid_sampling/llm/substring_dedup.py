@@ -38,6 +38,7 @@ _MUL = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 _NULL = -(1 << 63)
 _SLICE = 1 << 22  # counters of a slice
+_SENT_AT_ONCE = 1 << 22  # windows counted before their counters are sent
 
 
 def _bytes(text: str | None) -> bytes:
@@ -174,7 +175,7 @@ def count_windows(docs: DataFrame, window: int, depth: int, width: int, chunk_wo
             for j in range(depth):
                 held[j].append(_counter(c.h1[c.firsts], c.h2[c.firsts], j, width))
             size += len(c.firsts)
-            if size >= 4 * chunk_words:
+            if size >= _SENT_AT_ONCE:
                 yield send()
                 size = 0
         if held[0]:
@@ -293,7 +294,7 @@ def _cut(text: str | None, runs: bytes | None) -> tuple[int, int, str]:
     return len(words), len(words) - len(kept), b" ".join(kept).decode("utf-8", "surrogatepass")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, depth: int = 2, max_width: int = 1 << 29, chunk_words: int = 1 << 20, bucket_windows: int = 1 << 20, keep_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, depth: int = 2, max_width: int = 1 << 29, chunk_words: int = 1 << 19, bucket_windows: int = 1 << 20, keep_text: bool = True) -> DataFrame:
     """One row per row of ``docs``: id, n_words, n_removed, kept_sha256 and, if asked for, kept_text (single-spaced)."""
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("d"), F.count_if(F.col("id").isNull()).alias("z")).first()
