@@ -2,14 +2,15 @@
 
     python -m hybrid_sampling --tables ROOT --out ROOT [--run-id ID] [--rate-mode least|coalesce]
 
-``--tables`` holds one folder per input table (names below). The facts are
-frozen first (``out/frozen/<run id>``, never overwritten) and sampled only from
-that snapshot; the sample is written partitioned under ``out/sample``, the
+``--tables`` holds one folder per input table (names below). The facts of the
+submission-years asked for are frozen first, once (``out/frozen``, partitioned by
+year and submission, never written again), and sampled only from that snapshot;
+the sample is written partitioned under ``out/sample``, the
 new request table version under ``out/requests/version=<run id>`` (read the
 newest with ``sources.control.read_current``) and failures under
 ``out/failures/version=<run id>``, per-group counts under
-``out/summary/version=<run id>``. Submission-years already present in
-``out/sample`` are not sampled again.
+``out/summary/version=<run id>``. Submission-years (per product line) already
+present in ``out/sample`` are not sampled again.
 """
 
 from __future__ import annotations
@@ -22,11 +23,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from hybrid_sampling.operators import factors as FA
-from hybrid_sampling.plans.job import Inputs, run
+from hybrid_sampling.plans.job import Inputs, opened, run
 from hybrid_sampling.session import build_session
 from hybrid_sampling.sources.readers import read_parquet
-from hybrid_sampling.sources.control import sampled_keys
-from hybrid_sampling.sources.sinks import freeze
+from hybrid_sampling.sources.sinks import freeze_scope
 
 # fixed values: input table folder names
 TABLES = {
@@ -43,7 +43,10 @@ TABLES = {
     "invalid": "invalid_member",
     "measure_meta": "measure_meta",
 }
-OPTIONAL = {"approvals": "os_approval", "sample_history": "sample_history", "visit_dates": "visit_date"}
+OPTIONAL = {
+    "approvals": "os_approval", "sample_history": "sample_history", "visit_dates": "visit_date", "stage_status": "stage_status",
+    "run_configuration": "run_configuration", "source_detail": "source_detail",
+}
 
 
 def _optional(spark: SparkSession, root: str, name: str):
@@ -87,12 +90,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
     run_id = a.run_id or time.strftime("%Y%m%d%H%M%S", time.gmtime()) + "-" + uuid.uuid4().hex[:6]
     out = a.out.rstrip("/")
     inp = load_inputs(spark, a.tables)
-    # once per year across runs: submission-years already in the stored sample
-    stored = _optional(spark, out, "sample")
-    if stored is not None:
-        done = sampled_keys(stored)
-        inp.sample_history = done if inp.sample_history is None else inp.sample_history.select(*done.columns).unionByName(done)
-    inp.facts = freeze(inp.facts, f"{out}/frozen/{run_id}")
+    inp.facts = freeze_scope(inp.facts, f"{out}/frozen", opened(inp), run_id)
     run(inp, f"{out}/sample", f"{out}/requests/version={run_id}", f"{out}/failures/version={run_id}", a.rate_mode,
         summary_out=f"{out}/summary/version={run_id}", period_mode=a.period_mode,
         status_codes=tuple(int(x) for x in a.status_codes.split(",") if x.strip()), rand_default=a.rand_default,

@@ -25,20 +25,22 @@ def plan_samples(
     rand, mrss_actual, os_actual, sample_total, plan_error.
 
     ``counts``: group_cols + em. ``sizes``: size_keys + mrss, os_pct, rand.
-    A group with no size row keeps nulls and gets ``plan_error``.
+    ``sizes`` has one row per ``size_keys``. A group without a usable size row
+    keeps nulls and gets ``plan_error``.
     """
     size_keys = size_keys or group_cols
-    # one size row per group (a request per submission and year, S8); never fan out
-    sz = sizes.select(*size_keys, "mrss", "os_pct", "rand").dropDuplicates(size_keys)
+    sz = sizes.select(*size_keys, "mrss", "os_pct", "rand")
     p = counts.join(bounded_broadcast(sz, sizes_bound), size_keys, "left")
-    em, mrss = F.col("em").cast("bigint"), F.col("mrss").cast("bigint")
-    fss = final_size(mrss, F.col("os_pct"))
-    p = p.withColumn("fss", fss)
-    scenario = F.when(em <= mrss, "A").when(em <= F.col("fss"), "B").when(mrss.isNotNull(), "C")
-    p = p.withColumn("scenario", scenario)
+    em, mrss, rand = F.col("em").cast("bigint"), F.col("mrss").cast("bigint"), F.col("rand")
+    error = size_error(mrss, rand)
+    p = p.withColumn("plan_error", F.when(mrss.isNull() | (mrss <= 0) | (em > final_size(mrss, F.col("os_pct"))), error))
+    # a group in error gets no numbers at all: nothing below divides by its sizes
+    mrss = F.when(F.col("plan_error").isNull(), mrss)
+    p = p.withColumn("fss", final_size(mrss, F.col("os_pct")))
+    p = p.withColumn("scenario", F.when(em <= mrss, "A").when(em <= F.col("fss"), "B").when(mrss.isNotNull(), "C"))
     is_c = F.col("scenario") == "C"
-    p = p.withColumn("n_interval", F.when(is_c, interval_n(em, F.col("fss"))))
-    p = p.withColumn("start_pos", F.when(is_c, start_position(F.col("rand"), F.col("n_interval"))))
+    p = p.withColumn("n_interval", F.when(is_c, interval_n(em, F.when(is_c, F.col("fss")))))
+    p = p.withColumn("start_pos", F.when(is_c, start_position(rand, F.col("n_interval"))))
     p = p.withColumn("mrss_actual", F.least(mrss, em))
     p = p.withColumn(
         "os_actual",
@@ -46,12 +48,19 @@ def plan_samples(
         .when(F.col("scenario") == "B", em - mrss)
         .when(is_c, F.col("fss") - mrss),
     )
-    p = p.withColumn("sample_total", F.when(is_c, F.col("fss")).otherwise(em))
-    p = p.withColumn(
-        "plan_error",
-        F.when(mrss.isNull(), F.lit("missing sample size")).when(is_c & F.col("rand").isNull(), F.lit("missing RAND")),
+    p = p.withColumn("sample_total", F.when(is_c, F.col("fss")).when(F.col("scenario").isNotNull(), em))
+    return p.withColumn("em", em).withColumn("mrss", F.col("mrss").cast("bigint"))
+
+
+def size_error(mrss, rand):
+    """What is wrong with a group's sizes, or null: the sample size must be
+    positive and RAND, where it is needed, in [0, 1]."""
+    return (
+        F.when(mrss.isNull(), F.lit("missing sample size"))
+        .when(mrss <= 0, F.lit("sample size not positive"))
+        .when(rand.isNull(), F.lit("missing RAND"))
+        .when((rand < 0) | (rand > 1), F.lit("RAND outside 0 to 1"))
     )
-    return p.withColumn("em", em).withColumn("mrss", mrss)
 
 
 def sample_positions(plans: DataFrame, group_cols: list[str]) -> DataFrame:
@@ -75,13 +84,3 @@ def select_sample(planned: DataFrame, rank_col: str = "population_rank") -> Data
     order = F.when(F.col("scenario") == "C", pick + 1).otherwise(r)
     p = p.withColumn("sample_order", order.cast("bigint")).filter(F.col("sample_order").isNotNull())
     return p.withColumn("list_type", F.when(F.col("sample_order") <= F.col("mrss_actual"), PRIMARY).otherwise(AUXILIARY))
-
-
-def draw(ranked: DataFrame, plans: DataFrame, group_cols: list[str], groups_bound: int | None = None, rank_col: str = "population_rank") -> DataFrame:
-    """Draw from a ranked population and a separate per-group plan table."""
-    pl = plans.select(
-        *group_cols, "em", "mrss", "fss", "scenario", "start_pos", "mrss_actual", "os_actual", "sample_total", "rand", "plan_error"
-    )
-    j = ranked.drop(*[c for c in pl.columns if c not in group_cols and c in ranked.columns])
-    j = j.join(bounded_broadcast(pl, groups_bound), group_cols, "inner")
-    return select_sample(j, rank_col)

@@ -9,6 +9,8 @@ visit) before they meet the patient dimension.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,9 +43,15 @@ def non_empty_measure(df: DataFrame, col: str = "measure_code") -> DataFrame:
 
 def scope(base: DataFrame, factors: DataFrame, keys: list[str] = SCOPE_KEYS, carry: list[str] | None = None, factors_bound: int | None = None) -> DataFrame:
     """Keep fact rows of the requested run, organization, submission,
-    measure and year, for all measures at once; carries factor columns along."""
+    measure and year, for all measures at once; carries factor columns along.
+
+    Facts that name their product line meet only the factors of that line; others
+    meet those of every requested line, and the member's line decides (see
+    ``eligible_population``). ``factors`` holds one row per line and ``keys``
+    (``factors.split_conflicts`` takes the rest out and reports it)."""
+    keys = keys + [c for c in ("product_line",) if c in base.columns and c in factors.columns]
     carry = carry if carry is not None else [c for c in factors.columns if c not in keys and c not in base.columns]
-    f = factors.select(*keys, *carry).dropDuplicates(keys)
+    f = factors.select(*keys, *[c for c in carry if c not in keys])
     return base.join(bounded_broadcast(f, factors_bound), keys, "inner")
 
 
@@ -58,9 +66,9 @@ def hybrid_only(base: DataFrame, classification: DataFrame, value: str = "Hybrid
     return base.join(bounded_broadcast(h), "clinical_measure_id", "left_semi")
 
 
-def attach_measure(df: DataFrame, meta: DataFrame) -> DataFrame:
+def attach_measure(df: DataFrame, meta: DataFrame, how: str = "inner") -> DataFrame:
     """Measure metadata (grain, shared group)."""
-    return df.join(bounded_broadcast(meta), "measure_code", "inner")
+    return df.join(bounded_broadcast(meta), "measure_code", how)
 
 
 def filter_period(df: DataFrame, periods: DataFrame, mode: str = "exact", year_col: str = "measurement_year") -> DataFrame:
@@ -83,17 +91,19 @@ def filter_period(df: DataFrame, periods: DataFrame, mode: str = "exact", year_c
     return j.filter(cond).drop("period_start", "period_end")
 
 
-def employee_flags(enrollment: DataFrame, keys=("patient_id", "submission_id")) -> DataFrame:
-    """Enrollment reduced to one row per key (E3, D25): employee if any span says so."""
-    return enrollment.groupBy(*keys).agg(F.max(F.coalesce(F.col("is_employee"), F.lit(0))).alias("is_employee"))
+def employees(enrollment: DataFrame, keys=("patient_id", "submission_id")) -> DataFrame:
+    """Members with an employee span (E3, D25): the flag is pushed into the scan, so only employees move."""
+    return enrollment.filter(F.col("is_employee") == 1).select(*keys).distinct()
 
 
 def filter_employee(df: DataFrame, enrollment: DataFrame, flag_col: str = "exclude_emp", keys=("patient_id", "submission_id")) -> DataFrame:
     """With the exclude flag set, keep non-employees (null counts as 0);
     without it keep everyone."""
-    j = df.join(employee_flags(enrollment, keys), list(keys), "left")
-    keep = ~F.coalesce(F.col(flag_col), F.lit(False)) | (F.coalesce(F.col("is_employee"), F.lit(0)) == 0)
-    return j.filter(keep).drop("is_employee")
+    e = employees(enrollment, keys).select(*[F.col(k).alias(f"_e_{k}") for k in keys])
+    hit = F.coalesce(F.col(flag_col), F.lit(False))
+    for k in keys:
+        hit = hit & (F.col(k) == F.col(f"_e_{k}"))
+    return df.join(e, hit, "left_anti")
 
 
 def to_grain(df: DataFrame, group_cols: list[str], grain_col: str = "grain", carry=()) -> DataFrame:
@@ -109,10 +119,19 @@ def attach_patient(df: DataFrame, patients: DataFrame, cols=("last_name", "first
     return df.join(patients.select("patient_id", *cols), "patient_id", "inner")
 
 
-def attach_event_date(df: DataFrame, dates: DataFrame, key: str = "visit_id", date_col: str = "event_date") -> DataFrame:
-    """Earliest visit / discharge date per visit, left-joined."""
-    d = dates.groupBy(key).agg(F.min(date_col).alias(date_col))
-    return df.drop(date_col).join(d, key, "left")
+def attach_visit(df: DataFrame, visits: DataFrame, cols=("facility_id",)) -> DataFrame:
+    """Columns of the visit dimension, left-joined (a unit without a visit, or
+    a visit the dimension lacks, keeps nulls). ``visits`` has one row per visit."""
+    return df.join(visits.select("visit_id", *cols), "visit_id", "left")
+
+
+def attach_event_date(df: DataFrame, dates: DataFrame, key: str = "visit_id", date_col: str = "event_date", keep_own: bool = False) -> DataFrame:
+    """Earliest visit / discharge date per visit, left-joined; with
+    ``keep_own`` a visit without one keeps its own date."""
+    d = dates.groupBy(key).agg(F.min(date_col).alias("_first_date"))
+    j = df.join(d, key, "left")
+    date = F.coalesce(F.col("_first_date"), F.col(date_col)) if keep_own else F.col("_first_date")
+    return j.withColumn(date_col, date).drop("_first_date")
 
 
 def eligible_population(
@@ -145,9 +164,7 @@ def eligible_population(
     b = scope(b, factors, carry=list(dict.fromkeys(needed)), factors_bound=factors_bound)
     b = filter_period(b, periods, period_mode)
     if visit_dates is not None:
-        first = visit_dates.groupBy("visit_id").agg(F.min("event_date").alias("_visit_date"))
-        b = b.join(first, "visit_id", "left")
-        b = b.withColumn("event_date", F.coalesce(F.col("_visit_date"), F.col("event_date"))).drop("_visit_date")
+        b = attach_event_date(b, visit_dates, keep_own=True)
     for name, col in (derive or {}).items():
         b = b.withColumn(name, col)
     # reduce to the grain first: the employee rule and the patient dimension
@@ -155,7 +172,57 @@ def eligible_population(
     keep = [c for c in list(carry) + ["exclude_emp"] if c not in group_cols and c in b.columns]
     g = to_grain(b, group_cols, carry=keep)
     g = filter_employee(g, enrollment)
-    return attach_patient(g, patients)
+    if "product_line" not in patients.columns or "product_line" in base.columns:
+        return attach_patient(g, patients)
+    # the member's own line: each line of a submission draws its members only
+    own = patients.withColumnRenamed("product_line", "_member_line")
+    cols = ("last_name", "first_name", "date_of_birth", "_member_line")
+    return attach_patient(g, own, cols).filter(F.col("_member_line") == F.col("product_line")).drop("_member_line")
+
+
+@dataclass
+class Criteria:
+    """Who may be sampled at all (G1-G6, E15): a criterion that is None is not applied.
+
+    ``rules`` (measure_code, min_age, max_age, rule_gender) goes with ``members``
+    (patient_id, gender); ``spans`` are enrollment spans; ``events`` have
+    ``event_keys``; ``associations`` are the valid ``member_org`` values, with
+    ``members`` naming each member's; ``invalid`` (patient_id, measure_code,
+    reason) are members known to be invalid before the draw.
+    """
+
+    lines: tuple[str, ...] | None = VALID_PRODUCT_LINES
+    members: DataFrame | None = None
+    rules: DataFrame | None = None
+    spans: DataFrame | None = None
+    years: tuple[int, ...] = ()
+    min_months: int = 11
+    allowed_gaps: int = 0
+    events: DataFrame | None = None
+    event_keys: tuple[str, ...] = ("patient_id", "measurement_year")
+    associations: DataFrame | None = None
+    invalid: DataFrame | None = None
+
+
+def apply_criteria(units: DataFrame, c: Criteria) -> DataFrame:
+    """G1-G5 and E15 on eligible units, before anything is counted or ranked."""
+    out = units
+    if c.lines is not None:
+        out = valid_product_line(out, c.lines)
+    if c.invalid is not None:
+        out = exclude(out, c.invalid)
+    if c.members is not None:
+        out = out.join(c.members, "patient_id", "inner")
+        if c.rules is not None:
+            out = age_gender(out, c.rules)
+        if c.associations is not None:
+            out = with_association(out, c.associations, "member_org")
+    if c.spans is not None:
+        months = enrolled_months(c.spans, c.years, min_months=c.min_months, allowed_gaps=c.allowed_gaps)
+        out = out.join(months.filter("is_enrolled").select("patient_id", "measurement_year"), ["patient_id", "measurement_year"], "left_semi")
+    if c.events is not None:
+        out = with_event(out, c.events, c.event_keys)
+    return out.select(*units.columns)
 
 
 def eligible_counts(population: DataFrame, group_cols: list[str]) -> DataFrame:
@@ -184,19 +251,25 @@ def age_gender(df: DataFrame, rules: DataFrame) -> DataFrame:
     return j.withColumn("age", age).filter(ok).drop("min_age", "max_age", "rule_gender")
 
 
-def enrolled_months(spans: DataFrame, key_cols=("patient_id",), min_months: int = 11) -> DataFrame:
-    """Continuous enrollment per member and calendar year.
+def enrolled_months(spans: DataFrame, years, key_cols=("patient_id",), min_months: int = 11, allowed_gaps: int = 0) -> DataFrame:
+    """Continuous enrollment per member and measurement year, for the ``years`` asked.
 
-    Spans are cut at year boundaries, reduced to one span per start day (so a
-    member-year has at most 366 rows), merged into islands (gaps-and-islands:
-    a span starting after the running maximum end + 1 day opens a new island),
-    and the full calendar months inside each island are counted.
+    A span without an end is open. Spans are cut to each year they meet (a row
+    per asked year, whatever the span's length), reduced to one span per start
+    day (so a member-year has at most 366 rows), merged into islands
+    (gaps-and-islands: a span starting after the running maximum end + 1 day
+    opens a new island), and the full calendar months inside each island are
+    counted. Enrolled: at least ``min_months`` of them, in at most
+    ``allowed_gaps`` + 1 islands.
     Output: key_cols, measurement_year, island_count, covered_days,
-    covered_months, is_enrolled (covered_months >= min_months).
+    covered_months, is_enrolled.
     """
     keys = list(key_cols)
-    s = spans.filter(F.col("span_start").isNotNull() & F.col("span_end").isNotNull() & (F.col("span_end") >= F.col("span_start")))
-    s = s.withColumn("measurement_year", F.explode(F.sequence(F.year("span_start"), F.year("span_end"))))
+    s = spans.withColumn("span_end", F.coalesce(F.col("span_end"), F.lit("9999-12-31").cast("date")))
+    s = s.filter(F.col("span_start").isNotNull() & (F.col("span_end") >= F.col("span_start")))
+    asked = F.array(*[F.lit(int(y)) for y in sorted(set(years))]).cast("array<int>")
+    met = F.filter(asked, lambda y: (y >= F.year("span_start")) & (y <= F.year("span_end")))
+    s = s.withColumn("measurement_year", F.explode(met))
     y = F.col("measurement_year")
     s = s.select(
         *keys,
@@ -220,7 +293,7 @@ def enrolled_months(spans: DataFrame, key_cols=("patient_id",), min_months: int
         F.sum("_days").cast("bigint").alias("covered_days"),
         F.sum("_months").cast("bigint").alias("covered_months"),
     )
-    return out.withColumn("is_enrolled", F.col("covered_months") >= min_months)
+    return out.withColumn("is_enrolled", (F.col("covered_months") >= min_months) & (F.col("island_count") <= allowed_gaps + 1))
 
 
 def with_event(df: DataFrame, events: DataFrame, keys=("patient_id",)) -> DataFrame:
@@ -241,26 +314,30 @@ def reason_priority(col: str = "reason", priority=EXCLUSION_PRIORITY):
     return rank.otherwise(len(priority))
 
 
-def first_reason(invalid: DataFrame, keys: list[str], priority=EXCLUSION_PRIORITY) -> DataFrame:
-    """One reason per key: the first in priority order (a min over a struct,
-    partial aggregation, no window)."""
-    best = F.min(F.struct(reason_priority("reason", priority).alias("_r"), F.col("reason").alias("reason")))
-    return invalid.groupBy(*keys).agg(best.alias("_m")).select(*keys, F.col("_m.reason").alias("exclusion_reason"))
+def duplicate_members(members: DataFrame, identity: list[str]) -> DataFrame:
+    """Members that share their whole identity with one of a smaller id, as
+    invalid rows (patient_id, no measure, reason ``duplicate``). A null in the
+    identity matches nothing."""
+    known = members.select("patient_id", *identity).dropna(subset=identity)
+    first = known.groupBy(*identity).agg(F.min("patient_id").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    twice = known.join(first, identity, "inner").filter(F.col("patient_id") > F.col("_first"))
+    return twice.select("patient_id", F.lit(None).cast("string").alias("measure_code"), F.lit("duplicate").alias("reason"))
 
 
 def flag_exclusions(units: DataFrame, invalid: DataFrame) -> DataFrame:
     """First exclusion reason per unit, and ``is_excluded``.
 
     ``invalid`` rows with a null measure apply to every measure of the member,
-    the others to their own measure only. Both parts are first reduced to one
-    row per key, so the two left joins never fan the units out.
+    the others to their own measure only. Units (one row each) meet the rows of
+    their member once; the first reason by priority is a min over a struct, so
+    neither kind of row is aggregated before it is known to matter.
     """
-    all_m = first_reason(invalid.filter(F.col("measure_code").isNull()), ["patient_id"]).withColumnRenamed("exclusion_reason", "_r_all")
-    per_m = first_reason(invalid.filter(F.col("measure_code").isNotNull()), ["patient_id", "measure_code"]).withColumnRenamed("exclusion_reason", "_r_m")
-    j = units.join(all_m, "patient_id", "left").join(per_m, ["patient_id", "measure_code"], "left")
-    pick_m = F.col("_r_all").isNull() | (F.col("_r_m").isNotNull() & (reason_priority("_r_m") < reason_priority("_r_all")))
-    j = j.withColumn("exclusion_reason", F.when(pick_m, F.col("_r_m")).otherwise(F.col("_r_all")))
-    return j.withColumn("is_excluded", F.col("exclusion_reason").isNotNull()).drop("_r_all", "_r_m")
+    i = invalid.select(F.col("patient_id").alias("_i_patient"), F.col("measure_code").alias("_i_measure"), F.col("reason").alias("_i_reason"))
+    hit = (F.col("patient_id") == F.col("_i_patient")) & (F.col("_i_measure").isNull() | (F.col("_i_measure") == F.col("measure_code")))
+    j = units.join(i, hit, "left")
+    best = F.min(F.when(F.col("_i_reason").isNotNull(), F.struct(reason_priority("_i_reason").alias("p"), F.col("_i_reason").alias("r"))))
+    out = j.groupBy(*units.columns).agg(best.alias("_best"))
+    return out.select(*units.columns, F.col("_best.r").alias("exclusion_reason"), F.col("_best").isNotNull().alias("is_excluded"))
 
 
 def exclude(df: DataFrame, invalid: DataFrame) -> DataFrame:

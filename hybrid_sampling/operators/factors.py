@@ -65,10 +65,11 @@ def attach_size_info(req: DataFrame, info: DataFrame) -> DataFrame:
 
 
 def attach_product_category(req: DataFrame, categories: DataFrame) -> DataFrame:
-    """Inner join on submission and year; the right side is made
-    distinct first so it cannot fan rows out."""
-    cat = categories.select("submission_id", "measurement_year").distinct()
-    return req.join(cat, ["submission_id", "measurement_year"], "left_semi")
+    """Keep requests whose submission and year have the product category
+    that the request names; a semi join cannot fan rows out."""
+    keys = ["submission_id", "measurement_year"]
+    cat = categories.select(*keys, F.col("product_category").alias("product_line")).distinct()
+    return req.join(cat, [*keys, "product_line"], "left_semi")
 
 
 def gate_rates(df: DataFrame, pyr_only=PYR_ONLY_MEASURES) -> DataFrame:
@@ -115,6 +116,18 @@ def shared_rate(factors: DataFrame, groups: DataFrame, key: str = "correlation_i
     return f.withColumn("shared_rate", F.when(F.col("shared_group").isNull(), F.col("rate")).otherwise(group_low))
 
 
+def split_conflicts(factors: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Factor rows that alone stand for their sampling group, and per request the
+    measures that more than one row asks for: (factors, conflicts with
+    correlation_id and error). Nothing is picked: each claimant is reported."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    counted = factors.withColumn("_claims", n)
+    clash = counted.filter("_claims > 1").groupBy("correlation_id").agg(
+        F.concat(F.lit("conflicting factors for "), F.array_join(F.array_sort(F.collect_set("measure_code")), ",")).alias("error")
+    )
+    return counted.filter("_claims = 1").drop("_claims"), clash
+
+
 def sampling_factors(
     requests_flat: DataFrame,
     info: DataFrame,

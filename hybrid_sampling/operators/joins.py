@@ -47,7 +47,7 @@ def bounded_broadcast(
     return small
 
 
-def count_bound(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> int:
-    """Row count capped at ``max_rows + 1`` (for tables small by construction,
-    counted once by the caller and reused as a bound)."""
-    return df.limit(max_rows + 1).count()
+def count_bound(df: DataFrame) -> int:
+    """Row count of a table that the caller has kept (one row per sampling
+    group), reused as the bound of every broadcast keyed by group."""
+    return df.count()

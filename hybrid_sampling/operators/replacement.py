@@ -1,5 +1,6 @@
 """After the draw: exclusions, replacement from the auxiliary list, shared
-samples, output columns and counts (R1-R6, A5, A6, U1, U2).
+samples, output columns and counts (R1-R6, A5, A6, U2). The draw labels both
+lists in one pass (U1), so no union is needed.
 
 Windows here are keyed by sampling group over the *drawn* sample, which holds
 at most FSS rows per group (a metadata-bounded size), never the population.
@@ -22,20 +23,18 @@ def replace_excluded(flagged: DataFrame, group_cols: list[str], order_col: str =
     replaces_order (sample order of the replaced primary) and, per group,
     shortfall = excluded primaries that found no valid auxiliary.
 
-    Running counts number holes and valid auxiliaries in one window pass over
-    the drawn sample (partitioned by group, at most FSS rows each); an equi-join
-    on (group, k) pairs them, so the work stays linear in the sample.
+    One window pass over the drawn sample (partitioned by group, at most FSS rows
+    each): a running count numbers the valid auxiliaries, and the k-th takes the
+    k-th of the group's ordered holes. No join, so the sample is read once.
     """
-    g = Window.partitionBy(*group_cols)
-    running = g.orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    excl_p = ((F.col("list_type") == PRIMARY) & F.col("is_excluded")).cast("int")
-    valid_a = ((F.col("list_type") == AUXILIARY) & ~F.col("is_excluded")).cast("int")
-    f = flagged.withColumn("_hole", excl_p).withColumn("_fill", valid_a)
-    f = f.withColumn("_k", F.when(F.col("_hole") == 1, F.sum("_hole").over(running)).when(F.col("_fill") == 1, F.sum("_fill").over(running)))
-    f = f.withColumn("_n_holes", F.sum("_hole").over(g)).withColumn("_n_aux", F.sum("_fill").over(g))
-    holes = f.filter(F.col("_hole") == 1).select(*group_cols, "_k", F.col(order_col).alias("replaces_order"))
-    fills = f.withColumn("_k", F.when(F.col("_fill") == 1, F.col("_k")))
-    out = fills.join(holes, group_cols + ["_k"], "left")
+    g = Window.partitionBy(*group_cols).orderBy(order_col)
+    whole = g.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    running = g.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hole = (F.col("list_type") == PRIMARY) & F.col("is_excluded")
+    fill = (F.col("list_type") == AUXILIARY) & ~F.col("is_excluded")
+    f = flagged.withColumn("_holes", F.collect_list(F.when(hole, F.col(order_col))).over(whole))
+    f = f.withColumn("_k", F.when(fill, F.count_if(fill).over(running)).cast("int")).withColumn("_n_aux", F.count_if(fill).over(whole))
+    out = f.withColumn("replaces_order", F.get("_holes", F.col("_k") - 1)).withColumn("_n_holes", F.size("_holes"))
     final = (
         F.when(F.col("is_excluded"), EXCLUDED)
         .when(F.col("list_type") == PRIMARY, PRIMARY)
@@ -44,7 +43,7 @@ def replace_excluded(flagged: DataFrame, group_cols: list[str], order_col: str =
     )
     out = out.withColumn("final_list", final)
     out = out.withColumn("shortfall", F.greatest(F.col("_n_holes") - F.col("_n_aux"), F.lit(0)).cast("bigint"))
-    return out.drop("_hole", "_fill", "_k", "_n_holes", "_n_aux")
+    return out.drop("_holes", "_k", "_n_holes", "_n_aux")
 
 
 def spread_exclusions(invalid: DataFrame, groups: DataFrame) -> DataFrame:
@@ -81,12 +80,6 @@ def emit_for_measures(shared_sample: DataFrame, groups: DataFrame) -> DataFrame:
     return shared_sample.join(bounded_broadcast(g), "shared_group", "inner")
 
 
-def lists_union(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Union by name of two drawn lists (the draw labels Primary and
-    Auxiliary in one pass; the job unions per-measure and shared-group lists)."""
-    return first.unionByName(second, allowMissingColumns=True)
-
-
 def to_output(final: DataFrame, domain: str = "HEDIS") -> DataFrame:
     """Output columns with their audit fields. Campaign and domain come
     from the request when it names them, else CMP-<submission>-<year> and

@@ -1,19 +1,22 @@
 """The end-to-end sampling job, for every open request in one lazy plan.
 
   requests -> open, not yet sampled -> parse -> flatten -> rates -> sizes
+  -> errors and conflicts set aside, each with its message
   (small side, broadcast behind bounds)
-  frozen facts -> eligibility -> grain -> rank (range-partitioned) -> draw
-  (per measure, and once per shared group for its measures)
+  frozen facts -> eligibility and criteria -> grain -> rank (range-partitioned)
+  -> draw (per measure, and once per shared group for its measures)
   -> exclusions (spread through shared groups) -> replacement -> output
   -> one write of every list -> request table version with statuses
 
-No collect and no per-request or per-measure driver loop: requests, measures
-and groups are rows, so the job is the same for one request or thousands.
+Requests, measures and groups are rows, so the job is the same for one request
+or thousands. Only when that one write fails are the requests run one by one, to
+tell which of them fail.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +32,7 @@ from hybrid_sampling.operators.ranking import rank_population
 from hybrid_sampling.schemas import SAMPLE_OUTPUT
 from hybrid_sampling.sources import control as CT
 from hybrid_sampling.sources import sinks as SK
+from hybrid_sampling.sources.staging import stage
 
 GROUP = ["submission_id", "product_line", "measure_code", "measurement_year"]
 SHARED = ["submission_id", "product_line", "shared_group", "measurement_year"]
@@ -55,6 +59,15 @@ class Inputs:
     approvals: DataFrame | None = None
     sample_history: DataFrame | None = None
     visit_dates: DataFrame | None = None
+    # who may be sampled at all; ``invalid`` is what is found after the draw
+    criteria: E.Criteria | None = None
+    # prerequisites: upstream stages by year, and tables that must not be empty
+    stage_status: DataFrame | None = None
+    required_tables: dict[str, DataFrame] | None = None
+    # run configuration -> source; with ``fact_tables`` the facts come from the tables it names
+    run_configuration: DataFrame | None = None
+    source_detail: DataFrame | None = None
+    fact_tables: dict[str, DataFrame] | None = None
 
 
 # fixed values: columns each input must provide
@@ -63,7 +76,7 @@ REQUIRED_COLUMNS = {
     "size_info": ("measure_code", "product_line", "measurement_year", "sample_size", "oversampling_rate", "cyar", "pyr"),
     "size_bands": ("measurement_year", "product_line", "rate_floor", "sample_size"),
     "rand_values": ("measure_code", "measurement_year", "rand"),
-    "product_categories": ("submission_id", "measurement_year"),
+    "product_categories": ("submission_id", "measurement_year", "product_category"),
     "classification": ("clinical_measure_id", "classification_value"),
     "periods": ("reporting_period_id", "period_start", "period_end"),
     "facts": ("patient_id", "visit_id", "measure_code", "clinical_measure_id", "clinical_status_code", "is_deleted",
@@ -75,6 +88,9 @@ REQUIRED_COLUMNS = {
     "approvals": ("submission_id", "measure_code"),
     "sample_history": ("submission_id", "measurement_year"),
     "visit_dates": ("visit_id", "event_date"),
+    "stage_status": ("stage", "measurement_year", "is_complete"),
+    "run_configuration": ("run_config_id", "source_detail_id"),
+    "source_detail": ("source_detail_id", "table_name"),
 }
 
 
@@ -88,16 +104,31 @@ def check_inputs(inp: Inputs) -> None:
         lack = [c for c in cols if c not in df.columns]
         if lack:
             missing[name] = lack
+    facts = [inp.facts] if inp.fact_tables is None else list(inp.fact_tables.values())
+    if "product_line" not in inp.patients.columns and any("product_line" not in f.columns for f in facts):
+        missing["patients or facts"] = ["product_line"]
     if missing:
         raise ValueError(f"input tables lack columns: {missing}")
 
 
+def opened(inp: Inputs) -> DataFrame:
+    """Every open request with the heads of its document (nulls where it has none)."""
+    doc = RQ.parse_requests(CT.open_requests(inp.requests))
+    return doc.select(
+        "correlation_id",
+        F.col("doc.submissionId").alias("submission_id"),
+        F.col("doc.measurementYear").alias("measurement_year"),
+        F.col("doc.productCategory").alias("product_line"),
+        F.col("doc.runConfigId").alias("run_config_id"),
+    )
+
+
 def requests_to_run(inp: Inputs) -> DataFrame:
     """S7 + S8 + S3 + J1-J5: open requests not sampled before, flattened."""
     req = CT.open_requests(inp.requests)
     flat = RQ.flatten_request(RQ.parse_requests(req))
     if inp.sample_history is not None:
-        flat = CT.not_yet_sampled(flat, inp.sample_history)
+        flat = CT.not_yet_sampled(flat, inp.sample_history, CT.history_keys(inp.sample_history))
     return flat
 
 
@@ -117,11 +148,60 @@ def resolve_factors(
     f = SZ.check_oversampling(f, inp.approvals)
     f = SZ.final_sizes(f)
     f = SZ.attach_rand(f, inp.rand_values, default=rand_default)
-    meta = inp.measure_meta.select("measure_code", "grain")
-    f = f.join(bounded_broadcast(meta), "measure_code", "left").withColumn("grain", F.coalesce(F.col("grain"), F.lit("member")))
+    f = E.attach_measure(f, inp.measure_meta.select("measure_code", "grain"), how="left")
+    f = f.withColumn("grain", F.coalesce(F.col("grain"), F.lit("member")))
     return f.withColumn("exclude_emp", F.col("exclude_emp") == 1)
 
 
+def factor_errors(factors: DataFrame) -> DataFrame:
+    """Requests with a measure whose sizes or RAND cannot be used: what is
+    wrong and the measures named (an error, never a silent default)."""
+    f = factors.withColumn("_wrong", D.size_error(F.col("mrss"), F.col("rand"))).filter(F.col("_wrong").isNotNull())
+    named = F.array_join(F.array_sort(F.collect_set("measure_code")), ",")
+    return f.groupBy("correlation_id", "_wrong").agg(F.concat(F.col("_wrong"), F.lit(" for "), named).alias("error")).select("correlation_id", "error")
+
+
+def split_errors(inp: Inputs, resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Factors that can be sampled, and one row per request in error with all
+    that is wrong with it. A request in error is not sampled at all, and does not
+    count as a claimant of its groups."""
+    heads = opened(inp)
+    found = [RQ.number_errors(requests_to_run(inp)), factor_errors(resolved)]
+    if inp.stage_status is not None:
+        found.append(CT.gate_errors(heads, CT.check_prerequisites(inp.stage_status, inp.required_tables or {})))
+    if inp.run_configuration is not None and inp.source_detail is not None:
+        found.append(CT.source_errors(heads, inp.run_configuration, inp.source_detail))
+    first = reduce(DataFrame.unionByName, found)
+    factors, clash = FA.split_conflicts(resolved.join(first, "correlation_id", "left_anti"), GROUP)
+    all_errors = first.unionByName(clash).groupBy("correlation_id").agg(F.array_join(F.array_sort(F.collect_set("error")), "; ").alias("error"))
+    return factors.join(clash, "correlation_id", "left_anti"), all_errors
+
+
+def source_facts(inp: Inputs, factors: DataFrame) -> DataFrame:
+    """The facts of the run: ``inp.facts``, or each run configuration's rows
+    of the table that it names."""
+    if inp.fact_tables is None:
+        return inp.facts
+    runs = factors.select("run_config_id").distinct()
+    named = CT.resolve_sources(runs, inp.run_configuration, inp.source_detail).select("run_config_id", "table_name").distinct()
+    parts = []
+    for name, df in sorted(inp.fact_tables.items()):
+        own = named.filter(F.col("table_name") == name).select("run_config_id")
+        parts.append(df.join(bounded_broadcast(own), "run_config_id", "left_semi"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def eligible_units(
+    inp: Inputs, facts: DataFrame, factors: DataFrame, groups_bound: int | None = None, period_mode: str = "exact", status_codes=E.ELIGIBLE_STATUS
+) -> DataFrame:
+    """G7/G8 with the criteria of the run: eligible units per measure, as they are counted and ranked."""
+    units = E.eligible_population(
+        facts, factors, inp.periods, inp.classification, inp.enrollment, inp.patients, GROUP,
+        status_codes=status_codes, period_mode=period_mode, factors_bound=groups_bound, visit_dates=inp.visit_dates,
+    )
+    return units if inp.criteria is None else E.apply_criteria(units, inp.criteria)
+
+
 def sample_all(
     inp: Inputs,
     factors: DataFrame,
@@ -145,12 +225,21 @@ def sample_all(
     # and grain: derived before the grain reduction, so one pass builds both
     unit = F.coalesce(F.col("shared_group"), F.col("measure_code"))
     grain = F.when(F.col("shared_group").isNotNull(), F.lit("member")).otherwise(F.col("grain"))
-    units = E.eligible_population(
-        inp.facts, factors, inp.periods, inp.classification, inp.enrollment, inp.patients, UNIT_GROUP,
-        status_codes=status_codes, period_mode=period_mode, factors_bound=groups_bound,
-        derive={"sampling_unit": unit, "grain": grain},
-        visit_dates=inp.visit_dates,
-    )
+    facts = source_facts(inp, factors)
+    if inp.criteria is None:
+        units = E.eligible_population(
+            facts, factors, inp.periods, inp.classification, inp.enrollment, inp.patients, UNIT_GROUP,
+            status_codes=status_codes, period_mode=period_mode, factors_bound=groups_bound,
+            derive={"sampling_unit": unit, "grain": grain},
+            visit_dates=inp.visit_dates,
+        )
+    else:
+        # the criteria are the measure's own: they come before its units join a shared group
+        units = eligible_units(inp, facts, factors, groups_bound, period_mode, status_codes)
+        units = units.withColumn("sampling_unit", unit).withColumn("grain", grain)
+        attrs = ["last_name", "first_name", "date_of_birth"]
+        visit = F.when(F.col("grain") == "visit", F.col("visit_id")).alias("visit_id")
+        units = units.groupBy(*UNIT_GROUP, "grain", "patient_id", visit, *attrs).agg(F.min("event_date").alias("event_date"))
     ranked = rank_population(units, UNIT_GROUP, num_partitions=num_partitions, groups_bound=groups_bound, size_col="em")
 
     own_sizes = factors.filter(F.col("shared_group").isNull()).withColumn("sampling_unit", F.col("measure_code"))
@@ -174,15 +263,6 @@ def sample_all(
     return R.replace_excluded(flagged, GROUP)
 
 
-def factor_errors(factors: DataFrame) -> DataFrame:
-    """Requests with a measure that has no RAND value: one row per
-    request with the measures named (an error, never a silent default)."""
-    missing = factors.filter(F.col("rand").isNull())
-    return missing.groupBy("correlation_id").agg(
-        F.concat(F.lit("missing RAND for "), F.array_join(F.array_sort(F.collect_set("measure_code")), ",")).alias("error")
-    )
-
-
 def output_summary(sample: DataFrame) -> DataFrame:
     """A6 over stored output rows: per group, drawn, primary and auxiliary
     drawn, excluded, replaced, final primaries and the shortfall against the
@@ -200,33 +280,68 @@ def output_summary(sample: DataFrame) -> DataFrame:
     return agg.withColumn("shortfall", (F.col("mrss_actual") - F.col("final_primary")).cast("bigint"))
 
 
-def request_outcomes(inp: Inputs, factors: DataFrame, errors: DataFrame | None = None) -> DataFrame:
-    """Per open request: succeeded when it resolved a factor and has no factor
-    error, or when its submission-year was sampled before (sampling runs once
-    per year, S8); otherwise failed with a message."""
-    ok = factors.select("correlation_id").distinct().withColumn("_ok", F.lit(True))
-    if errors is not None:
-        ok = ok.join(errors, "correlation_id", "left_anti")
-    opened = RQ.parse_requests(CT.open_requests(inp.requests)).select(
-        "correlation_id", F.col("doc.submissionId").alias("submission_id"), F.col("doc.measurementYear").alias("measurement_year")
-    )
+def request_outcomes(inp: Inputs, factors: DataFrame, errors: DataFrame, written: DataFrame) -> DataFrame:
+    """Per open request: correlation_id, succeeded, message.
+
+    It succeeded when a list was written for it (the message then names measures
+    without eligible members), or when its submission-year was sampled before
+    (sampling runs once per year, S8). ``written``: the sampling groups with a list."""
+    lists = factors.select("correlation_id", *GROUP).join(written.select(*GROUP).distinct().withColumn("_list", F.lit(True)), GROUP, "left")
+    none = F.array_sort(F.collect_set(F.when(F.col("_list").isNull(), F.col("measure_code"))))
+    ok = lists.groupBy("correlation_id").agg(F.coalesce(F.bool_or("_list"), F.lit(False)).alias("_ok"), none.alias("_none"))
+    heads = opened(inp)
     if inp.sample_history is not None:
-        done = inp.sample_history.select("submission_id", "measurement_year").distinct().withColumn("_done", F.lit(True))
-        opened = opened.join(done, ["submission_id", "measurement_year"], "left")
-    else:
-        opened = opened.withColumn("_done", F.lit(False))
-    j = opened.join(ok, "correlation_id", "left")
-    if errors is not None:
-        j = j.join(errors, "correlation_id", "left")
+        keys = CT.history_keys(inp.sample_history)
+        done = inp.sample_history.select(*keys).distinct().withColumn("_done", F.lit(True))
+        heads = heads.join(done, keys, "left")
     else:
-        j = j.withColumn("error", F.lit(None).cast("string"))
-    ok_col = F.coalesce(F.col("_ok"), F.lit(False)) | F.coalesce(F.col("_done"), F.lit(False))
+        heads = heads.withColumn("_done", F.lit(None).cast("boolean"))
+    j = heads.join(errors, "correlation_id", "left").join(ok, "correlation_id", "left")
+    done, ok_col = F.coalesce(F.col("_done"), F.lit(False)), F.coalesce(F.col("_ok"), F.lit(False)) & F.col("error").isNull()
     message = (
-        F.when(F.coalesce(F.col("_done"), F.lit(False)), F.lit("already sampled"))
+        F.when(done, F.lit("already sampled"))
         .when(F.col("error").isNotNull(), F.col("error"))
-        .when(~ok_col, F.lit("no sampling factors resolved"))
+        .when(F.col("_none").isNull(), F.lit("no sampling factors resolved"))
+        .when(F.size("_none") > 0, F.concat(F.lit("no eligible members for "), F.array_join("_none", ",")))
     )
-    return j.select("correlation_id", ok_col.alias("succeeded"), message.alias("message"))
+    return j.select("correlation_id", (done | ok_col).alias("succeeded"), message.alias("message"))
+
+
+# fixed value: submissions named in a scan's filter; more of them are left to the scope join
+MAX_NAMED_SUBMISSIONS = 1000
+
+
+def scoped_facts(facts: DataFrame, factors: DataFrame) -> DataFrame:
+    """The years (and submissions) of the run's factors as filters on the fact
+    scan, so that a partitioned snapshot reads only their partitions."""
+    pairs = factors.select("measurement_year", "submission_id").distinct().collect()  # of open requests
+    years, submissions = sorted({p[0] for p in pairs}), sorted({p[1] for p in pairs})
+    out = facts.filter(F.col("measurement_year").isin(years))
+    return out.filter(F.col("submission_id").isin(submissions)) if len(submissions) <= MAX_NAMED_SUBMISSIONS else out
+
+
+def _write_lists(inp: Inputs, factors: DataFrame, sample_root: str, period_mode: str, status_codes) -> None:
+    bound = count_bound(factors)
+    inp = replace(inp, facts=scoped_facts(source_facts(inp, factors), factors), fact_tables=None)
+    final = sample_all(inp, factors, groups_bound=bound, period_mode=period_mode, status_codes=status_codes)
+    carry = factors.select(*GROUP, "run_config_id", "domain_id", "campaign_id")
+    SK.write_sample(R.to_output(final.join(bounded_broadcast(carry, bound), GROUP, "left")), sample_root)
+
+
+def write_lists(inp: Inputs, factors: DataFrame, sample_root: str, period_mode: str, status_codes) -> DataFrame:
+    """Write the lists of all requests in one job. Should that job fail, each
+    request is written by itself: (correlation_id, error) of those that fail."""
+    failed = []
+    try:
+        _write_lists(inp, factors, sample_root, period_mode, status_codes)
+    except Exception:  # whatever it is, the request that it comes from is to be told from the others
+        for r in factors.select("correlation_id").distinct().orderBy("correlation_id").toLocalIterator():
+            try:
+                _write_lists(inp, factors.filter(F.col("correlation_id") == r.correlation_id), sample_root, period_mode, status_codes)
+            except Exception as e:
+                text = (str(e).strip().splitlines() or [type(e).__name__])[0]
+                failed.append((r.correlation_id, f"run failed: {text}"))
+    return factors.sparkSession.createDataFrame(failed, "correlation_id string, error string")
 
 
 def run(
@@ -245,32 +360,40 @@ def run(
 ) -> DataFrame:
     """Whole job: one write of all lists, then the request table's new version.
 
-    A request succeeds when it resolved at least one sampling factor; the
-    status step runs only after the sample write has committed.
-    Returns the new request table (read back).
+    Submission-years (per product line) that ``sample_root`` already holds are
+    not sampled again, whoever calls. The status step runs only after the sample
+    write has committed. Returns the new request table (read back).
     """
     check_inputs(inp)
-    resolved = resolve_factors(inp, rate_mode, rand_default, inverse, dropped)
-    errors = factor_errors(resolved).cache()
-    # requests with a factor error are not sampled at all
-    factors = resolved.join(errors.select("correlation_id"), "correlation_id", "left_anti").cache()
-    bound = count_bound(factors)
-    final = sample_all(inp, factors, groups_bound=bound, period_mode=period_mode, status_codes=status_codes)
-    carry = factors.select(*GROUP, "run_config_id", "domain_id", "campaign_id").dropDuplicates(GROUP)
-    out = R.to_output(final.join(bounded_broadcast(carry, bound), GROUP, "left"))
-    SK.write_sample(out, sample_root)
+    spark = inp.requests.sparkSession
+    stored = SK.read_if_any(spark, sample_root, SAMPLE_OUTPUT)
+    if stored is not None:
+        keys = ["submission_id", "measurement_year", "product_line"]
+        done = stage(stored.select(*keys).distinct(), "sampled-before")  # as it was before this run
+        if inp.sample_history is not None:
+            known = inp.sample_history.select(*CT.history_keys(inp.sample_history)).distinct()
+            if "product_line" not in known.columns:  # all lines of the year
+                lines = opened(inp).select("submission_id", "measurement_year", "product_line").distinct()
+                known = known.join(lines, ["submission_id", "measurement_year"])
+            done = done.unionByName(known.select(*keys)).distinct()
+        inp = replace(inp, sample_history=done)
+    resolved = stage(resolve_factors(inp, rate_mode, rand_default, inverse, dropped), "factors")
+    factors, errors = split_errors(inp, resolved)
+    factors, errors = stage(factors, "factors-to-sample"), stage(errors, "request-errors")
+    if not factors.isEmpty():
+        errors = stage(errors.unionByName(write_lists(inp, factors, sample_root, period_mode, status_codes)), "request-errors")
+        factors = factors.join(errors, "correlation_id", "left_anti")
+    elif stored is None:  # nothing to do: an empty sample all the same
+        SK.write_sample(spark.createDataFrame([], SAMPLE_OUTPUT), sample_root)
+    groups = factors.select(*GROUP).distinct()
+    written = SK.read_if_any(spark, sample_root, SAMPLE_OUTPUT)
+    run_rows = (spark.createDataFrame([], SAMPLE_OUTPUT) if written is None else written).join(bounded_broadcast(groups), GROUP, "left_semi")
     if summary_out:
         # A6 from the committed sample (read back, this run's groups only):
         # no second evaluation of the draw
-        written = SK.read_sample(out.sparkSession, sample_root, SAMPLE_OUTPUT)
-        groups = factors.select(*GROUP).distinct()
-        run_rows = written.join(bounded_broadcast(groups, bound), GROUP, "left_semi")
         output_summary(run_rows).write.mode(status_mode).parquet(summary_out)
-    outcomes = request_outcomes(inp, factors, errors)
-    new_requests = CT.close_requests(inp.requests, outcomes)
-    new_requests.write.mode(status_mode).parquet(requests_out)
+    outcomes = stage(request_outcomes(inp, factors, errors, run_rows.select(*GROUP)), "outcomes")
+    CT.close_requests(inp.requests, outcomes).write.mode(status_mode).parquet(requests_out)
     if failures_out:
         CT.failure_rows(outcomes).write.mode(status_mode).parquet(failures_out)
-    factors.unpersist()
-    errors.unpersist()
-    return new_requests.sparkSession.read.parquet(requests_out)
+    return spark.read.parquet(requests_out)

@@ -165,7 +165,7 @@ flat AS (
 
 META_CTE = """
 lines AS (SELECT * FROM (VALUES ('Commercial'), ('Medicaid'), ('Medicare')) AS l(product_line)),
-years AS (SELECT CAST(range AS INTEGER) AS measurement_year FROM range(1990, 2006)),
+years AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS measurement_year FROM orders),
 info AS (
     SELECT m.measure_code, l.product_line, y.measurement_year, m.sample_size,
         CAST(m.os AS DECIMAL(5,2)) AS oversampling_rate,
@@ -193,7 +193,11 @@ inv AS (
         CASE WHEN clinical_measure_id IN ('HBD2', 'GSD2') AND pyr IS NOT NULL THEN CAST(100 - pyr AS DECIMAL(5,2)) ELSE pyr END AS pyr)
     FROM kept
 ),
-cat AS (SELECT DISTINCT o_custkey AS submission_id, CAST(year(o_orderdate) AS INTEGER) AS measurement_year FROM orders),
+cat AS (
+    SELECT DISTINCT o_custkey AS submission_id, CAST(year(o_orderdate) AS INTEGER) AS measurement_year,
+        CASE WHEN c_custkey % 11 = 0 THEN 'Exchange' ELSE {LINE_CASE} END AS product_category
+    FROM orders JOIN customer ON c_custkey = o_custkey
+),
 gated AS (
     SELECT i.*, info.sample_size AS info_sample_size, info.oversampling_rate AS info_os_pct,
         CASE WHEN info.cyar_flag = 'CYAR' AND i.measure_code <> 'TRC' THEN i.cyar END AS cyar_used,
@@ -201,7 +205,8 @@ gated AS (
     FROM inv i
     LEFT JOIN info ON info.measure_code = i.measure_code AND info.product_line = i.product_line
                   AND info.measurement_year = i.measurement_year
-    WHERE EXISTS (SELECT 1 FROM cat WHERE cat.submission_id = i.submission_id AND cat.measurement_year = i.measurement_year)
+    WHERE EXISTS (SELECT 1 FROM cat WHERE cat.submission_id = i.submission_id AND cat.measurement_year = i.measurement_year
+                  AND cat.product_category = i.product_line)
 ),
 agg AS (
     SELECT correlation_id, product_line, measure_code, oversampling_rate, measurement_year, submission_id,
@@ -319,7 +324,10 @@ SQL["enrolled_months"] = """WITH
 days AS (
     SELECT DISTINCT patient_id, d, CAST(year(d) AS INTEGER) AS measurement_year FROM (
         SELECT patient_id, CAST(base + CAST(k AS INTEGER) AS DATE) AS d FROM (
-            SELECT o_custkey AS patient_id, CAST(o_orderdate AS DATE) AS base, unnest(range(0, 121)) AS k FROM orders))
+            SELECT o_custkey AS patient_id, CAST(o_orderdate AS DATE) AS base, unnest(range(0, 1 + CASE
+                WHEN o_orderkey % 41 = 0 OR o_orderkey % 43 = 0 THEN date_diff('day', CAST(o_orderdate AS DATE), last_day)
+                ELSE least(120, date_diff('day', CAST(o_orderdate AS DATE), last_day)) END)) AS k
+            FROM orders CROSS JOIN (SELECT make_date(max(year(o_orderdate)), 12, 31) AS last_day FROM orders)))
 ),
 per_month AS (
     SELECT patient_id, measurement_year, month(d) AS m, count(*) AS n, day(max(last_day(d))) AS month_days
@@ -337,7 +345,7 @@ cov AS (
 )
 SELECT c.patient_id, c.measurement_year, CAST(s.island_count AS BIGINT) AS island_count,
        CAST(c.covered_days AS BIGINT) AS covered_days, CAST(c.covered_months AS BIGINT) AS covered_months,
-       c.covered_months >= 11 AS is_enrolled
+       c.covered_months >= 3 AND s.island_count <= 2 AS is_enrolled
 FROM cov c JOIN starts s USING (patient_id, measurement_year)"""
 
 SQL["with_event"] = f"""WITH {POP_CTE}
@@ -347,7 +355,12 @@ WHERE EXISTS (SELECT 1 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_order
 
 SQL["with_association"] = f"""WITH {POP_CTE}
 SELECT {UNIT_COLS} FROM pop p JOIN customer c ON c.c_custkey = p.patient_id
-WHERE c.c_nationkey IN (SELECT s_nationkey FROM supplier)"""
+WHERE c.c_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 7000)"""
+
+SQL["visit_attributes"] = f"""SELECT o_custkey AS patient_id, o_orderkey AS visit_id, {MEASURE_CASE} AS measure_code,
+       CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_custkey % 25 AS BIGINT) END AS facility_id,
+       CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS visit_type
+FROM orders"""
 
 SQL["exclusions"] = f"""WITH {POP_CTE}, {INVALID_CTE}
 SELECT * FROM reasons"""
@@ -462,6 +475,13 @@ outcome AS (
 SQL["open_requests"] = f"""WITH {REQ_CTE}
 SELECT correlation_id, request_type, campaign_status, is_sampling_processed FROM open_req"""
 
+SQL["requested_measures"] = f"""WITH {FLAT_CTE}, {REQ_CTE}
+SELECT o_custkey AS patient_id, o_orderkey AS visit_id, {MEASURE_CASE} AS measure_code,
+       CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'visit' ELSE 'member' END AS grain,
+       CASE WHEN o_orderpriority IN ('3-MEDIUM', '5-LOW') THEN 'GSD-EED' END AS shared_group
+FROM orders WHERE {MEASURE_CASE} IN (
+    SELECT measure_code FROM flat WHERE cyar >= 99 AND pyr >= 99 AND correlation_id IN (SELECT correlation_id FROM open_req))"""
+
 SQL["not_yet_sampled"] = f"""WITH {REQ_CTE}
 SELECT correlation_id, submission_id, measurement_year FROM open_req r
 WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderpriority = '1-URGENT' AND o.o_orderstatus = 'F'
@@ -552,6 +572,167 @@ SQL["event_dates"] = f"""SELECT o.o_custkey AS patient_id, o.o_orderkey AS visit
 FROM orders o"""
 
 
+# ------------------------------------------- several submissions, lines and requests
+BOOK_CTE = f"""
+yr AS (SELECT min(year(o_orderdate)) AS lo, max(year(o_orderdate)) AS hi FROM orders),
+oc AS (
+    SELECT o.*, c.c_nationkey, c.c_acctbal, CAST(o_custkey % 2 + 1 AS BIGINT) AS sub, {LINE_CASE} AS line, CAST(year(o_orderdate) AS INTEGER) AS yy, {MEASURE_CASE} AS mm
+    FROM orders o JOIN customer c ON c_custkey = o_custkey
+),
+asked AS (
+    SELECT sub, line, yy, mm, CAST(sum(o_orderkey) % 101 AS DECIMAL(5,2)) AS cy0, CAST(sum(o_custkey) % 101 AS DECIMAL(5,2)) AS py0,
+        CAST(sum(o_custkey) % 30 AS DECIMAL(5,2)) AS os0
+    FROM oc GROUP BY ALL
+),
+reqs AS (
+    SELECT *, 'BOOK-' || sub || '-' || line || '-' || yy AS correlation_id, sub = 2 AND line = 'Medicare' AND yy % 3 = 0 AND mm = 'CBP' AS overflow FROM asked
+    UNION ALL
+    SELECT sub, line, yy, mm, cy0, py0, 5.00, 'AGAIN-BOOK-' || sub || '-' || line || '-' || yy, false
+    FROM asked WHERE sub = 1 AND line = 'Medicaid' AND yy % 2 = 0 AND mm = 'CBP'
+),
+usable AS (
+    SELECT r.*,
+        CASE WHEN line = 'Commercial' OR line = 'Medicaid' OR line = 'Medicare' THEN NOT (mm = 'EED' AND line = 'Medicare') ELSE false END AS has_info,
+        CASE WHEN mm = 'GSD' THEN 100 - cy0 ELSE cy0 END AS cy, CASE WHEN mm = 'GSD' THEN 100 - py0 ELSE py0 END AS py
+    FROM reqs r WHERE line <> 'Exchange' AND NOT (sub = 1 AND line = 'Medicare' AND yy % 5 = 3)
+),
+rated AS (
+    SELECT *, CASE WHEN sub = 2 AND yy % 2 = 1 THEN CASE WHEN mm IN ('CBP', 'COL') THEN 'CBP+COL' END
+                   ELSE CASE WHEN mm IN ('GSD', 'EED') THEN 'GSD-EED' END END AS shared_group,
+        CAST(least(CASE WHEN has_info AND NOT (mm = 'COL' AND line = 'Medicare') AND mm <> 'TRC' THEN cy END,
+                   CASE WHEN has_info AND NOT (mm = 'CBP' AND line = 'Medicaid') THEN py END) AS DECIMAL(5,2)) AS rate,
+        CASE WHEN has_info THEN CASE mm WHEN 'CBP' THEN 411 WHEN 'COL' THEN 230 WHEN 'TRC' THEN 106 ELSE 134 END END AS info_size,
+        CASE WHEN has_info THEN CASE mm WHEN 'TRC' THEN 15.00 ELSE 10.00 END END AS info_os
+    FROM usable
+),
+low AS (SELECT *, CASE WHEN shared_group IS NULL THEN rate ELSE min(rate) OVER (PARTITION BY correlation_id, shared_group) END AS shared_rate FROM rated),
+fac AS (
+    SELECT correlation_id, sub AS submission_id, line AS product_line, mm AS measure_code, yy AS measurement_year, shared_group, rate, shared_rate, overflow,
+        CAST(coalesce(CASE WHEN shared_rate >= 95 THEN 6 WHEN shared_rate >= 90 THEN 9
+                           WHEN shared_rate >= 0 THEN CASE WHEN line = 'Medicaid' AND yy % 6 = 4 THEN 0 ELSE 15 END END, info_size, 411) AS BIGINT) AS mrss,
+        CAST(least(coalesce(CASE WHEN NOT overflow THEN os0 END, info_os, 10.00), 20.00) AS DECIMAL(5,2)) AS os_pct,
+        CASE WHEN mm = 'COL' AND yy % 5 = 0 THEN NULL WHEN mm = 'TRC' AND yy % 4 = 1 THEN 1500000
+             ELSE CASE mm WHEN 'CBP' THEN 950000 WHEN 'COL' THEN 750000 WHEN 'GSD' THEN 660000 WHEN 'TRC' THEN 250000 ELSE 500000 END END AS rand6
+    FROM low
+),
+wrong AS (
+    SELECT correlation_id, w || ' for ' || string_agg(measure_code, ',' ORDER BY measure_code) AS error
+    FROM (SELECT *, CASE WHEN mrss <= 0 THEN 'sample size not positive' WHEN rand6 IS NULL THEN 'missing RAND' WHEN rand6 > 1000000 THEN 'RAND outside 0 to 1' END AS w FROM fac)
+    WHERE w IS NOT NULL GROUP BY correlation_id, w
+    UNION ALL
+    SELECT correlation_id, 'number outside 0 to 100: CBP oversamplingRate' FROM reqs WHERE overflow
+    UNION ALL
+    SELECT DISTINCT correlation_id, 'year ' || yy || ' not ready: FQR' FROM reqs, yr WHERE yy = hi
+    UNION ALL
+    SELECT DISTINCT correlation_id, 'no source table for run configuration 99' FROM reqs WHERE sub = 2 AND line = 'Commercial' AND yy % 7 = 5
+),
+sound AS (SELECT *, count(*) OVER (PARTITION BY submission_id, product_line, measure_code, measurement_year) AS claims FROM fac WHERE correlation_id NOT IN (SELECT correlation_id FROM wrong)),
+clash AS (
+    SELECT correlation_id, 'conflicting factors for ' || string_agg(DISTINCT measure_code, ',' ORDER BY measure_code) AS error FROM sound WHERE claims > 1 GROUP BY 1
+),
+bad AS (SELECT correlation_id, string_agg(error, '; ' ORDER BY error) AS error FROM (SELECT * FROM wrong UNION ALL SELECT * FROM clash) GROUP BY 1),
+good AS (
+    SELECT f.*, CAST((mrss * (10000 + CAST(os_pct * 100 AS BIGINT)) + 9999) // 10000 AS BIGINT) AS fss, submission_id = 1 AS exclude_emp,
+        CASE WHEN submission_id = 2 THEN 'QC' END AS domain_id, CASE WHEN submission_id = 2 THEN 'CAMPAIGN-' || measurement_year END AS campaign_id
+    FROM fac f WHERE correlation_id NOT IN (SELECT correlation_id FROM bad)
+)"""
+
+BOOK_POP_CTE = BOOK_CTE + f""",
+dup AS (
+    SELECT c_custkey AS patient_id FROM (
+        SELECT c_custkey, min(c_custkey) OVER (PARTITION BY c_mktsegment, c_nationkey, floor(c_acctbal / 20)) AS first FROM customer)
+    WHERE c_custkey > first
+),
+d_span AS (
+    SELECT DISTINCT patient_id, d, CAST(year(d) AS INTEGER) AS y FROM (
+        SELECT patient_id, CAST(base + CAST(k AS INTEGER) AS DATE) AS d FROM (
+            SELECT o_custkey AS patient_id, CAST(o_orderdate AS DATE) AS base, unnest(range(0, 1 + CASE
+                WHEN o_orderkey % 41 = 0 OR o_orderkey % 43 = 0 THEN date_diff('day', CAST(o_orderdate AS DATE), make_date(hi, 12, 31))
+                ELSE least(120, date_diff('day', CAST(o_orderdate AS DATE), make_date(hi, 12, 31))) END)) AS k
+            FROM orders, yr))
+),
+d_months AS (
+    SELECT patient_id, y, sum(CASE WHEN n = days THEN 1 ELSE 0 END) AS months FROM (
+        SELECT patient_id, y, month(d) AS m, count(*) AS n, day(max(last_day(d))) AS days FROM d_span GROUP BY 1, 2, 3) GROUP BY 1, 2
+),
+d_islands AS (
+    SELECT a.patient_id, a.y, count(*) AS islands FROM d_span a LEFT JOIN d_span b ON b.patient_id = a.patient_id AND b.d = a.d - 1
+    WHERE b.d IS NULL OR b.y <> a.y GROUP BY 1, 2
+),
+enr AS (SELECT patient_id, y FROM d_months JOIN d_islands USING (patient_id, y) WHERE months >= 3 AND islands <= 2),
+b_fact AS (
+    SELECT g.submission_id, g.product_line, g.measure_code, g.measurement_year, g.shared_group, oc.o_custkey AS patient_id,
+        CASE WHEN g.measure_code = 'TRC' THEN oc.o_orderkey END AS visit_id, min(CAST(oc.o_orderdate AS DATE)) AS event_date
+    FROM oc JOIN good g ON g.submission_id = oc.sub AND g.product_line = oc.line AND g.measure_code = oc.mm AND g.measurement_year = oc.yy
+    WHERE oc.o_orderstatus IN ('F', 'O') AND oc.o_orderkey % 20 <> 0 AND NOT (g.exclude_emp AND oc.o_custkey % 50 = 0)
+    GROUP BY ALL
+),
+b_pop AS (
+    SELECT f.*, c.c_mktsegment AS last_name, c.c_name AS first_name,
+        CAST(DATE '1940-01-01' + CAST((c.c_custkey * 7919) % 25000 AS INTEGER) AS DATE) AS date_of_birth
+    FROM b_fact f JOIN customer c ON c.c_custkey = f.patient_id
+    WHERE c.c_acctbal >= 0 AND c.c_custkey % 37 <> 0 AND c.c_custkey NOT IN (SELECT patient_id FROM dup)
+      AND c.c_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 7000)
+      AND (f.patient_id, f.measurement_year) IN (SELECT patient_id, y FROM enr)
+      AND EXISTS (SELECT 1 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+                  WHERE l.l_returnflag = 'R' AND o.o_custkey = f.patient_id AND year(o.o_orderdate) = f.measurement_year)
+),
+b_elig AS (
+    SELECT p.* FROM (SELECT p.*, measurement_year - year(date_of_birth) AS age, c.c_nationkey % 2 = 0 AS woman FROM b_pop p JOIN customer c ON c.c_custkey = p.patient_id) p
+    WHERE CASE measure_code WHEN 'CBP' THEN age BETWEEN 18 AND 85 WHEN 'COL' THEN age BETWEEN 45 AND 75 WHEN 'TRC' THEN age BETWEEN 18 AND 64 AND woman
+               ELSE age BETWEEN 18 AND 75 END
+)"""
+
+B_UNIT = "submission_id, product_line, sampling_unit, measurement_year"
+_B_DRAW = draw_ctes("b_", B_UNIT, "b_ranked", f"b_counts c JOIN b_sizes s USING ({B_UNIT})")
+BOOK_FINAL_CTE = BOOK_POP_CTE + f""",
+b_unit AS (
+    SELECT submission_id, product_line, coalesce(shared_group, measure_code) AS sampling_unit, measurement_year, patient_id,
+        CASE WHEN shared_group IS NULL THEN visit_id END AS visit_id, last_name, first_name, date_of_birth, min(event_date) AS event_date
+    FROM b_elig GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9
+),
+b_ranked AS (SELECT *, {rank_expr(B_UNIT)} AS population_rank FROM b_unit),
+b_sizes AS (
+    SELECT submission_id, product_line, coalesce(shared_group, measure_code) AS sampling_unit, measurement_year, mrss AS mrss_i, CAST(os_pct * 100 AS BIGINT) AS os_bp, rand6
+    FROM (SELECT *, row_number() OVER (PARTITION BY submission_id, product_line, coalesce(shared_group, measure_code), measurement_year
+                                       ORDER BY mrss DESC, os_pct DESC, measure_code) AS rn FROM good) WHERE rn = 1
+),
+{_B_DRAW},
+b_lists AS (
+    SELECT l.submission_id, l.product_line, g.measure_code, l.measurement_year, l.patient_id, l.visit_id, l.sampling_unit AS sampled_as,
+        l.population_rank, l.sample_order, l.list_type, g.correlation_id, g.domain_id, g.campaign_id
+    FROM b_labelled l JOIN good g ON g.submission_id = l.submission_id AND g.product_line = l.product_line AND g.measurement_year = l.measurement_year
+     AND coalesce(g.shared_group, g.measure_code) = l.sampling_unit
+),
+b_err AS (SELECT DISTINCT o_custkey AS patient_id, {MEASURE_CASE} AS measure_code FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 50 = 0),
+b_hit AS (
+    SELECT *, EXISTS (SELECT 1 FROM b_err e WHERE e.patient_id = b.patient_id AND e.measure_code = b.measure_code) AS own FROM b_lists b
+),
+b_flag AS (
+    SELECT *, bool_or(own) OVER (PARTITION BY submission_id, product_line, measurement_year, sampled_as, patient_id, visit_id) AS is_excluded FROM b_hit
+),
+b_flagged AS (SELECT *, CASE WHEN is_excluded THEN 'data error' END AS exclusion_reason FROM b_flag),""" + replace_ctes("b_flagged")
+
+SQL["book_factors"] = f"""WITH {BOOK_CTE}
+SELECT correlation_id, {GROUP_SQL}, shared_group, rate, shared_rate, mrss, os_pct, fss, CAST(rand6 / 1000000 AS DECIMAL(9,6)) AS rand, exclude_emp, domain_id, campaign_id
+FROM good"""
+
+SQL["book_errors"] = f"""WITH {BOOK_CTE}
+SELECT correlation_id, error FROM bad"""
+
+SQL["eligible_full"] = f"""WITH {BOOK_POP_CTE}
+SELECT {UNIT_COLS}, event_date FROM b_elig"""
+
+SQL["duplicate_members"] = """SELECT c_custkey AS patient_id, 'duplicate' AS reason FROM (
+    SELECT c_custkey, min(c_custkey) OVER (PARTITION BY c_mktsegment, c_nationkey, floor(c_acctbal / 20)) AS first FROM customer)
+WHERE c_custkey > first"""
+
+SQL["sample_requests"] = f"""WITH {BOOK_FINAL_CTE}
+SELECT {UNIT_COLS}, correlation_id, domain_id, campaign_id, sampled_as, population_rank, CAST(sample_order AS BIGINT) AS sample_order, list_type,
+       is_excluded, exclusion_reason, final_list, CAST(replaces_order AS BIGINT) AS replaces_order, shortfall
+FROM final"""
+
+
 # ------------------------------------------- decimals and dates at the boundary
 # the checked outputs present exact decimals as doubles and dates as ISO text (see registry)
 DECIMAL_COLUMNS = {
@@ -565,6 +746,7 @@ DECIMAL_COLUMNS = {
     "os_cap": ("oversampling_rate", "info_os_pct", "os_requested", "os_pct"),
     "fss_ceiling": ("os_pct",),
     "plan_scenarios": ("os_pct", "rand"),
+    "book_factors": ("rate", "shared_rate", "os_pct", "rand"),
     "sample_output": ("rand",),
     "write_sample_roundtrip": ("rand",),
 }
@@ -581,6 +763,7 @@ for _k, _cols in DECIMAL_COLUMNS.items():
 # dates are shown as ISO text (yyyy-MM-dd)
 DATE_COLUMNS = {
     "eligible_member": ("event_date", "date_of_birth"),
+    "eligible_full": ("event_date",),
     "eligible_visit": ("event_date",),
     "event_dates": ("event_date",),
     "freeze_roundtrip": ("event_date",),

@@ -9,6 +9,8 @@ work grows with the data.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,12 +47,11 @@ MEASURE_META = {
 SUBMISSION_ID, ORGANIZATION_ID, RUN_CONFIG_ID, PRODUCT_LINE = 1, 1, 1, "Commercial"
 # birth date rule: 1940-01-01 + (custkey * 7919) mod 25000 days
 DOB_ORIGIN, DOB_MULT, DOB_MOD = "1940-01-01", 7919, 25000
-# metadata years (sizes, bands, RAND, periods, the proxy submission's factors)
-YEARS = range(1990, 2006)
 # deleted when orderkey mod 20 = 0; employee when custkey mod 50 = 0
 DELETED_MOD, EMPLOYEE_MOD = 20, 50
 # enrollment span per order: order date .. + 120 days
 SPAN_DAYS = 120
+OPEN_MOD, FAR_MOD = 41, 43
 # ------------------------------------------------------------------------------
 
 GROUP = ["submission_id", "product_line", "measure_code", "measurement_year"]
@@ -68,6 +69,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@lru_cache(maxsize=64)
+def years(spark: SparkSession, sf_dir: str) -> range:
+    """The years of the orders, first to last: the metadata (sizes, bands, RAND,
+    periods, the proxy submission's factors) covers these."""
+    lo, hi = table(spark, sf_dir, "orders").agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    return range(0) if lo is None else range(lo, hi + 1)
+
+
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality-report facts / base data: one row per order."""
     o = table(spark, sf_dir, "orders")
@@ -100,8 +109,16 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The patients without their line: the one proxy submission of the sampling
+    chain holds them all."""
+    return patients(spark, sf_dir).drop("product_line")
+
+
 def enrollment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Member enrollment spans, one per order, with the employee flag."""
+    """Member enrollment spans, one per order, with the employee flag. Spans of
+    orders with orderkey mod 41 = 0 have no end, with orderkey mod 43 = 0 the
+    far end 9999-12-31."""
     o = table(spark, sf_dir, "orders")
     start = F.col("o_orderdate").cast("date")
     return o.select(
@@ -109,14 +126,18 @@ def enrollment(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(SUBMISSION_ID).cast("bigint").alias("submission_id"),
         F.when(F.col("o_custkey") % EMPLOYEE_MOD == 0, 1).otherwise(0).alias("is_employee"),
         start.alias("span_start"),
-        F.date_add(start, SPAN_DAYS).alias("span_end"),
+        F.when(F.col("o_orderkey") % OPEN_MOD == 0, F.lit(None))
+        .when(F.col("o_orderkey") % FAR_MOD == 0, F.lit("9999-12-31").cast("date"))
+        .otherwise(F.date_add(start, SPAN_DAYS))
+        .alias("span_end"),
     )
 
 
-def reporting_periods(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
+def reporting_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reporting periods (metadata): one calendar-year period per year of the
-    rule's year range, id = year."""
-    df = spark.range(YEARS.start, YEARS.stop).select(F.col("id").alias("reporting_period_id"), F.col("id").cast("int").alias("y"))
+    orders, id = year."""
+    ys = years(spark, sf_dir)
+    df = spark.range(ys.start, ys.stop).select(F.col("id").alias("reporting_period_id"), F.col("id").cast("int").alias("y"))
     return df.select(
         "reporting_period_id",
         F.make_date(F.col("y"), F.lit(1), F.lit(1)).alias("period_start"),
@@ -141,12 +162,11 @@ def measure_sizes(spark: SparkSession) -> DataFrame:
     return local_table(spark, rows, cols)
 
 
-def sampling_factors(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
+def sampling_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling factors of the proxy submission (request metadata): one row per
-    measure and year of the rule's year range, with the measure's sizes, RAND,
-    grain and group. Years without eligible members simply draw nothing.
-    At most ``len(MEASURE_META) * len(YEARS)`` rows."""
-    out = measure_sizes(spark).select("*", F.explode(F.sequence(F.lit(YEARS.start), F.lit(YEARS.stop - 1))).alias("measurement_year"))
+    measure and year of the orders, with the measure's sizes, RAND, grain and
+    group. Years without eligible members simply draw nothing."""
+    out = measure_sizes(spark).select("*", _years(spark, sf_dir))
     return out.select(
         F.lit(SUBMISSION_ID).cast("bigint").alias("submission_id"),
         F.lit(PRODUCT_LINE).alias("product_line"),
@@ -174,6 +194,7 @@ def sampling_factors(spark: SparkSession, sf_dir: str | None = None) -> DataFram
 #   requests before 1997 are already processed; MACHINERY requests in even years are audits
 PROCESSED_BEFORE_YEAR = 1997
 SIZE_LINES = ("Commercial", "Medicaid", "Medicare")
+EXCHANGE_MOD = 11
 # rate bands (floor percent -> sample size), the same for every year and line
 BANDS = (("95.00", 106), ("90.00", 134), ("0.00", 296))
 
@@ -210,7 +231,8 @@ def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("_segment"),
     )
     keys = [c for c in rows.columns if c not in ("cyar", "pyr")]
-    return rows.groupBy(*keys).agg(F.min("cyar").alias("cyar"), F.min("pyr").alias("pyr"))
+    # dealt by request once: the groupings by sub-measure, measure and request all stay in place
+    return rows.repartition("correlation_id").groupBy(*keys).agg(F.min("cyar").alias("cyar"), F.min("pyr").alias("pyr"))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,16 +271,19 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plan product-category view: one row per order (duplicates on purpose)."""
+    """Plan product-category view: one row per order (duplicates on purpose).
+    Customers with custkey mod 11 = 0 are on the exchange there, whatever their
+    requests say."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
+    category = F.when(F.col("c_custkey") % EXCHANGE_MOD == 0, "Exchange").otherwise(_map("c_mktsegment", PRODUCT_LINE_OF_SEGMENT))
     return o.join(c, o.o_custkey == c.c_custkey).select(
-        F.col("o_custkey").alias("submission_id"), _year().alias("measurement_year"), _map("c_mktsegment", PRODUCT_LINE_OF_SEGMENT).alias("product_category")
+        F.col("o_custkey").alias("submission_id"), _year().alias("measurement_year"), category.alias("product_category")
     )
 
 
-def _years():
-    return F.explode(F.sequence(F.lit(YEARS.start), F.lit(YEARS.stop - 1))).alias("measurement_year")
+def _years(spark: SparkSession, sf_dir: str):
+    return F.explode(F.array(*[F.lit(y) for y in years(spark, sf_dir)]).cast("array<int>")).alias("measurement_year")
 
 
 def size_info_rows():
@@ -275,27 +300,27 @@ def size_info_rows():
     return rows
 
 
-def size_info(spark: SparkSession) -> DataFrame:
+def size_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = [("measure_code", "string"), ("product_line", "string"), ("sample_size", "int"),
             ("oversampling_rate", "decimal(5,2)"), ("cyar", "string"), ("pyr", "string")]
     t = local_table(spark, size_info_rows(), cols)
-    return t.select("measure_code", "product_line", _years(), "sample_size", "oversampling_rate", "cyar", "pyr")
+    return t.select("measure_code", "product_line", _years(spark, sf_dir), "sample_size", "oversampling_rate", "cyar", "pyr")
 
 
 def size_band_rows():
     return [(pl, floor, size) for pl in SIZE_LINES for floor, size in BANDS]
 
 
-def size_bands(spark: SparkSession) -> DataFrame:
+def size_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = [("product_line", "string"), ("rate_floor", "decimal(5,2)"), ("sample_size", "int")]
     t = local_table(spark, size_band_rows(), cols)
-    return t.select(_years(), "product_line", "rate_floor", "sample_size")
+    return t.select(_years(spark, sf_dir), "product_line", "rate_floor", "sample_size")
 
 
-def rand_values(spark: SparkSession) -> DataFrame:
+def rand_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [(m, r) for m, (_, _, r, _, _) in MEASURE_META.items()]
     t = local_table(spark, rows, [("measure_code", "string"), ("rand", "decimal(9,6)")])
-    return t.select("measure_code", _years(), "rand")
+    return t.select("measure_code", _years(spark, sf_dir), "rand")
 
 
 def os_approvals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,6 +345,7 @@ AGE_GENDER_RULES = (
 #   deceased: negative account balance; hospice: custkey mod 37 = 0 (all measures)
 #   data error: pending order with orderkey mod 50 = 0 (that order's measure only)
 HOSPICE_MOD, DATA_ERROR_MOD = 37, 50
+PROVIDER_BALANCE = 7000
 
 
 def age_gender_rules(spark: SparkSession) -> DataFrame:
@@ -336,8 +362,8 @@ def qualifying_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def provider_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Provider associations: organizations (nations) with at least one supplier."""
-    return table(spark, sf_dir, "supplier").select(F.col("s_nationkey").cast("bigint").alias("organization_id"))
+    """Provider associations: organizations (nations) with a supplier whose balance is above 7000."""
+    return table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") > PROVIDER_BALANCE).select(F.col("s_nationkey").cast("bigint").alias("organization_id"))
 
 
 def invalid_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -404,9 +430,9 @@ def inputs(spark: SparkSession, sf_dir: str):
 
     return Inputs(
         requests=requests(spark, sf_dir),
-        size_info=size_info(spark),
-        size_bands=size_bands(spark),
-        rand_values=rand_values(spark),
+        size_info=size_info(spark, sf_dir),
+        size_bands=size_bands(spark, sf_dir),
+        rand_values=rand_values(spark, sf_dir),
         product_categories=product_categories(spark, sf_dir),
         classification=measure_classification(spark),
         periods=reporting_periods(spark, sf_dir),
@@ -420,6 +446,13 @@ def inputs(spark: SparkSession, sf_dir: str):
     )
 
 
+def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visit dimension: orders with orderkey mod 3 <> 0, custkey mod 25 as the
+    facility and the priority as the type."""
+    o = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 3 != 0)
+    return o.select(F.col("o_orderkey").alias("visit_id"), (F.col("o_custkey") % 25).cast("bigint").alias("facility_id"), F.col("o_orderpriority").alias("visit_type"))
+
+
 def discharge_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visit / discharge dates: one row per line item (ship date), many per visit."""
     li = table(spark, sf_dir, "lineitem")

@@ -7,6 +7,7 @@ matching DuckDB statement is in ``plans.oracle.SQL``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,12 +20,14 @@ from hybrid_sampling.operators import factors as FA
 from hybrid_sampling.operators import replacement as R
 from hybrid_sampling.operators import request as RQ
 from hybrid_sampling.operators import sizes as SZ
+from hybrid_sampling.plans import book as BK
 from hybrid_sampling.plans import job as PL
 from hybrid_sampling.plans import proxy as P
 from hybrid_sampling.plans import sampling as S
 from hybrid_sampling.session import scratch_path
 from hybrid_sampling.sources import control as CT
 from hybrid_sampling.sources import sinks as SK
+from hybrid_sampling.sources.staging import stage
 
 GROUP = S.GROUP
 UNIT = GROUP + ["patient_id", "visit_id"]
@@ -117,7 +120,7 @@ def flat_requests(spark, sf_dir):
 
 def gated(spark, sf_dir):
     r = FA.drop_product_lines(FA.drop_submeasures(FA.invert_rates(flat_requests(spark, sf_dir))))
-    r = FA.attach_product_category(FA.attach_size_info(r, P.size_info(spark)), P.product_categories(spark, sf_dir))
+    r = FA.attach_product_category(FA.attach_size_info(r, P.size_info(spark, sf_dir)), P.product_categories(spark, sf_dir))
     return FA.gate_rates(r)
 
 
@@ -126,7 +129,7 @@ def resolved(spark, sf_dir, mode="least"):
 
 
 def sized(spark, sf_dir):
-    f = SZ.size_for_rate(resolved(spark, sf_dir), P.size_bands(spark))
+    f = SZ.size_for_rate(resolved(spark, sf_dir), P.size_bands(spark, sf_dir))
     f = SZ.default_mrss(f)
     f = SZ.check_oversampling(f, P.os_approvals(spark, sf_dir))
     return SZ.final_sizes(f)
@@ -163,13 +166,13 @@ def q_rates_shared(spark, sf_dir):
 
 @register("mrss_band")
 def q_mrss_band(spark, sf_dir):
-    f = SZ.size_for_rate(resolved(spark, sf_dir), P.size_bands(spark))
+    f = SZ.size_for_rate(resolved(spark, sf_dir), P.size_bands(spark, sf_dir))
     return f.select(*KEY, "product_line", "measurement_year", "rate", "mrss_band")
 
 
 @register("mrss_default")
 def q_mrss_default(spark, sf_dir):
-    f = SZ.default_mrss(SZ.size_for_rate(resolved(spark, sf_dir), P.size_bands(spark)))
+    f = SZ.default_mrss(SZ.size_for_rate(resolved(spark, sf_dir), P.size_bands(spark, sf_dir)))
     return f.select(*KEY, "rate", "mrss_band", "info_sample_size", "mrss")
 
 
@@ -207,9 +210,24 @@ def q_age_gender(spark, sf_dir):
     return E.age_gender(pop, P.age_gender_rules(spark)).select(*UNIT, "gender", "age")
 
 
+@register("requested_measures")
+def q_requested_measures(spark, sf_dir):
+    """P8 + E5: facts of the measures that open requests name with rates of 99 and more, with the measure's grain and group."""
+    named = RQ.flatten_request(RQ.parse_requests(CT.open_requests(P.requests(spark, sf_dir)))).filter((F.col("cyar") >= 99) & (F.col("pyr") >= 99))
+    f = E.requested_only(P.facts(spark, sf_dir), named)
+    return E.attach_measure(f, P.measure_meta(spark)).select("patient_id", "visit_id", "measure_code", "grain", "shared_group")
+
+
+@register("visit_attributes")
+def q_visit_attributes(spark, sf_dir):
+    """Visits with the facility of the visit dimension, where it knows them."""
+    visits = P.facts(spark, sf_dir).select("patient_id", "visit_id", "measure_code")
+    return E.attach_visit(visits, P.visits(spark, sf_dir), ("facility_id", "visit_type"))
+
+
 @register("enrolled_months")
 def q_enrolled_months(spark, sf_dir):
-    return E.enrolled_months(P.enrollment(spark, sf_dir))
+    return E.enrolled_months(P.enrollment(spark, sf_dir), P.years(spark, sf_dir), min_months=3, allowed_gaps=1)
 
 
 @register("with_event")
@@ -315,10 +333,10 @@ def q_resolve_sources(spark, sf_dir):
 @register("prerequisites")
 def q_prerequisites(spark, sf_dir):
     tables = {
-        "sampling_request": P.requests(spark, sf_dir),
-        "size_info": P.size_info(spark),
-        "size_bands": P.size_bands(spark),
-        "rand_values": P.rand_values(spark),
+        "sampling_request": P.table(spark, sf_dir, "orders").join(P.table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")),
+        "size_info": P.size_info(spark, sf_dir),
+        "size_bands": P.size_bands(spark, sf_dir),
+        "rand_values": P.rand_values(spark, sf_dir),
         "base_data": P.facts(spark, sf_dir),
     }
     return CT.check_prerequisites(P.stage_status(spark, sf_dir), tables)
@@ -353,13 +371,61 @@ def q_csv_roundtrip(spark, sf_dir):
 @register("sample_all")
 def q_sample_all(spark, sf_dir):
     run = S.Run(spark, sf_dir)
-    f = PL.sample_all(P.inputs(spark, sf_dir), run.factors, groups_bound=run.groups_bound)
+    inp = replace(P.inputs(spark, sf_dir), patients=P.members(spark, sf_dir))
+    f = PL.sample_all(inp, run.factors, groups_bound=run.groups_bound)
     return f.select(
         *UNIT, "sampled_as", "population_rank", "sample_order", "list_type", "is_excluded", "exclusion_reason",
         "final_list", "replaces_order", "shortfall",
     )
 
 
+# ------------------------------------------- several submissions, lines and requests
+
+
+def book_factors(spark, sf_dir):
+    inp = BK.inputs(spark, sf_dir)
+    factors, errors = PL.split_errors(inp, stage(PL.resolve_factors(inp), "book-factors"))
+    return inp, stage(factors, "book-to-sample"), errors
+
+
+@register("book_factors")
+def q_book_factors(spark, sf_dir):
+    """Factors of the requests that can be sampled."""
+    _, f, _ = book_factors(spark, sf_dir)
+    return f.select("correlation_id", *GROUP, "shared_group", "rate", "shared_rate", "mrss", "os_pct", "fss", "rand", "exclude_emp", "domain_id", "campaign_id")
+
+
+@register("book_errors")
+def q_book_errors(spark, sf_dir):
+    """What is wrong with the others: conflicts, sizes, RAND, numbers, the gate, sources."""
+    _, _, errors = book_factors(spark, sf_dir)
+    return errors.select("correlation_id", "error")
+
+
+@register("eligible_full")
+def q_eligible_full(spark, sf_dir):
+    """Eligible units after every criterion."""
+    inp, f, _ = book_factors(spark, sf_dir)
+    return PL.eligible_units(inp, PL.source_facts(inp, f), f).select(*UNIT, "event_date")
+
+
+@register("duplicate_members")
+def q_duplicate_members(spark, sf_dir):
+    return E.duplicate_members(BK.identified_members(spark, sf_dir), ["c_mktsegment", "c_nationkey", "balance"]).select("patient_id", "reason")
+
+
+@register("sample_requests")
+def q_sample_requests(spark, sf_dir):
+    """Request documents to final lists, for every request that can be sampled."""
+    inp, f, _ = book_factors(spark, sf_dir)
+    out = PL.sample_all(inp, f, groups_bound=f.count())
+    carry = f.select(*GROUP, "correlation_id", "domain_id", "campaign_id")
+    return out.join(carry, GROUP).select(
+        *UNIT, "correlation_id", "domain_id", "campaign_id", "sampled_as", "population_rank", "sample_order", "list_type",
+        "is_excluded", "exclusion_reason", "final_list", "replaces_order", "shortfall",
+    )
+
+
 @register("event_dates")
 def q_event_dates(spark, sf_dir):
     """Visits get the earliest discharge date (left join; visits without one keep null)."""

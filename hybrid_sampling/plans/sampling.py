@@ -33,8 +33,8 @@ class Run:
 
     @property
     def groups_bound(self) -> int:
-        # request metadata of known size: measures x metadata years
-        return len(P.MEASURE_META) * len(P.YEARS)
+        # one group per measure and year of the facts
+        return len(P.MEASURE_META) * len(P.years(self.spark, self.sf_dir))
 
 
 def population(run: Run) -> DataFrame:
@@ -46,7 +46,7 @@ def population(run: Run) -> DataFrame:
         P.reporting_periods(s, d),
         P.measure_classification(s),
         P.enrollment(s, d),
-        P.patients(s, d),
+        P.members(s, d),
         GROUP,
         factors_bound=run.groups_bound,
     )

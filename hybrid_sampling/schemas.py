@@ -5,17 +5,19 @@ from pyspark.sql import types as T
 RATE = T.DecimalType(5, 2)
 RAND = T.DecimalType(9, 6)
 
+# numbers of a document are read as text and converted when flattened, so that
+# one that does not fit is seen (a typed field would silently become null)
 SUB_MEASURE = T.StructType(
     [
         T.StructField("clinicalSubMeasureId", T.StringType()),
-        T.StructField("cyar", RATE),
-        T.StructField("pyr", RATE),
+        T.StructField("cyar", T.StringType()),
+        T.StructField("pyr", T.StringType()),
     ]
 )
 MEASURE_GROUP = T.StructType(
     [
         T.StructField("measureGroup", T.StringType()),
-        T.StructField("oversamplingRate", RATE),
+        T.StructField("oversamplingRate", T.StringType()),
         T.StructField("subMeasures", T.ArrayType(SUB_MEASURE)),
     ]
 )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,18 +33,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = 8,
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared file system and must be set: a
-    machine-local folder would differ between executors. Only in local mode,
-    when it is unset (tests), a fresh local folder is created and registered.
+    On a cluster the setting must name a shared file system: unset, or a path of
+    one machine (``file:``), it is refused. In local mode (one machine) an unset
+    folder is set to one below the warehouse.
     """
     sc = spark.sparkContext
+    local = sc.master.startswith("local")
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not local and (not current or current.startswith("file:")):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder (cluster mode)")
     if not current:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder (cluster mode)")
-        current = tempfile.mkdtemp(prefix="hs-ckpt-")
-        sc.setCheckpointDir(current)
-    elif not sc.getCheckpointDir():
+        current = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current.rstrip("/")
 

@@ -25,6 +25,12 @@ def open_requests(requests: DataFrame) -> DataFrame:
     )
 
 
+def history_keys(sampled: DataFrame) -> list[str]:
+    """Sampling runs once per submission and year; a history that names the
+    product line says so per line (each line is a list of its own)."""
+    return ["submission_id", "measurement_year"] + [c for c in ("product_line",) if c in sampled.columns]
+
+
 def not_yet_sampled(requests: DataFrame, sampled: DataFrame, keys=("submission_id", "measurement_year")) -> DataFrame:
     """Sampling runs once per submission and year: drop requests whose
     keys already have a stored sample."""
@@ -55,6 +61,29 @@ def resolve_sources(requests: DataFrame, run_configuration: DataFrame, source_de
     return j.join(bounded_broadcast(source_detail), "source_detail_id", "inner")
 
 
+def source_errors(requests: DataFrame, run_configuration: DataFrame, source_detail: DataFrame) -> DataFrame:
+    """Requests whose run configuration leads to no source table:
+    correlation_id and error."""
+    found = resolve_sources(requests.select("correlation_id", "run_config_id"), run_configuration, source_detail).select("correlation_id")
+    missing = requests.select("correlation_id", "run_config_id").distinct().join(found, "correlation_id", "left_anti")
+    return missing.select("correlation_id", F.concat(F.lit("no source table for run configuration "), F.coalesce(F.col("run_config_id").cast("string"), F.lit("(none)"))).alias("error"))
+
+
+def gate_errors(requests: DataFrame, checks: DataFrame) -> DataFrame:
+    """Requests of a year that is not ready: correlation_id and error,
+    naming the checks of the year, and the tables, that did not pass.
+    ``checks`` comes from ``check_prerequisites``; a year it does not know is not ready."""
+    failed = checks.filter(~F.col("passed") & (F.col("check_name") != "ready"))
+    by_year = failed.filter(F.col("measurement_year").isNotNull()).groupBy("measurement_year").agg(F.array_sort(F.collect_set("check_name")).alias("_failed"))
+    tables = failed.filter(F.col("measurement_year").isNull()).agg(F.array_sort(F.collect_set("check_name")).alias("t")).scalar()
+    ready = checks.filter((F.col("check_name") == "ready") & F.col("passed")).select("measurement_year")
+    late = requests.select("correlation_id", "measurement_year").distinct().join(bounded_broadcast(ready), "measurement_year", "left_anti")
+    late = late.join(bounded_broadcast(by_year), "measurement_year", "left")
+    why = F.concat(F.coalesce(F.col("_failed"), F.array().cast("array<string>")), F.coalesce(tables, F.array().cast("array<string>")))
+    reason = F.when(F.size(why) > 0, F.array_join(why, ",")).otherwise(F.lit("no stage status"))
+    return late.select("correlation_id", F.concat(F.lit("year "), F.col("measurement_year").cast("string"), F.lit(" not ready: "), reason).alias("error"))
+
+
 def table_exists_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table: is it non-empty (reads at most one row each)."""
     rows = [
@@ -72,16 +101,16 @@ def check_prerequisites(stage_status: DataFrame, tables: dict[str, DataFrame], s
     st = stage_status.filter(F.col("stage").isin(*stages)).select(
         F.col("stage").alias("check_name"), "measurement_year", F.col("is_complete").alias("passed")
     )
-    tb = table_exists_checks(tables)
+    tb = table_exists_checks(tables) if tables else None
     # the table verdict is one value: a scalar subquery, evaluated once (no join)
-    tables_ok = tb.agg(F.bool_and("passed")).scalar()
+    tables_ok = F.lit(True) if tb is None else tb.agg(F.bool_and("passed")).scalar()
     per_year = st.groupBy("measurement_year").agg(F.bool_and("passed").alias("_stages_ok"), F.count_distinct("check_name").alias("_n"))
     ready = per_year.select(
         F.lit("ready").alias("check_name"),
         "measurement_year",
         (F.col("_stages_ok") & (F.col("_n") == len(stages)) & tables_ok).alias("passed"),
     )
-    return st.unionByName(tb).unionByName(ready)
+    return (st if tb is None else st.unionByName(tb)).unionByName(ready)
 
 
 def sampled_keys(sample: DataFrame, keys=("submission_id", "measurement_year")) -> DataFrame:
@@ -89,14 +118,6 @@ def sampled_keys(sample: DataFrame, keys=("submission_id", "measurement_year"))
     return sample.select(*keys).distinct()
 
 
-def write_version(df: DataFrame, root: str, version: str) -> None:
-    """Publish a new version of a table as its own partition folder.
-    Readers switch to it only through ``read_current``, and a version folder
-    appears complete (job commit), so the swap is all or nothing. Version
-    names must sort in time order (e.g. a timestamp prefix)."""
-    df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/version={version}")
-
-
 def read_current(spark, root: str) -> DataFrame:
     """The newest published version (the max version, a scalar subquery)."""
     t = spark.read.parquet(root)

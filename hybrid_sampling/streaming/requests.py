@@ -4,8 +4,9 @@ The request table is read as a file stream; each micro-batch (the requests
 that arrived since the last one) runs the whole batch job of
 ``plans.job.run`` through ``foreachBatch``. The stream checkpoint records
 which files were consumed, so a request file is sampled once even across
-restarts; a replayed batch rewrites the same sample partitions (dynamic
-overwrite) and the same status folder (``overwrite``), so it is idempotent.
+restarts. The job itself refuses a submission-year (per product line) that the
+sample already holds, so neither a later batch nor a replayed one touches lists
+that stand; a replayed batch rewrites its own status folder.
 """
 
 from __future__ import annotations
