@@ -25,7 +25,6 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -34,131 +33,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_MUL = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-_MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
-_NULL = -(1 << 63)
-_SLICE = 1 << 22  # counters of a slice
-_SENT_AT_ONCE = 1 << 22  # windows counted before their counters are sent
-
-
-def _bytes(text: str | None) -> bytes:
-    return text.encode("utf-8", "surrogatepass") if text else b""
-
-
-def lanes(data: bytes, window: int) -> np.ndarray:
-    """Two 64-bit hashes of each window of ``window`` words, as an array (2, windows)."""
-    words = data.split()
-    n = len(words) - window + 1
-    if n <= 0:
-        return np.empty((2, 0), np.uint64)
-    w = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), "<u8").reshape(-1, 2).T
-    out = np.empty((2, n), np.uint64)
-    for lane in (0, 1):
-        h, own = np.zeros(n, np.uint64), np.ascontiguousarray(w[lane])
-        for j in range(window):
-            h *= _MUL[lane]
-            h += own[j : j + n]
-        h ^= h >> np.uint64(29)
-        h *= _MIX[lane]
-        h ^= h >> np.uint64(32)
-        out[lane] = h
-    return out
-
-
-def equal_runs(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order that brings equal windows together, and where its runs start."""
-    order = np.argsort(h1, kind="stable")
-    a, b = h1[order], h2[order]
-    new = np.concatenate((np.ones(min(len(a), 1), bool), a[1:] != a[:-1]))
-    if len(a) and ((b[1:] != b[:-1]) & ~new[1:]).any():  # one lane equal, the other not
-        order = np.lexsort((h2, h1))
-        a, b = h1[order], h2[order]
-        new = np.concatenate((np.ones(1, bool), (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-    return order, np.flatnonzero(new)
-
-
-def first_of(order: np.ndarray, starts: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """For each window the smallest ``place`` among its equals."""
-    low = np.empty(len(place), place.dtype)
-    if len(place):
-        low[order] = np.repeat(np.minimum.reduceat(place[order], starts), np.diff(np.append(starts, len(place))))
-    return low
-
-
-class Chunk:
-    """Some documents' windows: lanes, the document of each (by position in ``ids``) and its start."""
-
-    def __init__(self, ids: list[int], rows: list[int], texts: list[bytes], window: int):
-        own = [lanes(t, window) for t in texts]
-        sizes = np.array([x.shape[1] for x in own])
-        self.ids, self.rows = np.array(ids, np.int64), np.array(rows, np.int64)
-        self.h1, self.h2 = np.concatenate(own, axis=1)
-        del own
-        self.doc = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-        self.start = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
-        _, rank = np.unique(self.ids, return_inverse=True)
-        place = (rank[self.doc].astype(np.int64) << 32) | self.start  # orders as (id, start)
-        self.later = place > first_of(*equal_runs(self.h1, self.h2), place)
-        self.firsts = np.flatnonzero(~self.later).astype(np.int32)
-
-
-def _chunks(batches: Iterator[pa.RecordBatch], window: int, chunk_words: int) -> Iterator[Chunk]:
-    for batch in batches:
-        ids, rows, texts, held = [], [], [], 0
-        for i, r, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            ids.append(i), rows.append(r), texts.append(_bytes(t.as_py()))
-            held += len(texts[-1])
-            if held >= 6 * chunk_words:
-                yield Chunk(ids, rows, texts, window)
-                ids, rows, texts, held = [], [], [], 0
-        if ids:
-            yield Chunk(ids, rows, texts, window)
-
-
-def _counter(h1: np.ndarray, h2: np.ndarray, j: int, width: int) -> np.ndarray:
-    """The counter of each window in row ``j`` of the sketch; ``width`` is a power of two."""
-    return ((h1 + np.uint64(j) * h2) >> np.uint64(64 - (width.bit_length() - 1))).astype(np.uint32)
-
-
-def _pack(sorted_numbers: np.ndarray) -> bytes:
-    """Sorted numbers below 2**32 by their differences."""
-    return zlib.compress(np.diff(sorted_numbers.astype(np.uint32), prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
-
-
-def _unpack(blob: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(zlib.decompress(blob), np.uint8).reshape(4, -1).T).view("<u4").ravel(), dtype=np.int64)
-
-
-@dataclass
-class Sketch:
-    """The merged sketch as far as it is asked: which counters of each row are two or more, in packed slices."""
-
-    name: str
-    depth: int
-    width: int
-    slices: list[tuple[int, int, bytes]]
-
-    def bitmaps(self) -> list[np.ndarray]:
-        """A bitmap for each row; a worker keeps the last one."""
-        if self.name not in _BITMAPS:
-            maps = [np.zeros(self.width // 8, np.uint8) for _ in range(self.depth)]
-            for j, s, blob in self.slices:
-                bits = np.frombuffer(zlib.decompress(blob), np.uint8)
-                maps[j][s * len(bits) : (s + 1) * len(bits)] = bits
-            _BITMAPS.clear()
-            _BITMAPS[self.name] = maps
-        return _BITMAPS[self.name]
-
-
-_BITMAPS: dict[str, list[np.ndarray]] = {}
-
+from .word_windows import NULL_ID, SENT_AT_ONCE, SLICE, Sketch, chunks, counter, covered_runs, equal_runs, first_of, forget_bitmaps, pack, pair_bytes, record_batch, text_bytes, unpack
 
 def count_windows(docs: DataFrame, window: int, depth: int, width: int, chunk_words: int) -> Sketch:
     """Pass 1."""
-    part = min(width, _SLICE)
+    part = min(width, SLICE)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _BITMAPS.clear()  # a worker that has served another sketch
+        forget_bitmaps()  # a worker that has served another sketch
         held, size = [[] for _ in range(depth)], 0
 
         def send() -> pa.RecordBatch:
@@ -168,14 +50,14 @@ def count_windows(docs: DataFrame, window: int, depth: int, width: int, chunk_wo
                 own.clear()
                 at.sort()
                 cuts = np.searchsorted(at, np.arange(0, width + 1, part, dtype=np.uint32))
-                out += [(j, s, _pack(at[a:b] - np.uint32(s * part))) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-            return _batch(out, [("depth", pa.int32()), ("slice", pa.int32()), ("counters", pa.binary())])
+                out += [(j, s, pack(at[a:b] - np.uint32(s * part))) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+            return record_batch(out, [("depth", pa.int32()), ("slice", pa.int32()), ("counters", pa.binary())])
 
-        for c in _chunks(batches, window, chunk_words):
+        for c in chunks(batches, window, chunk_words):
             for j in range(depth):
-                held[j].append(_counter(c.h1[c.firsts], c.h2[c.firsts], j, width))
+                held[j].append(counter(c.h1[c.firsts], c.h2[c.firsts], j, width))
             size += len(c.firsts)
-            if size >= _SENT_AT_ONCE:
+            if size >= SENT_AT_ONCE:
                 yield send()
                 size = 0
         if held[0]:
@@ -185,21 +67,16 @@ def count_windows(docs: DataFrame, window: int, depth: int, width: int, chunk_wo
         counts = np.zeros(part, np.uint8)
         for batch in batches:
             for blob in batch.column("counters"):
-                at, n = np.unique(_unpack(blob.as_py()), return_counts=True)
+                at, n = np.unique(unpack(blob.as_py()), return_counts=True)
                 counts[at] = np.minimum(counts[at] + np.minimum(n, 2), 2)  # two or more is all that is asked
         bits = zlib.compress(np.packbits(counts >= 2, bitorder="little").tobytes(), 1)
-        yield _batch([(key[0].as_py(), key[1].as_py(), bits)], [("depth", pa.int32()), ("slice", pa.int32()), ("bits", pa.binary())])
+        yield record_batch([(key[0].as_py(), key[1].as_py(), bits)], [("depth", pa.int32()), ("slice", pa.int32()), ("bits", pa.binary())])
 
     sent = docs.mapInArrow(count, "depth int, slice int, counters binary")
     merged = sent.groupBy("depth", "slice").applyInArrow(merge, "depth int, slice int, bits binary")
     return Sketch(uuid.uuid4().hex, depth, width, [(r.depth, r.slice, bytes(r.bits)) for r in merged.collect()])  # depth * width bits at most
 
 
-def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [[] for _ in fields]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields])
-
-
 _SENT = [("bucket", pa.int64()), ("chunk", pa.int64()), ("ids", pa.binary()), ("windows", pa.binary()), ("starts", pa.binary())]
 _PIECES = [("chunk", pa.int64()), ("ids", pa.binary()), ("starts", pa.binary())]
 _RUNS = [("id", pa.int64()), ("row", pa.int64()), ("runs", pa.binary())]
@@ -211,25 +88,25 @@ def repeated_windows(docs: DataFrame, window: int, sketch: Sketch, buckets: int,
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, depth, width = shared.value.bitmaps(), shared.value.depth, shared.value.width
-        for c in _chunks(batches, window, chunk_words):
+        for c in chunks(batches, window, chunk_words):
             keep = c.firsts
             for j in range(depth):
-                at = _counter(c.h1[keep], c.h2[keep], j, width)
+                at = counter(c.h1[keep], c.h2[keep], j, width)
                 keep = keep[(bits[j][at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8)) & 1 == 1]
             chunk = xxhash.xxh3_64_intdigest(c.ids.tobytes() + c.rows.tobytes()) >> 1
             at = np.flatnonzero(c.later)
-            out = [(-1 - chunk % buckets, chunk, c.ids.tobytes() + c.rows.tobytes(), b"", _pair(c.doc[at], c.start[at]))]
+            out = [(-1 - chunk % buckets, chunk, c.ids.tobytes() + c.rows.tobytes(), b"", pair_bytes(c.doc[at], c.start[at]))]
             bucket = c.h2[keep] % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
             for b in np.flatnonzero(np.diff(cuts)):
                 at = keep[order[cuts[b] : cuts[b + 1]]]
                 docs_in, own = np.unique(c.doc[at], return_inverse=True)
-                out.append((int(b), chunk, c.ids[docs_in].tobytes() + c.rows[docs_in].tobytes(), np.stack((c.h1[at], c.h2[at])).tobytes(), _pair(own, c.start[at])))
-            yield _batch(out, _SENT)
+                out.append((int(b), chunk, c.ids[docs_in].tobytes() + c.rows[docs_in].tobytes(), np.stack((c.h1[at], c.h2[at])).tobytes(), pair_bytes(own, c.start[at])))
+            yield record_batch(out, _SENT)
 
     def group(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _BITMAPS.clear()
+        forget_bitmaps()
         pieces = [r for b in batches for r in zip(b.column("chunk").to_pylist(), b.column("ids").to_pylist(), b.column("windows").to_pylist(), b.column("starts").to_pylist(), strict=True)]
         if key[0].as_py() < 0:  # what its chunk has settled already
             out = [(k, ids, starts) for k, ids, _, starts in pieces]
@@ -247,23 +124,13 @@ def repeated_windows(docs: DataFrame, window: int, sketch: Sketch, buckets: int,
                 at += d.shape[1]
                 if mine.any():
                     docs_in, new = np.unique(d[0][mine], return_inverse=True)
-                    out.append((pieces[k][0], heads[k][:, docs_in].tobytes(), _pair(new, d[1][mine])))
-        yield _batch(out, _PIECES)
+                    out.append((pieces[k][0], heads[k][:, docs_in].tobytes(), pair_bytes(new, d[1][mine])))
+        yield record_batch(out, _PIECES)
 
     sent = docs.mapInArrow(send, "bucket long, chunk long, ids binary, windows binary, starts binary")
     return sent.groupBy("bucket").applyInArrow(group, "chunk long, ids binary, starts binary")
 
 
-def _pair(doc: np.ndarray, start: np.ndarray) -> bytes:
-    return np.stack((doc, start)).astype(np.int32).tobytes()
-
-
-def covered_runs(starts: np.ndarray, window: int) -> np.ndarray:
-    """Word ranges [from, to) that the windows at the sorted, distinct ``starts`` cover, as an array (2, runs)."""
-    cut = np.flatnonzero(np.diff(starts) > window)
-    return np.stack((starts[np.append(0, cut + 1)], starts[np.append(cut, len(starts) - 1)] + window))
-
-
 def _per_document(pieces: DataFrame, window: int) -> DataFrame:
     """(id, row, runs): for every document that loses words its covered ranges."""
 
@@ -279,13 +146,13 @@ def _per_document(pieces: DataFrame, window: int) -> DataFrame:
         ids, starts = ids[:, order], starts[order]
         cuts = np.flatnonzero(np.concatenate((np.ones(min(len(starts), 1), bool), (ids[:, 1:] != ids[:, :-1]).any(axis=0))))
         runs = [covered_runs(np.unique(x), window).astype("<i4").tobytes() for x in np.split(starts, cuts[1:])] if len(starts) else []
-        yield _batch(list(zip(ids[0][cuts].tolist(), ids[1][cuts].tolist(), runs, strict=True)), _RUNS)
+        yield record_batch(list(zip(ids[0][cuts].tolist(), ids[1][cuts].tolist(), runs, strict=True)), _RUNS)
 
     return pieces.groupBy("chunk").applyInArrow(gather, "id long, row long, runs binary")
 
 
 def _cut(text: str | None, runs: bytes | None) -> tuple[int, int, str]:
-    words = _bytes(text).split()
+    words = text_bytes(text).split()
     keep = np.ones(len(words), bool)
     if runs is not None:
         for a, b in np.frombuffer(runs, "<i4").reshape(2, -1).T:
@@ -294,7 +161,7 @@ def _cut(text: str | None, runs: bytes | None) -> tuple[int, int, str]:
     return len(words), len(words) - len(kept), b" ".join(kept).decode("utf-8", "surrogatepass")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, depth: int = 2, max_width: int = 1 << 29, chunk_words: int = 1 << 19, bucket_windows: int = 1 << 20, keep_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, depth: int = 2, max_width: int = 1 << 29, chunk_words: int = 1 << 18, bucket_windows: int = 1 << 20, keep_text: bool = True) -> DataFrame:
     """One row per row of ``docs``: id, n_words, n_removed, kept_sha256 and, if asked for, kept_text (single-spaced)."""
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("d"), F.count_if(F.col("id").isNull()).alias("z")).first()
@@ -302,7 +169,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     width = min(max(1 << (4 * windows - 1).bit_length(), 1 << 16), max_width)
     # rows of one id are told apart by the hash of their text; ids that are distinct need none
     row = F.lit(0).cast("long") if size.d + size.z == size.n and size.z <= 1 else F.xxhash64("text")
-    keyed = rows.select(F.coalesce("id", F.lit(_NULL)).alias("id"), row.alias("row"), "text")
+    keyed = rows.select(F.coalesce("id", F.lit(NULL_ID)).alias("id"), row.alias("row"), "text")
     sketch = count_windows(keyed, window, depth, width, chunk_words)
     pieces = repeated_windows(keyed, window, sketch, -(-windows // bucket_windows), chunk_words)
     # a chunk and its row are the same text, so repeated rows may report twice: the ranges are merged as a set
@@ -317,6 +184,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             out.append((n, gone, hashlib.sha256(kept.encode("utf-8", "surrogatepass")).hexdigest(), kept)[: 3 + keep_text])
         return pd.DataFrame(out, columns=["n_words", "n_removed", "kept_sha256", "kept_text"][: 3 + keep_text])
 
-    source = rows.select("id", "text", row.alias("row"), F.coalesce("id", F.lit(_NULL)).alias("key"))
+    source = rows.select("id", "text", row.alias("row"), F.coalesce("id", F.lit(NULL_ID)).alias("key"))
     joined = source.join(runs, (F.col("key") == F.col("rid")) & (F.col("row") == F.col("rrow")), "left")
     return joined.select("id", cut("text", "runs").alias("o")).select("id", "o.*")
