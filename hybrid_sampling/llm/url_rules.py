@@ -7,9 +7,13 @@ combinations; rules with the label as consequent stay if they meet the support
 matched by an inverted index from token to rules: a rule fires when all of its
 tokens have been counted.
 
-Mining is on labelled rows only, with at most ``max_items`` tokens of a
-transaction, those of largest difference in frequency between bad and other rows
-(so at most 2**max_items / support itemsets); matching takes all tokens of all URLs.
+Mining is on labelled rows only, with all tokens that stand in enough bad rows for a
+rule; no transaction is cut. While none has more than ``max_items`` of them FP-growth
+lists all their sets (at most 2**max_items / support); else sets are grown token by
+token from exact counts, leaving out those that as many other rows hold as hold a part
+of them: that part does as well, for them and all that contain them. A set of a level
+is on the driver and in every task, so memory grows with the sets that are frequent
+and not left out. Both ways give the same rules; matching takes all tokens of all URLs.
 
 Listed (host, path) rules come first: a rule fits its host and all subdomains if
 the path starts with the rule's; of several the longest wins.
@@ -22,10 +26,13 @@ rows are judged each; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import combinations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +40,8 @@ from pyspark.sql import functions as F
 from .common import stage
 
 _LABEL = "=bad"
+#: Sets that a task counts before it hands them on.
+_HELD = 50_000
 
 
 def host_of(url: Column) -> Column:
@@ -72,20 +81,20 @@ def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.002,
     total = known.agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad")).first()
     if not total.bad:
         return []
-    min_support = max(min_support, min(min_count / total.n, 1.0))
-    seen = known.select("bad", F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("b"))
+    least = math.ceil(max(min_support * total.n, min(min_count, total.n)))  # bad rows of a rule
+    seen = known.select("bad", F.explode("items").alias("item")).groupBy("item").agg(F.count_if("bad").alias("b"), F.count_if(~F.col("bad")).alias("g"))
     # 1 / min_support * (tokens of a URL) frequent ones at most
-    gap = F.abs(F.col("b") / total.bad - (F.col("n") - F.col("b")) / max(total.n - total.bad, 1))
-    frequent = seen.filter(F.col("n") >= min_support * total.n).select("item", gap.alias("gap"))
-    ranked = known.select("bad", "k", F.explode("items").alias("item")).join(frequent, "item")
-    top = ranked.groupBy("k", "bad").agg(F.slice(F.sort_array(F.collect_list(F.struct("gap", "item")), asc=False), 1, max_items).alias("t"))
-    baskets = stage(top.select(F.concat(F.col("t.item"), F.when(F.col("bad"), F.array(F.lit(_LABEL))).otherwise(F.array().cast("array<string>"))).alias("items")), "url-baskets")
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    sets = model.freqItemsets
-    whole = sets.filter(F.array_contains("items", _LABEL)).select(F.sort_array(F.array_except("items", F.array(F.lit(_LABEL)))).alias("items"), F.col("freq").alias("both"))
-    alone = sets.filter(~F.array_contains("items", _LABEL)).select(F.sort_array("items").alias("items"), "freq")
-    rules = whole.join(alone, "items").withColumn("confidence", F.col("both") / F.col("freq")).filter(F.col("confidence") >= min_confidence)
-    got = sorted(((tuple(r.items_), r.confidence, r.both / total.n) for r in rules.withColumnRenamed("items", "items_").collect()), key=lambda r: (len(r[0]), r[0]))
+    frequent = seen.filter(F.col("b") >= least)
+    ranked = known.select("bad", "k", F.explode("items").alias("item")).join(frequent.select("item"), "item")
+    baskets = stage(ranked.groupBy("k", "bad").agg(F.sort_array(F.collect_list("item")).alias("items")).drop("k"), "url-baskets")
+    size = baskets.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("items")).alias("longest")).first()
+    if not size.n:
+        return []
+    if size.longest <= max_items:
+        found = _listed_sets(baskets, (least - 0.5) / size.n, min_confidence)
+    else:
+        found = _grown_sets(baskets, {(r.item,): (r.b, r.g) for r in frequent.collect()}, total.n - total.bad, least, min_confidence)
+    got = sorted(((items, both / n, both / total.n) for items, both, n in found), key=lambda r: (len(r[0]), r[0]))
     kept: dict[frozenset, float] = {}
     for items, confidence, support in got:  # shorter ones first
         if not any(part <= frozenset(items) and c >= confidence for part, c in kept.items()):
@@ -93,6 +102,72 @@ def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.002,
     return [r for r in got if frozenset(r[0]) in kept]
 
 
+def _listed_sets(baskets: DataFrame, min_support: float, min_confidence: float) -> list[tuple[tuple[str, ...], int, int]]:
+    """(tokens, bad rows, rows) of all sets that meet both bounds, by FP-growth."""
+    marked = baskets.select(F.concat("items", F.when(F.col("bad"), F.array(F.lit(_LABEL))).otherwise(F.array().cast("array<string>"))).alias("items"))
+    sets = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(marked).freqItemsets
+    whole = sets.filter(F.array_contains("items", _LABEL)).select(F.sort_array(F.array_except("items", F.array(F.lit(_LABEL)))).alias("tokens"), F.col("freq").alias("both"))
+    alone = sets.filter(~F.array_contains("items", _LABEL)).select(F.sort_array("items").alias("tokens"), "freq")
+    rules = whole.join(alone, "tokens").filter(F.col("both") / F.col("freq") >= min_confidence)
+    return [(tuple(r.tokens), r.both, r.freq) for r in rules.collect()]
+
+
+def _grown_sets(baskets: DataFrame, single: dict[tuple[str, ...], tuple[int, int]], others: int, least: int, min_confidence: float) -> list[tuple[tuple[str, ...], int, int]]:
+    """As ``_listed_sets``, without sets that have a part in as many other rows. single: (bad, other) rows of each token."""
+    rows = stage(baskets.groupBy("items").agg(F.count_if("bad").alias("b"), F.count_if(~F.col("bad")).alias("g")), "url-sets")
+    out: list[tuple[tuple[str, ...], int, int]] = []
+    level, parts = single, {(): others}
+    while level:
+        out += [(s, b, b + g) for s, (b, g) in level.items() if b / (b + g) >= min_confidence]
+        # a set in no other row has all confidence there is, and so has each that contains it
+        parts = {s: g for s, (_, g) in level.items() if 0 < g < min(parts[s[:j] + s[j + 1 :]] for j in range(len(s)))}
+        level = {tuple(r["items"]): (r.b, r.g) for r in _one_more(rows, frozenset(parts)).filter(F.col("b") >= least).collect()} if len(parts) > 1 else {}
+    return out
+
+
+def _one_more(rows: DataFrame, sets: frozenset[tuple[str, ...]]) -> DataFrame:
+    """(items, b, g): rows' counts for every set one token larger than ``sets`` (sorted, all of one size) whose parts all are in them."""
+    shared = rows.sparkSession.sparkContext.broadcast(sets)
+    schema = pa.schema([("items", pa.list_(pa.string())), ("b", pa.int64()), ("g", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, tree = shared.value, {}
+        for s in sets:
+            node = tree
+            for item in s:
+                node = node.setdefault(item, {})
+        k = len(next(iter(sets)))
+
+        def larger(items: list[str], node: dict, at: int, head: tuple[str, ...]) -> Iterator[tuple[str, ...]]:
+            on = [i for i in range(at, len(items)) if items[i] in node]
+            if len(head) < k - 1:
+                for i in on:
+                    yield from larger(items, node[items[i]], i + 1, (*head, items[i]))
+            else:
+                for a, b in combinations(on, 2):
+                    s = (*head, items[a], items[b])
+                    if all(s[:j] + s[j + 1 :] in sets for j in range(k - 1)):
+                        yield s
+
+        def batch(counts: dict[tuple[str, ...], list[int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{"items": s, "b": b, "g": g} for s, (b, g) in counts.items()], schema)
+
+        counts: dict[tuple[str, ...], list[int]] = {}
+        for part in batches:
+            for items, b, g in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                for s in larger(sorted(items), tree, 0, ()):
+                    own = counts.setdefault(s, [0, 0])
+                    own[0] += b
+                    own[1] += g
+                    if len(counts) >= _HELD:
+                        yield batch(counts)
+                        counts.clear()
+        if counts:
+            yield batch(counts)
+
+    return rows.mapInArrow(count, "items array<string>, b long, g long").groupBy("items").agg(F.sum("b").alias("b"), F.sum("g").alias("g"))
+
+
 def fired(rows: DataFrame, rules: list[tuple[tuple[str, ...], float, float]]) -> Column:
     """The number of the best mined rule (by confidence, then by order) whose tokens all stand in ``tokens``; else null."""
     index: dict[str, list[int]] = defaultdict(list)
