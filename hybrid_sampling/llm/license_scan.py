@@ -9,13 +9,15 @@ c * n / (2t + (1 - c) * n), where n > t / 2; with bands of ``rows`` hashes the n
 bands is the least that misses such a window with at most ``miss`` probability.
 Windows that agree with a template in a band are verified: the distinct shingles
 of the template that stand in the window, counted exactly by their words, must be
-``contained`` of all. Overlapping finds of one template are one span.
+``contained`` of all. Templates of fewer than five words have no shingle: they are
+looked for whole, word by word, at every place. Overlapping finds of one template are
+one span.
 
 The templates are parameters; their minima are a few numbers each, sent to every
 task. The texts are cut by batches of at most about ``_SPAN`` words, no shuffle.
 
-Defined cases: null or empty texts, and texts of fewer than five words, hold no
-license; templates of fewer than five words are refused; repeated rows are each
+Defined cases: null or empty texts hold no license, texts of fewer than five words
+only those of so few; templates without a word are refused; repeated rows are each
 reported; an empty table gives no rows.
 """
 
@@ -73,6 +75,8 @@ TEMPLATES = {
     "CC0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
 }
 
+NOTICES = {"All rights reserved": "All rights reserved"}  # of fewer than five words
+
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -102,7 +106,7 @@ def bands_needed(similarity: float, rows: int, miss: float) -> int:
 
 
 class Templates:
-    """Shingles and band minima of the templates."""
+    """Shingles and band minima of the templates, of five words or more each."""
 
     def __init__(self, texts: dict[str, str], contained: float = 0.8, rows: int = 1, miss: float = 1e-3, seed: int = 7):
         self.names = sorted(texts)
@@ -176,11 +180,44 @@ class Templates:
         return ((a, b - a, c) for a, b, c in best)
 
 
+class Phrases:
+    """Templates too short for a shingle, found whole."""
+
+    def __init__(self, texts: dict[str, str]):
+        own = {n: words_of(texts[n]) for n in sorted(texts)}
+        if empty := [n for n, w in own.items() if not w]:
+            raise ValueError(f"templates without a word: {empty}")
+        self.known = [(n, len(w), b" %b " % b" ".join(w)) for n, w in own.items()]
+
+    def scan(self, texts: list[list[bytes]]) -> list[list[tuple[str, int, int, float]]]:
+        """As ``Templates.scan``."""
+        return [[s for known in self.known for s in self._found(joined, *known)] for joined in (b" %b " % b" ".join(w) for w in texts)]
+
+    def _found(self, joined: bytes, name: str, n: int, phrase: bytes) -> Iterator[tuple[str, int, int, float]]:
+        spans: list[list[int]] = []
+        at, word, seen = joined.find(phrase), 0, 0
+        while at >= 0:
+            word, seen = word + joined.count(b" ", seen, at), at
+            if spans and word < spans[-1][1]:
+                spans[-1][1] = word + n
+            else:
+                spans.append([word, word + n])
+            at = joined.find(phrase, at + 1)
+        return ((name, a, b - a, 1.0) for a, b in spans)
+
+
 def license_spans(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text", contained: float = 0.8, rows: int = 1, miss: float = 1e-3) -> DataFrame:
     """One row for each span of a license in a text: id, license, from_word, words, containment."""
-    known = Templates(templates or TEMPLATES, contained, rows, miss)
+    texts = templates or TEMPLATES | NOTICES
+    short = {n for n, t in texts.items() if len(words_of(t)) < SHINGLE}
+    long = {n: t for n, t in texts.items() if n not in short}
+    known = [Templates(long, contained, rows, miss)] if long else []
+    known += [Phrases({n: texts[n] for n in short})] if short else []
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
+    def scan(held: list[list[bytes]]) -> list[list[tuple[str, int, int, float]]]:
+        return [[s for own in found for s in own] for found in zip(*(k.scan(held) for k in shared.value), strict=True)]
+
     @F.pandas_udf(FOUND)
     def spans(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
@@ -189,9 +226,9 @@ def license_spans(docs: DataFrame, templates: dict[str, str] | None = None, id_c
                 held.append(words_of(text))
                 size += len(held[-1])
                 if size >= _SPAN:
-                    out += shared.value.scan(held)
+                    out += scan(held)
                     held, size = [], 0
-            out += shared.value.scan(held)
+            out += scan(held)
             yield pd.Series([[{"license": n, "from_word": a, "words": w, "containment": c} for n, a, w, c in own] for own in out])
 
     rows_ = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
