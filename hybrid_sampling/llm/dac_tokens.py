@@ -16,7 +16,9 @@ a number, first beside and then moved to its place: a task that runs again write
 the same file. A manifest table has a row a file. The files stand in the shared
 folder (or any folder that pyarrow's file systems reach from the executors).
 
-Defined cases: a null text is empty (the end id alone); repeated rows are written
+Defined cases: the string of an added token (``<|endoftext|>``) in a text is that
+token, as the library has it by default, unless ``plain_added`` makes it ordinary
+text; a null text is empty (the end id alone); repeated rows are written
 each, in the order of their texts; null ids come first; an empty table writes no
 file and gives no rows.
 """
@@ -146,6 +148,7 @@ class _Ids(dict):
 
     def __init__(self, tokenizer):
         self.tokenizer, self.model, self.recent = tokenizer, tokenizer.model, {}
+        self.whole = _HIGH  # what this finds in goes to the tokenizer, all else to its model
 
     def __missing__(self, token: str) -> bytes:
         ids = self.recent.get(token)
@@ -153,7 +156,7 @@ class _Ids(dict):
             if len(self) < CACHE:
                 self[token] = ids
             return ids
-        if _HIGH.search(token):  # a piece or a whole text
+        if self.whole.search(token):  # a piece or a whole text
             own = self.tokenizer.encode(token, add_special_tokens=False).ids
         else:
             own = [t.id for t in self.model.tokenize(token.encode().decode("latin-1").translate(_LETTERS))]
@@ -171,17 +174,24 @@ class Encoder:
     A text's ids are those of its tokens under the pre-tokenizer's pattern, and the model gives those; texts
     with characters from U+0250 on are first cut at single spaces between two other characters, where a token always begins, and their
     pieces with such characters (or all of a text that has other white space at a space) go to the tokenizer.
+    So does all of a text that holds the string of an added token, unless these are ordinary text (``plain_added``).
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain_added: bool = True):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known = _Ids(tokenizer)
+        self.known, self.added = _Ids(tokenizer), None
+        if plain_added:
+            tokenizer.encode_special_tokens = True
+        elif added := [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]:
+            self.added = re.compile("|".join(added))
+            self.known.whole = re.compile("|".join([_HIGH.pattern, *added]))
 
     def _cut(self, text: str) -> list[str]:
         """The tokens and pieces of a text."""
+        if self.added and self.added.search(text):
+            return [text]
         if not _HIGH.search(text):
             return _TOKEN.findall(text)
         own = text.split(" ")
@@ -197,8 +207,8 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, plain_added: bool) -> Encoder:
+    return Encoder(path, plain_added)
 
 
 # --- files by Spark tasks -----------------------------------------------------------------------------------------
@@ -208,7 +218,7 @@ def _place(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def write_dac(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, bits: int = 8, file_ids: int = 1 << 22, partitions: int | None = None) -> DataFrame:
+def write_dac(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, bits: int = 8, file_ids: int = 1 << 22, partitions: int | None = None, plain_added: bool = False) -> DataFrame:
     """Write all documents in ascending order of id; the manifest, a staged table."""
     rows = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(_NULL)).alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     spark = docs.sparkSession
@@ -233,7 +243,7 @@ def write_dac(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_i
             return pa.RecordBatch.from_pylist([{"part": part, "number": number, "path": path, "documents": len(ids), "ids": int(starts[-1]), "bytes": len(data)}], schema)
 
         schema = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("path", pa.string()), ("documents", pa.int64()), ("ids", pa.int64()), ("bytes", pa.int64())])
-        coder = encoder(tokenizer)
+        coder = encoder(tokenizer, plain_added)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 some = batch.slice(at, 1024)
