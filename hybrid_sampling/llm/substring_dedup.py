@@ -12,6 +12,8 @@ elsewhere. What repeats inside a chunk is known at once and is not sent.
 Chunks hold at most about ``chunk_words`` words (one text more), buckets about
 ``bucket_windows`` windows, the broadcast bitmaps ``depth`` * ``max_width`` bits.
 With more windows than counters the filter passes more windows, never fewer.
+Both passes must cut the same chunks, so what is not a plain scan of files (whose
+rows come in one order however often it is read) is staged first.
 
 Defined cases: a null or empty text has no words; texts shorter than the window
 lose nothing; a null id is smaller than any other; rows that share an id are one
@@ -33,6 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stage
 from .word_windows import NULL_ID, SENT_AT_ONCE, SLICE, Sketch, chunks, counter, covered_runs, equal_runs, first_of, forget_bitmaps, pack, pair_bytes, record_batch, text_bytes, unpack
 
 def count_windows(docs: DataFrame, window: int, depth: int, width: int, chunk_words: int) -> Sketch:
@@ -161,9 +164,28 @@ def _cut(text: str | None, runs: bytes | None) -> tuple[int, int, str]:
     return len(words), len(words) - len(kept), b" ".join(kept).decode("utf-8", "surrogatepass")
 
 
+def _steady(docs: DataFrame) -> bool:
+    """Whether the rows are those of a scan of files, in the same order at each evaluation."""
+    todo = [docs._jdf.queryExecution().optimizedPlan()]
+    if not todo[0].deterministic():
+        return False
+    while todo:
+        plan = todo.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "LogicalRelation":
+            if plan.relation().getClass().getSimpleName() != "HadoopFsRelation":
+                return False
+        elif kind not in ("Project", "Filter"):
+            return False
+        todo += [plan.children().apply(i) for i in range(plan.children().size())]
+    return True
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, depth: int = 2, max_width: int = 1 << 29, chunk_words: int = 1 << 18, bucket_windows: int = 1 << 20, keep_text: bool = True) -> DataFrame:
     """One row per row of ``docs``: id, n_words, n_removed, kept_sha256 and, if asked for, kept_text (single-spaced)."""
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
+    if not _steady(rows):
+        rows = stage(rows, "substring-docs")
     size = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("d"), F.count_if(F.col("id").isNull()).alias("z")).first()
     windows = max((size.b or 0) // 6, 1)
     width = min(max(1 << (4 * windows - 1).bit_length(), 1 << 16), max_width)
