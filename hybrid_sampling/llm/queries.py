@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dac_tokens, decontaminate, exact_dedup, kk_shards, license_scan, mixing, simhash, substring_dedup, toxicity, url_rules
+from . import conversations, dac_tokens, decontaminate, exact_dedup, html_text, kk_shards, license_scan, mixing, simhash, spelling, substring_dedup, toxicity, url_rules
 from .common import table
 
 #: Listed URL rules of the query: what to do, host, path.
@@ -69,7 +69,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_rules, op2_exact_dedup, op3_substring_dedup, op4_license_scan, op5_decontaminate, op6_kk_shards, op7_toxicity, op8_dac_tokens, op9_simhash, op10_mixing)}
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_summary(conversations.damaged(table(spark, sf_dir, "conversations"))).withColumnRenamed("conv", "conv_id")
+
+
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.vocabulary(spelling.damaged(spelling.letter_runs(table(spark, sf_dir, "documents")))))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_rules, op2_exact_dedup, op3_substring_dedup, op4_license_scan, op5_decontaminate, op6_kk_shards, op7_toxicity, op8_dac_tokens, op9_simhash, op10_mixing, op11_conversation_repair, op12_html_text, op13_spelling)}
 
 SQL = {
     "op2_exact_dedup": """
