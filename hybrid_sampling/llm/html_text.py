@@ -53,6 +53,7 @@ BLOCKS = HEADINGS | _set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form header hgroup hr html "
     "legend li listing main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul caption"
 )
+INLINE = _set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q s samp small span strike strong sub sup time tt u var")
 #: Blocks that points pass through to the next container.
 CONTAINERS = _set("article body center div form main section td th details fieldset")
 #: Start tags that end an open paragraph.
@@ -168,7 +169,7 @@ class Page:
         elif name in TABLE_PARTS:
             self._leave(name, _set("table") - {name})
         elif name not in ("html", "body"):  # an inline end tag leaves the blocks begun since open, a block's end stays in its cell
-            self._leave(name, SCOPE if name in BLOCKS else BLOCKS)
+            self._leave(name, BLOCKS if name in INLINE else SCOPE)
 
 
 def _names(marks: dict[str, str]) -> set[str]:
