@@ -10,7 +10,8 @@ the bound are verified by alignment inside the band. Where k * q is too much for
 a short item, k is the largest number of edits for which the bound holds.
 
 The items are the query set: they are taken in blocks of at most about
-``block_bytes``, each broadcast and held against all texts.
+``block_bytes``, and some ``BLOCKS_A_PASS`` of them are broadcast and held against all texts in
+one pass. A task indexes one block at a time and goes through a batch of texts with each.
 
 Defined cases: null or empty texts and items match nothing; an item shorter than
 q must occur exactly; repeated rows are judged each; of equal items each reports;
@@ -36,6 +37,9 @@ _SPAN = 1 << 20  # bytes of text whose q-grams are counted at once
 _CELL = 4096  # diagonals of a cell of the first count, or what the widest band has
 _SLOTS = (1 << 18) - 1
 
+#: Blocks broadcast together, as plain texts.
+BLOCKS_A_PASS = 16
+
 HIT = "array<struct<item_id: long, at: long, length: int, edits: int>>"
 
 
@@ -201,7 +205,22 @@ def matches(index: Index, texts: list[bytes]) -> list[list[tuple[int, int, int,
     return [[(i, s, n, e) for i, (e, s, n) in sorted(own.items())] for own in found]
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[int, str | None]]]:
+Block = list[tuple[int, str | None]]
+
+
+def _passes(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[Block]]:
+    """The query set in blocks, as many as one pass takes."""
+    held: list[Block] = []
+    for block in _blocks(items, id_col, text_col, block_bytes):
+        held.append(block)
+        if len(held) == BLOCKS_A_PASS:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
+def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[Block]:
     """The query set in blocks, in order of id."""
     block, size = [], 0
     for r in items.select(items[id_col].cast("long").alias("i"), items[text_col].alias("t")).filter("t is not null").orderBy("i", "t").toLocalIterator():
@@ -214,15 +233,21 @@ def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> I
         yield block
 
 
-def _hits(texts: DataFrame, block: list[tuple[int, str | None]], max_edits: float):
-    shared = texts.sparkSession.sparkContext.broadcast((block, max_edits))
+def _hits(texts: DataFrame, blocks: list[Block], max_edits: float):
+    shared = texts.sparkSession.sparkContext.broadcast((blocks, max_edits))
 
     @F.pandas_udf(HIT)
     def hits(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(*shared.value)
+        blocks, max_edits = shared.value
+        only = Index(blocks[0], max_edits) if len(blocks) == 1 else None
         for part in parts:
-            found = matches(index, [normalised(t) for t in part])
-            yield pd.Series([[{"item_id": index.items[i][0], "at": s, "length": n, "edits": e} for i, s, n, e in own] for own in found])
+            ready = [normalised(t) for t in part]
+            out: list[list[dict]] = [[] for _ in ready]
+            for block in blocks:
+                index = only or Index(block, max_edits)
+                for told, own in zip(out, matches(index, ready), strict=True):
+                    told += [{"item_id": index.items[i][0], "at": s, "length": n, "edits": e} for i, s, n, e in own]
+            yield pd.Series(out)
 
     return hits
 
@@ -230,7 +255,7 @@ def _hits(texts: DataFrame, block: list[tuple[int, str | None]], max_edits: floa
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", max_edits: float = 0.1, block_bytes: int = 4 << 20) -> DataFrame:
     """One row for each text and item found in it: id, item_id, at, length (bytes of the normalised text), edits."""
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    parts = [rows.select("id", F.explode(_hits(docs, block, max_edits)("text")).alias("h")).select("id", "h.*") for block in _blocks(items, item_id, item_text, block_bytes)]
+    parts = [rows.select("id", F.explode(_hits(docs, blocks, max_edits)("text")).alias("h")).select("id", "h.*") for blocks in _passes(items, item_id, item_text, block_bytes)]
     none = "item_id long, at long, length int, edits int"
     return reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], f"id {docs.schema[id_col].dataType.simpleString()}, {none}")
 
@@ -238,6 +263,6 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", max_edits: float = 0.1, block_bytes: int = 4 << 20) -> DataFrame:
     """The rows of ``docs`` in which no item is found."""
     rows = packed(docs, text=docs[text_col])
-    for block in _blocks(items, item_id, item_text, block_bytes):
-        rows = rows.filter(F.size(_hits(docs, block, max_edits)("text")) == 0)
+    for blocks in _passes(items, item_id, item_text, block_bytes):
+        rows = rows.filter(F.size(_hits(docs, blocks, max_edits)("text")) == 0)
     return unpacked(rows, docs.columns)
