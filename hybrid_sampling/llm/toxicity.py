@@ -13,7 +13,8 @@ parted at the median number of features that speak for them.
 
 Defined cases: null or empty texts have no features; null labels are left out;
 an id labelled more than once takes its largest label; without labels of both
-kinds nothing is toxic; repeated rows score alike; an empty table gives no rows.
+kinds nothing is toxic; repeated rows score alike; an empty table gives no rows; a very
+long text is scored whole, a word at a time.
 """
 
 from __future__ import annotations
@@ -64,14 +65,13 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.theta[None, :] - score[:, None], -60, 60)))
 
 
-def choose_features(rows: DataFrame, n: int, positive: int, min_docs: int, chi2: float, most: int) -> DataFrame:
+def choose_features(rows: DataFrame, n: int, positive: int, min_docs: int, chi2: float) -> DataFrame:
     """rows (y boolean, f array of features) -> (feature, speaks): those with enough support and a chi-square against
-    ``y`` of at least ``chi2`` (the ``most`` with the largest), and whether each speaks for it. Counted where the rows are."""
+    ``y`` of at least ``chi2``, and whether each speaks for it. Counted where the rows are."""
     seen = rows.select("y", F.explode("f").alias("feature")).groupBy("feature").agg(F.count(F.lit(1)).alias("d"), F.count_if("y").alias("a"))
     a, d, n_, p = F.col("a").cast("double"), F.col("d").cast("double"), F.lit(float(n)), F.lit(float(positive))
     x = F.when(d < n_, n_ * F.pow(a * (n_ - p) - (d - a) * p, F.lit(2.0)) / (d * (n_ - d) * p * (n_ - p)))
-    kept = seen.filter((d >= min_docs) & (x >= chi2)).select("feature", (a * n_ > d * p).alias("speaks"), x.alias("chi2"))
-    return kept.orderBy(F.col("chi2").desc(), "feature").limit(most).select("feature", "speaks")
+    return seen.filter((d >= min_docs) & (x >= chi2)).select("feature", (a * n_ > d * p).alias("speaks"))
 
 
 def grades_of(rows: list[np.ndarray], positive: np.ndarray, speaking: np.ndarray) -> np.ndarray:
@@ -120,7 +120,7 @@ def features_udf(texts: pd.Series) -> pd.Series:
     return pd.Series([text_features(t) for t in texts])
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", sample: int = 20_000, min_docs: int = 5, chi2: float = 10.83, max_features: int = 20_000, seed: int = 5) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", sample: int = 20_000, min_docs: int = 5, chi2: float = 10.83, seed: int = 5) -> Model:
     """Fit on the texts of at most about ``sample`` labelled ids, chosen by hash of the id."""
     known = labels.select(labels[id_col].alias("lid"), labels[label_col].cast("int").alias("y")).dropna().groupBy("lid").agg(F.max("y").alias("y"))
     share = min(1.0, sample / max(known.count(), 1))
@@ -131,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     total = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("y").alias("p")).first()
     if not total.p or total.p == total.n:
         return Model({}, np.full(2, 60.0))
-    kept = stage(choose_features(rows, total.n, total.p, min_docs, chi2, max_features), "toxicity-features")
+    kept = stage(choose_features(rows, total.n, total.p, min_docs, chi2), "toxicity-features")
     features = kept.toPandas().sort_values("feature")
     own = rows.select("k", F.explode("f").alias("feature")).join(F.broadcast(kept.select("feature")), "feature").groupBy("k").agg(F.collect_list("feature").alias("f"))
     got = rows.select("k", "y").join(own, "k", "left").orderBy("k").toArrow()  # the kept features of the sample
