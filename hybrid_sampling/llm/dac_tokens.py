@@ -19,12 +19,14 @@ folder (or any folder that pyarrow's file systems reach from the executors).
 Defined cases: the string of an added token (``<|endoftext|>``) in a text is that
 token, as the library has it by default, unless ``plain_added`` makes it ordinary
 text; a null text is empty (the end id alone); repeated rows are written
-each, in the order of their texts; null ids come first; an empty table writes no
+each, in the order of their texts; null ids come first; a very long text is encoded whole by its
+task and makes a long file of its own; an empty table writes no
 file and gives no rows.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import unicodedata
@@ -168,6 +170,22 @@ class _Ids(dict):
         return ids
 
 
+# What a file's steps must be for its texts to be cut as above; other files are asked whole texts.
+_STEPS = {"normalizer": None, "post_processor": None, "truncation": None, "padding": None}
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "byte_fallback": False, "ignore_merges": False}
+
+
+def cut_as_expected(path: str) -> bool:
+    """Whether the tokenizer file has no steps but the byte-level pre-tokenizer and a plain byte-pair model."""
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    pre, model = told.get("pre_tokenizer") or {}, told.get("model") or {}
+    added = [t for t in told.get("added_tokens") or () if t.get("single_word") or t.get("lstrip") or t.get("rstrip") or t.get("normalized")]
+    steps = all(told.get(k) == v for k, v in _STEPS.items()) and {k: pre.get(k) for k in _BYTE_LEVEL} == _BYTE_LEVEL
+    return steps and all(model.get(k, v) == v for k, v in _MODEL.items()) and not added
+
+
 class Encoder:
     """Ids of whole texts from the tokenizers library, which is asked once for what recurs.
 
@@ -175,6 +193,7 @@ class Encoder:
     with characters from U+0250 on are first cut at single spaces between two other characters, where a token always begins, and their
     pieces with such characters (or all of a text that has other white space at a space) go to the tokenizer.
     So does all of a text that holds the string of an added token, unless these are ordinary text (``plain_added``).
+    A file whose normalizer, pre-tokenizer or model is another one (``cut_as_expected``) gets every text whole.
     """
 
     def __init__(self, path: str, plain_added: bool = True):
@@ -182,6 +201,7 @@ class Encoder:
 
         tokenizer = Tokenizer.from_file(path)
         self.known, self.added = _Ids(tokenizer), None
+        self.whole = None if cut_as_expected(path) else tokenizer
         if plain_added:
             tokenizer.encode_special_tokens = True
         elif added := [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]:
@@ -202,6 +222,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The little-endian 32-bit ids of each text."""
+        if self.whole is not None:
+            return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.whole.encode_batch(texts, add_special_tokens=False)]
         ids = self.known.__getitem__
         return [b"".join(map(ids, self._cut(text))) for text in texts]
 
