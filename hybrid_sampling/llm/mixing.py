@@ -4,12 +4,12 @@ Tokens (words) are counted per source, each source gets a target by its weight
 (a target stops at ``max_rate`` times the source; what is over is shared again
 by weight), and a source's rate is target / size. Every document is then emitted
 floor(rate) times, and once more if its hash falls below the fraction. The hash
-takes the seed and the document id, so any rerun decides alike and a lost task
+takes the seed and the document id (without one the text), so any rerun decides alike and a lost task
 repeats its rows.
 
 Defined cases: a null text has no words; a null source is a source of its own,
 last in order; a source without words has target 0 and gives none; repeated rows
-(same id) fall alike; an empty table gives no rows.
+(same id, or no id and the same text) fall alike; an empty table gives no rows; very long texts are only counted.
 """
 
 from __future__ import annotations
@@ -49,8 +49,9 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
     return s.withColumn("rate", rate).select("source", "n", "source_size", "target", "rate")
 
 
-def _copies(id_: Column, rate: Column, seed: int) -> Column:
-    key = F.concat(F.lit(f"{seed}:"), F.coalesce(id_.cast("string"), F.lit("")))
+def _copies(id_: Column, text: Column, rate: Column, seed: int) -> Column:
+    own = F.when(id_.isNotNull(), id_.cast("string")).otherwise(F.concat(F.lit(":"), F.sha2(F.coalesce(text, F.lit("")), 256)))
+    key = F.concat(F.lit(f"{seed}:"), own)
     u = F.conv(F.substring(F.sha2(key, 256), 1, 13), 16, 10).cast("double") / F.lit(_HEX13)
     whole = F.floor(rate)
     return whole.cast("long") + F.when(u < rate - whole.cast("double"), 1).otherwise(0).cast("long")
@@ -62,7 +63,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     sizes = stage(rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size")), "mix-sources")
     targets = stage(source_targets(sizes, weights, share, max_rate), "mix-targets")
     out = attach(rows, targets, "source", "n", F.col("id"))
-    return out.withColumn("copies", _copies(F.col("id"), F.col("rate"), seed)).drop("n")
+    return out.withColumn("copies", _copies(F.col("id"), F.col("row").getField(text_col), F.col("rate"), seed)).drop("n")
 
 
 def mixed(docs: DataFrame, **kw) -> DataFrame:
