@@ -10,7 +10,8 @@ at any size of the input, and they are fine enough to fill the gaps beside the
 largest item.
 
 Defined cases: a null text has no bytes and stands with the empty texts; repeated
-rows are a group; a group larger than a shard's share stays whole; an empty table
+rows are a group; a group larger than a shard's share stays whole; null ids come first among the slots of
+their piece and are dealt by their text; a very long text is only measured; an empty table
 gives no rows.
 """
 
@@ -82,7 +83,7 @@ def kk_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col
     dealt = attach(rows, placed, "node", "n", F.col("id"))
     # slots: numbered within pieces of a shard, each piece starting where those before it end
     pieces = max(1, -(-(items.agg(F.sum("n")).first()[0] or 0) // (slot_rows * shards)))
-    dealt = stage(dealt.select("id", "size", "text_crc32", "shard", F.pmod(F.xxhash64("id"), F.lit(pieces)).alias("piece")), "kk-rows")
+    dealt = stage(dealt.select("id", "size", "text_crc32", "shard", F.pmod(F.xxhash64("id", "text_crc32"), F.lit(pieces)).alias("piece")), "kk-rows")
     held = dealt.groupBy("shard", "piece").agg(F.count(F.lit(1)).alias("held"))
     before = W.partitionBy("shard").orderBy("piece").rowsBetween(W.unboundedPreceding, -1)
     start = held.select("shard", "piece", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("start"))
