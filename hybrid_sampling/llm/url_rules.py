@@ -8,12 +8,10 @@ matched by an inverted index from token to rules: a rule fires when all of its
 tokens have been counted.
 
 Mining is on labelled rows only, with all tokens that stand in enough bad rows for a
-rule; no transaction is cut. While none has more than ``max_items`` of them FP-growth
-lists all their sets (at most 2**max_items / support); else sets are grown token by
-token from exact counts, leaving out those that as many other rows hold as hold a part
-of them: that part does as well, for them and all that contain them. A set of a level
-is on the driver and in every task, so memory grows with the sets that are frequent
-and not left out. Both ways give the same rules; matching takes all tokens of all URLs.
+rule; no transaction is cut. Tokens that stand in the very same labelled rows are one item while mining, and
+a rule with that item becomes one with each of them, so what always comes together does not multiply the sets. Sets and their counts
+stay distributed until only the rules that no part of theirs matches are left; their number (and FP-growth's
+work) grows with the sets that are frequent. Matching takes all tokens of all URLs.
 
 Listed (host, path) rules come first: a rule fits its host and all subdomains if
 the path starts with the rule's; of several the longest wins.
@@ -29,19 +27,17 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import product
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import stage
 
 _LABEL = "=bad"
-#: Sets that a task counts before it hands them on.
-_HELD = 50_000
 
 
 def host_of(url: Column) -> Column:
@@ -73,7 +69,7 @@ def tokens_of(url: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(parts))
 
 
-def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6, min_count: int = 20, max_items: int = 10) -> list[tuple[tuple[str, ...], float, float]]:
+def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6, min_count: int = 20) -> list[tuple[tuple[str, ...], float, float]]:
     """(tokens, confidence, support) of every rule kept. pages (id, url), labels (id, bad boolean)."""
     bad = labels.dropna().groupBy("id").agg(F.max("bad").alias("bad"))
     tokens = pages.select("id", tokens_of(F.col("url")).alias("items")).join(bad, "id").filter(F.size("items") > 0)
@@ -82,90 +78,63 @@ def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.002,
     if not total.bad:
         return []
     least = math.ceil(max(min_support * total.n, min(min_count, total.n)))  # bad rows of a rule
-    seen = known.select("bad", F.explode("items").alias("item")).groupBy("item").agg(F.count_if("bad").alias("b"), F.count_if(~F.col("bad")).alias("g"))
-    # 1 / min_support * (tokens of a URL) frequent ones at most
-    frequent = seen.filter(F.col("b") >= least)
-    ranked = known.select("bad", "k", F.explode("items").alias("item")).join(frequent.select("item"), "item")
-    baskets = stage(ranked.groupBy("k", "bad").agg(F.sort_array(F.collect_list("item")).alias("items")).drop("k"), "url-baskets")
-    size = baskets.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("items")).alias("longest")).first()
-    if not size.n:
+    baskets, members = _baskets(known, least)
+    rows = baskets.count()
+    if not rows:
         return []
-    if size.longest <= max_items:
-        found = _listed_sets(baskets, (least - 0.5) / size.n, min_confidence)
-    else:
-        found = _grown_sets(baskets, {(r.item,): (r.b, r.g) for r in frequent.collect()}, total.n - total.bad, least, min_confidence)
-    got = sorted(((items, both / n, both / total.n) for items, both, n in found), key=lambda r: (len(r[0]), r[0]))
-    kept: dict[frozenset, float] = {}
-    for items, confidence, support in got:  # shorter ones first
-        if not any(part <= frozenset(items) and c >= confidence for part, c in kept.items()):
-            kept[frozenset(items)] = confidence
-    return [r for r in got if frozenset(r[0]) in kept]
-
-
-def _listed_sets(baskets: DataFrame, min_support: float, min_confidence: float) -> list[tuple[tuple[str, ...], int, int]]:
-    """(tokens, bad rows, rows) of all sets that meet both bounds, by FP-growth."""
+    kept = _unmatched(_sets(baskets, (least - 0.5) / rows, min_confidence))
+    out = []
+    for r in kept.collect():  # the rules themselves
+        for choice in product(*(members[t] for t in r.tokens)):
+            out.append((tuple(sorted(choice)), r.both / r.freq, r.both / total.n))
+    return sorted(out, key=lambda r: (len(r[0]), r[0]))
+
+
+def _baskets(known: DataFrame, least: int) -> tuple[DataFrame, dict[str, list[str]]]:
+    """Transactions (items, bad) of the tokens in ``least`` bad rows or more, one item for all tokens that stand in the very
+    same rows (told by their number and two sums of row hashes), and the tokens of each item."""
+    seen = known.select("bad", "k", F.explode("items").alias("token"))
+    same = [F.count_if("bad").alias("b"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("k")).alias("x"), F.bit_xor(F.xxhash64("k", F.lit(1))).alias("y")]
+    frequent = stage(seen.groupBy("token").agg(*same).filter(F.col("b") >= least), "url-tokens")  # tokens of a URL / min_support at most
+    item = F.min("token").over(Window.partitionBy("b", "n", "x", "y"))
+    items = frequent.select("token", item.alias("item"))
+    members: dict[str, list[str]] = defaultdict(list)
+    for r in items.collect():
+        members[r.item].append(r.token)
+    heads = items.filter("token = item").select("token")
+    return stage(seen.join(heads, "token").groupBy("k", "bad").agg(F.collect_list("token").alias("items")).drop("k"), "url-baskets"), members
+
+
+def _sets(baskets: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
+    """(tokens, both, freq, rule) of all sets that are frequent in bad rows, by FP-growth; ``rule``: the confidence, where it is enough."""
     marked = baskets.select(F.concat("items", F.when(F.col("bad"), F.array(F.lit(_LABEL))).otherwise(F.array().cast("array<string>"))).alias("items"))
-    sets = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(marked).freqItemsets
+    sets = stage(FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(marked).freqItemsets, "url-sets")
     whole = sets.filter(F.array_contains("items", _LABEL)).select(F.sort_array(F.array_except("items", F.array(F.lit(_LABEL)))).alias("tokens"), F.col("freq").alias("both"))
     alone = sets.filter(~F.array_contains("items", _LABEL)).select(F.sort_array("items").alias("tokens"), "freq")
-    rules = whole.join(alone, "tokens").filter(F.col("both") / F.col("freq") >= min_confidence)
-    return [(tuple(r.tokens), r.both, r.freq) for r in rules.collect()]
-
-
-def _grown_sets(baskets: DataFrame, single: dict[tuple[str, ...], tuple[int, int]], others: int, least: int, min_confidence: float) -> list[tuple[tuple[str, ...], int, int]]:
-    """As ``_listed_sets``, without sets that have a part in as many other rows. single: (bad, other) rows of each token."""
-    rows = stage(baskets.groupBy("items").agg(F.count_if("bad").alias("b"), F.count_if(~F.col("bad")).alias("g")), "url-sets")
-    out: list[tuple[tuple[str, ...], int, int]] = []
-    level, parts = single, {(): others}
-    while level:
-        out += [(s, b, b + g) for s, (b, g) in level.items() if b / (b + g) >= min_confidence]
-        # a set in no other row has all confidence there is, and so has each that contains it
-        parts = {s: g for s, (_, g) in level.items() if 0 < g < min(parts[s[:j] + s[j + 1 :]] for j in range(len(s)))}
-        level = {tuple(r["items"]): (r.b, r.g) for r in _one_more(rows, frozenset(parts)).filter(F.col("b") >= least).collect()} if len(parts) > 1 else {}
-    return out
-
-
-def _one_more(rows: DataFrame, sets: frozenset[tuple[str, ...]]) -> DataFrame:
-    """(items, b, g): rows' counts for every set one token larger than ``sets`` (sorted, all of one size) whose parts all are in them."""
-    shared = rows.sparkSession.sparkContext.broadcast(sets)
-    schema = pa.schema([("items", pa.list_(pa.string())), ("b", pa.int64()), ("g", pa.int64())])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, tree = shared.value, {}
-        for s in sets:
-            node = tree
-            for item in s:
-                node = node.setdefault(item, {})
-        k = len(next(iter(sets)))
-
-        def larger(items: list[str], node: dict, at: int, head: tuple[str, ...]) -> Iterator[tuple[str, ...]]:
-            on = [i for i in range(at, len(items)) if items[i] in node]
-            if len(head) < k - 1:
-                for i in on:
-                    yield from larger(items, node[items[i]], i + 1, (*head, items[i]))
-            else:
-                for a, b in combinations(on, 2):
-                    s = (*head, items[a], items[b])
-                    if all(s[:j] + s[j + 1 :] in sets for j in range(k - 1)):
-                        yield s
-
-        def batch(counts: dict[tuple[str, ...], list[int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([{"items": s, "b": b, "g": g} for s, (b, g) in counts.items()], schema)
-
-        counts: dict[tuple[str, ...], list[int]] = {}
-        for part in batches:
-            for items, b, g in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                for s in larger(sorted(items), tree, 0, ()):
-                    own = counts.setdefault(s, [0, 0])
-                    own[0] += b
-                    own[1] += g
-                    if len(counts) >= _HELD:
-                        yield batch(counts)
-                        counts.clear()
-        if counts:
-            yield batch(counts)
-
-    return rows.mapInArrow(count, "items array<string>, b long, g long").groupBy("items").agg(F.sum("b").alias("b"), F.sum("g").alias("g"))
+    confidence = F.col("both") / F.col("freq")
+    return stage(whole.join(alone, "tokens").withColumn("rule", F.when(confidence >= min_confidence, confidence)), "url-confidence")
+
+
+def _unmatched(sets: DataFrame) -> DataFrame:
+    """The rules of which no part does as well. All parts of a frequent set are frequent, so the best confidence among
+    a set's parts comes from those one token smaller, size by size."""
+    if sets.filter("rule IS NOT NULL").isEmpty():
+        return sets.limit(0)
+    sizes = sets.agg(F.max(F.size("tokens"))).first()[0]
+    kept = below = None
+    for k in range(1, sizes + 1):
+        own = sets.filter(F.size("tokens") == k)
+        if below is None:
+            told = own.withColumn("part", F.lit(None).cast("double"))
+        else:
+            parts = own.select("tokens", F.explode(F.transform("tokens", lambda t: F.array_except("tokens", F.array(t)))).alias("less"))
+            best = parts.join(below, "less").groupBy("tokens").agg(F.max("best").alias("part"))
+            told = own.join(best, "tokens", "left")
+        told = stage(told, "url-parts")
+        rules = told.filter(F.col("rule").isNotNull() & (F.col("part").isNull() | (F.col("rule") > F.col("part")))).select("tokens", "both", "freq")
+        kept = rules if kept is None else kept.unionByName(rules)
+        below = told.select(F.col("tokens").alias("less"), F.greatest("rule", "part").alias("best"))
+    return kept
 
 
 def fired(rows: DataFrame, rules: list[tuple[tuple[str, ...], float, float]]) -> Column:
