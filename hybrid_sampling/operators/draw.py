@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from hybrid_sampling.functions.exact import draw_index, final_size, interval_n, position_of, start_position
 from hybrid_sampling.operators.joins import bounded_broadcast
+from hybrid_sampling.operators.ranking import rank_population
 
 PRIMARY, AUXILIARY = "Primary", "Auxiliary"
 
@@ -29,15 +30,17 @@ def plan_samples(
     keeps nulls and gets ``plan_error``.
     """
     size_keys = size_keys or group_cols
-    sz = sizes.select(*size_keys, "mrss", "os_pct", "rand")
+    # what follows from the sizes alone is computed on their side of the join, a row a group asked for
+    mrss = F.col("mrss").cast("bigint")
+    fss = F.when(mrss > 0, final_size(mrss, F.col("os_pct")))
+    sz = sizes.select(*size_keys, mrss.alias("mrss"), "os_pct", "rand", size_error(mrss, F.col("rand")).alias("_error"), fss.alias("_fss"))
     p = counts.join(bounded_broadcast(sz, sizes_bound), size_keys, "left")
-    em, mrss, rand = F.col("em").cast("bigint"), F.col("mrss").cast("bigint"), F.col("rand")
-    error = size_error(mrss, rand)
-    p = p.withColumn("plan_error", F.when(mrss.isNull() | (mrss <= 0) | (em > final_size(mrss, F.col("os_pct"))), error))
+    em, mrss, rand = F.col("em").cast("bigint"), F.col("mrss"), F.col("rand")
+    p = p.withColumn("plan_error", F.when(mrss.isNull(), F.lit("missing sample size")).when(F.col("_fss").isNull() | (em > F.col("_fss")), F.col("_error")))
     # a group in error gets no numbers at all: nothing below divides by its sizes
+    p = p.withColumn("fss", F.when(F.col("plan_error").isNull(), F.col("_fss"))).drop("_error", "_fss")
     mrss = F.when(F.col("plan_error").isNull(), mrss)
-    p = p.withColumn("fss", final_size(mrss, F.col("os_pct")))
-    p = p.withColumn("scenario", F.when(em <= mrss, "A").when(em <= F.col("fss"), "B").when(mrss.isNotNull(), "C"))
+    p = p.withColumn("scenario", F.when(em <= mrss, "A").when(em <= F.col("fss"), "B").when(F.col("fss").isNotNull(), "C"))
     is_c = F.col("scenario") == "C"
     p = p.withColumn("n_interval", F.when(is_c, interval_n(em, F.when(is_c, F.col("fss")))))
     p = p.withColumn("start_pos", F.when(is_c, start_position(rand, F.col("n_interval"))))
@@ -63,6 +66,14 @@ def size_error(mrss, rand):
     )
 
 
+def draw_population(units: DataFrame, sizes: DataFrame, group_cols: list[str], num_partitions: int | None = None, sizes_bound: int | None = None) -> DataFrame:
+    """Rank, plan and draw: the plan of a group is made on the rank's table of pieces (a row for each range of a
+    group), and a unit meets only the finished plan with the test whether its rank is picked."""
+    plan = lambda pieces: plan_samples(pieces, sizes, group_cols, sizes_bound=sizes_bound)
+    ranked = rank_population(units, group_cols, num_partitions=num_partitions, groups_bound=sizes_bound, size_col="em", plan=plan)
+    return select_sample(ranked)
+
+
 def sample_positions(plans: DataFrame, group_cols: list[str]) -> DataFrame:
     """Audit list of scenario-C pick positions: pick_index, sample_order, position."""
     c = plans.filter((F.col("scenario") == "C") & F.col("start_pos").isNotNull())

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hybrid_sampling.operators.episodes import to_episodes
 from hybrid_sampling.operators.joins import bounded_broadcast
 
 # ---------------------------------------------------------------- fixed values
@@ -148,6 +149,7 @@ def eligible_population(
     factors_bound: int | None = None,
     derive: dict | None = None,
     visit_dates: DataFrame | None = None,
+    episodes: DataFrame | None = None,
 ) -> DataFrame:
     """G7 + G8: eligible units (member or visit grain by measure) with their sort attributes.
 
@@ -156,15 +158,19 @@ def eligible_population(
     shared sampling unit replacing the measure) is reduced in the same pass.
     ``visit_dates`` (visit_id, event_date; e.g. discharge dates) gives the
     event date used in the sort: the earliest per visit, else the fact's own.
+    ``episodes`` (from ``episodes.visit_episodes``) makes one unit of each delivery or discharge
+    for the measures whose factors name that ``anchor``.
     """
     b = non_empty_measure(filter_live(filter_status(base, status_codes)))
     b = hybrid_only(b, classification)
     # only the factor columns the population needs travel with the broadcast
-    needed = [c for c in ("product_line", "exclude_emp", "grain", *carry) if c in factors.columns and c not in SCOPE_KEYS and c not in b.columns]
+    needed = [c for c in ("product_line", "exclude_emp", "grain", "anchor", *carry) if c in factors.columns and c not in SCOPE_KEYS and c not in b.columns]
     b = scope(b, factors, carry=list(dict.fromkeys(needed)), factors_bound=factors_bound)
     b = filter_period(b, periods, period_mode)
     if visit_dates is not None:
         b = attach_event_date(b, visit_dates, keep_own=True)
+    if episodes is not None and "anchor" in b.columns:
+        b = to_episodes(b, episodes)
     for name, col in (derive or {}).items():
         b = b.withColumn(name, col)
     # reduce to the grain first: the employee rule and the patient dimension

@@ -21,6 +21,8 @@ The order is total (ids break ties), so ranks never depend on input order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,11 +47,14 @@ def rank_population(
     rank_col: str = "population_rank",
     size_col: str | None = "group_size",
     persist_input: bool = False,
+    plan: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add ``rank_col`` (1..size, bigint) and optionally ``size_col`` per group.
 
     ``groups_bound`` is an upper bound on the number of groups (e.g. the number
     of planned samples); with it the piece table is broadcast without a count.
+    ``plan`` adds columns to the piece table (group_cols and ``size_col``) that every row of
+    the group is to carry: what depends on the group alone is computed there, not per row.
     """
     order = order if order is not None else population_order()
     n = _partitions(df, num_partitions)
@@ -82,9 +87,13 @@ def rank_population(
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).cast("bigint").alias("_offset"),
         F.sum("_n").over(by_group).cast("bigint").alias("_size"),
     )
+    extra: list[str] = []
+    if plan is not None:
+        pieces = plan(pieces.withColumn(size_col, F.col("_size")))
+        extra = [c for c in pieces.columns if c not in ("_pid", "_first", "_offset", "_size", size_col, *group_cols)]
     bound = None if groups_bound is None else n + int(groups_bound)
     # null-safe on the group keys: a null key is a group like any other
-    renamed = pieces.select("_pid", *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], "_first", "_offset", "_size")
+    renamed = pieces.select("_pid", *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], "_first", "_offset", "_size", *extra)
     cond = [tagged["_pid"] == renamed["_pid"]] + [tagged[c].eqNullSafe(renamed[f"_g{i}"]) for i, c in enumerate(group_cols)]
     joined = tagged.join(bounded_broadcast(renamed, bound), cond, "inner").drop(renamed["_pid"])
     joined = joined.drop(*[f"_g{i}" for i in range(len(group_cols))])

@@ -23,18 +23,20 @@ def replace_excluded(flagged: DataFrame, group_cols: list[str], order_col: str =
     replaces_order (sample order of the replaced primary) and, per group,
     shortfall = excluded primaries that found no valid auxiliary.
 
-    One window pass over the drawn sample (partitioned by group, at most FSS rows
-    each): a running count numbers the valid auxiliaries, and the k-th takes the
-    k-th of the group's ordered holes. No join, so the sample is read once.
+    Windows over the drawn sample (partitioned by group, at most FSS rows each): running counts
+    number the holes and the valid auxiliaries, and rows of the same group and number
+    meet in a second window that shares the shuffle. No row carries a list of the others, and
+    nothing is joined, so the sample is read once.
     """
     g = Window.partitionBy(*group_cols).orderBy(order_col)
     whole = g.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     running = g.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hole = (F.col("list_type") == PRIMARY) & F.col("is_excluded")
     fill = (F.col("list_type") == AUXILIARY) & ~F.col("is_excluded")
-    f = flagged.withColumn("_holes", F.collect_list(F.when(hole, F.col(order_col))).over(whole))
-    f = f.withColumn("_k", F.when(fill, F.count_if(fill).over(running)).cast("int")).withColumn("_n_aux", F.count_if(fill).over(whole))
-    out = f.withColumn("replaces_order", F.get("_holes", F.col("_k") - 1)).withColumn("_n_holes", F.size("_holes"))
+    number = F.when(hole, F.count_if(hole).over(running)).when(fill, F.count_if(fill).over(running))
+    f = flagged.withColumns({"_k": number, "_n_aux": F.count_if(fill).over(whole), "_n_holes": F.count_if(hole).over(whole)})
+    pair = Window.partitionBy(*group_cols, "_k")
+    out = f.withColumn("replaces_order", F.when(fill, F.max(F.when(hole, F.col(order_col))).over(pair)))
     final = (
         F.when(F.col("is_excluded"), EXCLUDED)
         .when(F.col("list_type") == PRIMARY, PRIMARY)
@@ -43,7 +45,7 @@ def replace_excluded(flagged: DataFrame, group_cols: list[str], order_col: str =
     )
     out = out.withColumn("final_list", final)
     out = out.withColumn("shortfall", F.greatest(F.col("_n_holes") - F.col("_n_aux"), F.lit(0)).cast("bigint"))
-    return out.drop("_holes", "_k", "_n_holes", "_n_aux")
+    return out.drop("_k", "_n_holes", "_n_aux")
 
 
 def spread_exclusions(invalid: DataFrame, groups: DataFrame) -> DataFrame:

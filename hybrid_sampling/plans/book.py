@@ -14,10 +14,12 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hybrid_sampling.operators import criteria as CR
 from hybrid_sampling.operators import eligibility as E
 from hybrid_sampling.plans import proxy as P
 from hybrid_sampling.plans.job import Inputs
 from hybrid_sampling.sources import control as CT
+from hybrid_sampling.sources.extracts import Extract
 from hybrid_sampling.sources.readers import local_table
 
 # ---------------------------------------------------------------- fixed values
@@ -159,6 +161,51 @@ def criteria(spark: SparkSession, sf_dir: str) -> E.Criteria:
     )
 
 
+# fixed values: the catalogue's rules: least and greatest age, gender, months, gaps, event, association
+CATALOGUE = (
+    ("CBP", 18, 85, None, 3, 1, "return", True),
+    ("COL", 45, 75, None, 4, 0, None, False),
+    ("TRC", 18, 64, "F", None, None, "return", None),
+    (None, 18, 75, None, 2, 2, "urgent", True),
+)
+RULE_TYPES = ("string", "int", "int", "string", "int", "int", "string", "boolean")
+
+
+def measure_criteria(spark: SparkSession, rows=CATALOGUE) -> DataFrame:
+    return local_table(spark, rows, list(zip(CR.RULE_COLUMNS, RULE_TYPES, strict=True)))
+
+
+def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Qualifying events: returns, and urgent orders."""
+    urgent = P.table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    return P.qualifying_events(spark, sf_dir).unionByName(
+        urgent.select(F.col("o_custkey").alias("patient_id"), F.year("o_orderdate").cast("int").alias("measurement_year"), F.lit("urgent").alias("event_type"))
+    )
+
+
+def catalogue(spark: SparkSession, sf_dir: str, rows=CATALOGUE) -> CR.Catalogue:
+    return CR.Catalogue(
+        rules=measure_criteria(spark, rows),
+        members=P.patients(spark, sf_dir).select("patient_id", "gender", "organization_id"),
+        spans=enrollment(spark, sf_dir),
+        events=typed_events(spark, sf_dir),
+        associations=P.provider_nations(spark, sf_dir),
+        invalid=known_invalid(spark, sf_dir),
+    )
+
+
+def extracts(spark: SparkSession, sf_dir: str) -> dict[str, Extract]:
+    """Raw extracts: encounters are orders; those of orderkey mod 25 = 0 name a member nobody knows in
+    even years and no member in years mod 3 = 0, a 25th each. Claims are the line items by year shipped."""
+    o, li = P.table(spark, sf_dir, "orders"), P.table(spark, sf_dir, "lineitem")
+    year = F.year("o_orderdate").cast("int")
+    odd = F.col("o_orderkey") % 25 == 0
+    member = F.when(odd & (year % 3 == 0), F.lit(None)).when(odd & (year % 2 == 0), -1 - F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    encounters = o.select(member.alias("patient_id"), year.alias("measurement_year"))
+    claims = o.join(li, o.o_orderkey == li.l_orderkey).select(F.col("o_custkey").alias("member"), F.year("l_shipdate").cast("int").alias("served"))
+    return {"RE_Encounter": Extract(encounters, max_null_share=0.01, max_orphan_share=0.05), "RE_Claims": Extract(claims, key="member", year="served", min_rows=100)}
+
+
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     base = facts(spark, sf_dir)
     late = P.invalid_members(spark, sf_dir).filter(F.col("measure_code").isNotNull())

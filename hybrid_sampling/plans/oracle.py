@@ -480,7 +480,7 @@ SELECT o_custkey AS patient_id, o_orderkey AS visit_id, {MEASURE_CASE} AS measur
        CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'visit' ELSE 'member' END AS grain,
        CASE WHEN o_orderpriority IN ('3-MEDIUM', '5-LOW') THEN 'GSD-EED' END AS shared_group
 FROM orders WHERE {MEASURE_CASE} IN (
-    SELECT measure_code FROM flat WHERE cyar >= 99 AND pyr >= 99 AND correlation_id IN (SELECT correlation_id FROM open_req))"""
+    SELECT measure_code FROM flat WHERE correlation_id IN (SELECT correlation_id FROM open_req))"""
 
 SQL["not_yet_sampled"] = f"""WITH {REQ_CTE}
 SELECT correlation_id, submission_id, measurement_year FROM open_req r
@@ -723,6 +723,84 @@ SELECT correlation_id, error FROM bad"""
 SQL["eligible_full"] = f"""WITH {BOOK_POP_CTE}
 SELECT {UNIT_COLS}, event_date FROM b_elig"""
 
+# the catalogue: each measure's own ages, gender, months, gaps, event and association (EED and GSD by the general row)
+SQL["eligible_catalogue"] = f"""WITH {BOOK_POP_CTE},
+told AS (
+    SELECT f.*, c.c_nationkey, f.measurement_year - year(CAST(DATE '1940-01-01' + CAST((c.c_custkey * 7919) % 25000 AS INTEGER) AS DATE)) AS age,
+        coalesce(m.months, 0) AS months, coalesce(i.islands, 0) AS islands,
+        c.c_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 7000) AS associated,
+        EXISTS (SELECT 1 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+                WHERE l.l_returnflag = 'R' AND o.o_custkey = f.patient_id AND year(o.o_orderdate) = f.measurement_year) AS returned,
+        EXISTS (SELECT 1 FROM orders o WHERE o.o_orderpriority = '1-URGENT' AND o.o_custkey = f.patient_id AND year(o.o_orderdate) = f.measurement_year) AS urgent
+    FROM b_fact f JOIN customer c ON c.c_custkey = f.patient_id
+    LEFT JOIN d_months m ON m.patient_id = f.patient_id AND m.y = f.measurement_year
+    LEFT JOIN d_islands i ON i.patient_id = f.patient_id AND i.y = f.measurement_year
+    WHERE c.c_acctbal >= 0 AND c.c_custkey % 37 <> 0 AND c.c_custkey NOT IN (SELECT patient_id FROM dup)
+)
+SELECT {UNIT_COLS}, CAST(event_date AS VARCHAR) AS event_date FROM told
+WHERE CASE measure_code
+    WHEN 'CBP' THEN age BETWEEN 18 AND 85 AND months >= 3 AND islands BETWEEN 1 AND 2 AND returned AND associated
+    WHEN 'COL' THEN age BETWEEN 45 AND 75 AND months >= 4 AND islands = 1
+    WHEN 'TRC' THEN age BETWEEN 18 AND 64 AND c_nationkey % 2 = 0 AND returned
+    ELSE age BETWEEN 18 AND 75 AND months >= 2 AND islands BETWEEN 1 AND 3 AND urgent AND associated END"""
+
+# an event begins a delivery when none stands in the 45 days before it; each event belongs to the last such day
+SQL["delivery_episodes"] = """WITH
+ev AS (SELECT o_custkey AS p, o_orderkey AS v, CAST(l_shipdate AS DATE) AS d FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')),
+days AS (SELECT DISTINCT p, d FROM ev),
+begins AS (SELECT p, d FROM days a WHERE NOT EXISTS (SELECT 1 FROM days b WHERE b.p = a.p AND b.d < a.d AND b.d >= a.d - 45)),
+own AS (SELECT e.p, e.v, e.d, max(b.d) AS anchor FROM ev e JOIN begins b ON b.p = e.p AND b.d <= e.d GROUP BY e.p, e.v, e.d, e.rowid)
+SELECT p AS patient_id, CAST(row_number() OVER (PARTITION BY p ORDER BY anchor) AS INTEGER) AS episode, CAST(anchor AS VARCHAR) AS anchor_date,
+    min(v) FILTER (WHERE d = anchor) AS visit_id, CAST(count(DISTINCT d) AS BIGINT) AS n_days, CAST(count(*) AS BIGINT) AS n_events
+FROM own GROUP BY p, anchor""".replace(
+    "SELECT o_custkey AS p, o_orderkey AS v, CAST(l_shipdate AS DATE) AS d FROM orders", "SELECT row_number() OVER () AS rowid, o_custkey AS p, o_orderkey AS v, CAST(l_shipdate AS DATE) AS d FROM orders"
+)
+
+# a stay begins an episode when no stay that began earlier reaches the day before it
+SQL["discharge_episodes"] = """WITH
+st AS (SELECT row_number() OVER () AS i, o_custkey AS p, o_orderkey AS v, CAST(l_shipdate AS DATE) AS a, CAST(CAST(l_shipdate AS DATE) + CAST(l_partkey % 20 AS INTEGER) AS DATE) AS d
+       FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_partkey % 31 <> 0),
+begins AS (SELECT DISTINCT p, a FROM st x WHERE NOT EXISTS (SELECT 1 FROM st y WHERE y.p = x.p AND y.a < x.a AND y.d >= x.a - 1)),
+own AS (SELECT s.i, s.p, s.v, s.d, max(b.a) AS admit FROM st s JOIN begins b ON b.p = s.p AND b.a <= s.a GROUP BY ALL),
+last AS (SELECT *, max(d) OVER (PARTITION BY p, admit) AS anchor FROM own)
+SELECT p AS patient_id, CAST(row_number() OVER (PARTITION BY p ORDER BY admit) AS INTEGER) AS episode, CAST(admit AS VARCHAR) AS admit_date,
+    CAST(anchor AS VARCHAR) AS anchor_date, min(v) FILTER (WHERE d = anchor) AS visit_id, CAST(count(*) AS BIGINT) AS n_stays
+FROM last GROUP BY p, admit, anchor"""
+
+EXTRACT_CTE = """
+years AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS measurement_year FROM orders),
+enc AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS y, o_orderkey % 25 = 0 AS odd FROM orders),
+met AS (
+    SELECT 'extract:RE_Encounter' AS check_name, y AS measurement_year, count(*) AS n_rows, count(*) FILTER (WHERE odd AND y % 3 = 0) AS null_keys,
+           count(*) FILTER (WHERE odd AND y % 3 <> 0 AND y % 2 = 0) AS orphan_keys, 1 AS least, 0.01 AS nulls, 0.05 AS orphans FROM enc GROUP BY y
+    UNION ALL
+    SELECT 'extract:RE_Claims', m.measurement_year, count(l_orderkey), 0, 0, 100, 0, 0
+    FROM years m LEFT JOIN (lineitem JOIN orders ON o_orderkey = l_orderkey) ON year(l_shipdate) = m.measurement_year GROUP BY m.measurement_year
+),
+extract_passed AS (SELECT *, n_rows >= least AND null_keys <= nulls * n_rows AND orphan_keys <= orphans * n_rows AS passed FROM met)"""
+
+SQL["extract_checks"] = f"""WITH {EXTRACT_CTE}
+SELECT check_name, measurement_year, CAST(n_rows AS BIGINT) AS n_rows, CAST(null_keys AS BIGINT) AS null_keys, CAST(orphan_keys AS BIGINT) AS orphan_keys, passed FROM extract_passed"""
+
+# stages: every order has a line item, lines shipped in the year; the last year is not reviewed
+SQL["ready_years"] = f"""WITH {EXTRACT_CTE},
+bare AS (SELECT DISTINCT year(o_orderdate) AS y FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem))
+SELECT measurement_year, measurement_year < (SELECT max(measurement_year) FROM years)
+    AND measurement_year IN (SELECT year(l_shipdate) FROM lineitem)
+    AND measurement_year NOT IN (SELECT measurement_year FROM extract_passed WHERE NOT passed) AS passed
+FROM years"""
+
+# rows as text, columns in the order of their names, digested and summed
+SQL["freeze_manifest"] = f"""WITH f AS (
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS measurement_year, CAST(o_custkey % 2 + 1 AS BIGINT) AS submission_id,
+        concat_ws('|', {MEASURE_CASE}, CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 6 WHEN 'P' THEN 2 END AS VARCHAR), CAST(CAST(o_orderdate AS DATE) AS VARCHAR),
+            CASE WHEN o_orderkey % 20 = 0 THEN '1' ELSE '0' END, {MEASURE_CASE}, CAST(year(o_orderdate) AS VARCHAR), CAST(o_custkey % 2 + 1 AS VARCHAR),
+            CAST(o_custkey AS VARCHAR), CAST(year(o_orderdate) AS VARCHAR), CAST(o_custkey % 2 + 1 AS VARCHAR), CAST(o_custkey % 2 + 1 AS VARCHAR), CAST(o_orderkey AS VARCHAR)) AS t
+    FROM orders)
+SELECT measurement_year, submission_id, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(CAST(('0x' || substr(md5(t), 1, 13)) AS BIGINT)) AS VARCHAR) AS fingerprint,
+    'FQR,MP,PP' AS gate, 'first' AS run_id
+FROM f WHERE measurement_year < (SELECT max(year(o_orderdate)) FROM orders) GROUP BY 1, 2"""
+
 SQL["duplicate_members"] = """SELECT c_custkey AS patient_id, 'duplicate' AS reason FROM (
     SELECT c_custkey, min(c_custkey) OVER (PARTITION BY c_mktsegment, c_nationkey, floor(c_acctbal / 20)) AS first FROM customer)
 WHERE c_custkey > first"""

@@ -424,6 +424,24 @@ def stage_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("s.stage", "measurement_year", "s.is_complete")
 
 
+def delivery_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivery events: line items of urgent and high orders by the day they were shipped, many per visit."""
+    o = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    li = table(spark, sf_dir, "lineitem")
+    return o.join(li, o.o_orderkey == li.l_orderkey).select(
+        F.col("o_custkey").alias("patient_id"), F.col("o_orderkey").alias("visit_id"), F.col("l_shipdate").cast("date").alias("event_date")
+    )
+
+
+def inpatient_stays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inpatient stays: one per line item, from the day it was shipped, for partkey mod 20 days; partkeys mod 31 = 0 have no discharge."""
+    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    out = F.when(F.col("l_partkey") % 31 != 0, F.date_add(F.col("l_shipdate").cast("date"), (F.col("l_partkey") % 20).cast("int")))
+    return o.join(li, o.o_orderkey == li.l_orderkey).select(
+        F.col("o_custkey").alias("patient_id"), F.col("o_orderkey").alias("visit_id"), F.col("l_shipdate").cast("date").alias("admit_date"), out.alias("discharge_date")
+    )
+
+
 def inputs(spark: SparkSession, sf_dir: str):
     """All proxy tables as inputs of the whole job."""
     from hybrid_sampling.plans.job import Inputs

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from hybrid_sampling import schemas as SC
 from hybrid_sampling.operators import draw as D
 from hybrid_sampling.operators import eligibility as E
+from hybrid_sampling.operators import episodes as EP
 from hybrid_sampling.operators import factors as FA
 from hybrid_sampling.operators import replacement as R
 from hybrid_sampling.operators import request as RQ
@@ -27,6 +28,8 @@ from hybrid_sampling.plans import sampling as S
 from hybrid_sampling.session import scratch_path
 from hybrid_sampling.sources import control as CT
 from hybrid_sampling.sources import sinks as SK
+from hybrid_sampling.sources.extracts import extract_checks
+from hybrid_sampling.sources.snapshot import Snapshot, gate_state
 from hybrid_sampling.sources.staging import stage
 
 GROUP = S.GROUP
@@ -212,8 +215,8 @@ def q_age_gender(spark, sf_dir):
 
 @register("requested_measures")
 def q_requested_measures(spark, sf_dir):
-    """P8 + E5: facts of the measures that open requests name with rates of 99 and more, with the measure's grain and group."""
-    named = RQ.flatten_request(RQ.parse_requests(CT.open_requests(P.requests(spark, sf_dir)))).filter((F.col("cyar") >= 99) & (F.col("pyr") >= 99))
+    """P8 + E5: facts of the measures that open requests name, with the measure's grain and group."""
+    named = RQ.flatten_request(RQ.parse_requests(CT.open_requests(P.requests(spark, sf_dir))))
     f = E.requested_only(P.facts(spark, sf_dir), named)
     return E.attach_measure(f, P.measure_meta(spark)).select("patient_id", "visit_id", "measure_code", "grain", "shared_group")
 
@@ -409,6 +412,50 @@ def q_eligible_full(spark, sf_dir):
     return PL.eligible_units(inp, PL.source_facts(inp, f), f).select(*UNIT, "event_date")
 
 
+@register("eligible_catalogue")
+def q_eligible_catalogue(spark, sf_dir):
+    """G1-G6, E15, E16 by stored rules: each measure asks for its own age, gender, months, gaps, event and association."""
+    inp, f, _ = book_factors(spark, sf_dir)
+    inp = replace(inp, criteria=None, catalogue=BK.catalogue(spark, sf_dir))
+    return PL.eligible_units(inp, PL.source_facts(inp, f), f).select(*UNIT, "event_date")
+
+
+@register("delivery_episodes")
+def q_delivery_episodes(spark, sf_dir):
+    """Delivery events more than 45 days apart are deliveries of their own."""
+    return EP.delivery_episodes(P.delivery_events(spark, sf_dir), gap_days=45)
+
+
+@register("discharge_episodes")
+def q_discharge_episodes(spark, sf_dir):
+    """Stays that follow each other within a day are one, with its last discharge."""
+    return EP.discharge_episodes(P.inpatient_stays(spark, sf_dir), transfer_days=1)
+
+
+@register("extract_checks")
+def q_extract_checks(spark, sf_dir):
+    """Raw extracts by year, and which of them are sound enough to sample from."""
+    years = P.stage_status(spark, sf_dir).select("measurement_year")
+    return extract_checks(BK.extracts(spark, sf_dir), P.patients(spark, sf_dir), years)
+
+
+@register("ready_years")
+def q_ready_years(spark, sf_dir):
+    """The years that stages, tables and raw extracts let through."""
+    inp = replace(BK.inputs(spark, sf_dir), extracts=BK.extracts(spark, sf_dir))
+    return PL.checks(inp).filter("check_name = 'ready'").select("measurement_year", "passed")
+
+
+@register("freeze_manifest")
+def q_freeze_manifest(spark, sf_dir):
+    """What is frozen of the book, as published: only what passed its gate, with rows and fingerprint."""
+    inp = BK.inputs(spark, sf_dir)
+    base = BK.facts(spark, sf_dir)
+    snapshot = Snapshot(spark, scratch_path(spark, "snapshot"))
+    snapshot.freeze(base, base.select("measurement_year", "submission_id").distinct(), gate_state(PL.checks(inp), inp.stage_status), "first")
+    return snapshot.manifest().select("measurement_year", "submission_id", "n_rows", "fingerprint", "gate", "run_id")
+
+
 @register("duplicate_members")
 def q_duplicate_members(spark, sf_dir):
     return E.duplicate_members(BK.identified_members(spark, sf_dir), ["c_mktsegment", "c_nationkey", "balance"]).select("patient_id", "reason")

@@ -62,11 +62,9 @@ def plans(run: Run) -> DataFrame:
 
 
 def drawn(run: Run, num_partitions: int | None = None) -> DataFrame:
-    """The drawn sample: the rank carries each group's size, so the plan is
-    computed per row against the broadcast factors and no second pass over the
-    population is needed."""
-    planned = D.plan_samples(ranked(run, num_partitions), run.factors, GROUP, sizes_bound=run.groups_bound)
-    return D.select_sample(planned)
+    """The drawn sample: the rank knows each group's size, so its plan is made
+    there and no second pass over the population is needed."""
+    return D.draw_population(population(run), run.factors, GROUP, num_partitions, run.groups_bound)
 
 
 def final(run: Run) -> DataFrame:
@@ -80,6 +78,5 @@ def shared_drawn(run: Run) -> DataFrame:
     emitted for every measure of the group."""
     pop = R.shared_population(population(run), SHARED)
     sizes = R.shared_sizes(run.factors, SHARED)
-    ranked_df = rank_population(pop, SHARED, groups_bound=run.groups_bound, size_col="em")
-    d = D.select_sample(D.plan_samples(ranked_df, sizes, SHARED, sizes_bound=run.groups_bound))
+    d = D.draw_population(pop, sizes, SHARED, sizes_bound=run.groups_bound)
     return R.emit_for_measures(d, P.measure_meta(run.spark))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hybrid_sampling.operators.joins import bounded_broadcast
+from hybrid_sampling.sources.ledger import Ledger
 
 # ---------------------------------------------------------------- fixed values
 REQUEST_TYPE = "SAMPLING"
@@ -48,6 +49,27 @@ def close_requests(requests: DataFrame, outcomes: DataFrame) -> DataFrame:
     return j.withColumn("campaign_status", status).withColumn("is_sampling_processed", flag.cast("int")).drop("_ok")
 
 
+def keep_processed(mine: DataFrame, published: DataFrame) -> DataFrame:
+    """``mine`` on top of a version that another run published meanwhile: what is processed there stays so."""
+    done = published.filter(F.col("campaign_status") == PROCESSED).select("correlation_id", F.lit(True).alias("_done"))
+    j = mine.join(done, "correlation_id", "left")
+    there = F.coalesce(F.col("_done"), F.lit(False))
+    status, flag = F.when(there, F.lit(PROCESSED)).otherwise(F.col("campaign_status")), F.when(there, F.lit(1)).otherwise(F.col("is_sampling_processed"))
+    return j.withColumn("campaign_status", status).withColumn("is_sampling_processed", flag.cast("int")).drop("_done").select(*mine.columns)
+
+
+def claim_rows(groups: DataFrame, run_id: str, held: bool = True) -> DataFrame:
+    """Rows of the claim ledger: sampling groups claimed by a run, or given back by it."""
+    return groups.select("submission_id", "product_line", "measure_code", "measurement_year", F.lit(run_id).alias("run_id"), F.lit(held).alias("held"))
+
+
+def standing_claims(ledger: DataFrame, measures: bool = False) -> DataFrame:
+    """The submission-years and lines that are claimed and not given back, with their run (and measures)."""
+    keys = ["submission_id", "product_line", "measure_code", "measurement_year", "run_id"]
+    standing = ledger.groupBy(*keys).agg(F.bool_and("held").alias("held")).filter("held").drop("held")
+    return standing if measures else standing.drop("measure_code").distinct()
+
+
 def failure_rows(outcomes: DataFrame, process: str = "hybrid-sampling") -> DataFrame:
     """One error-log row per failed request."""
     return outcomes.filter(~F.col("succeeded")).select(
@@ -69,6 +91,11 @@ def source_errors(requests: DataFrame, run_configuration: DataFrame, source_deta
     return missing.select("correlation_id", F.concat(F.lit("no source table for run configuration "), F.coalesce(F.col("run_config_id").cast("string"), F.lit("(none)"))).alias("error"))
 
 
+def no_gate_errors(requests: DataFrame) -> DataFrame:
+    """Without stage statuses nothing tells that a year is ready, so no request of it may run."""
+    return requests.select("correlation_id", F.concat(F.lit("year "), F.col("measurement_year").cast("string"), F.lit(" not ready: no stage status")).alias("error")).distinct()
+
+
 def gate_errors(requests: DataFrame, checks: DataFrame) -> DataFrame:
     """Requests of a year that is not ready: correlation_id and error,
     naming the checks of the year, and the tables, that did not pass.
@@ -95,16 +122,19 @@ def table_exists_checks(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-def check_prerequisites(stage_status: DataFrame, tables: dict[str, DataFrame], stages=REQUIRED_STAGES) -> DataFrame:
+def check_prerequisites(stage_status: DataFrame, tables: dict[str, DataFrame], stages=REQUIRED_STAGES, more: DataFrame | None = None) -> DataFrame:
     """Stage checks per year (MP, PP, FQR complete), table checks, and a
-    ``ready`` row per year that is true only when everything passed."""
+    ``ready`` row per year that is true only when everything passed. ``more``: further
+    checks by year (check_name, measurement_year, passed), such as those of the raw extracts."""
     st = stage_status.filter(F.col("stage").isin(*stages)).select(
         F.col("stage").alias("check_name"), "measurement_year", F.col("is_complete").alias("passed")
     )
     tb = table_exists_checks(tables) if tables else None
     # the table verdict is one value: a scalar subquery, evaluated once (no join)
     tables_ok = F.lit(True) if tb is None else tb.agg(F.bool_and("passed")).scalar()
-    per_year = st.groupBy("measurement_year").agg(F.bool_and("passed").alias("_stages_ok"), F.count_distinct("check_name").alias("_n"))
+    own = F.col("check_name").isin(*stages)
+    st = st if more is None else st.unionByName(more)
+    per_year = st.groupBy("measurement_year").agg(F.bool_and("passed").alias("_stages_ok"), F.count_distinct(F.when(own, F.col("check_name"))).alias("_n"))
     ready = per_year.select(
         F.lit("ready").alias("check_name"),
         "measurement_year",
@@ -119,7 +149,10 @@ def sampled_keys(sample: DataFrame, keys=("submission_id", "measurement_year"))
 
 
 def read_current(spark, root: str) -> DataFrame:
-    """The newest published version (the max version, a scalar subquery)."""
+    """The newest version: the last one published through the ledger, else the max version (a scalar subquery)."""
+    published = Ledger(spark, f"{root}_ledger").read(last_only=True)
+    if published is not None:
+        return published
     t = spark.read.parquet(root)
     newest = t.agg(F.max("version")).scalar()
     return t.filter(F.col("version") == newest).drop("version")

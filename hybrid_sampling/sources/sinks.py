@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SAMPLE_PARTITIONS = ("domain_id", "measurement_year", "submission_id", "product_line", "measure_code")
-FROZEN_PARTITIONS = ("measurement_year", "submission_id")
 
 
 def append_jdbc(df: DataFrame, options: dict[str, str], table: str, num_partitions: int | None = None) -> None:
@@ -21,9 +20,9 @@ def write_sample(sample: DataFrame, root: str, partitions=SAMPLE_PARTITIONS) ->
     """The sample as Parquet partitioned by domain, year, submission, product
     line and measure. Dynamic partition overwrite: a rerun replaces only the partitions
     it writes. Rows are clustered by the partition keys first so each task
-    writes few files."""
+    writes few files, and stand in sample order within each (W7)."""
     (
-        sample.repartition(*partitions)
+        sample.repartition(*partitions).sortWithinPartitions(*partitions, "sample_order", "population_rank")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
@@ -47,6 +46,13 @@ def read_if_any(spark: SparkSession, path: str, schema: StructType | None = None
         raise
 
 
+def write_ordered(df: DataFrame, path: str, keys: list[str], mode: str = "errorifexists", **options: str) -> None:
+    """Parquet files that follow each other in the order of ``keys``, and rows in that order within each, so that
+    the footers' least and greatest values let a reader of one key skip all other row groups."""
+    order = [F.col(k).asc_nulls_first() for k in keys]
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).options(**options).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV export with a header (for review outside Spark)."""
     df.write.mode("errorifexists").option("header", True).csv(path)
@@ -56,30 +62,6 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def freeze_scope(base: DataFrame, root: str, scope: DataFrame, run_id: str) -> DataFrame:
-    """S11, once per year: freeze the submission-years of ``scope`` that are not
-    frozen yet, and return the snapshot of all of them.
-
-    The snapshot is partitioned by year and submission; ``root``/scope names what
-    is frozen and by which run. A partition that is named there is never written
-    again; a run that was lost before it named its partitions writes them anew.
-    """
-    spark, keys = base.sparkSession, list(FROZEN_PARTITIONS)
-    data, names = f"{root.rstrip('/')}/data", f"{root.rstrip('/')}/scope"
-    wanted = scope.select(*keys).distinct().dropna()
-    done = read_if_any(spark, names)
-    new = wanted if done is None else wanted.join(done, keys, "left_anti")
-    new = spark.createDataFrame(new.collect(), wanted.schema)  # submission-years of open requests
-    if not new.isEmpty():
-        years = [r.measurement_year for r in new.select("measurement_year").distinct().collect()]
-        part = base.filter(F.col("measurement_year").isin(years)).join(new, keys, "left_semi")
-        part.repartition(*keys, F.pmod(F.xxhash64("patient_id"), F.lit(16))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(data)
-        new.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(names)
-    fields = [f for f in base.schema.fields if f.name not in keys] + [base.schema[k] for k in keys]
-    frozen = read_if_any(spark, data, StructType(fields))
-    return base.limit(0) if frozen is None else frozen.select(*base.columns)
-
-
 def freeze(base: DataFrame, path: str) -> DataFrame:
     """Write a snapshot once (``errorifexists``: a frozen path is never
     overwritten) and return the snapshot read back; sampling reads only this."""
