@@ -130,6 +130,11 @@ def opened(inp: Inputs) -> DataFrame:
     )
 
 
+def with_open_requests(inp: Inputs) -> Inputs:
+    """The inputs with their open requests only, written once: factors, errors and outcomes all start from them."""
+    return replace(inp, requests=stage(CT.open_requests(inp.requests), "open-requests"))
+
+
 def requests_to_run(inp: Inputs) -> DataFrame:
     """S7 + S8 + S3 + J1-J5: open requests not sampled before, flattened."""
     req = CT.open_requests(inp.requests)
@@ -460,11 +465,14 @@ def run(
     check_inputs(inp)
     spark = inp.requests.sparkSession
     claims = Ledger(spark, claims_root) if claims_root else None
+    if inp.stage_status is not None:
+        inp = replace(inp, stage_status=stage(inp.stage_status, "stage-status"))  # the gate as this run saw it
     snapshot = Snapshot(spark, snapshot_root) if snapshot_root else None
     stored = SK.read_if_any(spark, sample_root, SAMPLE_OUTPUT)
     history = stored_history(inp, stored, claims)
     if history is not None:
         inp = replace(inp, sample_history=stage(history, "sampled-before"))  # as it was before this run
+    every, inp = inp.requests, with_open_requests(inp)
     resolved = stage(resolve_factors(inp, rate_mode, rand_default, inverse, dropped), "factors")
     factors, errors = split_errors(inp, resolved)
     factors, errors = stage(factors, "factors-to-sample"), stage(errors, "request-errors")
@@ -493,7 +501,7 @@ def run(
         # no second evaluation of the draw
         SK.write_ordered(output_summary(run_rows), summary_out, ["measure_code", "measurement_year", "submission_id", "product_line"], status_mode)
     outcomes = stage(request_outcomes(inp, factors, errors, run_rows.select(*GROUP)), "outcomes")
-    closed = CT.close_requests(inp.requests, outcomes)
+    closed = CT.close_requests(every, outcomes)
     if versions is not None:
         own = closed
         published = versions.append(lambda last: own if last is None else CT.keep_processed(own, last), run_id, last_only=True)

@@ -386,7 +386,7 @@ def q_sample_all(spark, sf_dir):
 
 
 def book_factors(spark, sf_dir):
-    inp = BK.inputs(spark, sf_dir)
+    inp = PL.with_open_requests(BK.inputs(spark, sf_dir))
     factors, errors = PL.split_errors(inp, stage(PL.resolve_factors(inp), "book-factors"))
     return inp, stage(factors, "book-to-sample"), errors
 

@@ -30,17 +30,23 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = 8,
     return spark
 
 
+def _scheme(spark: SparkSession, path: str) -> str:
+    """The file system that a path leads to, the default one for a path without a scheme."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    return jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf).getUri().getScheme()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
     On a cluster the setting must name a shared file system: unset, or a path of
-    one machine (``file:``), it is refused. In local mode (one machine) an unset
+    one machine (``file:``, or a bare path where that is the default file system), it is refused. In local mode (one machine) an unset
     folder is set to one below the warehouse.
     """
     sc = spark.sparkContext
     local = sc.master.startswith("local")
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not local and (not current or current.startswith("file:")):
+    if not local and (not current or _scheme(spark, current) == "file"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder (cluster mode)")
     if not current:
         current = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"

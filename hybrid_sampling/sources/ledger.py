@@ -17,8 +17,6 @@ from collections.abc import Callable
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
-_EMPTY = "-"
-
 
 class Ledger:
     """``root``/parts holds the parts, ``root``/entries one small file an entry (one a run that published)."""
@@ -49,8 +47,7 @@ class Ledger:
     def read(self, version: int | None = None, last_only: bool = False) -> DataFrame | None:
         """All parts up to ``version`` (default: the last entry), or that entry's part; None where there is none."""
         last = self.version() if version is None else version
-        names = [self._entry(k) for k in range(last if last_only else 1, last + 1) if k > 0]
-        parts = [f"{self.root}/parts/{n}" for n in names if n != _EMPTY]
+        parts = [f"{self.root}/parts/{self._entry(k)}" for k in range(max(last, 1) if last_only else 1, last + 1)]
         return self.spark.read.parquet(*parts) if parts else None
 
     def publish(self, part: DataFrame, seen: int, run_id: str) -> bool:
