@@ -76,8 +76,13 @@ NAMES = _set(
     "ad ads adsense adslot adbox advert adverts advertisement advertising advertorial banner banners sponsor sponsored sponsors promo promos promotion "
     "nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager topbar toolbar masthead sidebar sidebars rail aside widget widgets "
     "footer foot colophon copyright disclaimer legal notice notices cookie cookies consent gdpr popup popups modal overlay alert paywall "
-    "newsletter subscribe subscription signup login search searchbox form share sharing social follow related recommended recommendations trending skip"
+    "newsletter subscribe subscription signup login search searchbox form share sharing social follow related recommended recommendations trending skip "
+    "announcement notification notifications cta taboola outbrain captcha"
 )
+#: Words that end so are such words, too (subnav, sitefooter).
+NAME_ENDS = ("nav", "menu", "sidebar", "banner", "footer", "advert", "comments")
+#: Beside the word header these tell that it is the article's own.
+OWN_HEADER = _set("article post entry story content section card title")
 COMMENTS = _set("comment comments commentlist respond reply replies disqus discussion")
 NEGATIONS = _set("has with without no is")
 
@@ -172,12 +177,21 @@ class Page:
             self._leave(name, BLOCKS if name in INLINE else SCOPE)
 
 
+_PAGE_HEADER = "#header"
+
+
+def _apart_by_name(names: set[str], inside: bool) -> bool:
+    return bool(names & NAMES) or any(w.endswith(NAME_ENDS) for w in names) or _PAGE_HEADER in names and not inside
+
+
 def _names(marks: dict[str, str]) -> set[str]:
     out: set[str] = set()
     for name in f"{marks.get('class', '')} {marks.get('id', '')}".split():
         words = [w.lower() for w in _NAME_PART.findall(name)]
         if words and words[0] not in NEGATIONS:
             out.update(words)
+            if "header" in words and OWN_HEADER.isdisjoint(words):
+                out.add(_PAGE_HEADER)
     return out
 
 
@@ -211,7 +225,7 @@ def set_apart(page: Page) -> list[bool]:
         else:
             style = marks.get("style", "").replace(" ", "").lower()
             out[i] = (
-                tag in APART or tag in FORMS or bool(names[i] & NAMES) or marks.get("role", "").lower() in ROLES
+                tag in APART or tag in FORMS or _apart_by_name(names[i], inside[up]) or marks.get("role", "").lower() in ROLES
                 or "hidden" in marks or marks.get("aria-hidden", "").lower() == "true" or "display:none" in style
             )
     return out
