@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import lru_cache
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 
@@ -36,20 +38,32 @@ def _scheme(spark: SparkSession, path: str) -> str:
     return jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf).getUri().getScheme()
 
 
+@lru_cache(maxsize=64)
+def _check_shared(spark: SparkSession, path: str) -> None:
+    """Refuse a folder where the rows that executors write are not there to be read: one of each machine's own."""
+    n = min(max(spark.sparkContext.defaultParallelism, 2), 32)
+    probe = f"{path.rstrip('/')}/probe-{uuid.uuid4().hex[:12]}"
+    try:
+        spark.range(0, n, 1, n).write.parquet(probe)
+        seen = spark.read.parquet(probe).count()
+    except PySparkException as e:
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder (cluster mode): {path} can't be written and read by all") from e
+    if seen != n:
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder (cluster mode): {path} showed {seen} of {n} rows written")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
+    """Folder every executor can reach, taken from ``spark.checkpoint.dir``; where that is unset, one below the warehouse.
 
-    On a cluster the setting must name a shared file system: unset, or a path of
-    one machine (``file:``, or a bare path where that is the default file system), it is refused. In local mode (one machine) an unset
-    folder is set to one below the warehouse.
+    On a cluster a ``file:`` folder (or a bare path where that is the default file system) may be a mounted shared one
+    or one of each machine's own: a few rows are written and read there once a session, and it is refused if they are not all seen.
     """
     sc = spark.sparkContext
-    local = sc.master.startswith("local")
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not local and (not current or _scheme(spark, current) == "file"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder (cluster mode)")
     if not current:
         current = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if not sc.master.startswith("local") and _scheme(spark, current) == "file":
+        _check_shared(spark, current)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current.rstrip("/")
